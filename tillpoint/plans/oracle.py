@@ -279,3 +279,200 @@ JOIN txn_temp2 tt2 ON tt.merchant_id = tt2.merchant_id AND tt.payment_date = tt2
 GROUP BY 1"""
     )
     return with_tables(body, ctes)
+
+
+# --- sessions -----------------------------------------------------------------
+def _session_ctes(spec: ProductSpec, start: dt.date, end: dt.date) -> list:
+    ctes = [
+        ("push_merch", push_merch_sql(spec)),
+        ("app_merch", app_merch_sql(spec)),
+        ("final_merch", "SELECT merchant_id FROM app_merch UNION SELECT merchant_id FROM push_merch"),
+        (
+            "merchant_list",
+            f"""
+SELECT dm.merchant_id AS merchant_id, dm.mid AS mid FROM final_merch bs
+JOIN merchant_mart dm ON bs.merchant_id = dm.merchant_id
+WHERE CAST(dm.merchant_created_at AS DATE) >= {lit_date(start)} AND CAST(dm.merchant_created_at AS DATE) < {lit_date(end)}""",
+        ),
+    ]
+    ctes += anchor_ctes(spec, "merchant_list")
+    ctes.append(
+        (
+            "swipe_temp",
+            """
+SELECT merchant_list.merchant_id, mid, order_date FROM merchant_list
+JOIN swipe_order ON merchant_list.merchant_id = swipe_order.merchant_id""",
+        )
+    )
+    return ctes
+
+
+def _session_select(spec: ProductSpec, start: dt.date, end: dt.date) -> str:
+    d, od = "CAST(created_at AS DATE)", "st.order_date"
+    if spec.event_pattern:
+        ev = (
+            "event_name IN (SELECT DISTINCT trim(event_name) FROM app_event "
+            f"WHERE created_at >= {FL(spec)} AND lower(event_name) LIKE '%{spec.event_pattern.lower()}%')"
+        )
+    else:
+        ev = f"event_name IN {in_list(spec.events)}"
+    w1 = f"COUNT(DISTINCT CASE WHEN {win(d, od, 'w1')} THEN session_id END)"
+    m1 = f"COUNT(DISTINCT CASE WHEN {win(d, od, 'm1')} THEN session_id END)"
+    return f"""
+SELECT st.merchant_id, {w1} AS w1_sessions, {m1} AS m1_sessions
+FROM app_event ae JOIN swipe_temp st ON ae.mid = st.mid
+WHERE created_at >= {lit_ts(start)} AND created_at < {lit_ts(end)} AND session_id IS NOT NULL
+  AND source = 'MerchantApp' AND {ev}
+GROUP BY 1 HAVING {w1} > 0"""
+
+
+def session_features_train(spec: ProductSpec, start: dt.date, end: dt.date) -> str:
+    return with_tables(_session_select(spec, start, end), _session_ctes(spec, start, end))
+
+
+def session_features_years(spec: ProductSpec, years) -> str:
+    parts = []
+    for y in years:
+        s, e = dt.date(y, 1, 1), dt.date(y + 1, 1, 1)
+        inner = with_tables(_session_select(spec, s, e), _session_ctes(spec, s, e))
+        parts.append(f"SELECT * FROM ({inner}) y{y}")
+    union = "\nUNION ALL\n".join(parts)
+    return (
+        "SELECT merchant_id, CAST(SUM(w1_sessions) AS BIGINT) AS w1_sessions, "
+        f"CAST(SUM(m1_sessions) AS BIGINT) AS m1_sessions FROM ({union}) u GROUP BY merchant_id"
+    )
+
+
+def event_name_discovery(pattern: str, floor: dt.date) -> str:
+    return with_tables(
+        f"SELECT DISTINCT trim(event_name) AS event_name FROM app_event "
+        f"WHERE created_at >= {lit_ts(floor)} AND lower(event_name) LIKE '%{pattern.lower()}%'"
+    )
+
+
+def session_features_asof(as_of: dt.date, min_txns: int, products: dict, lookback: int = 31) -> str:
+    per_day = ",\n  ".join(
+        f"COUNT(DISTINCT CASE WHEN event_name IN {in_list(evs)} THEN session_id END) AS {p}_sesions"
+        for p, evs in products.items()
+    )
+    sums = ",\n  ".join(
+        f"CAST(SUM(CASE WHEN {win('created_at', 'today', w)} THEN {p}_sesions ELSE 0 END) AS BIGINT) AS {w}_{p}_sessions"
+        for p in products
+        for w in ("w1", "m1")
+    )
+    cols = ", ".join(f"{w}_{p}_sessions" for p in products for w in ("w1", "m1"))
+    ctes = [
+        ("merchant_list", active_list_sql(as_of, min_txns, with_mart=True)),
+        (
+            "app1",
+            f"""
+SELECT mid, CAST(created_at AS DATE) AS created_at, {lit_date(as_of)} AS today,
+  {per_day}
+FROM app_event WHERE CAST(created_at AS DATE) >= {lit_date(as_of)} - {lookback} GROUP BY 1, 2""",
+        ),
+        ("app2", f"SELECT mid,\n  {sums}\nFROM app1 GROUP BY 1"),
+    ]
+    return with_tables(f"SELECT ml.merchant_id, {cols} FROM app2 JOIN merchant_list ml ON app2.mid = ml.mid", ctes)
+
+
+def session_rollup_asof(as_of: dt.date, min_txns: int, lookback: int = 31) -> str:
+    ctes = [
+        ("merchant_list", active_list_sql(as_of, min_txns, with_mart=True)),
+        (
+            "app1",
+            f"""
+SELECT mid, CAST(created_at AS DATE) AS created_at, COUNT(session_id) AS sessions, {lit_date(as_of)} AS today
+FROM app_event WHERE CAST(created_at AS DATE) >= {lit_date(as_of)} - {lookback} GROUP BY 1, 2""",
+        ),
+        (
+            "app2",
+            f"""
+SELECT mid,
+  CAST(SUM(CASE WHEN {win('created_at', 'today', 'w1')} THEN sessions ELSE 0 END) AS BIGINT) AS w1_sessions,
+  CAST(SUM(CASE WHEN {win('created_at', 'today', 'm1')} THEN sessions ELSE 0 END) AS BIGINT) AS m1_sessions
+FROM app1 GROUP BY 1""",
+        ),
+    ]
+    return with_tables("SELECT ml.merchant_id, w1_sessions, m1_sessions FROM app2 JOIN merchant_list ml ON app2.mid = ml.mid", ctes)
+
+
+# --- profile ------------------------------------------------------------------
+def _profile_cols(precisions, vintage_as_of: dt.date | None) -> str:
+    from tillpoint.functions.geohash import geohash_sql
+
+    cols = ["merchant_id", "mid", "actual_merchant_type"]
+    if vintage_as_of is not None:
+        cols.append(f"date_diff('day', CAST(merchant_created_at AS DATE), {lit_date(vintage_as_of)}) AS vintage")
+    cols += ["area_name", "zone_name", "region_name", "territory_name", "merchant_created_at", "std_category AS business_category"]
+    cols += [f"{geohash_sql('integ_longitude', 'integ_latitude', p)} AS geohash{p}" for p in precisions]
+    cols += ["swipe_flag", "speaker_flag", "loan_flag", "fp_flag", "club_flag", "qr_flag", "credit_flag", "debit_flag"]
+    cols += ["actual_merchant_type AS merchant_acquisition_channel", "onboarding_date"]
+    cols += [
+        "lending_eligibility", "lending_eligibility_type", "swipe_eligibility", "fp_eligibility",
+        "insurance_eligibility", "club_eligibility", "gl_eligibility", "speaker_eligibility",
+    ]
+    cols += ["merchant_score", "engagement_score"]
+    cols += ["loan_disbursal_date", "loan_closure_date", "swipe_order_date", "speaker_order_date", "club_start_date", "club_end_date"]
+    return ",\n  ".join(cols)
+
+
+def merchant_profile(spec: ProductSpec) -> str:
+    body = f"""
+SELECT {_profile_cols((6, 3, 4), None)}
+FROM merchant_mart
+WHERE merchant_id IN (SELECT DISTINCT merchant_id FROM merchant_list) AND merchant_created_at >= {FL(spec)}
+ORDER BY merchant_id"""
+    return with_tables(body, cohort_ctes(spec))
+
+
+def merchant_profile_asof(as_of: dt.date, min_txns: int) -> str:
+    body = f"""
+SELECT {_profile_cols((3, 4), as_of)}
+FROM merchant_mart
+WHERE merchant_created_at >= {FL(FIXTURE_DATE_FLOOR)}
+  AND merchant_id IN (SELECT merchant_id FROM active_list)"""
+    return with_tables(body, [("active_list", active_list_sql(as_of, min_txns, with_mart=False))])
+
+
+def vintage(spec: ProductSpec) -> str:
+    ctes = [("push_merch", push_merch_sql(spec))] + anchor_ctes(spec, status_filter=True)
+    body = f"""
+SELECT dm.merchant_id, date_diff('day', CAST(merchant_created_at AS DATE), so.order_date) AS vintage
+FROM merchant_mart dm JOIN swipe_order so ON so.merchant_id = dm.merchant_id
+WHERE merchant_created_at >= {FL(spec)} AND dm.merchant_id IN (SELECT merchant_id FROM swipe_order)"""
+    return with_tables(body, ctes)
+
+
+def _norm_manufacturer(c: str) -> str:
+    from tillpoint.config import MANUFACTURER_ALIASES
+
+    whens = " ".join(f"WHEN lower({c}) = '{k}' THEN '{v}'" for k, v in MANUFACTURER_ALIASES.items())
+    return f"CASE {whens} ELSE lower({c}) END"
+
+
+def device_manufacturer(spec: ProductSpec) -> str:
+    return with_tables(
+        "SELECT merchant_id, manufacturer FROM device_info WHERE merchant_id IN (SELECT merchant_id FROM merchant_list)",
+        cohort_ctes(spec),
+    )
+
+
+def manufacturer_fixed(as_of: dt.date, min_txns: int) -> str:
+    from tillpoint.config import MAJOR_BRANDS
+
+    n = _norm_manufacturer("d.manufacturer")
+    body = f"""
+SELECT a.merchant_id, CASE WHEN {n} IN {in_list(MAJOR_BRANDS)} THEN {n} ELSE 'other' END AS manufacturer
+FROM active_list a LEFT JOIN device_info d ON a.merchant_id = d.merchant_id"""
+    return with_tables(body, [("active_list", active_list_sql(as_of, min_txns, with_mart=True))])
+
+
+def manufacturer_topk(spec: ProductSpec, k: int = 20) -> str:
+    n = _norm_manufacturer("COALESCE(d.manufacturer, 'Other')")
+    ctes = cohort_ctes(spec) + [
+        ("dev", f"SELECT m.merchant_id, {n} AS manufacturer FROM merchant_list m LEFT JOIN device_info d ON m.merchant_id = d.merchant_id"),
+        ("cnt", "SELECT manufacturer, COUNT(*) AS n FROM dev GROUP BY 1"),
+        ("top", f"SELECT manufacturer FROM (SELECT manufacturer, ROW_NUMBER() OVER (ORDER BY n DESC, manufacturer ASC) AS r FROM cnt) WHERE r <= {k}"),
+    ]
+    body = "SELECT merchant_id, CASE WHEN manufacturer IN (SELECT manufacturer FROM top) THEN manufacturer ELSE 'other' END AS manufacturer FROM dev"
+    return with_tables(body, ctes)

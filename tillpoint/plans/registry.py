@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 from tillpoint.config import FIXTURE_ACTIVE_MIN_TXNS as MIN_TXNS
 from tillpoint.config import FIXTURE_AS_OF as AS_OF
 from tillpoint.config import FIXTURE_SPEC as SPEC
-from tillpoint.operators import cohort, rolling
+import dataclasses
+
+from tillpoint.config import FIXTURE_DATE_FLOOR, FIXTURE_PRODUCTS, FIXTURE_SESSION_RANGE
+from tillpoint.operators import cohort, profile, rolling, sessions
 from tillpoint.plans import oracle
 from tillpoint.sources.tables import Tables
 
@@ -140,6 +143,79 @@ def q_txn_features_train_earliest(spark, sf):
     return rolling.txn_features_train(_t(spark, sf), SPEC, anchor_mode="earliest")
 
 
+# --- sessions -------------------------------------------------------------------
+SESSION_SPEC = dataclasses.replace(SPEC, application_table="application_recent")
+PATTERN_SPEC = dataclasses.replace(SESSION_SPEC, event_pattern="i")
+PRODUCT_EVENTS = {name: spec.events for name, spec in FIXTURE_PRODUCTS.items()}
+S0, S1 = FIXTURE_SESSION_RANGE
+
+
+@register("session_features_train", lambda: oracle.session_features_train(SESSION_SPEC, S0, S1))
+def q_session_features_train(spark, sf):
+    return sessions.session_features_train(_t(spark, sf), SESSION_SPEC, S0, S1)
+
+
+@register("session_features_pattern", lambda: oracle.session_features_train(PATTERN_SPEC, S0, S1))
+def q_session_features_pattern(spark, sf):
+    return sessions.session_features_train(_t(spark, sf), PATTERN_SPEC, S0, S1)
+
+
+@register("session_features_years", lambda: oracle.session_features_years(SESSION_SPEC, (2000, 2001)))
+def q_session_features_years(spark, sf):
+    return sessions.session_features_years(_t(spark, sf), SESSION_SPEC, (2000, 2001))
+
+
+@register("event_name_discovery", lambda: oracle.event_name_discovery("i", FIXTURE_DATE_FLOOR))
+def q_event_name_discovery(spark, sf):
+    return sessions.event_name_discovery(_t(spark, sf), "i", FIXTURE_DATE_FLOOR)
+
+
+@register("session_features_asof", lambda: oracle.session_features_asof(AS_OF, MIN_TXNS, PRODUCT_EVENTS))
+def q_session_features_asof(spark, sf):
+    return sessions.session_features_asof(_t(spark, sf), AS_OF, PRODUCT_EVENTS, MIN_TXNS)
+
+
+@register("session_rollup_asof", lambda: oracle.session_rollup_asof(AS_OF, MIN_TXNS))
+def q_session_rollup_asof(spark, sf):
+    return sessions.session_rollup_asof(_t(spark, sf), AS_OF, MIN_TXNS)
+
+
+# --- profile ---------------------------------------------------------------------
+@register("merchant_profile", lambda: oracle.merchant_profile(SPEC))
+def q_merchant_profile(spark, sf):
+    return profile.merchant_profile(_t(spark, sf), SPEC, ordered=True)
+
+
+@register("merchant_profile_asof", lambda: oracle.merchant_profile_asof(AS_OF, MIN_TXNS))
+def q_merchant_profile_asof(spark, sf):
+    return profile.merchant_profile_asof(_t(spark, sf), AS_OF, MIN_TXNS)
+
+
+@register("vintage", lambda: oracle.vintage(SPEC))
+def q_vintage(spark, sf):
+    return profile.vintage(_t(spark, sf), SPEC)
+
+
+@register("device_manufacturer", lambda: oracle.device_manufacturer(SPEC))
+def q_device_manufacturer(spark, sf):
+    t = _t(spark, sf)
+    return profile.device_manufacturer(t, cohort.cohort_union(t, SPEC))
+
+
+@register("manufacturer_fixed", lambda: oracle.manufacturer_fixed(AS_OF, MIN_TXNS))
+def q_manufacturer_fixed(spark, sf):
+    t = _t(spark, sf)
+    base = cohort.active_merchants(t, AS_OF, min_txns=MIN_TXNS, with_mart=True).select("merchant_id")
+    return profile.manufacturer_fixed(base.join(t.device_info, "merchant_id", "left")).select("merchant_id", "manufacturer")
+
+
+@register("manufacturer_topk", lambda: oracle.manufacturer_topk(SPEC))
+def q_manufacturer_topk(spark, sf):
+    t = _t(spark, sf)
+    base = cohort.cohort_union(t, SPEC).join(t.device_info, "merchant_id", "left")
+    return profile.manufacturer_topk(base).select("merchant_id", "manufacturer")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: e.fn for k, e in REGISTRY.items()}
 
