@@ -476,3 +476,134 @@ def manufacturer_topk(spec: ProductSpec, k: int = 20) -> str:
     ]
     body = "SELECT merchant_id, CASE WHEN manufacturer IN (SELECT manufacturer FROM top) THEN manufacturer ELSE 'other' END AS manufacturer FROM dev"
     return with_tables(body, ctes)
+
+
+# --- installed apps -------------------------------------------------------------
+def _apps_ctes(as_of: dt.date, min_txns: int, floor: dt.date = FIXTURE_DATE_FLOOR) -> list:
+    from tillpoint.config import RELEVANT_APPS
+
+    inner = "trim(substr(app_details, 2, length(app_details) - 2))"
+    return [
+        ("active_list", active_list_sql(as_of, min_txns, with_mart=False)),
+        ("max_date", f"SELECT merchant_id, MAX(date) AS MaxDate FROM app_dump WHERE date > {lit_date(floor)} GROUP BY merchant_id"),
+        (
+            "snap",
+            f"""
+SELECT app.merchant_id, app_details FROM app_dump app
+JOIN max_date ON max_date.merchant_id = app.merchant_id AND max_date.MaxDate = app.date
+WHERE date > {lit_date(floor)} AND app.merchant_id IN (SELECT merchant_id FROM active_list)""",
+        ),
+        (
+            "snap_j",
+            f"""
+SELECT merchant_id, {inner} AS inner_text,
+       replace(CASE WHEN {inner} LIKE '[%' THEN {inner} WHEN {inner} LIKE '{{%' THEN '[' || {inner} || ']' END, '''', '"') AS j
+FROM snap""",
+        ),
+        (
+            "parsed",
+            """
+SELECT merchant_id,
+       CASE WHEN j IS NULL OR NOT json_valid(j) THEN []::VARCHAR[]
+            WHEN inner_text LIKE '{%' AND json_array_length(j) < 2 THEN []::VARCHAR[]
+            WHEN len(list_filter(json_extract_string(j, '$[*].appName'), lambda x: x IS NULL)) > 0 THEN []::VARCHAR[]
+            ELSE json_extract_string(j, '$[*].appName') END AS app_names
+FROM snap_j""",
+        ),
+        ("ml", active_list_sql(as_of, min_txns, with_mart=True)),
+        (
+            "app1",
+            f"""
+SELECT mid, CAST(created_at AS DATE) AS created_at, COUNT(session_id) AS sessions, {lit_date(as_of)} AS today
+FROM app_event WHERE CAST(created_at AS DATE) >= {lit_date(as_of)} - 31 GROUP BY 1, 2""",
+        ),
+        (
+            "app2",
+            f"""
+SELECT mid, CAST(SUM(CASE WHEN {win('created_at', 'today', 'w1')} THEN sessions ELSE 0 END) AS BIGINT) AS w1_sessions
+FROM app1 GROUP BY 1""",
+        ),
+        ("sess", "SELECT ml.merchant_id, w1_sessions FROM app2 JOIN ml ON app2.mid = ml.mid"),
+        (
+            "feats",
+            f"""
+SELECT p.merchant_id, p.app_names,
+       CAST(len(list_intersect(p.app_names, {'[' + ', '.join("'" + a + "'" for a in RELEVANT_APPS) + ']'})) AS BIGINT) AS relevant_apps,
+       CAST(len(p.app_names) AS BIGINT) AS total_apps, s.w1_sessions
+FROM parsed p LEFT JOIN sess s ON p.merchant_id = s.merchant_id""",
+        ),
+    ]
+
+
+def latest_app_snapshot(as_of: dt.date, min_txns: int) -> str:
+    return with_tables("SELECT merchant_id, app_details FROM snap", _apps_ctes(as_of, min_txns)[:3])
+
+
+def app_names(as_of: dt.date, min_txns: int) -> str:
+    return with_tables(
+        "SELECT merchant_id, array_to_string(app_names, '|') AS app_list, CAST(len(app_names) AS BIGINT) AS n_apps FROM parsed",
+        _apps_ctes(as_of, min_txns)[:5],
+    )
+
+
+def app_features(as_of: dt.date, min_txns: int) -> str:
+    return with_tables(
+        "SELECT merchant_id, relevant_apps, total_apps, w1_sessions FROM feats", _apps_ctes(as_of, min_txns)
+    )
+
+
+def app_frequency(as_of: dt.date, min_txns: int) -> str:
+    return with_tables(
+        "SELECT app, COUNT(*) AS n FROM (SELECT unnest(app_names) AS app FROM feats) GROUP BY app",
+        _apps_ctes(as_of, min_txns),
+    )
+
+
+def app_frequency_top5(as_of: dt.date, min_txns: int) -> str:
+    return with_tables(
+        "SELECT app, COUNT(*) AS n FROM (SELECT unnest(app_names) AS app FROM feats) GROUP BY app ORDER BY n DESC, app ASC LIMIT 5",
+        _apps_ctes(as_of, min_txns),
+    )
+
+
+def _bin_sql(col: str) -> str:
+    e = f"list_sort(list_distinct((SELECT quantile_cont({col}, [0.0, 0.25, 0.5, 0.75, 1.0]) FROM feats)))"
+    k = f"len(list_filter({e}, lambda x: x < CAST({col} AS DOUBLE)))"
+    return f"CAST(CASE WHEN {col} IS NOT NULL AND {k} >= 1 AND CAST({col} AS DOUBLE) <= list_extract({e}, len({e})) THEN {k} END AS BIGINT) AS {col}_bin"
+
+
+def _binned_ctes(as_of: dt.date, min_txns: int) -> list:
+    cols = ", ".join(_bin_sql(c) for c in ("w1_sessions", "total_apps", "relevant_apps"))
+    return _apps_ctes(as_of, min_txns) + [("binned", f"SELECT merchant_id, w1_sessions, total_apps, relevant_apps, {cols} FROM feats")]
+
+
+def quartile_bins(as_of: dt.date, min_txns: int) -> str:
+    return with_tables("SELECT * FROM binned", _binned_ctes(as_of, min_txns))
+
+
+def app_session_pivot(as_of: dt.date, min_txns: int) -> str:
+    cols = ", ".join(
+        f"NULLIF(COUNT(DISTINCT CASE WHEN relevant_apps_bin = {i} THEN merchant_id END), 0) AS relevant_bin_{i}"
+        for i in (1, 2, 3, 4)
+    )
+    return with_tables(
+        f"SELECT w1_sessions_bin, {cols} FROM binned WHERE w1_sessions_bin IS NOT NULL AND relevant_apps_bin IS NOT NULL GROUP BY 1",
+        _binned_ctes(as_of, min_txns),
+    )
+
+
+def digital_merchants(as_of: dt.date, min_txns: int, min_rel: int, min_w1: int) -> str:
+    return with_tables(
+        f"SELECT merchant_id FROM feats WHERE relevant_apps >= {min_rel} AND w1_sessions >= {min_w1}",
+        _apps_ctes(as_of, min_txns),
+    )
+
+
+def channel_label(as_of: dt.date, min_txns: int, min_rel: int, min_w1: int) -> str:
+    ctes = _apps_ctes(as_of, min_txns) + [
+        ("digital", f"SELECT merchant_id FROM feats WHERE relevant_apps >= {min_rel} AND w1_sessions >= {min_w1}")
+    ]
+    return with_tables(
+        "SELECT merchant_id, CASE WHEN merchant_id IN (SELECT merchant_id FROM digital) THEN 'Digital' ELSE 'Offline' END AS Channel FROM ml",
+        ctes,
+    )

@@ -19,7 +19,9 @@ from tillpoint.config import FIXTURE_SPEC as SPEC
 import dataclasses
 
 from tillpoint.config import FIXTURE_DATE_FLOOR, FIXTURE_PRODUCTS, FIXTURE_SESSION_RANGE
-from tillpoint.operators import cohort, profile, rolling, sessions
+from tillpoint.config import FIXTURE_CHANNEL_MIN_RELEVANT_APPS as MIN_REL
+from tillpoint.config import FIXTURE_CHANNEL_MIN_W1_SESSIONS as MIN_W1
+from tillpoint.operators import apps, cohort, profile, rolling, sessions
 from tillpoint.plans import oracle
 from tillpoint.sources.tables import Tables
 
@@ -216,6 +218,65 @@ def q_manufacturer_topk(spark, sf):
     return profile.manufacturer_topk(base).select("merchant_id", "manufacturer")
 
 
+# --- installed apps -----------------------------------------------------------------
+def _app_feats(spark, sf):
+    return apps.app_features(_t(spark, sf), AS_OF, MIN_TXNS)
+
+
+@register("latest_app_snapshot", lambda: oracle.latest_app_snapshot(AS_OF, MIN_TXNS))
+def q_latest_app_snapshot(spark, sf):
+    return apps.latest_app_snapshot(_t(spark, sf), AS_OF, MIN_TXNS)
+
+
+@register("app_names", lambda: oracle.app_names(AS_OF, MIN_TXNS))
+def q_app_names(spark, sf):
+    snap = apps.app_names(apps.latest_app_snapshot(_t(spark, sf), AS_OF, MIN_TXNS))
+    return snap.select(
+        "merchant_id",
+        F.array_join("app_names", "|").alias("app_list"),
+        F.size("app_names").cast("bigint").alias("n_apps"),
+    )
+
+
+@register("app_features", lambda: oracle.app_features(AS_OF, MIN_TXNS))
+def q_app_features(spark, sf):
+    return _app_feats(spark, sf).select("merchant_id", "relevant_apps", "total_apps", "w1_sessions")
+
+
+@register("app_frequency", lambda: oracle.app_frequency(AS_OF, MIN_TXNS))
+def q_app_frequency(spark, sf):
+    return apps.app_frequency(_app_feats(spark, sf))
+
+
+@register("app_frequency_top5", lambda: oracle.app_frequency_top5(AS_OF, MIN_TXNS))
+def q_app_frequency_top5(spark, sf):
+    return apps.top_apps(apps.app_frequency(_app_feats(spark, sf)), 5)
+
+
+@register("quartile_bins", lambda: oracle.quartile_bins(AS_OF, MIN_TXNS))
+def q_quartile_bins(spark, sf):
+    b = apps.quartile_bins(_app_feats(spark, sf))
+    return b.select("merchant_id", "w1_sessions", "total_apps", "relevant_apps", "w1_sessions_bin", "total_apps_bin", "relevant_apps_bin")
+
+
+@register("app_session_pivot", lambda: oracle.app_session_pivot(AS_OF, MIN_TXNS))
+def q_app_session_pivot(spark, sf):
+    return apps.app_session_pivot(apps.quartile_bins(_app_feats(spark, sf)))
+
+
+@register("digital_merchants", lambda: oracle.digital_merchants(AS_OF, MIN_TXNS, MIN_REL, MIN_W1))
+def q_digital_merchants(spark, sf):
+    return apps.digital_merchants(_app_feats(spark, sf), min_relevant=MIN_REL, min_w1=MIN_W1)
+
+
+@register("channel_label", lambda: oracle.channel_label(AS_OF, MIN_TXNS, MIN_REL, MIN_W1))
+def q_channel_label(spark, sf):
+    t = _t(spark, sf)
+    feats = apps.app_features(t, AS_OF, MIN_TXNS)
+    base = cohort.active_merchants(t, AS_OF, min_txns=MIN_TXNS, with_mart=True).select("merchant_id")
+    return apps.channel_label(base, apps.digital_merchants(feats, min_relevant=MIN_REL, min_w1=MIN_W1))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: e.fn for k, e in REGISTRY.items()}
 
