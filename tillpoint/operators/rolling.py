@@ -28,6 +28,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,10 +54,13 @@ BROADCAST_MAX_ROWS = 20_000_000
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``df`` only after checking its row count against a bound.
 
-    The count is a cheap job over a merchant-level frame (anchors, cohort
-    lists).  Above the bound the frame is returned unchanged and Spark plans a
-    shuffled join, which AQE can still convert or skew-split at runtime.
+    The frame (anchors, cohort lists: merchant-level) is persisted first, so
+    the count and the join that follows share one computation; a lost
+    executor only means recomputing it from lineage.  Above the bound the
+    frame is returned unhinted and Spark plans a shuffled join, which AQE can
+    still convert or skew-split at runtime.
     """
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
 

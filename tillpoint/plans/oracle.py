@@ -607,3 +607,156 @@ def channel_label(as_of: dt.date, min_txns: int, min_rel: int, min_w1: int) -> s
         "SELECT merchant_id, CASE WHEN merchant_id IN (SELECT merchant_id FROM digital) THEN 'Digital' ELSE 'Offline' END AS Channel FROM ml",
         ctes,
     )
+
+
+# --- feature matrices ------------------------------------------------------------
+def compose(ctes: list[tuple[str, str]], body: str) -> str:
+    """WITH over self-contained statements (each may carry its own WITH)."""
+    return "WITH " + ",\n".join(f"{n} AS (\n{sql}\n)" for n, sql in ctes) + "\n" + body
+
+
+def _no_order(sql: str) -> str:
+    i = sql.rfind("ORDER BY")
+    return sql[:i] if i > 0 else sql
+
+
+def _trend_sql() -> str:
+    c1, c2 = "(w1_txn_count - w2_txn_count)", "(w2_txn_count - w3_txn_count)"
+    return f"CASE WHEN {c1} > 0 AND {c2} > 0 THEN 'up' WHEN {c1} < 0 AND {c2} < 0 THEN 'down' ELSE 'flat' END"
+
+
+def _ratios_sql() -> str:
+    from tillpoint.config import RATIO_FEATURES
+
+    return ",\n  ".join(f"CAST({n} AS DOUBLE) / NULLIF(CAST({d} AS DOUBLE), 0) AS {name}" for name, n, d in RATIO_FEATURES)
+
+
+def _geo_cte(src: str) -> tuple[str, str]:
+    return (
+        "geo",
+        f"""
+SELECT geohash4, COUNT(DISTINCT merchant_id) AS loc_hash_density,
+       COALESCE(SUM(total_tpv), 0.0) AS loc_tpv, COUNT(*) AS loc_rows
+FROM {src} WHERE geohash4 IS NOT NULL GROUP BY 1""",
+    )
+
+
+ROLLING = None
+
+
+def _rolling_cols() -> list[str]:
+    from tillpoint.config import ROLLING_FEATURES
+
+    return list(ROLLING_FEATURES)
+
+
+def training_matrix(spec: ProductSpec, session_spec: ProductSpec, years, mode: str = "reference") -> str:
+    from tillpoint.config import CATEGORICAL_FEATURES, RATIO_FEATURES
+
+    order_col = [] if spec.name in ("loan", "fp") else [f"{spec.name}_order_date"]
+    prof_cols = [
+        "actual_merchant_type", "area_name", "zone_name", "region_name", "territory_name",
+        "business_category", "merchant_acquisition_channel",
+    ] + order_col + ["merchant_created_at", "geohash6", "geohash3", "geohash4"]
+    roll = _rolling_cols()
+    n = _norm_manufacturer("COALESCE(dev.manufacturer, 'Other')")
+    ctes = [
+        ("pf", target_label(spec)),
+        ("dev", device_manufacturer(spec)),
+        ("prof", _no_order(merchant_profile(spec))),
+        ("trx", txn_features_train(spec, mode)),
+        ("sess", session_features_years(session_spec, years)),
+        ("vin", f"SELECT merchant_id, MIN(vintage) AS vintage FROM ({vintage(spec)}) v GROUP BY 1"),
+        (
+            "m0",
+            f"""
+SELECT pf.merchant_id, pf.target, {n} AS manufacturer_n,
+  {', '.join('prof.' + c for c in prof_cols)},
+  {', '.join('trx.' + c for c in roll)},
+  sess.w1_sessions, sess.m1_sessions, vin.vintage AS vintage0
+FROM pf LEFT JOIN dev ON pf.merchant_id = dev.merchant_id
+LEFT JOIN prof ON pf.merchant_id = prof.merchant_id
+LEFT JOIN trx ON pf.merchant_id = trx.merchant_id
+LEFT JOIN sess ON pf.merchant_id = sess.merchant_id
+LEFT JOIN vin ON pf.merchant_id = vin.merchant_id""",
+        ),
+        ("cnt", "SELECT manufacturer_n, COUNT(*) AS n FROM m0 GROUP BY 1"),
+        (
+            "top",
+            "SELECT manufacturer_n FROM (SELECT manufacturer_n, ROW_NUMBER() OVER (ORDER BY n DESC, manufacturer_n ASC) AS r FROM cnt) t WHERE r <= 20",
+        ),
+        (
+            "m1",
+            f"""
+SELECT m0.*, {_trend_sql()} AS trend,
+  CASE WHEN manufacturer_n IN (SELECT manufacturer_n FROM top) THEN manufacturer_n ELSE 'other' END AS manufacturer
+FROM m0""",
+        ),
+        _geo_cte("m1"),
+    ]
+    not_null = " AND ".join(f"{c} IS NOT NULL" for c in CATEGORICAL_FEATURES)
+    body = f"""
+SELECT m1.merchant_id, target, manufacturer, {', '.join('m1.' + c for c in prof_cols)},
+  {', '.join(roll)}, w1_sessions, m1_sessions, trend,
+  CAST(CASE WHEN vintage0 < 0 THEN 0 ELSE vintage0 END AS BIGINT) AS vintage,
+  loc_hash_density, loc_tpv / loc_rows AS loc_hash_atv, loc_tpv AS loc_hash_tpv,
+  {_ratios_sql()}
+FROM m1 LEFT JOIN geo ON m1.geohash4 = geo.geohash4
+WHERE txn_count_90_days IS NOT NULL AND {not_null.replace('geohash4', 'm1.geohash4')}"""
+    return compose(ctes, body)
+
+
+def scoring_matrix(as_of: dt.date, min_txns: int, products: dict) -> str:
+    from tillpoint.config import MAJOR_BRANDS
+    from tillpoint.sources.fixture_sql import CTES
+
+    roll = _rolling_cols()
+    payers = [feature_name("unique_payers", w) for w in PAYER_WINDOWS]
+    maxpay = [feature_name("max_daily_payees", w) for w in MONTH_WINDOWS]
+    trxc = [c for c in roll if c not in payers and c not in maxpay]
+    sess = [f"{w}_{p}_sessions" for p in products for w in ("w1", "m1")]
+    n = _norm_manufacturer("d.manufacturer")
+    ctes = [
+        ("device_info", CTES["device_info"]),
+        (
+            "base",
+            "SELECT merchant_id, vintage, zone_name, business_category, geohash4, speaker_eligibility, swipe_eligibility, lending_eligibility "
+            f"FROM ({merchant_profile_asof(as_of, min_txns)}) b",
+        ),
+        ("trx", txn_features_asof(as_of, min_txns)),
+        ("pay", payer_features_asof(as_of, min_txns)),
+        ("pay2", max_daily_payers_asof(as_of, min_txns)),
+        ("app", session_features_asof(as_of, min_txns, products)),
+        (
+            "m0",
+            f"""
+SELECT base.*, {', '.join('trx.' + c for c in trxc)}, {', '.join('pay.' + c for c in payers)},
+  {', '.join('pay2.' + c for c in maxpay)}, {', '.join('app.' + c for c in sess)}
+FROM base LEFT JOIN trx ON base.merchant_id = trx.merchant_id
+LEFT JOIN pay ON base.merchant_id = pay.merchant_id
+LEFT JOIN pay2 ON base.merchant_id = pay2.merchant_id
+LEFT JOIN app ON base.merchant_id = app.merchant_id
+WHERE trx.txn_count_90_days IS NOT NULL""",
+        ),
+        (
+            "m1",
+            f"""
+SELECT m0.*, {_trend_sql()} AS trend,
+  CASE WHEN {n} IN {in_list(MAJOR_BRANDS)} THEN {n} ELSE 'other' END AS manufacturer
+FROM m0 LEFT JOIN device_info d ON m0.merchant_id = d.merchant_id""",
+        ),
+        _geo_cte("m1"),
+    ]
+    body = f"""
+SELECT m1.merchant_id, {', '.join(roll)},
+  {_ratios_sql()},
+  zone_name, business_category, trend, m1.geohash4, CAST(CASE WHEN vintage < 0 THEN 0 ELSE vintage END AS BIGINT) AS vintage, manufacturer,
+  loc_hash_density, loc_tpv / loc_rows AS loc_hash_atv, loc_tpv AS loc_hash_tpv,
+  {', '.join(sess)}, speaker_eligibility, swipe_eligibility, lending_eligibility
+FROM m1 LEFT JOIN geo ON m1.geohash4 = geo.geohash4"""
+    return compose(ctes, body)
+
+
+def over(sql: str, select: str, alias: str = "sm") -> str:
+    """SELECT ``select`` FROM (sql) — projections of a composed statement."""
+    return f"SELECT {select} FROM (\n{sql}\n) {alias}"

@@ -21,7 +21,7 @@ import dataclasses
 from tillpoint.config import FIXTURE_DATE_FLOOR, FIXTURE_PRODUCTS, FIXTURE_SESSION_RANGE
 from tillpoint.config import FIXTURE_CHANNEL_MIN_RELEVANT_APPS as MIN_REL
 from tillpoint.config import FIXTURE_CHANNEL_MIN_W1_SESSIONS as MIN_W1
-from tillpoint.operators import apps, cohort, profile, rolling, sessions
+from tillpoint.operators import apps, cohort, features, profile, rolling, sessions
 from tillpoint.plans import oracle
 from tillpoint.sources.tables import Tables
 
@@ -277,6 +277,54 @@ def q_channel_label(spark, sf):
     return apps.channel_label(base, apps.digital_merchants(feats, min_relevant=MIN_REL, min_w1=MIN_W1))
 
 
+# --- feature matrices ---------------------------------------------------------------
+TRAIN_YEARS = (2000, 2001)
+
+
+def _train_matrix(spark, sf):
+    return features.training_matrix(_t(spark, sf), SPEC, SESSION_SPEC, TRAIN_YEARS, anchor_mode="reference")
+
+
+def _score_matrix(spark, sf):
+    return features.scoring_matrix(_t(spark, sf), AS_OF, PRODUCT_EVENTS, MIN_TXNS)
+
+
+def _train_sql():
+    return oracle.training_matrix(SPEC, SESSION_SPEC, TRAIN_YEARS)
+
+
+def _score_sql():
+    return oracle.scoring_matrix(AS_OF, MIN_TXNS, PRODUCT_EVENTS)
+
+
+@register("training_matrix", _train_sql)
+def q_training_matrix(spark, sf):
+    return _train_matrix(spark, sf)
+
+
+@register("scoring_matrix", _score_sql)
+def q_scoring_matrix(spark, sf):
+    return _score_matrix(spark, sf)
+
+
+@register("trend_label", lambda: oracle.over(_score_sql(), "merchant_id, w1_txn_count, w2_txn_count, w3_txn_count, trend"))
+def q_trend_label(spark, sf):
+    return _score_matrix(spark, sf).select("merchant_id", "w1_txn_count", "w2_txn_count", "w3_txn_count", "trend")
+
+
+RATIO_COLS = ", ".join(r[0] for r in __import__("tillpoint.config", fromlist=["RATIO_FEATURES"]).RATIO_FEATURES)
+
+
+@register("ratio_features", lambda: oracle.over(_score_sql(), "merchant_id, " + RATIO_COLS))
+def q_ratio_features(spark, sf):
+    return _score_matrix(spark, sf).select("merchant_id", *RATIO_COLS.split(", "))
+
+
+@register("location_features", lambda: oracle.over(_score_sql(), "merchant_id, geohash4, loc_hash_density, loc_hash_atv, loc_hash_tpv"))
+def q_location_features(spark, sf):
+    return _score_matrix(spark, sf).select("merchant_id", "geohash4", "loc_hash_density", "loc_hash_atv", "loc_hash_tpv")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: e.fn for k, e in REGISTRY.items()}
 
