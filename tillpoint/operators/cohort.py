@@ -43,8 +43,12 @@ def _applications(tables: Tables, spec: ProductSpec) -> DataFrame:
 
 def pushed_merchants(tables: Tables, spec: ProductSpec) -> DataFrame:
     """Merchants with a qualifying field task in either task table."""
-    v1, v2 = _tasks(tables, spec)
-    return v1.select("merchant_id").union(v2.select("merchant_id")).distinct()
+
+    def build():
+        v1, v2 = _tasks(tables, spec)
+        return v1.select("merchant_id").union(v2.select("merchant_id")).distinct()
+
+    return tables.memo(("pushed", spec), build)
 
 
 def push_dates(tables: Tables, spec: ProductSpec) -> DataFrame:
@@ -53,28 +57,36 @@ def push_dates(tables: Tables, spec: ProductSpec) -> DataFrame:
     Not merchant-unique: a merchant in both tables with different first dates
     keeps two rows (the fan-out the anchor plans reproduce).
     """
-    parts = [
-        t.groupBy("merchant_id").agg(F.min(F.to_date("created_at")).alias("order_date"))
-        for t in _tasks(tables, spec)
-    ]
-    return parts[0].union(parts[1]).distinct()
+    def build():
+        parts = [
+            t.groupBy("merchant_id").agg(F.min(F.to_date("created_at")).alias("order_date"))
+            for t in _tasks(tables, spec)
+        ]
+        return parts[0].union(parts[1]).distinct()
+
+    return tables.memo(("push_dates", spec), build)
 
 
 first_task_date = push_dates
 
 
 def applied_merchants(tables: Tables, spec: ProductSpec) -> DataFrame:
-    app = _applications(tables, spec)
-    return (
-        app.filter((F.col("created_at") >= ts_floor(spec.date_floor)) & F.col("status").isin(list(spec.statuses)))
-        .select("merchant_id")
-        .distinct()
-    )
+    def build():
+        app = _applications(tables, spec)
+        return (
+            app.filter((F.col("created_at") >= ts_floor(spec.date_floor)) & F.col("status").isin(list(spec.statuses)))
+            .select("merchant_id")
+            .distinct()
+        )
+
+    return tables.memo(("applied", spec), build)
 
 
 def cohort_union(tables: Tables, spec: ProductSpec) -> DataFrame:
     """Applied ∪ pushed, merchant-unique."""
-    return applied_merchants(tables, spec).union(pushed_merchants(tables, spec)).distinct()
+    return tables.memo(
+        ("cohort", spec), lambda: applied_merchants(tables, spec).union(pushed_merchants(tables, spec)).distinct()
+    )
 
 
 def applied_not_pushed(tables: Tables, spec: ProductSpec) -> DataFrame:
@@ -121,8 +133,15 @@ def anchor_dates(
     feature plan then aggregates over all anchor rows of a merchant.
     ``mode='earliest'`` returns exactly one row per merchant.
     """
-    if merchants is None and not status_filter:
-        merchants = cohort_union(tables, spec)
+    if merchants is None:
+        return tables.memo(
+            ("anchors", spec, mode, status_filter),
+            lambda: _anchor_dates(tables, spec, mode, None if status_filter else cohort_union(tables, spec), status_filter),
+        )
+    return _anchor_dates(tables, spec, mode, merchants, status_filter)
+
+
+def _anchor_dates(tables, spec, mode, merchants, status_filter):
     pm = push_dates(tables, spec).alias("pm")
     so1 = first_application_dates(tables, spec, merchants, status_filter).alias("so1")
     joined = pm.join(so1, F.col("so1.merchant_id") == F.col("pm.merchant_id"), "full_outer").select(
@@ -169,6 +188,11 @@ def active_merchants(
     (merchant_id, id), so a merchant holding a third of the rows is spread over
     many tasks before its per-merchant total is formed.
     """
+    key = ("active", as_of, min_txns, min_tpv, days, with_mart, date_floor)
+    return tables.memo(key, lambda: _active(tables, as_of, min_txns, min_tpv, days, with_mart, date_floor))
+
+
+def _active(tables, as_of, min_txns, min_tpv, days, with_mart, date_floor):
     tx = tables.transactions.filter(
         (F.col("status") == "SUCCESS") & (F.col("payment_timestamp") >= ts_floor(as_of - dt.timedelta(days=days)))
     )

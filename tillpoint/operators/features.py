@@ -188,11 +188,11 @@ def scoring_matrix(
 
 
 def column_modes(df: DataFrame, cols=CATEGORICAL_FEATURES) -> DataFrame:
-    """(column, mode) with the smallest value among equally frequent ones."""
+    """(feature, mode) with the smallest value among equally frequent ones."""
     row = df.select(*[F.mode(F.col(c), deterministic=True).alias(c) for c in cols])
     return row.select(
-        F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("mode")) for c in cols])).alias("m")
-    ).select("m.column", "m.mode")
+        F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("mode")) for c in cols])).alias("m")
+    ).select("m.feature", "m.mode")
 
 
 def mode_impute(df: DataFrame, cols=CATEGORICAL_FEATURES) -> DataFrame:

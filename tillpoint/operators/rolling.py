@@ -28,7 +28,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +42,7 @@ from tillpoint.config import (
 )
 from tillpoint.functions.windows import in_window
 from tillpoint.operators import cohort
+from tillpoint.sources.sinks import stage
 from tillpoint.sources.tables import Tables
 
 # Upper bound on rows of a merchant-level frame that may be broadcast.  A
@@ -54,13 +54,13 @@ BROADCAST_MAX_ROWS = 20_000_000
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``df`` only after checking its row count against a bound.
 
-    The frame (anchors, cohort lists: merchant-level) is persisted first, so
-    the count and the join that follows share one computation; a lost
-    executor only means recomputing it from lineage.  Above the bound the
-    frame is returned unhinted and Spark plans a shuffled join, which AQE can
-    still convert or skew-split at runtime.
+    The frame (anchors, cohort lists: merchant-level) is staged first (reliable
+    checkpoint in the shared folder), so the count reads the stored rows and
+    the join that follows does not recompute them.  Above the bound the frame
+    is returned unhinted and Spark plans a shuffled join, which AQE can still
+    convert or skew-split at runtime.
     """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df = stage(df)
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
 

@@ -650,7 +650,7 @@ def _rolling_cols() -> list[str]:
     return list(ROLLING_FEATURES)
 
 
-def training_matrix(spec: ProductSpec, session_spec: ProductSpec, years, mode: str = "reference") -> str:
+def training_matrix(spec: ProductSpec, session_spec: ProductSpec, years, mode: str = "reference", drop_nulls: bool = True) -> str:
     from tillpoint.config import CATEGORICAL_FEATURES, RATIO_FEATURES
 
     order_col = [] if spec.name in ("loan", "fp") else [f"{spec.name}_order_date"]
@@ -702,7 +702,9 @@ SELECT m1.merchant_id, target, manufacturer, {', '.join('m1.' + c for c in prof_
   loc_hash_density, loc_tpv / loc_rows AS loc_hash_atv, loc_tpv AS loc_hash_tpv,
   {_ratios_sql()}
 FROM m1 LEFT JOIN geo ON m1.geohash4 = geo.geohash4
-WHERE txn_count_90_days IS NOT NULL AND {not_null.replace('geohash4', 'm1.geohash4')}"""
+WHERE txn_count_90_days IS NOT NULL"""
+    if drop_nulls:
+        body += f" AND {not_null.replace('geohash4', 'm1.geohash4')}"
     return compose(ctes, body)
 
 
@@ -760,3 +762,180 @@ FROM m1 LEFT JOIN geo ON m1.geohash4 = geo.geohash4"""
 def over(sql: str, select: str, alias: str = "sm") -> str:
     """SELECT ``select`` FROM (sql) — projections of a composed statement."""
     return f"SELECT {select} FROM (\n{sql}\n) {alias}"
+
+
+# --- evaluation ------------------------------------------------------------------
+def _dbl(x) -> str:
+    return f"CAST({x!r} AS DOUBLE)" if isinstance(x, float) else f"CAST({x} AS DOUBLE)"
+
+
+def threshold_sweep(thresholds) -> str:
+    vals = ", ".join(f"({_dbl(float(t))})" for t in thresholds)
+    body = f"""
+SELECT t AS threshold,
+  CAST(SUM(CASE WHEN prob > t THEN 1 ELSE 0 END) AS BIGINT) AS predicted_positive,
+  SUM(CASE WHEN prob > t AND target = 1 THEN 1 ELSE 0 END) / NULLIF(SUM(CASE WHEN prob > t THEN 1 ELSE 0 END), 0) AS precision,
+  SUM(CASE WHEN prob > t AND target = 1 THEN 1 ELSE 0 END) / NULLIF(SUM(CASE WHEN target = 1 THEN 1 ELSE 0 END), 0) AS recall
+FROM scored, (VALUES {vals}) th(t) GROUP BY t"""
+    return with_tables(body)
+
+
+def confusion_matrix(thresholds) -> str:
+    parts = []
+    for t in thresholds:
+        parts.append(f"""
+SELECT {_dbl(float(t))} AS threshold, target, p.predicted,
+  CAST(SUM(CASE WHEN CAST(prob > {_dbl(float(t))} AS INTEGER) = p.predicted THEN 1 ELSE 0 END) AS BIGINT) AS n,
+  SUM(CASE WHEN CAST(prob > {_dbl(float(t))} AS INTEGER) = p.predicted THEN 1 ELSE 0 END) / COUNT(*) AS rate
+FROM scored, (VALUES (0), (1)) p(predicted) GROUP BY target, p.predicted""")
+    return with_tables("\nUNION ALL\n".join(parts))
+
+
+def accuracy(threshold: float) -> str:
+    return with_tables(
+        f"SELECT {_dbl(threshold)} AS threshold, AVG(CASE WHEN CAST(prob > {_dbl(threshold)} AS INTEGER) = target THEN 1.0 ELSE 0.0 END)::DOUBLE AS accuracy FROM scored"
+    )
+
+
+def _cum_ctes() -> list:
+    return [
+        ("per", "SELECT prob AS score, CAST(SUM(CASE WHEN target = 1 THEN 1 ELSE 0 END) AS BIGINT) AS pos, CAST(SUM(CASE WHEN target = 1 THEN 0 ELSE 1 END) AS BIGINT) AS neg FROM scored GROUP BY prob"),
+        ("cum", "SELECT score, pos, neg, SUM(pos) OVER (ORDER BY score DESC) AS cum_pos, SUM(neg) OVER (ORDER BY score DESC) AS cum_neg FROM per"),
+        ("tot", "SELECT SUM(pos) AS P, SUM(neg) AS N FROM per"),
+    ]
+
+
+def roc_curve() -> str:
+    return with_tables("SELECT score AS threshold, cum_pos / P AS tpr, cum_neg / N AS fpr FROM cum, tot", _cum_ctes())
+
+
+def roc_auc() -> str:
+    return with_tables(
+        "SELECT CAST(SUM(neg * (2 * cum_pos - pos)) AS BIGINT) / (2.0 * MAX(P) * MAX(N)) AS auc FROM cum, tot", _cum_ctes()
+    )
+
+
+def score_histogram(bins: int = 10) -> str:
+    b = float(bins)
+    body = f"""
+s AS (SELECT MIN(prob) AS lo, MAX(prob) AS hi FROM scored),
+b AS (SELECT LEAST(CAST(FLOOR((prob - lo) / (hi - lo) * {b}) AS INTEGER), {bins - 1}) + 1 AS bin FROM scored, s WHERE prob IS NOT NULL),
+g AS (SELECT CAST(range AS INTEGER) + 1 AS bin FROM range({bins}))
+SELECT g.bin, lo + (hi - lo) / {b} * CAST(g.bin - 1 AS DOUBLE) AS lo, lo + (hi - lo) / {b} * CAST(g.bin AS DOUBLE) AS hi,
+  CAST(COUNT(b.bin) AS BIGINT) AS n
+FROM g CROSS JOIN s LEFT JOIN b ON g.bin = b.bin GROUP BY g.bin, s.lo, s.hi"""
+    from tillpoint.sources.fixture_sql import CTES
+
+    return "WITH scored AS (" + CTES["scored"] + "\n),\n" + body
+
+
+# --- scoring business layer -------------------------------------------------------
+def _pseudo(sm_sql: str) -> str:
+    return f"""
+SELECT *, CAST(merchant_id * 7919 % 1000 AS DOUBLE) / 1000.0 AS prob_loan,
+          CAST(merchant_id * 104729 % 1000 AS DOUBLE) / 1000.0 AS prob_swipe,
+          CAST(merchant_id * 1299709 % 1000 AS DOUBLE) / 1000.0 AS prob_speaker
+FROM ({sm_sql}) sm0"""
+
+
+def _ltv_sql(sm_sql: str) -> str:
+    avg = "((m1_tpv + m2_tpv) / CAST(2.0 AS DOUBLE))"
+    d = lambda x: f"CAST({x} AS DOUBLE)"
+    loan = f"{d(6.0)} * {d(0.12)} * ({d(0.5)} * {avg} * {d(2.0)}) * prob_loan * lending_eligibility"
+    speaker = f"{d(12.0)} * {d(120.0)} * prob_speaker * speaker_eligibility"
+    swipe = f"{avg} * {d(12.0)} * {d(0.02)} * prob_swipe * swipe_eligibility"
+    inner = f"SELECT *, {loan} AS loan_ltv, {speaker} AS speaker_ltv, {swipe} AS swipe_ltv FROM ({_pseudo(sm_sql)}) p"
+    return f"SELECT *, loan_ltv + speaker_ltv + swipe_ltv AS mltv FROM ({inner}) l"
+
+
+def ltv(sm_sql: str) -> str:
+    return f"SELECT merchant_id, loan_ltv, speaker_ltv, swipe_ltv, mltv FROM ({_ltv_sql(sm_sql)}) x"
+
+
+def recommendation_order(sm_sql: str) -> str:
+    from tillpoint.config import RANK_ORDER, THRESHOLDS
+
+    m = {p: f"(prob_{p} - {_dbl(float(THRESHOLDS[p]))})" for p in RANK_ORDER}
+    rank = {}
+    for i, p in enumerate(RANK_ORDER):
+        terms = []
+        for j, o in enumerate(RANK_ORDER):
+            if o == p:
+                continue
+            cond = f"{m[o]} > {m[p]}" + (f" OR {m[o]} = {m[p]}" if j < i else "")
+            terms.append(f"CASE WHEN {cond} THEN 1 ELSE 0 END")
+        rank[p] = "1 + " + " + ".join(terms)
+    picks = []
+    for r in range(1, len(RANK_ORDER) + 1):
+        whens = " ".join(f"WHEN {rank[p]} = {r} THEN '{p}'" for p in RANK_ORDER)
+        picks.append(f"CASE {whens} END AS p{r}_recommendation")
+    return f"SELECT merchant_id, prob_loan, prob_swipe, prob_speaker, {', '.join(picks)} FROM ({_pseudo(sm_sql)}) p"
+
+
+def iqr_trim(sm_sql: str) -> str:
+    return f"""
+WITH t AS (SELECT merchant_id, 0.5 * (m1_tpv + m2_tpv) AS m1_m2_avg_tpv FROM ({sm_sql}) sm0),
+q AS (SELECT quantile_cont(m1_m2_avg_tpv, 0.25) AS q1, quantile_cont(m1_m2_avg_tpv, 0.75) AS q3 FROM t)
+SELECT merchant_id, m1_m2_avg_tpv FROM t, q
+WHERE m1_m2_avg_tpv >= q1 - 3.0 * (q3 - q1) AND m1_m2_avg_tpv <= q3 + 3.0 * (q3 - q1)"""
+
+
+def max_ltv_rows(sm_sql: str) -> str:
+    return f"""
+WITH l AS ({_ltv_sql(sm_sql)})
+SELECT merchant_id, loan_ltv FROM l WHERE loan_ltv = (SELECT MAX(loan_ltv) FROM l)"""
+
+
+# --- EDA over the training matrix --------------------------------------------------
+def rate_by_category(tm_sql: str, cols) -> str:
+    parts = [
+        f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS category, 100.0 * AVG(target) AS propensity, "
+        f"COUNT(merchant_id) AS n_merchants FROM tm WHERE {c} IS NOT NULL GROUP BY 2"
+        for c in cols
+    ]
+    return compose([("tm", tm_sql)], "\nUNION ALL\n".join(parts))
+
+
+def column_quartiles(tm_sql: str, cols) -> str:
+    qn = (("min", 0.0), ("q25", 0.25), ("q50", 0.5), ("q75", 0.75), ("max", 1.0))
+    parts = [
+        f"SELECT '{c}' AS feature, " + ", ".join(f"quantile_cont(CAST({c} AS DOUBLE), {q}) AS {n}" for n, q in qn) + " FROM tm"
+        for c in cols
+    ]
+    return compose([("tm", tm_sql)], "\nUNION ALL\n".join(parts))
+
+
+def rate_by_quartile_bin(tm_sql: str, cols) -> str:
+    parts = []
+    for c in cols:
+        v = f"CAST({c} AS DOUBLE)"
+        qs = ", ".join(f"CAST(CAST(trunc(quantile_cont({v}, {q})) AS BIGINT) AS DOUBLE)" for q in (0.0, 0.25, 0.5, 0.75, 1.0))
+        e = f"(SELECT list_sort(list_distinct([CAST(-0.01 AS DOUBLE), {qs}])) FROM tm)"
+        k = f"len(list_filter({e}, lambda x: x < {v}))"
+        idx = f"CASE WHEN {v} IS NOT NULL AND {k} >= 1 AND {v} <= list_extract({e}, len({e})) THEN {k} END"
+        parts.append(
+            f"""SELECT '{c}' AS feature, CAST(bin AS BIGINT) AS bin, list_extract(e, bin) AS lo, list_extract(e, bin + 1) AS hi,
+  100.0 * AVG(target) AS propensity, COUNT(merchant_id) AS n_merchants
+FROM (SELECT merchant_id, target, {idx} AS bin, {e} AS e FROM tm) b WHERE bin IS NOT NULL GROUP BY bin, e"""
+        )
+    return compose([("tm", tm_sql)], "\nUNION ALL\n".join(parts))
+
+
+def rate_by_top_category(tm_sql: str, col: str, k: int) -> str:
+    return compose(
+        [
+            ("tm", tm_sql),
+            ("d", f"SELECT merchant_id, target, COALESCE(CAST({col} AS VARCHAR), 'nan') AS category FROM tm"),
+            ("top", f"SELECT category FROM (SELECT category, COUNT(*) AS c FROM d GROUP BY 1) t ORDER BY c DESC, category ASC LIMIT {k}"),
+        ],
+        "SELECT category, 100.0 * AVG(target) AS propensity, COUNT(merchant_id) AS n_merchants FROM d WHERE category IN (SELECT category FROM top) GROUP BY 1",
+    )
+
+
+def column_modes(sm_sql: str, cols) -> str:
+    parts = [
+        f"SELECT * FROM (SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS mode FROM sm WHERE {c} IS NOT NULL "
+        f"GROUP BY {c} ORDER BY COUNT(*) DESC, {c} ASC LIMIT 1) m_{c}"
+        for c in cols
+    ]
+    return compose([("sm", sm_sql)], "\nUNION ALL\n".join(parts))

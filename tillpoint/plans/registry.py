@@ -21,7 +21,9 @@ import dataclasses
 from tillpoint.config import FIXTURE_DATE_FLOOR, FIXTURE_PRODUCTS, FIXTURE_SESSION_RANGE
 from tillpoint.config import FIXTURE_CHANNEL_MIN_RELEVANT_APPS as MIN_REL
 from tillpoint.config import FIXTURE_CHANNEL_MIN_W1_SESSIONS as MIN_W1
-from tillpoint.operators import apps, cohort, features, profile, rolling, sessions
+from tillpoint.config import CATEGORICAL_FEATURES, SWEEP_THRESHOLDS
+from tillpoint.operators import apps, cohort, eda, evaluate, features, profile, rolling, score, sessions
+from tillpoint.sources.sinks import stage
 from tillpoint.plans import oracle
 from tillpoint.sources.tables import Tables
 
@@ -325,6 +327,138 @@ def q_location_features(spark, sf):
     return _score_matrix(spark, sf).select("merchant_id", "geohash4", "loc_hash_density", "loc_hash_atv", "loc_hash_tpv")
 
 
+@register("drop_null_categoricals", lambda: oracle.over(
+    oracle.training_matrix(SPEC, SESSION_SPEC, TRAIN_YEARS, drop_nulls=False),
+    "merchant_id",
+) + " WHERE " + " OR ".join(f"{c} IS NULL" for c in CATEGORICAL_FEATURES))
+def q_drop_null_categoricals(spark, sf):
+    m = features.training_matrix(_t(spark, sf), SPEC, SESSION_SPEC, TRAIN_YEARS, drop_nulls=False)
+    cond = None
+    for c in CATEGORICAL_FEATURES:
+        cond = F.col(c).isNull() if cond is None else cond | F.col(c).isNull()
+    return m.filter(cond).select("merchant_id")
+
+
+@register("mode_impute", lambda: oracle.column_modes(_score_sql(), CATEGORICAL_FEATURES))
+def q_mode_impute(spark, sf):
+    return features.column_modes(_score_matrix(spark, sf))
+
+
+# --- evaluation (on the scored fixture: target + probability per merchant) ------
+def _scored(spark, sf):
+    return _t(spark, sf).scored
+
+
+@register("threshold_sweep", lambda: oracle.threshold_sweep(SWEEP_THRESHOLDS))
+def q_threshold_sweep(spark, sf):
+    return evaluate.threshold_sweep(_scored(spark, sf))
+
+
+@register("confusion_matrix", lambda: oracle.confusion_matrix((0.75, 0.5)))
+def q_confusion_matrix(spark, sf):
+    s = _scored(spark, sf)
+    return evaluate.confusion_matrix(s, 0.75).unionByName(evaluate.confusion_matrix(s, 0.5))
+
+
+@register("accuracy", lambda: oracle.accuracy(0.85))
+def q_accuracy(spark, sf):
+    return evaluate.accuracy(_scored(spark, sf), 0.85)
+
+
+@register("roc_curve", oracle.roc_curve)
+def q_roc_curve(spark, sf):
+    return evaluate.roc_curve(_scored(spark, sf))
+
+
+@register("roc_auc", oracle.roc_auc)
+def q_roc_auc(spark, sf):
+    return evaluate.roc_auc(_scored(spark, sf))
+
+
+@register("score_histogram", lambda: oracle.score_histogram(10))
+def q_score_histogram(spark, sf):
+    return score.histogram(_scored(spark, sf), "prob", 10)
+
+
+# --- scoring business layer (model-free stand-in scores) -------------------------
+def _scored_matrix(spark, sf):
+    return features.with_pseudo_scores(stage(_score_matrix(spark, sf)))
+
+
+@register("ltv", lambda: oracle.ltv(_score_sql()))
+def q_ltv(spark, sf):
+    return score.with_ltv(_scored_matrix(spark, sf)).select("merchant_id", "loan_ltv", "speaker_ltv", "swipe_ltv", "mltv")
+
+
+@register("recommendation_order", lambda: oracle.recommendation_order(_score_sql()))
+def q_recommendation_order(spark, sf):
+    r = score.with_recommendation(_scored_matrix(spark, sf))
+    return r.select("merchant_id", "prob_loan", "prob_swipe", "prob_speaker", "p1_recommendation", "p2_recommendation", "p3_recommendation")
+
+
+@register("iqr_trim", lambda: oracle.iqr_trim(_score_sql()))
+def q_iqr_trim(spark, sf):
+    return score.iqr_trim(stage(_score_matrix(spark, sf))).select("merchant_id", "m1_m2_avg_tpv")
+
+
+@register("max_ltv_rows", lambda: oracle.max_ltv_rows(_score_sql()))
+def q_max_ltv_rows(spark, sf):
+    return score.max_rows(score.with_ltv(_scored_matrix(spark, sf)), "loan_ltv").select("merchant_id", "loan_ltv")
+
+
+# --- EDA over the (staged) training matrix -------------------------------------------
+def _tm(spark, sf):
+    return stage(_train_matrix(spark, sf))
+
+
+@register("rate_by_category", lambda: oracle.rate_by_category(_train_sql(), eda.CATEGORY_EDA_COLS))
+def q_rate_by_category(spark, sf):
+    return eda.rate_by_category(_tm(spark, sf))
+
+
+@register("column_quartiles", lambda: oracle.column_quartiles(_train_sql(), eda.NUMERIC_EDA_COLS))
+def q_column_quartiles(spark, sf):
+    return eda.column_quartiles(_tm(spark, sf))
+
+
+@register("rate_by_quartile_bin", lambda: oracle.rate_by_quartile_bin(_train_sql(), eda.NUMERIC_EDA_COLS))
+def q_rate_by_quartile_bin(spark, sf):
+    return eda.rate_by_quartile_bin(_tm(spark, sf))
+
+
+@register("rate_by_top_geohash", lambda: oracle.rate_by_top_category(_train_sql(), "geohash4", 50))
+def q_rate_by_top_geohash(spark, sf):
+    return eda.rate_by_top_category(_tm(spark, sf), "geohash4", 50)
+
+
+@register("target_balance", lambda: oracle.over(_train_sql(), "target, COUNT(*) AS n") + " GROUP BY target")
+def q_target_balance(spark, sf):
+    return eda.value_counts(_train_matrix(spark, sf), "target")
+
+
+def _audit_sql():
+    parts = {
+        "pushed": oracle.pushed_merchants(SPEC),
+        "applied": oracle.applied_merchants(SPEC),
+        "cohort": oracle.cohort_union(SPEC),
+        "active": oracle.active_merchants(AS_OF, MIN_TXNS),
+    }
+    return "\nUNION ALL\n".join(f"SELECT '{k}' AS stage, COUNT(*) AS n_rows FROM ({v}) {k}" for k, v in parts.items())
+
+
+@register("cohort_audit", _audit_sql)
+def q_cohort_audit(spark, sf):
+    t = _t(spark, sf)
+    return eda.audit(
+        {
+            "pushed": cohort.pushed_merchants(t, SPEC),
+            "applied": cohort.applied_merchants(t, SPEC),
+            "cohort": cohort.cohort_union(t, SPEC),
+            "active": cohort.active_merchants(t, AS_OF, min_txns=MIN_TXNS),
+        }
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: e.fn for k, e in REGISTRY.items()}
 

@@ -113,6 +113,23 @@ class Tables:
     def get(self, name: str) -> DataFrame:
         return self.loaders[name]()
 
+    def memo(self, key, build: Callable[[], DataFrame], staged: bool = True) -> DataFrame:
+        """Build a derived frame once per Tables object (optionally staged).
+
+        Merchant-level intermediates (cohorts, anchors, the active base) feed
+        several plans; staging them once keeps every later plan short and
+        avoids recomputing them from the fact tables.
+        """
+        cache = self.__dict__.setdefault("_memo", {})
+        if key not in cache:
+            df = build()
+            if staged:
+                from tillpoint.sources.sinks import stage
+
+                df = stage(df)
+            cache[key] = df
+        return cache[key]
+
     # -- constructors -----------------------------------------------------
     @classmethod
     def from_catalog(cls, spark: SparkSession, names: dict[str, str]) -> "Tables":
