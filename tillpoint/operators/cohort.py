@@ -188,6 +188,7 @@ def active_merchants(
     (merchant_id, id), so a merchant holding a third of the rows is spread over
     many tasks before its per-merchant total is formed.
     """
+    date_floor = date_floor or tables.date_floor
     key = ("active", as_of, min_txns, min_tpv, days, with_mart, date_floor)
     return tables.memo(key, lambda: _active(tables, as_of, min_txns, min_tpv, days, with_mart, date_floor))
 

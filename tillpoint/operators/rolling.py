@@ -28,7 +28,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillpoint.config import (
@@ -76,12 +76,33 @@ def successful_transactions(tables: Tables) -> DataFrame:
     )
 
 
-def daily_rollup(tx: DataFrame) -> DataFrame:
-    """(merchant_id, payment_date) -> daily_tpv, daily_payees, daily_txns."""
-    return tx.groupBy("merchant_id", "payment_date").agg(
-        F.sum("amount").alias("daily_tpv"),
-        F.count_distinct("user").alias("daily_payees"),
-        F.count_distinct("id").alias("daily_txns"),
+def daily_rollup(tx: DataFrame, payees: bool = True) -> DataFrame:
+    """(merchant_id, payment_date) -> daily_tpv, daily_txns[, daily_payees].
+
+    Without ``payees``: group by (merchant, day, id) then (merchant, day).
+    With it: one ``GROUPING SETS ((merchant, day, id), (merchant, day, user))``
+    pass (one scan, one partially aggregated shuffle) and a second aggregate
+    per (merchant, day) that counts the rows of each set.
+    """
+    if not payees:
+        per_id = tx.groupBy("merchant_id", "payment_date", "id").agg(F.sum("amount").alias("_amt"))
+        return per_id.groupBy("merchant_id", "payment_date").agg(
+            F.sum("_amt").alias("daily_tpv"), F.count("id").alias("daily_txns")
+        )
+    g = tx.groupingSets(
+        [["merchant_id", "payment_date", "id"], ["merchant_id", "payment_date", "user"]],
+        "merchant_id",
+        "payment_date",
+        "id",
+        "user",
+    ).agg(F.grouping_id("merchant_id", "payment_date", "id", "user").alias("_g"), F.sum("amount").alias("_amt"))
+    # _g: id set -> user aggregated (01 = 1); user set -> id aggregated (10 = 2)
+    is_id = (F.col("_g") == 1) & F.col("id").isNotNull()
+    is_user = (F.col("_g") == 2) & F.col("user").isNotNull()
+    return g.groupBy("merchant_id", "payment_date").agg(
+        F.sum(F.when(F.col("_g") == 1, F.col("_amt"))).alias("daily_tpv"),
+        F.count(F.when(is_id, 1)).alias("daily_txns"),
+        F.count(F.when(is_user, 1)).alias("daily_payees"),
     )
 
 
@@ -102,12 +123,47 @@ def window_distinct_counts(
     return flags.groupBy("merchant_id").agg(*[F.sum(n).cast("bigint").alias(n) for n in windows])
 
 
+def payer_and_id_window_counts(rows: DataFrame, day: Column, anchor: Column) -> DataFrame:
+    """Distinct payers and distinct ids per window from ONE scan and ONE shuffle.
+
+    ``GROUPING SETS ((merchant, user), (merchant, id))`` expands each row
+    twice, computes the window flags of both entity kinds in one partially
+    aggregated hash aggregate, and a second small aggregate per merchant sums
+    the flags of the matching set (told apart by ``grouping_id``).
+    """
+    payer_w = _names("unique_payers", PAYER_WINDOWS)
+    id_w = _names("txn_count", TXN_WINDOWS)
+    flags = (
+        rows.select("merchant_id", "user", "id", day.alias("_d"), anchor.alias("_od"))
+        .groupingSets([["merchant_id", "user"], ["merchant_id", "id"]], "merchant_id", "user", "id")
+        .agg(
+            F.grouping_id("merchant_id", "user", "id").alias("_g"),
+            *[F.max(F.when(in_window(F.col("_d"), F.col("_od"), w), 1).otherwise(0)).alias(n) for n, w in {**payer_w, **id_w}.items()],
+        )
+    )
+    # grouping_id bits (merchant, user, id): user set -> id aggregated (001 = 1),
+    # id set -> user aggregated (010 = 2).  NULL entities never count.
+    is_user = (F.col("_g") == 1) & F.col("user").isNotNull()
+    is_id = (F.col("_g") == 2) & F.col("id").isNotNull()
+    return flags.groupBy("merchant_id").agg(
+        *[F.sum(F.when(is_user, F.col(n)).otherwise(0)).cast("bigint").alias(n) for n in payer_w],
+        *[F.sum(F.when(is_id, F.col(n)).otherwise(0)).cast("bigint").alias(n) for n in id_w],
+    )
+
+
 def _names(measure: str, windows: Iterable[str]) -> dict[str, str]:
     return {feature_name(measure, w): w for w in windows}
 
 
-def _daily_features(daily_anchored: DataFrame, txn_from_daily: bool) -> DataFrame:
-    """Sums and maxima over (day, anchor) rows of ``daily``."""
+def _daily_features(daily_anchored: DataFrame, txn_from_daily: bool, one_row_per_day: bool, payees: bool = True) -> DataFrame:
+    """Every day-level feature in one aggregate over (day, anchor) rows of ``daily``.
+
+    * sums / maxima: plain conditional aggregates;
+    * active days (distinct day-of-month in a 30-day window): ``collect_set``
+      of at most 31 values per merchant - bounded, partially aggregated;
+    * active vintage (distinct dates before the anchor): a conditional count
+      when the frame has one row per day (scoring), else a distinct count.
+    """
     d, od = F.col("payment_date"), F.col("order_date")
     aggs = []
     if txn_from_daily:
@@ -115,15 +171,26 @@ def _daily_features(daily_anchored: DataFrame, txn_from_daily: bool) -> DataFram
             F.sum(F.when(in_window(d, od, w), F.col("daily_txns")).otherwise(0)).cast("bigint").alias(n)
             for n, w in _names("txn_count", TXN_WINDOWS).items()
         ]
+    if one_row_per_day:
+        aggs.append(F.count(F.when(d < od, 1)).cast("bigint").alias("total_active_vintage"))
+    else:
+        # a date counts when it precedes any anchor, i.e. the latest one; the
+        # rank-1 anchor row stands for the merchant so each day counts once
+        first = F.col("_anchor_rank") == 1
+        aggs.append(F.count(F.when(first & (d < F.col("_max_od")), 1)).cast("bigint").alias("total_active_vintage"))
     aggs += [
         F.sum(F.when(in_window(d, od, w), F.col("daily_tpv")).otherwise(0)).cast("double").alias(n)
         for n, w in _names("tpv", TPV_WINDOWS).items()
     ]
-    for measure, col, typ in (
-        ("max_daily_tpv", "daily_tpv", "double"),
-        ("max_daily_payees", "daily_payees", "bigint"),
-        ("max_daily_txns", "daily_txns", "bigint"),
-    ):
+    aggs += [
+        F.size(F.collect_set(F.when(in_window(d, od, w), F.dayofmonth(d)))).cast("bigint").alias(n)
+        for n, w in _names("active_days", MONTH_WINDOWS).items()
+    ]
+    maxes = [("max_daily_tpv", "daily_tpv", "double")]
+    if payees:
+        maxes.append(("max_daily_payees", "daily_payees", "bigint"))
+    maxes.append(("max_daily_txns", "daily_txns", "bigint"))
+    for measure, col, typ in maxes:
         aggs += [
             F.max(F.when(in_window(d, od, w), F.col(col)).otherwise(0)).cast(typ).alias(n)
             for n, w in _names(measure, MONTH_WINDOWS).items()
@@ -146,7 +213,13 @@ def rolling_features(
     Output: merchants having at least one row in ``tx`` (and an anchor row).
     """
     if anchors is not None:
-        a = anchors.select("merchant_id", "order_date")
+        per_merchant = Window.partitionBy("merchant_id")  # <= a few anchor rows each
+        a = anchors.select(
+            "merchant_id",
+            "order_date",
+            F.row_number().over(per_merchant.orderBy("order_date")).alias("_anchor_rank"),
+            F.max("order_date").over(per_merchant).alias("_max_od"),
+        )
         if broadcast_anchors:
             a = bounded_broadcast(a)
         # cut the fact rows to the cohort before any aggregation
@@ -161,15 +234,15 @@ def rolling_features(
     # flag aggregations (not before the merchant-level frame, which must keep
     # every merchant with activity).
     tx_before = tx_a.filter(F.col("payment_date") < F.col("order_date"))
-    daily_before = daily_a.filter(F.col("payment_date") < F.col("order_date"))
 
     d, od = F.col("payment_date"), F.col("order_date")
-    base = _daily_features(daily_a, txn_from_daily=(txn_count == "daily_sum"))
-    parts = [window_distinct_counts(tx_before, F.col("user"), d, od, _names("unique_payers", PAYER_WINDOWS))]
+    base = _daily_features(
+        daily_a, txn_from_daily=(txn_count == "daily_sum"), one_row_per_day=(anchors is None)
+    )
     if txn_count == "distinct":
-        parts.append(window_distinct_counts(tx_before, F.col("id"), d, od, _names("txn_count", TXN_WINDOWS)))
-    parts.append(window_distinct_counts(daily_before, d, d, od, {"total_active_vintage": "total"}))
-    parts.append(window_distinct_counts(daily_before, F.dayofmonth(d), d, od, _names("active_days", MONTH_WINDOWS)))
+        parts = [payer_and_id_window_counts(tx_before, d, od)]
+    else:
+        parts = [window_distinct_counts(tx_before, F.col("user"), d, od, _names("unique_payers", PAYER_WINDOWS))]
     out = base
     zero_fill: list[str] = []
     for p in parts:
@@ -199,15 +272,15 @@ def _active_tx(tables: Tables, as_of: dt.date, min_txns: int, date_floor: dt.dat
 
 
 def txn_features_asof(tables: Tables, as_of: dt.date, min_txns: int = 5) -> DataFrame:
-    """Scoring: 25 transaction features as of ``as_of`` for the active base."""
+    """Scoring: 25 transaction features as of ``as_of`` for the active base.
+
+    Plan: successful transactions semi-joined to the (staged, size-checked,
+    broadcast) active list -> daily rollup (one shuffle, partially aggregated
+    map-side) -> one aggregate per merchant.
+    """
     tx = _active_tx(tables, as_of, min_txns)
-    daily = daily_rollup(tx).select("*", F.lit(as_of).cast("date").alias("order_date"))
-    d, od = F.col("payment_date"), F.col("order_date")
-    base = _daily_features(daily, txn_from_daily=True)
-    before = daily.filter(d < od)
-    vint = window_distinct_counts(before, d, d, od, {"total_active_vintage": "total"})
-    dom = window_distinct_counts(before, F.dayofmonth(d), d, od, _names("active_days", MONTH_WINDOWS))
-    out = base.join(vint, "merchant_id", "left").join(dom, "merchant_id", "left")
+    daily = daily_rollup(tx, payees=False).select("*", F.lit(as_of).cast("date").alias("order_date"))
+    base = _daily_features(daily, txn_from_daily=True, one_row_per_day=True, payees=False)
     cols = (
         list(_names("txn_count", TXN_WINDOWS))
         + ["total_active_vintage"]
@@ -216,10 +289,7 @@ def txn_features_asof(tables: Tables, as_of: dt.date, min_txns: int = 5) -> Data
         + list(_names("max_daily_tpv", MONTH_WINDOWS))
         + list(_names("max_daily_txns", MONTH_WINDOWS))
     )
-    zero = {"total_active_vintage"} | set(_names("active_days", MONTH_WINDOWS))
-    return out.select(
-        "merchant_id", *[F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c) if c in zero else F.col(c) for c in cols]
-    )
+    return base.select("merchant_id", *cols)
 
 
 def payer_features_asof(tables: Tables, as_of: dt.date, min_txns: int = 5) -> DataFrame:

@@ -20,7 +20,8 @@ SELECT l.l_orderkey * 10 + l.l_linenumber AS id,
        l.l_shipdate AS payment_timestamp,
        CAST(o.o_custkey AS VARCHAR) AS payer_vpa_hash,
        CASE WHEN l.l_returnflag = 'R' THEN 'FAILED' ELSE 'SUCCESS' END AS status
-FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
+FROM lineitem l LEFT JOIN (SELECT o_orderkey, MIN(o_custkey) AS o_custkey FROM orders GROUP BY o_orderkey) o
+  ON l.l_orderkey = o.o_orderkey""",
     "application": """
 SELECT l_suppkey AS merchant_id, l_shipdate AS created_at,
        CASE WHEN l_tax <= 0.06 THEN l_shipdate END AS order_date,
