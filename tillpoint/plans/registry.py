@@ -22,7 +22,8 @@ from tillpoint.config import FIXTURE_DATE_FLOOR, FIXTURE_PRODUCTS, FIXTURE_SESSI
 from tillpoint.config import FIXTURE_CHANNEL_MIN_RELEVANT_APPS as MIN_REL
 from tillpoint.config import FIXTURE_CHANNEL_MIN_W1_SESSIONS as MIN_W1
 from tillpoint.config import CATEGORICAL_FEATURES, SWEEP_THRESHOLDS
-from tillpoint.operators import apps, cohort, eda, evaluate, features, profile, rolling, score, sessions
+from tillpoint.operators import apps, cohort, eda, evaluate, features, ml, profile, rolling, score, sessions
+from tillpoint.session import checkpoint_dir
 from tillpoint.sources.sinks import stage
 from tillpoint.plans import oracle
 from tillpoint.sources.tables import Tables
@@ -459,6 +460,62 @@ def q_cohort_audit(spark, sf):
     )
 
 
+# --- Spark ML (row-count checks only: no SQL statement of a fitted model) -------
+def _split(spark, sf):
+    return ml.stratified_split(_tm(spark, sf), "target", 0.25, seed=0)
+
+
+@register("stratified_split", None)
+def q_stratified_split(spark, sf):
+    train, test = _split(spark, sf)
+    return test.select("merchant_id", "target")
+
+
+@register("downsample_negatives", None)
+def q_downsample_negatives(spark, sf):
+    return ml.downsample_majority(_tm(spark, sf), "target", seed=0).select("merchant_id", "target")
+
+
+def _model(spark, sf):
+    """Train once per application and fixture; later calls load the saved model."""
+    import hashlib
+    import os
+
+    from py4j.protocol import Py4JJavaError  # noqa: F401
+
+    key = hashlib.sha1(sf.encode()).hexdigest()[:10]
+    path = f"{checkpoint_dir(spark).rstrip('/')}/models/{SPEC.name}-{key}"
+    try:
+        return ml.load(path), None
+    except Exception:  # noqa: BLE001 - absent: train and save
+        train, test = _split(spark, sf)
+        model = ml.train_gbt(train)
+        ml.save(model, path)
+        return model, test
+
+
+@register("train_gbt", None)
+def q_train_gbt(spark, sf):
+    model, test = _model(spark, sf)
+    if test is None:
+        test = _split(spark, sf)[1]
+    return ml.round_losses(model, test)
+
+
+@register("score_merchants", None)
+def q_score_merchants(spark, sf):
+    model, _ = _model(spark, sf)
+    sm = _score_matrix(spark, sf)
+    x = sm.withColumnRenamed("w1_swipe_sessions", "w1_sessions").withColumnRenamed("m1_swipe_sessions", "m1_sessions")
+    return ml.score(model, x.select("merchant_id", *ml.MODEL_FEATURES), "prob_swipe").select("merchant_id", "prob_swipe")
+
+
+@register("feature_importance", None)
+def q_feature_importance(spark, sf):
+    model, _ = _model(spark, sf)
+    return ml.feature_importance(model, 20)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: e.fn for k, e in REGISTRY.items()}
 
