@@ -1,0 +1,8 @@
+"""Streaming.
+
+The pipeline this package rebuilds is batch only: there is no watermark,
+event-time window, state or late-data handling anywhere in it ("sessions" are
+ids carried by app events, not gap windows).  No streaming operator is added;
+the as-of plans already take an explicit ``as_of`` date, so a daily refresh is
+a batch job per day.
+"""
