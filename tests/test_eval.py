@@ -25,3 +25,17 @@ def test_sweep_and_roc_consistent(spark):
     roc = sorted((r.fpr, r.tpr) for r in evaluate.roc_curve(df).collect())
     assert roc[-1] == (1.0, 1.0)
     assert all(a[1] <= b[1] for a, b in zip(roc, roc[1:]))
+
+
+def test_split_and_downsample_exact_counts(spark):
+    from tillpoint.operators import ml
+
+    rows = [(i, 1 if i % 4 == 0 else 0) for i in range(4000)]
+    df = spark.createDataFrame(rows, "merchant_id long, target int")
+    train, test = ml.stratified_split(df, "target", 0.25, seed=3)
+    by = {r.target: r["count"] for r in test.groupBy("target").count().collect()}
+    assert by == {1: 250, 0: 750}
+    assert train.count() + test.count() == 4000
+    ds = ml.downsample_majority(df, "target", seed=3)
+    by = {r.target: r["count"] for r in ds.groupBy("target").count().collect()}
+    assert by == {1: 1000, 0: 1000}

@@ -38,21 +38,41 @@ def _hash(seed: int):
     return F.xxhash64(F.col("merchant_id"), F.lit(seed))
 
 
+def kth_smallest(df: DataFrame, h, k: int):
+    """Exact k-th smallest value of the 64-bit hash column ``h`` in ``df``,
+    without funnelling rows through one task.
+
+    Pass 1 counts rows per bucket of the top 16 hash bits (at most 65,536
+    bucket counts, bounded); the bucket holding the k-th value is found from
+    their running sum; pass 2 sorts only that bucket (about n / 65,536 rows for
+    a uniform hash) to pick the exact value.
+    """
+    if k <= 0:
+        return None
+    b = F.shiftright(h, 48)  # signed top 16 bits keep the hash order
+    counts = sorted((r[0], r[1]) for r in df.groupBy(b.alias("_b")).count().collect())
+    seen = 0
+    for bucket, n in counts:
+        if seen + n >= k:
+            rest = k - seen
+            inside = df.filter(b == F.lit(bucket)).select(h.alias("_h")).orderBy("_h").limit(rest)
+            return inside.agg(F.max("_h")).first()[0]
+        seen += n
+    return None
+
+
 def stratified_split(df: DataFrame, label: str = "target", test_frac: float = 0.25, seed: int = 0):
     """Seeded, exact per-class split: in each class the ``round(test_frac*n)``
-    rows with the smallest seeded hash go to the test side.
-
-    Each class threshold is a distributed top-k (``orderBy(hash).limit(k)``),
-    never a single-partition window.  Returns (train, test).
-    """
+    rows with the smallest seeded hash go to the test side (class threshold
+    from :func:`kth_smallest`).  Returns (train, test)."""
     h = _hash(seed)
     counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}  # one row per class
     test_cond = None
     for cls, n in counts.items():
         k = int(round(test_frac * n))
-        if k <= 0:
+        thr = kth_smallest(df.filter(F.col(label) == cls), h, k)
+        if thr is None:
             continue
-        thr = df.filter(F.col(label) == cls).select(h.alias("_h")).orderBy("_h").limit(k).agg(F.max("_h")).first()[0]
         c = (F.col(label) == F.lit(cls)) & (h <= F.lit(thr))
         test_cond = c if test_cond is None else test_cond | c
     if test_cond is None:
@@ -62,16 +82,16 @@ def stratified_split(df: DataFrame, label: str = "target", test_frac: float = 0.
 
 
 def downsample_majority(df: DataFrame, label: str = "target", seed: int = 0) -> DataFrame:
-    """Keep every minority-class row and as many majority rows (smallest
-    seeded hash, a distributed top-k) as the minority has."""
+    """Keep every minority-class row and exactly as many majority rows (the
+    smallest seeded hashes) as the minority has."""
     counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
     if len(counts) < 2:
         return df
     minority = min(counts, key=lambda c: (counts[c], str(c)))
     majority = max(counts, key=lambda c: (counts[c], str(c)))
-    n_min = counts[minority]
-    keep = df.filter(F.col(label) == majority).withColumn("_h", _hash(seed)).orderBy("_h").limit(n_min).drop("_h")
-    return df.filter(F.col(label) != majority).unionByName(keep)
+    h = _hash(seed)
+    thr = kth_smallest(df.filter(F.col(label) == majority), h, counts[minority])
+    return df.filter((F.col(label) != majority) | (h <= F.lit(thr)))
 
 
 def _missing_handler(numeric: list[str]) -> SQLTransformer:
