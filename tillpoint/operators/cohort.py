@@ -24,7 +24,8 @@ from tillpoint.sources.tables import Tables
 def ts_floor(d: dt.date) -> Column:
     """Timestamp literal: ``ts >= ts_floor(d)`` equals ``to_date(ts) >= d`` and
     is a plain comparison on the scanned column, so it reaches PushedFilters."""
-    return F.lit(dt.datetime(d.year, d.month, d.day)).cast("timestamp_ntz")
+    # parsed from text: independent of the session and Python time zones
+    return F.to_timestamp_ntz(F.lit(f"{d.isoformat()} 00:00:00"))
 
 
 def _tasks(tables: Tables, spec: ProductSpec, floor: bool = True) -> list[DataFrame]:

@@ -362,7 +362,7 @@ class _RawFixture:
 
 def _ts(d: dt.date) -> Column:
     """Timestamp literal for a date, so ``ts >= date`` pushes down to parquet."""
-    return F.lit(dt.datetime(d.year, d.month, d.day)).cast("timestamp_ntz")
+    return F.to_timestamp_ntz(F.lit(f"{d.isoformat()} 00:00:00"))
 
 
 def _app_status() -> Column:
