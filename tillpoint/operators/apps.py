@@ -12,6 +12,7 @@ from tillpoint.config import (
     CHANNEL_MIN_W1_SESSIONS,
     RELEVANT_APPS,
 )
+from tillpoint.functions.stats import quantiles
 from tillpoint.operators import cohort, sessions
 from tillpoint.operators.rolling import bounded_broadcast
 from tillpoint.sources.tables import Tables
@@ -87,9 +88,9 @@ def top_apps(freq: DataFrame, k: int = 5) -> DataFrame:
     return freq.orderBy(F.col("n").desc(), F.col("app").asc()).limit(k)
 
 
-def quartile_edges(df: DataFrame, col: str) -> Column:
-    """Scalar subquery: exact [min, q25, q50, q75, max] (linear interpolation)."""
-    return df.select(F.percentile(F.col(col), F.array(*[F.lit(q) for q in (0.0, 0.25, 0.5, 0.75, 1.0)]))).scalar()
+def quartile_edges(df: DataFrame, col: str, exact: bool = True) -> Column:
+    """Scalar subquery: [min, q25, q50, q75, max] (exact: linear interpolation)."""
+    return df.select(quantiles(F.col(col), exact=exact)).scalar()
 
 
 def quartile_bin(value: Column, edges: Column) -> Column:
@@ -102,14 +103,15 @@ def quartile_bin(value: Column, edges: Column) -> Column:
     return F.when(value.isNotNull() & (k >= 1) & (value <= F.element_at(e, -1)), k)
 
 
-def quartile_edges_many(df: DataFrame, cols: tuple[str, ...]) -> Column:
+def quartile_edges_many(df: DataFrame, cols: tuple[str, ...], exact: bool = True) -> Column:
     """One scalar subquery (one pass over ``df``) with the edges of every column."""
-    qs = F.array(*[F.lit(q) for q in (0.0, 0.25, 0.5, 0.75, 1.0)])
-    return df.select(F.struct(*[F.percentile(F.col(c), qs).alias(c) for c in cols])).scalar()
+    return df.select(F.struct(*[quantiles(F.col(c).cast("double"), exact=exact).alias(c) for c in cols])).scalar()
 
 
-def quartile_bins(features: DataFrame, cols: tuple[str, ...] = ("w1_sessions", "total_apps", "relevant_apps")) -> DataFrame:
-    edges = quartile_edges_many(features, cols)
+def quartile_bins(
+    features: DataFrame, cols: tuple[str, ...] = ("w1_sessions", "total_apps", "relevant_apps"), exact: bool = True
+) -> DataFrame:
+    edges = quartile_edges_many(features, cols, exact)
     return features.select(
         "*", *[quartile_bin(F.col(c).cast("double"), edges[c]).cast("bigint").alias(f"{c}_bin") for c in cols]
     )

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillpoint.functions.stats import quantiles
+
 NUMERIC_EDA_COLS = (
     "total_txn_count",
     "m1_tpv",
@@ -34,10 +36,9 @@ def rate_by_category(df: DataFrame, cols=CATEGORY_EDA_COLS, label: str = "target
     return reduce(DataFrame.unionByName, parts)
 
 
-def column_quartiles(df: DataFrame, cols=NUMERIC_EDA_COLS) -> DataFrame:
-    """(feature, min, q25, q50, q75, max), exact, one pass for all columns."""
-    qs = F.array(*[F.lit(q) for q in (0.0, 0.25, 0.5, 0.75, 1.0)])
-    row = df.agg(*[F.percentile(F.col(c).cast("double"), qs).alias(c) for c in cols])
+def column_quartiles(df: DataFrame, cols=NUMERIC_EDA_COLS, exact: bool = True) -> DataFrame:
+    """(feature, min, q25, q50, q75, max), one pass for all columns."""
+    row = df.agg(*[quantiles(F.col(c).cast("double"), exact=exact).alias(c) for c in cols])
     cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("q")) for c in cols])
     e = row.select(F.explode(cells).alias("x"))
     return e.select(
@@ -46,11 +47,10 @@ def column_quartiles(df: DataFrame, cols=NUMERIC_EDA_COLS) -> DataFrame:
     )
 
 
-def int_quartile_edges(df: DataFrame, cols) -> DataFrame:
+def int_quartile_edges(df: DataFrame, cols, exact: bool = True) -> DataFrame:
     """One pass: per column the edges [-0.01, int(min), int(q25), int(q50),
     int(q75), int(max)] (truncated toward zero, duplicates dropped, sorted)."""
-    qs = F.array(*[F.lit(q) for q in (0.0, 0.25, 0.5, 0.75, 1.0)])
-    row = df.agg(*[F.percentile(F.col(c).cast("double"), qs).alias(c) for c in cols])
+    row = df.agg(*[quantiles(F.col(c).cast("double"), exact=exact).alias(c) for c in cols])
     return row.select(
         *[
             F.sort_array(
@@ -67,14 +67,14 @@ def _bin_of(v, edges):
     return F.when(v.isNotNull() & (k >= 1) & (v <= F.element_at(edges, -1)), k)
 
 
-def rate_by_quartile_bin(df: DataFrame, cols=NUMERIC_EDA_COLS, label: str = "target") -> DataFrame:
+def rate_by_quartile_bin(df: DataFrame, cols=NUMERIC_EDA_COLS, label: str = "target", exact: bool = True) -> DataFrame:
     """(feature, bin, lo, hi, propensity, n_merchants) for each numeric column.
 
     The edges of all columns come from one aggregate (a scalar subquery, run
     once); every column is then binned in one projection and the per-bin
     rates come from one grouped aggregate over the stacked rows.
     """
-    edges = int_quartile_edges(df, cols)
+    edges = int_quartile_edges(df, cols, exact)
     scalar = edges.select(F.struct(*[F.col(c) for c in cols])).scalar()
     e = df.select(
         "merchant_id",

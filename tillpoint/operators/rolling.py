@@ -45,24 +45,35 @@ from tillpoint.operators import cohort
 from tillpoint.sources.sinks import stage
 from tillpoint.sources.tables import Tables
 
-# Upper bound on rows of a merchant-level frame that may be broadcast.  A
-# (merchant_id, date) row is ~24 bytes in the hash relation, so 20M rows stay
-# well under 1 GB per executor; above it the join is shuffled instead.
-BROADCAST_MAX_ROWS = 20_000_000
+# Upper bound on the in-memory size of a frame that may be broadcast.  The
+# size is estimated from the row count and the column types, so the bound
+# holds whatever the frame's width; above it the join is shuffled instead.
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
+_TYPE_BYTES = {
+    "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "int": 4, "date": 4,
+    "float": 4, "smallint": 2, "tinyint": 1, "boolean": 1,
+}
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking its row count against a bound.
 
-    The frame (anchors, cohort lists: merchant-level) is staged first (reliable
-    checkpoint in the shared folder), so the count reads the stored rows and
+def estimated_row_bytes(df: DataFrame) -> int:
+    """Hash-relation row size estimate: fixed widths by type, 32 bytes for
+    strings and other variable-width values, 16 bytes of row overhead."""
+    return 16 + sum(_TYPE_BYTES.get(f.dataType.simpleString(), 32) for f in df.schema.fields)
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast ``df`` only after checking its size against a bound.
+
+    The frame (anchors, cohort lists: merchant-level) is staged first (parquet
+    in the shared checkpoint folder), so the count reads the stored rows and
     the join that follows does not recompute them.  Above the bound the frame
     is returned unhinted and Spark plans a shuffled join, which AQE can still
     convert or skew-split at runtime.
     """
     df = stage(df)
     n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if n * estimated_row_bytes(df) <= max_bytes else df
 
 
 def successful_transactions(tables: Tables) -> DataFrame:

@@ -546,6 +546,26 @@ def app_names(as_of: dt.date, min_txns: int) -> str:
     )
 
 
+def package_names(as_of: dt.date, min_txns: int) -> str:
+    """Same parse, packageName field."""
+    ctes = _apps_ctes(as_of, min_txns)[:4] + [
+        (
+            "parsed_pkg",
+            """
+SELECT merchant_id,
+       CASE WHEN j IS NULL OR NOT json_valid(j) THEN []::VARCHAR[]
+            WHEN inner_text LIKE '{%' AND json_array_length(j) < 2 THEN []::VARCHAR[]
+            WHEN len(list_filter(json_extract_string(j, '$[*].packageName'), lambda x: x IS NULL)) > 0 THEN []::VARCHAR[]
+            ELSE json_extract_string(j, '$[*].packageName') END AS package_names
+FROM snap_j""",
+        )
+    ]
+    return with_tables(
+        "SELECT merchant_id, array_to_string(package_names, '|') AS package_list, CAST(len(package_names) AS BIGINT) AS n_packages FROM parsed_pkg",
+        ctes,
+    )
+
+
 def app_features(as_of: dt.date, min_txns: int) -> str:
     return with_tables(
         "SELECT merchant_id, relevant_apps, total_apps, w1_sessions FROM feats", _apps_ctes(as_of, min_txns)

@@ -241,6 +241,16 @@ def q_app_names(spark, sf):
     )
 
 
+@register("package_names", lambda: oracle.package_names(AS_OF, MIN_TXNS))
+def q_package_names(spark, sf):
+    snap = apps.package_names(apps.latest_app_snapshot(_t(spark, sf), AS_OF, MIN_TXNS))
+    return snap.select(
+        "merchant_id",
+        F.array_join("package_names", "|").alias("package_list"),
+        F.size("package_names").cast("bigint").alias("n_packages"),
+    )
+
+
 @register("app_features", lambda: oracle.app_features(AS_OF, MIN_TXNS))
 def q_app_features(spark, sf):
     return _app_feats(spark, sf).select("merchant_id", "relevant_apps", "total_apps", "w1_sessions")
