@@ -8,7 +8,6 @@ broadcast: a geohash-4 table has at most 32^4 rows, a proven bound.
 
 from __future__ import annotations
 
-import dataclasses
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame
@@ -91,7 +90,7 @@ def training_matrix(
     spec: ProductSpec,
     session_spec: ProductSpec | None = None,
     session_years: tuple[int, ...] = (2020, 2021, 2022),
-    anchor_mode: str = "reference",
+    anchor_mode: str = "earliest",
     with_sessions: bool = True,
     drop_nulls: bool = True,
 ) -> DataFrame:

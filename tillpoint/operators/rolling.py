@@ -268,7 +268,7 @@ def rolling_features(
     )
 
 
-def txn_features_train(tables: Tables, spec: ProductSpec, anchor_mode: str = "reference") -> DataFrame:
+def txn_features_train(tables: Tables, spec: ProductSpec, anchor_mode: str = "earliest") -> DataFrame:
     """Training features at each merchant's anchor date (applied ∪ pushed cohort)."""
     anchors = cohort.anchor_dates(tables, spec, mode=anchor_mode)
     tx = successful_transactions(tables)

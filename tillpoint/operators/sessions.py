@@ -51,7 +51,7 @@ def session_cohort(tables: Tables, spec: ProductSpec, start: dt.date, end: dt.da
 
 
 def session_features_train(
-    tables: Tables, spec: ProductSpec, start: dt.date, end: dt.date, anchor_mode: str = "reference"
+    tables: Tables, spec: ProductSpec, start: dt.date, end: dt.date, anchor_mode: str = "earliest"
 ) -> DataFrame:
     """w1 / m1 distinct sessions before each merchant's anchor date.
 
@@ -79,7 +79,7 @@ def session_features_train(
 
 
 def session_features_years(
-    tables: Tables, spec: ProductSpec, years: tuple[int, ...], anchor_mode: str = "reference"
+    tables: Tables, spec: ProductSpec, years: tuple[int, ...], anchor_mode: str = "earliest"
 ) -> DataFrame:
     """Year-sliced extraction, bag union, then per-merchant sums."""
     parts = [

@@ -157,17 +157,17 @@ S0, S1 = FIXTURE_SESSION_RANGE
 
 @register("session_features_train", lambda: oracle.session_features_train(SESSION_SPEC, S0, S1))
 def q_session_features_train(spark, sf):
-    return sessions.session_features_train(_t(spark, sf), SESSION_SPEC, S0, S1)
+    return sessions.session_features_train(_t(spark, sf), SESSION_SPEC, S0, S1, anchor_mode="reference")
 
 
 @register("session_features_pattern", lambda: oracle.session_features_train(PATTERN_SPEC, S0, S1))
 def q_session_features_pattern(spark, sf):
-    return sessions.session_features_train(_t(spark, sf), PATTERN_SPEC, S0, S1)
+    return sessions.session_features_train(_t(spark, sf), PATTERN_SPEC, S0, S1, anchor_mode="reference")
 
 
 @register("session_features_years", lambda: oracle.session_features_years(SESSION_SPEC, (2000, 2001)))
 def q_session_features_years(spark, sf):
-    return sessions.session_features_years(_t(spark, sf), SESSION_SPEC, (2000, 2001))
+    return sessions.session_features_years(_t(spark, sf), SESSION_SPEC, (2000, 2001), anchor_mode="reference")
 
 
 @register("event_name_discovery", lambda: oracle.event_name_discovery("i", FIXTURE_DATE_FLOOR))
@@ -343,7 +343,7 @@ def q_location_features(spark, sf):
     "merchant_id",
 ) + " WHERE " + " OR ".join(f"{c} IS NULL" for c in CATEGORICAL_FEATURES))
 def q_drop_null_categoricals(spark, sf):
-    m = features.training_matrix(_t(spark, sf), SPEC, SESSION_SPEC, TRAIN_YEARS, drop_nulls=False)
+    m = features.training_matrix(_t(spark, sf), SPEC, SESSION_SPEC, TRAIN_YEARS, anchor_mode="reference", drop_nulls=False)
     cond = None
     for c in CATEGORICAL_FEATURES:
         cond = F.col(c).isNull() if cond is None else cond | F.col(c).isNull()
@@ -489,15 +489,12 @@ def q_downsample_negatives(spark, sf):
 def _model(spark, sf):
     """Train once per application and fixture; later calls load the saved model."""
     import hashlib
-    import os
-
-    from py4j.protocol import Py4JJavaError  # noqa: F401
 
     key = hashlib.sha1(sf.encode()).hexdigest()[:10]
     path = f"{checkpoint_dir(spark).rstrip('/')}/models/{SPEC.name}-{key}"
     try:
         return ml.load(path), None
-    except Exception:  # noqa: BLE001 - absent: train and save
+    except Exception:  # noqa: BLE001 - no saved model yet: train and save it
         train, test = _split(spark, sf)
         model = ml.train_gbt(train)
         ml.save(model, path)

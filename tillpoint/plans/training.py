@@ -23,7 +23,7 @@ def run(
     session_spec: ProductSpec | None = None,
     session_years: tuple[int, ...] | None = None,
     downsample: bool | None = None,
-    anchor_mode: str = "reference",
+    anchor_mode: str = "earliest",
     seed: int = 0,
     gbt_kwargs: dict | None = None,
 ) -> dict[str, DataFrame]:
