@@ -29,8 +29,8 @@ def latest_app_snapshot(tables: Tables, as_of: dt.date, min_txns: int = 5) -> Da
     """
     floor = cohort.ts_floor(tables.date_floor).cast("date")
     dump = tables.app_dump.filter(F.col("date") > floor)
-    active = cohort.active_merchants(tables, as_of, min_txns=min_txns).select("merchant_id")
-    dump = dump.join(bounded_broadcast(active), "merchant_id", "left_semi")
+    active = cohort.active_merchants(tables, as_of, min_txns=min_txns)
+    dump = dump.join(bounded_broadcast(active, ["merchant_id"]), "merchant_id", "left_semi")
     latest = dump.groupBy("merchant_id").agg(F.max("date").alias("date"))
     return dump.join(latest, ["merchant_id", "date"]).select("merchant_id", "app_details")
 
@@ -76,7 +76,7 @@ def app_features(
         F.size(F.col("app_names")).cast("bigint").alias("total_apps"),
     )
     w1 = sessions.session_rollup_asof(tables, as_of, min_txns).select("merchant_id", "w1_sessions")
-    return feats.join(bounded_broadcast(w1), "merchant_id", "left")
+    return feats.join(w1, "merchant_id", "left")
 
 
 def app_frequency(features: DataFrame) -> DataFrame:

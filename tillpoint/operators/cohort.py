@@ -49,7 +49,7 @@ def pushed_merchants(tables: Tables, spec: ProductSpec) -> DataFrame:
         v1, v2 = _tasks(tables, spec)
         return v1.select("merchant_id").union(v2.select("merchant_id")).distinct()
 
-    return tables.memo(("pushed", spec), build)
+    return tables.memo(("pushed", spec), build, staged=False)
 
 
 def push_dates(tables: Tables, spec: ProductSpec) -> DataFrame:
@@ -80,7 +80,7 @@ def applied_merchants(tables: Tables, spec: ProductSpec) -> DataFrame:
             .distinct()
         )
 
-    return tables.memo(("applied", spec), build)
+    return tables.memo(("applied", spec), build, staged=False)
 
 
 def cohort_union(tables: Tables, spec: ProductSpec) -> DataFrame:
@@ -138,6 +138,7 @@ def anchor_dates(
         return tables.memo(
             ("anchors", spec, mode, status_filter),
             lambda: _anchor_dates(tables, spec, mode, None if status_filter else cohort_union(tables, spec), status_filter),
+            staged=False,  # consumers stage what they broadcast
         )
     return _anchor_dates(tables, spec, mode, merchants, status_filter)
 

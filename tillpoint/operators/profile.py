@@ -68,9 +68,11 @@ def merchant_profile(tables: Tables, spec: ProductSpec, ordered: bool = False) -
 
 def merchant_profile_asof(tables: Tables, as_of: dt.date, min_txns: int = 5) -> DataFrame:
     """Mart rows of the active base with vintage as of ``as_of`` and geohash 3 / 4."""
-    active = cohort.active_merchants(tables, as_of, min_txns=min_txns).select("merchant_id")
+    active = cohort.active_merchants(tables, as_of, min_txns=min_txns)
     mart = tables.merchant_mart.filter(F.col("merchant_created_at") >= cohort.ts_floor(tables.date_floor))
-    return mart.join(bounded_broadcast(active), "merchant_id", "left_semi").select(*_profile_columns((3, 4), as_of))
+    return mart.join(bounded_broadcast(active, ["merchant_id"]), "merchant_id", "left_semi").select(
+        *_profile_columns((3, 4), as_of)
+    )
 
 
 def vintage(tables: Tables, spec: ProductSpec) -> DataFrame:

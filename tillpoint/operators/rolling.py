@@ -42,7 +42,7 @@ from tillpoint.config import (
 )
 from tillpoint.functions.windows import in_window
 from tillpoint.operators import cohort
-from tillpoint.sources.sinks import stage
+from tillpoint.sources.sinks import stage, staged_rows
 from tillpoint.sources.tables import Tables
 
 # Upper bound on the in-memory size of a frame that may be broadcast.  The
@@ -62,18 +62,21 @@ def estimated_row_bytes(df: DataFrame) -> int:
     return 16 + sum(_TYPE_BYTES.get(f.dataType.simpleString(), 32) for f in df.schema.fields)
 
 
-def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+def bounded_broadcast(df: DataFrame, cols: list[str] | None = None, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Broadcast ``df`` only after checking its size against a bound.
 
     The frame (anchors, cohort lists: merchant-level) is staged first (parquet
-    in the shared checkpoint folder), so the count reads the stored rows and
-    the join that follows does not recompute them.  Above the bound the frame
+    in the shared checkpoint folder; the staging write also counts its rows),
+    so the join that follows does not recompute it.  Above the bound the frame
     is returned unhinted and Spark plans a shuffled join, which AQE can still
     convert or skew-split at runtime.
     """
     df = stage(df)
-    n = df.count()
-    return F.broadcast(df) if n * estimated_row_bytes(df) <= max_bytes else df
+    n = staged_rows(df)
+    if n is None:
+        n = df.count()
+    out = df.select(*cols) if cols else df
+    return F.broadcast(out) if n * estimated_row_bytes(out) <= max_bytes else out
 
 
 def successful_transactions(tables: Tables) -> DataFrame:
@@ -278,8 +281,8 @@ def txn_features_train(tables: Tables, spec: ProductSpec, anchor_mode: str = "ea
 def _active_tx(tables: Tables, as_of: dt.date, min_txns: int, date_floor: dt.date | None = None) -> DataFrame:
     active = cohort.active_merchants(
         tables, as_of, min_txns=min_txns, with_mart=True, date_floor=date_floor or tables.date_floor
-    ).select("merchant_id")
-    return successful_transactions(tables).join(bounded_broadcast(active), "merchant_id", "left_semi")
+    )
+    return successful_transactions(tables).join(bounded_broadcast(active, ["merchant_id"]), "merchant_id", "left_semi")
 
 
 def txn_features_asof(tables: Tables, as_of: dt.date, min_txns: int = 5) -> DataFrame:

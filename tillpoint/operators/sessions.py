@@ -95,7 +95,9 @@ def session_features_years(
 
 
 def _active_mids(tables: Tables, as_of: dt.date, min_txns: int) -> DataFrame:
-    return cohort.active_merchants(tables, as_of, min_txns=min_txns, with_mart=True).select("merchant_id", "mid")
+    """Size-checked broadcast of the active base's (merchant_id, mid)."""
+    active = cohort.active_merchants(tables, as_of, min_txns=min_txns, with_mart=True)
+    return bounded_broadcast(active, ["merchant_id", "mid"])
 
 
 def session_features_asof(
@@ -106,7 +108,7 @@ def session_features_asof(
     No source filter; NULL sessions never count but still make the merchant
     appear (with zeros) when it had any event in the look-back.
     """
-    ml = bounded_broadcast(_active_mids(tables, as_of, min_txns))
+    ml = _active_mids(tables, as_of, min_txns)
     ev = tables.app_event.filter(F.col("created_at") >= cohort.ts_floor(as_of - dt.timedelta(days=lookback)))
     ev = ev.join(ml.select("mid"), "mid", "left_semi")
     day = F.to_date("created_at").alias("day")
@@ -129,7 +131,7 @@ def session_features_asof(
 
 def session_rollup_asof(tables: Tables, as_of: dt.date, min_txns: int = 5, lookback: int = 31) -> DataFrame:
     """All events: w1 / m1 sums of per-day non-null session counts (not distinct)."""
-    ml = bounded_broadcast(_active_mids(tables, as_of, min_txns))
+    ml = _active_mids(tables, as_of, min_txns)
     ev = tables.app_event.filter(F.col("created_at") >= cohort.ts_floor(as_of - dt.timedelta(days=lookback)))
     ev = ev.join(ml.select("mid"), "mid", "left_semi")
     app1 = ev.groupBy("mid", F.to_date("created_at").alias("day")).agg(F.count("session_id").alias("sessions"))

@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tillpoint.session import checkpoint_dir
 
@@ -27,12 +28,20 @@ def stage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     base = checkpoint_dir(spark).rstrip("/")
     path = f"{base}/stage-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
+    # the row count is collected by the write job itself (no extra job)
+    obs = Observation(f"stage_{uuid.uuid4().hex[:8]}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
     out = spark.read.parquet(path)
     out._tillpoint_staged = True
+    out._tillpoint_rows = int(obs.get["rows"])
     return out
 
 
+def staged_rows(df: DataFrame) -> int | None:
+    """Row count recorded when ``df`` was staged (None if it was not)."""
+    return getattr(df, "_tillpoint_rows", None)
+
+
 def is_staged(df: DataFrame) -> bool:
     return bool(getattr(df, "_tillpoint_staged", False))
 
