@@ -29,3 +29,24 @@ def test_train_then_score(spark, tmp_path):
     assert {"prob_swipe", "loan_ltv", "mltv", "p1_recommendation", "Channel"} <= cols
     assert final.count() == 80
     assert final.filter("prob_swipe IS NULL").count() == 0
+
+
+def test_stage_if_absent_keeps_existing(spark, tmp_path):
+    from tillpoint.sources.sinks import stage_if_absent
+
+    path = str(tmp_path / "x")
+    first = stage_if_absent(spark.range(5), path)
+    second = stage_if_absent(spark.range(100), path)  # exists: not rewritten
+    assert first.count() == 5 and second.count() == 5
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver fixture not present")
+def test_extract_job(spark, tmp_path):
+    from tillpoint.plans import extract
+
+    t = Tables.from_fixture(spark, SF)
+    session_spec = dataclasses.replace(FIXTURE_SPEC, application_table="application_recent", session_years=(2001,))
+    out = extract.run(t, dataclasses.replace(FIXTURE_SPEC, session_years=(2001,)), str(tmp_path), session_spec=session_spec)
+    assert out["total_application_merchants"].count() == 91
+    assert out["trxn"].count() == 99
+    assert set(out) >= {"push_merchants_in_application", "total_push_merchants", "merchant_data_mart", "app", "vin"}
