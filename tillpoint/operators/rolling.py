@@ -165,11 +165,66 @@ def payer_and_id_window_counts(rows: DataFrame, day: Column, anchor: Column) ->
     )
 
 
+def anchored_single_pass(tx_a: DataFrame) -> DataFrame:
+    """Training mode: daily rollup AND payer / id window flags from ONE scan of
+    the anchored transactions, as a linear chain of aggregates (no branch, so
+    nothing is recomputed).
+
+    ``tx_a`` is transactions x anchors (one copy per anchor row, with
+    ``_anchor_rank``).  Level 1 is ``GROUPING SETS``:
+
+    * (merchant, day, id):   value of the id that day (rank-1 copy only)
+    * (merchant, day, user): one row per payer and day
+    * (merchant, user), (merchant, id): max window flags over every anchor copy
+
+    Level 2 groups by (merchant, day): day rows get daily value / distinct
+    txns / distinct payers; the two merchant-level sets have no day, so they
+    all land in the (merchant, NULL) row, which carries the summed flags.
+    Returns that level-2 frame (``daily_*`` columns plus one column per
+    window-distinct feature).
+    """
+    d, od = F.col("payment_date"), F.col("order_date")
+    payer_w = _names("unique_payers", PAYER_WINDOWS)
+    flag_w = {**payer_w, **_names("txn_count", TXN_WINDOWS)}
+    g = tx_a.groupingSets(
+        [
+            ["merchant_id", "payment_date", "id"],
+            ["merchant_id", "payment_date", "user"],
+            ["merchant_id", "user"],
+            ["merchant_id", "id"],
+        ],
+        "merchant_id",
+        "payment_date",
+        "id",
+        "user",
+    ).agg(
+        F.grouping_id("merchant_id", "payment_date", "id", "user").alias("_g"),
+        F.sum(F.when(F.col("_anchor_rank") == 1, F.col("amount"))).alias("_amt"),
+        *[F.max(F.when(in_window(d, od, w), 1).otherwise(0)).alias(n) for n, w in flag_w.items()],
+    )
+    # grouping_id bits (merchant, day, id, user): 1 = (m, day, id), 2 = (m, day, user),
+    # 6 = (m, user), 5 = (m, id).  NULL ids / payers never count.
+    g1, g2, g6, g5 = (F.col("_g") == v for v in (1, 2, 6, 5))
+    is_payer = g6 & F.col("user").isNotNull()
+    is_id = g5 & F.col("id").isNotNull()
+    return g.groupBy("merchant_id", "payment_date").agg(
+        F.sum(F.when(g1, F.col("_amt"))).alias("daily_tpv"),
+        F.count(F.when(g1 & F.col("id").isNotNull(), 1)).alias("daily_txns"),
+        F.count(F.when(g2 & F.col("user").isNotNull(), 1)).alias("daily_payees"),
+        *[
+            F.sum(F.when(is_payer if n in payer_w else is_id, F.col(n)).otherwise(0)).cast("bigint").alias(n)
+            for n in flag_w
+        ],
+    )
+
+
 def _names(measure: str, windows: Iterable[str]) -> dict[str, str]:
     return {feature_name(measure, w): w for w in windows}
 
 
-def _daily_features(daily_anchored: DataFrame, txn_from_daily: bool, one_row_per_day: bool, payees: bool = True) -> DataFrame:
+def _daily_features(
+    daily_anchored: DataFrame, txn_from_daily: bool, one_row_per_day: bool, payees: bool = True, extra=()
+) -> DataFrame:
     """Every day-level feature in one aggregate over (day, anchor) rows of ``daily``.
 
     * sums / maxima: plain conditional aggregates;
@@ -209,7 +264,7 @@ def _daily_features(daily_anchored: DataFrame, txn_from_daily: bool, one_row_per
             F.max(F.when(in_window(d, od, w), F.col(col)).otherwise(0)).cast(typ).alias(n)
             for n, w in _names(measure, MONTH_WINDOWS).items()
         ]
-    return daily_anchored.groupBy("merchant_id").agg(*aggs)
+    return daily_anchored.groupBy("merchant_id").agg(*aggs, *extra)
 
 
 def rolling_features(
@@ -236,10 +291,17 @@ def rolling_features(
         )
         if broadcast_anchors:
             a = bounded_broadcast(a)
-        # cut the fact rows to the cohort before any aggregation
-        tx = tx.join(a, "merchant_id", "left_semi")
-        daily_a = daily_rollup(tx).join(a, "merchant_id")
-        tx_a = tx.join(a, "merchant_id")
+        tx_a = tx.join(a, "merchant_id")  # inner: also cuts the facts to the cohort
+        if txn_count == "distinct":
+            daily_a = anchored_single_pass(tx_a).join(a, "merchant_id")
+            flag_names = list(_names("unique_payers", PAYER_WINDOWS)) + list(_names("txn_count", TXN_WINDOWS))
+            # the NULL-day row carries the flag sums; max picks it (others are 0)
+            base = _daily_features(
+                daily_a, txn_from_daily=False, one_row_per_day=False,
+                extra=[F.coalesce(F.max(n), F.lit(0)).cast("bigint").alias(n) for n in flag_names],
+            )
+            return _assemble(base, [])
+        daily_a = daily_rollup(tx.join(a, "merchant_id", "left_semi")).join(a, "merchant_id")
     else:
         lit = F.lit(as_of).cast("date").alias("order_date")
         daily_a = daily_rollup(tx).select("*", lit)
@@ -257,6 +319,12 @@ def rolling_features(
         parts = [payer_and_id_window_counts(tx_before, d, od)]
     else:
         parts = [window_distinct_counts(tx_before, F.col("user"), d, od, _names("unique_payers", PAYER_WINDOWS))]
+    return _assemble(base, parts)
+
+
+def _assemble(base: DataFrame, parts: list[DataFrame]) -> DataFrame:
+    """Left-join the window-distinct parts onto the day-level features; a
+    merchant with no qualifying rows in a part gets 0."""
     out = base
     zero_fill: list[str] = []
     for p in parts:

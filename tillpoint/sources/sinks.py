@@ -31,7 +31,7 @@ def stage(df: DataFrame) -> DataFrame:
     # the row count is collected by the write job itself (no extra job)
     obs = Observation(f"stage_{uuid.uuid4().hex[:8]}")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
-    out = spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)  # known schema: no footer-inference job
     out._tillpoint_staged = True
     out._tillpoint_rows = int(obs.get["rows"])
     return out
