@@ -486,19 +486,23 @@ def q_downsample_negatives(spark, sf):
     return ml.downsample_majority(_tm(spark, sf), "target", seed=0).select("merchant_id", "target")
 
 
+_TRAINED: dict[tuple[str, str], str] = {}  # (application id, fixture dir) -> saved model path
+
+
 def _model(spark, sf):
-    """Train once per application and fixture; later calls load the saved model."""
+    """Train once per application and fixture, save under the shared
+    checkpoint folder; later queries load the saved model."""
     import hashlib
 
-    key = hashlib.sha1(sf.encode()).hexdigest()[:10]
-    path = f"{checkpoint_dir(spark).rstrip('/')}/models/{SPEC.name}-{key}"
-    try:
-        return ml.load(path), None
-    except Exception:  # noqa: BLE001 - no saved model yet: train and save it
-        train, test = _split(spark, sf)
-        model = ml.train_gbt(train)
-        ml.save(model, path)
-        return model, test
+    key = (spark.sparkContext.applicationId, sf)
+    if key in _TRAINED:
+        return ml.load(_TRAINED[key]), None
+    path = f"{checkpoint_dir(spark).rstrip('/')}/models/{SPEC.name}-{hashlib.sha1(sf.encode()).hexdigest()[:10]}"
+    train, test = _split(spark, sf)
+    model = ml.train_gbt(train)
+    ml.save(model, path)
+    _TRAINED[key] = path
+    return model, test
 
 
 @register("train_gbt", None)
