@@ -158,9 +158,7 @@ def scoring_matrix(
     base = profile.merchant_profile_asof(tables, as_of, min_txns).select("merchant_id", *SCORING_PROFILE_COLS)
     m = base
     for part in (
-        rolling.txn_features_asof(tables, as_of, min_txns),
-        rolling.payer_features_asof(tables, as_of, min_txns),
-        rolling.max_daily_payers_asof(tables, as_of, min_txns),
+        rolling.activity_features_asof(tables, as_of, min_txns),  # one fact scan for all 35
         sessions.session_features_asof(tables, as_of, products, min_txns),
     ):
         m = m.join(part, "merchant_id", "left")

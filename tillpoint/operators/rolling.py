@@ -374,6 +374,48 @@ def txn_features_asof(tables: Tables, as_of: dt.date, min_txns: int = 5) -> Data
     return base.select("merchant_id", *cols)
 
 
+def activity_features_asof(tables: Tables, as_of: dt.date, min_txns: int = 5) -> DataFrame:
+    """All 35 as-of features (transaction, payer and daily-peak families) from
+    ONE scan of the active base's transactions.
+
+    ``GROUPING SETS ((merchant, day, id), (merchant, day, payer), (merchant,
+    payer))``: the day-level sets give the daily rollup (value, distinct ids,
+    distinct payers per day) and the merchant-level set carries the payer
+    window flags; a (merchant, day) aggregate and a per-merchant aggregate
+    finish it.  Same values as txn_ + payer_ + max_daily_payers_features_asof.
+    """
+    tx = _active_tx(tables, as_of, min_txns)
+    od = F.lit(as_of).cast("date")
+    d = F.col("payment_date")
+    payer_w = _names("unique_payers", PAYER_WINDOWS)
+    g = tx.groupingSets(
+        [["merchant_id", "payment_date", "id"], ["merchant_id", "payment_date", "user"], ["merchant_id", "user"]],
+        "merchant_id",
+        "payment_date",
+        "id",
+        "user",
+    ).agg(
+        F.grouping_id("merchant_id", "payment_date", "id", "user").alias("_g"),
+        F.sum("amount").alias("_amt"),
+        *[F.max(F.when(in_window(d, od, w), 1).otherwise(0)).alias(n) for n, w in payer_w.items()],
+    )
+    # grouping_id bits (merchant, day, id, user): 1 = (m, day, id), 2 = (m, day, user), 6 = (m, user)
+    g1, g2, g6 = (F.col("_g") == v for v in (1, 2, 6))
+    per_day = g.groupBy("merchant_id", "payment_date").agg(
+        F.sum(F.when(g1, F.col("_amt"))).alias("daily_tpv"),
+        F.count(F.when(g1 & F.col("id").isNotNull(), 1)).alias("daily_txns"),
+        F.count(F.when(g2 & F.col("user").isNotNull(), 1)).alias("daily_payees"),
+        *[F.sum(F.when(g6 & F.col("user").isNotNull(), F.col(n)).otherwise(0)).cast("bigint").alias(n) for n in payer_w],
+    )
+    base = _daily_features(
+        per_day.select("*", od.alias("order_date")),
+        txn_from_daily=True,
+        one_row_per_day=True,  # the payer row has no day and never counts as a day
+        extra=[F.coalesce(F.max(n), F.lit(0)).cast("bigint").alias(n) for n in payer_w],
+    )
+    return _assemble(base, [])
+
+
 def payer_features_asof(tables: Tables, as_of: dt.date, min_txns: int = 5) -> DataFrame:
     """Scoring: distinct payers per window (true window distinct)."""
     tx = _active_tx(tables, as_of, min_txns)
