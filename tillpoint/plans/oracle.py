@@ -959,3 +959,18 @@ def column_modes(sm_sql: str, cols) -> str:
         for c in cols
     ]
     return compose([("sm", sm_sql)], "\nUNION ALL\n".join(parts))
+
+
+def activity_features_asof(as_of: dt.date, min_txns: int) -> str:
+    """The three as-of families joined per merchant."""
+    payers = [feature_name("unique_payers", w) for w in PAYER_WINDOWS]
+    maxpay = [feature_name("max_daily_payees", w) for w in MONTH_WINDOWS]
+    return compose(
+        [
+            ("t", txn_features_asof(as_of, min_txns)),
+            ("p", payer_features_asof(as_of, min_txns)),
+            ("p2", max_daily_payers_asof(as_of, min_txns)),
+        ],
+        "SELECT t.*, " + ", ".join("p." + c for c in payers) + ", " + ", ".join("p2." + c for c in maxpay)
+        + " FROM t JOIN p ON t.merchant_id = p.merchant_id JOIN p2 ON t.merchant_id = p2.merchant_id",
+    )

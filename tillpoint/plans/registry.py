@@ -128,6 +128,11 @@ def q_txn_features_asof(spark, sf):
     return rolling.txn_features_asof(_t(spark, sf), AS_OF, MIN_TXNS)
 
 
+@register("activity_features_asof", lambda: oracle.activity_features_asof(AS_OF, MIN_TXNS))
+def q_activity_features_asof(spark, sf):
+    return rolling.activity_features_asof(_t(spark, sf), AS_OF, MIN_TXNS)
+
+
 @register("payer_features_asof", lambda: oracle.payer_features_asof(AS_OF, MIN_TXNS))
 def q_payer_features_asof(spark, sf):
     return rolling.payer_features_asof(_t(spark, sf), AS_OF, MIN_TXNS)
