@@ -37,7 +37,7 @@ TABLES = math.ceil(math.log(1 - RECALL) / math.log(1 - AGREE**SAMPLED) / REPETIT
 MAX_SPAN = 6
 BLOCK_BYTES = 4 << 20
 _RNG = np.random.default_rng(733)
-_WALK = _RNG.integers(0, 2, (REPETITIONS, STEPS, 256), dtype=np.int64)
+_WALK = _RNG.integers(0, 2, (REPETITIONS, STEPS, 256), dtype=np.int32)
 _SAMPLES = np.stack([np.sort(_RNG.choice(STEPS, SAMPLED, replace=False)) for _ in range(REPETITIONS * TABLES)])
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -90,16 +90,16 @@ def windows(data: np.ndarray, offsets: np.ndarray, span: int) -> tuple[np.ndarra
 
 def walk_keys(data: np.ndarray, ends: np.ndarray, at: np.ndarray) -> np.ndarray:
     """[REPETITIONS * TABLES, windows] LSH keys; ``ends`` is where each window's row ends."""
-    padded = np.concatenate([data, np.zeros(1, np.uint8)])
-    nothing = len(data)
+    last = (ends - 1).astype(np.int32)  # at its row's end a walk stays on the last byte
     out = np.empty((len(_SAMPLES), len(at)), np.uint64)
     steps = np.empty((STEPS, len(at)), np.uint8)
     for r in range(REPETITIONS):
-        p = at.copy()
+        p = at.astype(np.int32)
         for j in range(STEPS):
-            c = padded[np.where(p < ends, p, nothing)]
+            c = data[p]
             steps[j] = c
             p += _WALK[r, j][c]
+            np.minimum(p, last, out=p)
         for t in range(r * TABLES, (r + 1) * TABLES):
             acc = np.full(len(at), t + 1, np.uint64)
             for j in _SAMPLES[t]:
@@ -149,6 +149,9 @@ class Items:
         for k in range(len(rows)):  # each item alone: its windows don't depend on its neighbours
             own = np.array([0, offsets[k + 1] - offsets[k]])
             a, _ = windows(data[offsets[k] : offsets[k + 1]], own, self.span)
+            # a window that the item's end cuts short says little; an item too short keeps its first
+            whole = a[own[1] - a >= STEPS // 2 + 8]
+            a = whole if len(whole) else a[:1]
             at.append(a + offsets[k])
             row.append(np.full(len(a), k))
         at, row = np.concatenate(at), np.concatenate(row)
@@ -159,8 +162,8 @@ class Items:
         self.order = np.argsort(flat, kind="stable")
         self.keys = flat[self.order]
         self.window = np.tile(np.arange(len(at)), len(_SAMPLES))[self.order]
-        self.bitmap = np.zeros(1 << 22, bool)
-        self.bitmap[(self.keys >> np.uint64(42)).astype(np.int64)] = True
+        self.bitmap = np.zeros(1 << 20, bool)
+        self.bitmap[(self.keys >> np.uint64(44)).astype(np.int64)] = True
         self.masks: list[dict[int, int] | None] = [None] * len(rows)
 
     def distance(self, k: int, region: bytes) -> int:
@@ -182,8 +185,10 @@ class Items:
         keys = walk_keys(data, offsets[row + 1], at)
         found = set()
         for t in range(len(keys)):
-            for w in np.flatnonzero(self.bitmap[(keys[t] >> np.uint64(42)).astype(np.int64)]).tolist():
-                lo, hi = np.searchsorted(self.keys, keys[t][w], "left"), np.searchsorted(self.keys, keys[t][w], "right")
+            hit = np.flatnonzero(self.bitmap[(keys[t] >> np.uint64(44)).astype(np.int64)])
+            first, past = np.searchsorted(self.keys, keys[t][hit], "left"), np.searchsorted(self.keys, keys[t][hit], "right")
+            some = past > first
+            for w, lo, hi in zip(hit[some].tolist(), first[some].tolist(), past[some].tolist()):
                 for x in self.window[lo:hi].tolist():
                     found.add((int(row[w]), int(self.row[x]), int(at[w] - self.off[x])))
         best: dict[tuple[int, int], int] = {}
