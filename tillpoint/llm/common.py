@@ -130,7 +130,7 @@ def span_hashes(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
     masks = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [0xFFFFFFFFFFFFFFFF], dtype=np.uint64)
     while len(live):
         got = np.ascontiguousarray(words[at]).view(np.uint64).ravel() & masks[np.minimum(left, 8)]
-        h[live] = mix((h[live] ^ got) * _MULT + got)
+        h[live] = mix(h[live] ^ got) * _MULT  # one to one in the eight bytes
         more = left > 8
         live, at, left = live[more], at[more] + 8, left[more] - 8
     return mix(h)

@@ -6,11 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillpoint.llm import chat, decontaminate, linededup, neardup, output, packing, quality, sharding
+from tillpoint.llm import chat, decontaminate, linededup, lm, neardup, output, packing, quality, repeats, sharding
 from tillpoint.llm.common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # at the repository's top, beside __spark_entry__
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     "op1_virtual_slot_shards": lambda s, d: sharding.sharded_documents(documents(s, d)),
     "op2_line_chunk_dedup": lambda s, d: linededup.deduplicated_lines(documents(s, d)),
@@ -18,8 +25,11 @@ QUERIES: dict[str, Query] = {
     "op4_chat_round_trip": lambda s, d: chat.conversation_digests(chat.with_hard_case(table(s, d, "conversations"))),
     "op5_minmax_near_dedup": lambda s, d: neardup.components_of_documents(documents(s, d)),
     "op6_token_blocks": lambda s, d: output.token_files(documents(s, d)),
+    "op7_suffix_repeats": lambda s, d: repeats.repeats_of_documents(documents(s, d)),
     "op8_lexical_packing": lambda s, d: packing.packed(documents(s, d)),
     "op9_decision_list": lambda s, d: quality.quality_verdicts(documents(s, d), table(s, d, "labels")),
+    "op10_context_mixing": lambda s, d: lm.score(documents(s, d)),
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {
