@@ -2,7 +2,7 @@
 
 The template writes each turn as ``### <role>:\\n<text>\\n</turn>\\n``.  A deterministic parser
 (split at the end mark, header up to the first line break, one backslash taken from each
-escaped control string) reads it back.  Each turn is first rendered as it is and
+escaped control string, none may stand bare in a text) reads it back.  Each turn is first rendered as it is and
 reparsed; where the result differs from the source, its control strings get one
 backslash and it is reparsed again; a turn that still differs raises an error.
 
@@ -22,6 +22,7 @@ from pyspark.sql import window as W
 END = "\n</turn>\n"
 #: Control strings of the template: fixed values.
 CONTROL_RE = r"(\\*(?:### |</turn>))"
+BARE_RE = r"(?<!\\)(### |</turn>)"
 ESCAPED_RE = r"\\(\\*(?:### |</turn>))"
 LOSS_ROLE = "assistant"
 
@@ -63,8 +64,11 @@ def pieces(formatted: Column) -> Column:
 
 def reads_as(rendered: Column, role: Column, text: Column) -> Column:
     p = F.split(rendered, END, -1)
-    one = parse_turn(F.get(p, F.lit(0)))
-    return (F.size(p) == 2) & (one["role"] == role) & (one["text"] == text)
+    first = F.get(p, F.lit(0))
+    one = parse_turn(first)
+    body = F.substring(first, F.instr(first, "\n") + F.lit(1), F.length(rendered))
+    # a control string without a backslash inside a text is an error of the grammar
+    return (F.size(p) == 2) & (one["role"] == role) & (one["text"] == text) & ~body.rlike(BARE_RE)
 
 
 def format_conversations(rows: DataFrame) -> DataFrame:
