@@ -36,6 +36,43 @@ def test_split_and_downsample_exact_counts(spark):
     by = {r.target: r["count"] for r in test.groupBy("target").count().collect()}
     assert by == {1: 250, 0: 750}
     assert train.count() + test.count() == 4000
-    ds = ml.downsample_majority(df, "target", seed=3)
+    ds = ml.downsample_negatives(df, "target", seed=3)
     by = {r.target: r["count"] for r in ds.groupBy("target").count().collect()}
     assert by == {1: 1000, 0: 1000}
+
+
+def test_missing_scores_count_as_lowest(spark):
+    from tillpoint.operators import evaluate
+
+    df = spark.createDataFrame([(1, 0.9), (0, 0.4), (0, None)], "target int, prob double")
+    curve = evaluate.roc_curve(df).orderBy("fpr").collect()
+    assert [(r["threshold"], r["tpr"], r["fpr"]) for r in curve] == [(0.9, 1.0, 0.0), (0.4, 1.0, 0.5), (None, 1.0, 1.0)]
+    assert evaluate.accuracy(df, 0.5).first()["accuracy"] == 1.0
+    cells = {(r["target"], r["predicted"]): r["n"] for r in evaluate.confusion_matrix(df, 0.5).collect()}
+    assert cells == {(1, 1): 1, (1, 0): 0, (0, 0): 2, (0, 1): 0}
+
+
+def test_one_class_has_no_rates(spark):
+    from tillpoint.operators import evaluate
+
+    df = spark.createDataFrame([(1, 0.9), (1, 0.4)], "target int, prob double")
+    assert evaluate.roc_auc(df).first()["auc"] is None
+    assert {r["fpr"] for r in evaluate.roc_curve(df).collect()} == {None}
+
+
+def test_histogram_of_a_constant(spark):
+    from tillpoint.operators import score
+
+    df = spark.createDataFrame([(1.0,)] * 3, "x double")
+    got = score.histogram(df, "x", 10).orderBy("bin").collect()
+    assert [r["n"] for r in got] == [0] * 5 + [3] + [0] * 4 and (got[0]["lo"], got[-1]["hi"]) == (0.5, 1.5)
+
+
+def test_positives_are_never_trimmed(spark):
+    from tillpoint.operators import ml
+
+    df = spark.createDataFrame([(i, int(i > 1)) for i in range(12)], "merchant_id long, target int")
+    assert ml.downsample_negatives(df).count() == 12
+    df = spark.createDataFrame([(i, int(i < 3)) for i in range(12)], "merchant_id long, target int")
+    got = ml.downsample_negatives(df).collect()
+    assert sum(r["target"] for r in got) == 3 and len(got) == 6

@@ -35,8 +35,8 @@ def test_stage_if_absent_keeps_existing(spark, tmp_path):
     from tillpoint.sources.sinks import stage_if_absent
 
     path = str(tmp_path / "x")
-    first = stage_if_absent(spark.range(5), path)
-    second = stage_if_absent(spark.range(100), path)  # exists: not rewritten
+    first = stage_if_absent(spark, lambda: spark.range(5), path)
+    second = stage_if_absent(spark, lambda: 1 / 0, path)  # committed: not built again
     assert first.count() == 5 and second.count() == 5
 
 
@@ -50,3 +50,21 @@ def test_extract_job(spark, tmp_path):
     assert out["total_application_merchants"].count() == 91
     assert out["trxn"].count() == 99
     assert set(out) >= {"push_merchants_in_application", "total_push_merchants", "merchant_data_mart", "app", "vin"}
+
+
+def test_unfinished_output_is_written_again(spark, tmp_path):
+    import os
+
+    from tillpoint.sources.sinks import stage_if_absent
+
+    path = str(tmp_path / "t")
+    spark.range(2).write.parquet(path)
+    os.remove(f"{path}/_SUCCESS")
+    assert stage_if_absent(spark, lambda: spark.range(100), path).count() == 100
+
+
+def test_matrix_scans_each_fact_once(spark):
+    from tillpoint.plans import registry
+
+    plan = registry.REGISTRY["training_matrix"].fn(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lineitem") == 0 and plan.count("Relation") >= 1  # both sides read the staged merchant frame

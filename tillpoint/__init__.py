@@ -10,7 +10,6 @@ operators  relational building blocks: cohorts and anchors, rolling-window
            features, sessions, profiles, app features, feature assembly,
            Spark ML training / scoring, evaluation tables, LTV and ranking, EDA
 plans      end-to-end training / scoring plans and the query registry
-streaming  (intentionally empty of operators, see its docstring)
 """
 
 from tillpoint.session import get_session, checkpoint_dir  # noqa: F401

@@ -5,6 +5,9 @@ scores in descending order, which is done without a single-partition window:
 distinct scores are cut into ~1024 quantile buckets (``QuantileDiscretizer``),
 the bucket totals (≤ 1024 rows) give each bucket's offset, and the running
 sum inside a bucket is a window partitioned by bucket.
+
+A row without a score counts as scored below every threshold: predicted
+negative in the tables, the last point of the ROC curve.  Rates over an empty class are NULL.
 """
 
 from __future__ import annotations
@@ -46,7 +49,7 @@ def threshold_sweep(scored: DataFrame, thresholds=SWEEP_THRESHOLDS, label: str =
 
 def confusion_matrix(scored: DataFrame, threshold: float, label: str = "target", prob: str = "prob") -> DataFrame:
     """threshold, target, predicted, n, rate (n over the target's row total)."""
-    pred = (F.col(prob) > F.lit(float(threshold))).cast("int")
+    pred = F.coalesce(F.col(prob) > F.lit(float(threshold)), F.lit(False)).cast("int")
     per = scored.groupBy(F.col(label).cast("int").alias("target")).agg(
         F.sum(F.when(pred == 0, 1).otherwise(0)).cast("bigint").alias("n0"),
         F.sum(F.when(pred == 1, 1).otherwise(0)).cast("bigint").alias("n1"),
@@ -66,7 +69,7 @@ def confusion_matrix(scored: DataFrame, threshold: float, label: str = "target",
 
 
 def accuracy(scored: DataFrame, threshold: float = 0.85, label: str = "target", prob: str = "prob") -> DataFrame:
-    hit = ((F.col(prob) > F.lit(float(threshold))).cast("int") == F.col(label)).cast("int")
+    hit = (F.coalesce(F.col(prob) > F.lit(float(threshold)), F.lit(False)).cast("int") == F.col(label)).cast("int")
     return scored.agg(F.lit(float(threshold)).alias("threshold"), F.avg(hit).alias("accuracy"))
 
 
@@ -78,7 +81,8 @@ def score_cumulative(scored: DataFrame, label: str = "target", prob: str = "prob
         F.sum(F.when(y == 1, 0).otherwise(1)).cast("bigint").alias("neg"),
     )
     qd = QuantileDiscretizer(numBuckets=buckets, inputCol="score", outputCol="bucket", relativeError=0.001)
-    per = qd.fit(per).transform(per)
+    per = qd.setHandleInvalid("keep").fit(per.filter(F.col("score").isNotNull())).transform(per)
+    per = per.withColumn("bucket", F.when(F.col("score").isNull(), F.lit(-1.0)).otherwise(F.col("bucket")))
     totals = per.groupBy("bucket").agg(F.sum("pos").alias("bp"), F.sum("neg").alias("bn"))
     higher = Window.orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -86,7 +90,7 @@ def score_cumulative(scored: DataFrame, label: str = "target", prob: str = "prob
         F.coalesce(F.sum("bp").over(higher), F.lit(0)).alias("off_pos"),
         F.coalesce(F.sum("bn").over(higher), F.lit(0)).alias("off_neg"),
     )
-    inside = Window.partitionBy("bucket").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("bucket").orderBy(F.col("score").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
     return per.join(F.broadcast(offsets), "bucket").select(
         "score",
         "pos",
@@ -112,8 +116,8 @@ def roc_curve(scored: DataFrame, label: str = "target", prob: str = "prob") -> D
     cum = score_cumulative(scored, label, prob)
     return cum.select(
         F.col("score").alias("threshold"),
-        (F.col("cum_pos") / tot["P"]).alias("tpr"),
-        (F.col("cum_neg") / tot["N"]).alias("fpr"),
+        F.try_divide(F.col("cum_pos"), tot["P"]).alias("tpr"),
+        F.try_divide(F.col("cum_neg"), tot["N"]).alias("fpr"),
     )
 
 
@@ -122,4 +126,4 @@ def roc_auc(scored: DataFrame, label: str = "target", prob: str = "prob") -> Dat
     tot = _class_totals(scored, label)
     cum = score_cumulative(scored, label, prob)
     num = cum.agg(F.sum(F.col("neg") * (2 * F.col("cum_pos") - F.col("pos"))).cast("bigint").alias("num"))
-    return num.select((F.col("num") / (F.lit(2.0) * tot["P"] * tot["N"])).alias("auc"))
+    return num.select(F.try_divide(F.col("num"), F.lit(2.0) * tot["P"] * tot["N"]).alias("auc"))

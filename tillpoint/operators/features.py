@@ -2,8 +2,8 @@
 
 Both are chains of left joins of merchant-level frames onto a merchant list
 (each right side is merchant-unique, so no fan-out), followed by derived
-columns.  Per-geohash statistics are a grouped aggregate joined back with a
-broadcast: a geohash-4 table has at most 32^4 rows, a proven bound.
+columns.  The merchant frame is staged once before the steps that read it twice
+(top manufacturers, per-geohash statistics), so each fact table is scanned once.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from tillpoint.config import (
     ProductSpec,
 )
 from tillpoint.operators import cohort, profile, rolling, sessions
+from tillpoint.sources.sinks import stage
 from tillpoint.sources.tables import Tables
 
 TRAIN_PROFILE_COLS = (
@@ -73,7 +74,7 @@ def with_location(df: DataFrame, geo: str = "geohash4", tpv: str = "total_tpv")
             F.col("_tpv").alias("loc_hash_tpv"),
         )
     )
-    return df.join(F.broadcast(stats), geo, "left")
+    return df.join(stats, geo, "left")
 
 
 def drop_null_categoricals(df: DataFrame, cols=CATEGORICAL_FEATURES) -> DataFrame:
@@ -114,6 +115,7 @@ def training_matrix(
         sess_cols = ["w1_sessions", "m1_sessions"]
     m = with_trend(m)
     m = m.join(_one_vintage(tables, spec), "merchant_id", "left")
+    m = stage(m)  # the next two steps read their input twice
     m = profile.manufacturer_topk(m)
     m = with_location(m)
     m = m.filter(F.col("txn_count_90_days").isNotNull())
@@ -165,7 +167,7 @@ def scoring_matrix(
     m = with_trend(m)
     m = m.filter(F.col("txn_count_90_days").isNotNull())
     m = m.join(tables.device_info.select("merchant_id", "manufacturer"), "merchant_id", "left")
-    m = profile.manufacturer_fixed(m)
+    m = stage(profile.manufacturer_fixed(m))  # the next step reads its input twice
     m = with_location(m)
     m = with_ratios(m)
     if impute_mode:

@@ -8,6 +8,7 @@ at training time and reused when scoring.
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -34,22 +35,28 @@ MODEL_NUMERIC = (
 MODEL_FEATURES = MODEL_NUMERIC + list(CATEGORICAL_FEATURES)
 
 
+#: Categoricals that enter as their frequency rank (a numeric column); all others are nominal.
+RANKED_CATEGORICALS = ("geohash4",)
+
+
 def _hash(seed: int):
-    return F.xxhash64(F.col("merchant_id"), F.lit(seed))
+    """A non-negative 60-bit hash of the merchant and seed that any SQL engine with md5 can recompute."""
+    text = F.concat(F.col("merchant_id").cast("string"), F.lit(f":{seed}"))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
 def kth_smallest(df: DataFrame, h, k: int):
     """Exact k-th smallest value of the 64-bit hash column ``h`` in ``df``,
     without funnelling rows through one task.
 
-    Pass 1 counts rows per bucket of the top 16 hash bits (at most 65,536
+    Pass 1 counts rows per bucket of the top 16 of its 60 bits (at most 65,536
     bucket counts, bounded); the bucket holding the k-th value is found from
     their running sum; pass 2 sorts only that bucket (about n / 65,536 rows for
     a uniform hash) to pick the exact value.
     """
     if k <= 0:
         return None
-    b = F.shiftright(h, 48)  # signed top 16 bits keep the hash order
+    b = F.shiftright(h, 44)  # the top 16 of 60 bits keep the hash order
     counts = sorted((r[0], r[1]) for r in df.groupBy(b.alias("_b")).count().collect())
     seen = 0
     for bucket, n in counts:
@@ -62,14 +69,14 @@ def kth_smallest(df: DataFrame, h, k: int):
 
 
 def stratified_split(df: DataFrame, label: str = "target", test_frac: float = 0.25, seed: int = 0):
-    """Seeded, exact per-class split: in each class the ``round(test_frac*n)``
+    """Seeded, exact per-class split: in each class the ``floor(test_frac*n + 0.5)``
     rows with the smallest seeded hash go to the test side (class threshold
     from :func:`kth_smallest`).  Returns (train, test)."""
     h = _hash(seed)
     counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}  # one row per class
     test_cond = None
     for cls, n in counts.items():
-        k = int(round(test_frac * n))
+        k = math.floor(test_frac * n + 0.5)
         thr = kth_smallest(df.filter(F.col(label) == cls), h, k)
         if thr is None:
             continue
@@ -81,17 +88,15 @@ def stratified_split(df: DataFrame, label: str = "target", test_frac: float = 0.
     return flagged.filter(~F.col("_is_test")).drop("_is_test"), flagged.filter(F.col("_is_test")).drop("_is_test")
 
 
-def downsample_majority(df: DataFrame, label: str = "target", seed: int = 0) -> DataFrame:
-    """Keep every minority-class row and exactly as many majority rows (the
-    smallest seeded hashes) as the minority has."""
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
+def downsample_negatives(df: DataFrame, label: str = "target", seed: int = 0) -> DataFrame:
+    """Keep every positive row, and of the negatives as many as the smaller class has (those
+    with the smallest seeded hashes).  With one class only, nothing is dropped."""
+    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}  # one row per class
     if len(counts) < 2:
         return df
-    minority = min(counts, key=lambda c: (counts[c], str(c)))
-    majority = max(counts, key=lambda c: (counts[c], str(c)))
     h = _hash(seed)
-    thr = kth_smallest(df.filter(F.col(label) == majority), h, counts[minority])
-    return df.filter((F.col(label) != majority) | (h <= F.lit(thr)))
+    thr = kth_smallest(df.filter(F.col(label) == 0), h, min(counts.values()))
+    return df.filter((F.col(label) != 0) | (h <= F.lit(thr)))
 
 
 def _missing_handler(numeric: list[str]) -> SQLTransformer:
@@ -114,7 +119,7 @@ def train_gbt(
     feature_subset: str = GBT_PARAMS["feature_subset"],
     subsampling_rate: float = GBT_PARAMS["subsampling_rate"],
     seed: int = 0,
-    max_categories: int = 128,
+    ranked: tuple[str, ...] = RANKED_CATEGORICALS,
 ) -> PipelineModel:
     """Fit missing-value handling, category indexers (unseen -> extra code),
     the assembler and a boosted-tree classifier as one PipelineModel.
@@ -130,14 +135,10 @@ def train_gbt(
             for c in categorical
         ]
     ).fit(train)
-    # A nominal feature needs maxBins >= its categories, and Spark caps maxBins
-    # at the number of training rows: wider categoricals (e.g. geohash4) enter
-    # as their frequency rank (a numeric column) instead.
-    n_rows = train.count()
-    limit = max(2, min(max_categories, n_rows - 1))
-    nominal, ranked = [], []
-    for c, m in zip(categorical, prep.stages[1:]):
-        (nominal if len(m.labelsArray[0]) + 1 <= limit else ranked).append(c)
+    # the encoding of a column is declared, whatever the data; Spark raises if a nominal
+    # column has more categories than training rows
+    ranked = [c for c in categorical if c in ranked]
+    nominal = [c for c in categorical if c not in ranked]
     stages = list(prep.stages)
     if ranked:
         stages.append(
@@ -172,12 +173,13 @@ def score(model: PipelineModel, df: DataFrame, prob_col: str = "prob") -> DataFr
 
 
 def round_losses(model: PipelineModel, test: DataFrame, label: str = "target") -> DataFrame:
-    """Hold-out log-loss after each boosting round (one row per round)."""
+    """Hold-out log-loss after each boosting round (one row per round).  Spark's boosted-tree
+    loss is twice the binomial log-loss."""
     gbt = model.stages[-1]
     prepared = PipelineModel(stages=model.stages[:-1]).transform(test.withColumn(label, F.col(label).cast("double")))
     losses = gbt.evaluateEachIteration(prepared.select(F.col(label), "features"))
     spark = test.sparkSession
-    return spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(losses)], "round int, logloss double")
+    return spark.createDataFrame([(i + 1, float(v) / 2.0) for i, v in enumerate(losses)], "round int, logloss double")
 
 
 def feature_importance(model: PipelineModel, top: int = 20) -> DataFrame:

@@ -60,9 +60,11 @@ def max_rows(df: DataFrame, col: str) -> DataFrame:
 
 
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
-    """Equal-width bins over [min, max], last bin closed; every bin reported."""
+    """Equal-width bins over [min, max], last bin closed; every bin reported.  A constant
+    column gets the range of one around its value."""
     stats = df.select(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi")).alias("s")).scalar()
-    lo, hi = stats["lo"], stats["hi"]
+    half = F.when(stats["lo"] == stats["hi"], F.lit(0.5)).otherwise(F.lit(0.0))
+    lo, hi = stats["lo"] - half, stats["hi"] + half
     width = (hi - lo) / F.lit(float(bins))
     idx = F.least(F.floor((F.col(col) - lo) / (hi - lo) * F.lit(float(bins))), F.lit(bins - 1)).cast("int") + 1
     row = df.filter(F.col(col).isNotNull()).agg(

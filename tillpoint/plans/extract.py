@@ -2,7 +2,7 @@
 
 The source re-runs each query per key chunk and skips files that exist; here
 each extract is one Spark job over the whole key space, written with mode
-``ignore`` so a re-run keeps what is already stored (``stage_if_absent``).
+``stage_if_absent``: a re-run builds only what has no committed output.
 """
 
 from __future__ import annotations
@@ -34,4 +34,4 @@ def run(
     }
     if spec.has_vintage:
         extracts["vin"] = lambda: profile.vintage(tables, spec)
-    return {name: stage_if_absent(build(), f"{base}/{name}") for name, build in extracts.items()}
+    return {name: stage_if_absent(tables.spark, build, f"{base}/{name}") for name, build in extracts.items()}

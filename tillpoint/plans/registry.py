@@ -8,6 +8,7 @@ oracle are checked by row count only (model training / scoring, sampling).
 from __future__ import annotations
 
 from collections.abc import Callable
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -357,7 +358,7 @@ def q_drop_null_categoricals(spark, sf):
 
 @register("mode_impute", lambda: oracle.column_modes(_score_sql(), CATEGORICAL_FEATURES))
 def q_mode_impute(spark, sf):
-    return features.column_modes(_score_matrix(spark, sf))
+    return features.column_modes(features.mode_impute(_score_matrix(spark, sf)))
 
 
 # --- evaluation (on the scored fixture: target + probability per merchant) ------
@@ -480,42 +481,38 @@ def _split(spark, sf):
     return ml.stratified_split(_tm(spark, sf), "target", 0.25, seed=0)
 
 
-@register("stratified_split", None)
+def _ranked_sql(rule: str) -> str:
+    """Matrix rows whose seeded-hash rank in their class meets ``rule``."""
+    return f"""
+WITH tm AS (SELECT merchant_id, target FROM ({_train_sql()}) t0),
+r AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY CAST('0x' || substr(md5(CAST(merchant_id AS VARCHAR) || ':0'), 1, 15) AS BIGINT)) AS k,
+      count(*) OVER (PARTITION BY target) AS n FROM tm),
+s AS (SELECT *, min(n) OVER () AS least, max(target) OVER () <> min(target) OVER () AS two_classes FROM r)
+SELECT merchant_id, target FROM s WHERE {rule}"""
+
+
+@register("stratified_split", lambda: _ranked_sql("k <= CAST(floor(0.25 * n + 0.5) AS BIGINT)"))
 def q_stratified_split(spark, sf):
     train, test = _split(spark, sf)
     return test.select("merchant_id", "target")
 
 
-@register("downsample_negatives", None)
+@register("downsample_negatives", lambda: _ranked_sql("target <> 0 OR NOT two_classes OR k <= least"))
 def q_downsample_negatives(spark, sf):
-    return ml.downsample_majority(_tm(spark, sf), "target", seed=0).select("merchant_id", "target")
-
-
-_TRAINED: dict[tuple[str, str], str] = {}  # (application id, fixture dir) -> saved model path
+    return ml.downsample_negatives(_tm(spark, sf), "target", seed=0).select("merchant_id", "target")
 
 
 def _model(spark, sf):
-    """Train once per application and fixture, save under the shared
-    checkpoint folder; later queries load the saved model."""
-    import hashlib
-
-    key = (spark.sparkContext.applicationId, sf)
-    if key in _TRAINED:
-        return ml.load(_TRAINED[key]), None
-    path = f"{checkpoint_dir(spark).rstrip('/')}/models/{SPEC.name}-{hashlib.sha1(sf.encode()).hexdigest()[:10]}"
+    """Train from the tables, save, and load again: (model, hold-out rows)."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/models/{SPEC.name}-{uuid.uuid4().hex}"
     train, test = _split(spark, sf)
-    model = ml.train_gbt(train)
-    ml.save(model, path)
-    _TRAINED[key] = path
-    return model, test
+    ml.save(ml.train_gbt(train), path)
+    return ml.load(path), test
 
 
 @register("train_gbt", None)
 def q_train_gbt(spark, sf):
-    model, test = _model(spark, sf)
-    if test is None:
-        test = _split(spark, sf)[1]
-    return ml.round_losses(model, test)
+    return ml.round_losses(*_model(spark, sf))
 
 
 @register("score_merchants", None)

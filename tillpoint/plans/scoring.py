@@ -25,13 +25,9 @@ def score_products(matrix: DataFrame, model_paths: dict[str, str]) -> DataFrame:
     out = matrix
     for product, path in model_paths.items():
         model = ml.load(path)
-        x = matrix.withColumnRenamed(f"w1_{product}_sessions", "w1_sessions").withColumnRenamed(
-            f"m1_{product}_sessions", "m1_sessions"
-        )
-        probs = ml.score(model, x.select("merchant_id", *ml.MODEL_FEATURES), f"prob_{product}").select(
-            "merchant_id", f"prob_{product}"
-        )
-        out = out.join(probs, "merchant_id", "left")
+        # one frame, model after model: only the session columns change names
+        x = out.withColumns({"w1_sessions": F.col(f"w1_{product}_sessions"), "m1_sessions": F.col(f"m1_{product}_sessions")})
+        out = ml.score(model, x, f"prob_{product}").drop("w1_sessions", "m1_sessions")
     return out
 
 

@@ -31,7 +31,7 @@ def run(
     matrix = stage(features.training_matrix(tables, spec, session_spec, years, anchor_mode))
     if downsample is None:
         downsample = spec.name == "fp"  # the source balances classes for this product only
-    data = ml.downsample_majority(matrix, "target", seed) if downsample else matrix
+    data = ml.downsample_negatives(matrix, "target", seed) if downsample else matrix
     train, test = ml.stratified_split(data, "target", 0.25, seed)
     model = ml.train_gbt(train, seed=seed, **(gbt_kwargs or {}))
     ml.save(model, f"{out_dir}/model")

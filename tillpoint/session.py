@@ -51,8 +51,8 @@ def get_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins.  Only when nothing is configured (unit
-    tests, a laptop) a fresh local folder is created and registered.
+    The cluster's setting always wins.  Only in local mode (unit tests, a laptop) and when
+    nothing is configured, a fresh local folder is created and registered.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -62,6 +62,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not conf_dir:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="tillpoint-ckpt-")
         os.makedirs(conf_dir, exist_ok=True)
     sc.setCheckpointDir(conf_dir)

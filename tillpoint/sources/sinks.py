@@ -4,13 +4,14 @@
   (reliable checkpoint in the shared folder named by ``spark.checkpoint.dir``;
   never a machine-local folder, never a local checkpoint).
 * ``stage_if_absent``: materialise-if-absent, the extract step of the source
-  pipeline (write with mode ``ignore``, then read back).
+  pipeline (build only if no committed output is there, then read back).
 * ``write_table`` / ``export_csv``: replace a table / write a headed CSV export.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -46,10 +47,19 @@ def is_staged(df: DataFrame) -> bool:
     return bool(getattr(df, "_tillpoint_staged", False))
 
 
-def stage_if_absent(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` to parquet at ``path`` unless it already exists; return the stored rows."""
-    df.write.mode("ignore").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def is_committed(spark: SparkSession, path: str) -> bool:
+    """True if ``path`` holds the marker that Spark writes when a job has committed."""
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+
+
+def stage_if_absent(spark: SparkSession, build: Callable[[], DataFrame], path: str) -> DataFrame:
+    """The committed rows at ``path``; only if there are none, ``build`` them first.  An output
+    without its commit marker is unfinished and is written anew."""
+    if not is_committed(spark, path):
+        build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def write_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
