@@ -5,7 +5,8 @@ of the smallest hash among its 64-byte grams (leftmost on ties), so equal string
 the same anchor gram at the same offset and always meet.  A run of successive strings with one
 anchor is a context, at most 2 x 400 bytes.  Contexts whose anchor gram occurs once in the
 corpus can't hold a repeat and stop here; the others go to shards of about
-``SHARD_BYTES``.  In a shard, copies of a context collapse, a suffix array is built by
+``SHARD_BYTES``.  Copies of a context collapse (an anchor whose contexts are all one text is
+done: all its strings repeat); in a shard a suffix array is built by
 Larsson-Sadakane refinement (only groups that are still tied are sorted again, by the
 rank ``h`` further on), common prefixes of neighbours come from Kasai's pass, run for all
 contexts in step, and neighbours that share 400 bytes are repeats.
@@ -272,14 +273,48 @@ def repeated_ranges(docs: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFra
                 ["doc_id", "tkey", "froms", "tos", "bucket", "strings"],
             )
 
-        held, size, group = [], 0, None
+        def direct(rows):
+            """Whole contexts as ranges."""
+            one = lambda v: pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1), pa.int32()), pa.array(v, pa.int64()))
+            none = [None] * len(rows)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.int64()), one([r[4] for r in rows]), one([r[4] + len(r[5]) for r in rows]), pa.array(none, pa.int32()), pa.array(none, pa.binary())],
+                ["doc_id", "tkey", "froms", "tos", "bucket", "strings"],
+            )
+
+        held: list = []
+        copies: list = []
+        group: list = []
+        size = 0
+
+        def sort_in():
+            """Contexts of one anchor.  If all are one text, every string of theirs repeats and there is
+            nothing to order; an anchor that is split over shards is always searched."""
+            nonlocal size, group
+            texts = {r[5] for r in group}
+            if len(texts) == 1 and len(group) > 1 and group[0][1] < 0:
+                copies.extend(group)
+            else:
+                held.extend(group)
+                size += sum(map(len, texts))
+            group = []
+
         for b in batches:
             for row in zip(*[c.to_pylist() for c in b.columns]):
-                if size >= SHARD_BYTES and row[:2] != group:
-                    yield work(held)
-                    held, size = [], 0
-                held.append(row)
-                size, group = size + len(row[5]), row[:2]
+                if group and row[:2] != group[0][:2]:
+                    sort_in()
+                    if size >= SHARD_BYTES:
+                        yield work(held)
+                        held.clear()
+                        size = 0
+                    if len(copies) >= 4096:
+                        yield direct(copies)
+                        copies.clear()
+                group.append(row)
+        if group:
+            sort_in()
+        if copies:
+            yield direct(copies)
         if held:
             yield work(held)
 
