@@ -32,7 +32,7 @@ from tillpoint.llm.common import column_bytes, mix, narrow, python_tasks, stage,
 
 LENGTH = 400
 GRAM = 64
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 4 << 20
 HOT = 2000
 SLICE = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -213,7 +213,7 @@ def repeated_ranges(docs: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFra
         F.aggregate("runs", F.lit(0).cast("long"), lambda a, r: a + r["hi"] - r["lo"] + LENGTH).alias("b"),
         F.aggregate("runs", F.lit(0).cast("long"), lambda a, r: a + F.when(r["subs"] > 1, r["hi"] - r["lo"] + 1).otherwise(0)).alias("h"),
     ).agg(F.sum("b").alias("b"), F.sum("h").alias("h")).first()
-    shards = max(tasks_for(spark), (size["b"] or 0) // SHARD_BYTES)
+    shards = max(tasks_for(spark), (size["b"] or 0) // (4 * SHARD_BYTES))  # a task flushes at SHARD_BYTES of distinct text
     ranges = max(4, (size["h"] or 0) // 1_000_000)
 
     def cut(batches):
