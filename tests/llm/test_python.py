@@ -224,3 +224,57 @@ def test_scores_beat_the_base_on_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     r = lm.score(docs).filter("held_out").selectExpr("sum(score) s", "sum(base_score) b").first()
     assert r["s"] > r["b"]
+
+
+def test_links_join_components_like_all_pairs():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 120).astype(np.uint64)
+    sets = []
+    for _ in range(60):  # copies at all distances of one set
+        keep = rng.random(120) < rng.uniform(0.75, 1)
+        sets.append(np.unique(np.concatenate([base[keep], rng.integers(0, 2**63, rng.integers(0, 12)).astype(np.uint64)])))
+    comps = np.sort(rng.integers(0, 40, 60))
+    want = neardup.joining_links(sets, comps, 80)
+    root = {int(c): int(c) for c in comps}
+
+    def join(pairs):
+        r = dict(root)
+        for a, b in pairs:
+            a, b = r[a], r[b]
+            r = {k: min(a, b) if v in (a, b) else v for k, v in r.items()}
+        return r
+
+    every = [
+        (int(comps[x]), int(comps[y]))
+        for x in range(60)
+        for y in range(x)
+        if 100 * len(np.intersect1d(sets[x], sets[y])) >= 80 * len(np.union1d(sets[x], sets[y]))
+    ]
+    assert join(want) == join(every)
+    assert 0 < len(want) < len(root)
+
+
+def test_near_duplicates_over_small_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(400)]
+    rows = []
+    for g in range(3):
+        base = list(rng.choice(words, 60))
+        for i in range(25):
+            t = list(base)
+            for at in rng.integers(0, 60, rng.integers(0, 6)):
+                t[at] = str(rng.choice(words))
+            rows.append((int(100 * g + i), " ".join(t)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs, 2).collect()}
+    monkeypatch.setattr(neardup, "BLOCK_MEMBERS", 4)
+    monkeypatch.setattr(neardup, "DENSE", 256)
+    parts = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs, 2).collect()}
+    sets = {i: {tuple(p) for p in zip(t.split(), t.split()[1:])} for i, t in rows}
+    comp = {i: i for i in sets}
+    for x in sorted(sets):
+        for y in sorted(sets):
+            if x < y and 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y]):
+                a, b = comp[x], comp[y]
+                comp = {k: min(a, b) if v in (a, b) else v for k, v in comp.items()}
+    assert whole == parts == comp

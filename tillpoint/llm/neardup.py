@@ -8,8 +8,10 @@ similarity 0.8 shares no band with probability (1 - 0.8^5)^32 < 4e-6.
    id goes on, so exact copies never meet in a bucket.
 2. In each bucket every member is paired with the bucket's smallest id (a linear number of
    pairs), the pairs are confirmed on the full sets, and components are formed.
-3. In buckets that still hold several components, the pairs across components that step 2
-   did not test are confirmed too, so no link between different components is lost.
+3. Buckets that still hold several components are dealt to cells of bounded size (blocks of
+   the bucket, two by two).  A cell counts the intersections of all its members that lie in
+   different components and gives back only links that join components, so no such link is
+   lost and no pairs are written out.
 
 Edge rules: words are ``[^\\x20\\x09-\\x0D]+`` after lowering A-Z; a text with fewer words than
 a shingle has its whole sequence as its one shingle; null, empty or blank texts have
@@ -23,12 +25,17 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillpoint.llm.common import column_bytes, lower, mix, narrow, python_tasks, span_hashes, stage, staged_rows, text_key, word_spans
+from tillpoint.llm.common import column_bytes, lower, mix, narrow, python_tasks, span_hashes, stage, staged_rows, tasks_for, text_key, word_spans
 from tillpoint.llm.components import components
 
 PERMUTATIONS = 80
 BAND = 5
 BANDS = 2 * PERMUTATIONS // BAND
+#: Most members, and most shingles, that a block of a bucket holds on average.
+BLOCK_MEMBERS = 1024
+BLOCK_SHINGLES = 2 << 20
+#: Cells of the membership matrix that are dense at a time.
+DENSE = 4 << 20
 _RNG = np.random.default_rng(20_011)
 _XOR = _RNG.integers(0, 2**64, PERMUTATIONS, dtype=np.uint64)
 _MUL = _RNG.integers(0, 2**64, PERMUTATIONS, dtype=np.uint64) | np.uint64(1)
@@ -132,15 +139,91 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+def joining_links(sets: list[np.ndarray], comps: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Pairs (larger, smaller) of component ids that links between members join: all links
+    between members of different components are tested, and those that close a cycle left out."""
+    ids, at, size = np.unique(comps, return_inverse=True, return_counts=True)
+    if len(ids) < 2:
+        return []
+    n, lens = len(sets), np.array([len(x) for x in sets], np.int64)
+    rows = np.flatnonzero(at != size.argmax())  # a link between components has an end here
+    _, col, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner, shared = np.repeat(np.arange(n), lens), times > 1
+    col = np.where(shared, np.cumsum(shared) - 1, -1)[col]
+    order = np.argsort(col, kind="stable")
+    owner, col = owner[order], col[order]
+    same = np.zeros((len(rows), n), np.float32)
+    width, total = max(1, DENSE // n), int(shared.sum())
+    for lo in range(0, total, width):
+        a, b = np.searchsorted(col, [lo, lo + width])
+        m = np.zeros((n, min(width, total - lo)), np.float32)
+        m[owner[a:b], col[a:b] - lo] = 1
+        same += m[rows] @ m.T
+    linked = 100 * same >= percent * (lens[rows, None] + lens[None, :] - same)
+    x, y = np.nonzero(linked & (at[rows, None] != at[None, :]))
+    x, y = at[rows[x]], at[y]
+    root, out = list(range(len(ids))), []
+    for k in np.unique(np.maximum(x, y) * len(ids) + np.minimum(x, y)).tolist():
+        a, b = divmod(k, len(ids))
+        while root[a] != a:
+            a = root[a]
+        while root[b] != b:
+            b = root[b]
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            out.append((int(ids[max(a, b)]), int(ids[min(a, b)])))
+    return out
+
+
+def links_in_cells(left: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """``left`` (key, rep, comp, blocks) -> links (a, b) between components of a bucket.
+
+    A bucket of g blocks has a cell for each two of them, so each member goes to g cells."""
+    block = F.pmod(F.xxhash64("rep"), F.col("blocks"))
+    t = texts.select(F.col("doc_id").alias("id"), "text")
+    cells = (
+        left.join(t, F.col("rep") == F.col("id"))
+        .withColumn("block", block)
+        .select("key", "comp", "text", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("with"))
+        .select("key", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "comp", "text")
+    )
+    cells = cells.repartition(tasks_for(left.sparkSession), "key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def run(batches):
+        import pyarrow as pa
+
+        now, sets, comps = None, [], []
+
+        def flush():
+            got = joining_links(sets, np.array(comps, np.int64), percent)
+            sets.clear()
+            comps.clear()
+            return pa.RecordBatch.from_arrays([pa.array([p[s] for p in got], pa.int64()) for s in (0, 1)], ["a", "b"])
+
+        for b in batches:
+            flat, ends = shingle_sets(b.column(4), k)
+            for r, cell in enumerate(zip(*(b.column(c).to_pylist() for c in range(3)))):
+                if cell != now:
+                    if sets:
+                        yield flush()
+                    now = cell
+                sets.append(flat[ends[r] : ends[r + 1]].copy())
+                comps.append(b.column(3)[r].as_py())
+        if sets:
+            yield flush()
+
+    return cells.mapInArrow(run, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, tkey, n_shingles, component_id, kept of every row."""
     sig = stage(signatures(docs, k))
     real = sig.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = stage(real.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep")))
     reps = real.join(classes, ["d1", "d2", "n_shingles"]).filter(F.col("doc_id") == F.col("rep"))
-    members = reps.select("rep", F.explode("bands").alias("key")).distinct()
+    members = reps.select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("key")).distinct()
     buckets = members.groupBy("key").agg(F.min("rep").alias("m"), F.count(F.lit(1)).alias("c")).filter("c > 1")
-    # only members of buckets with company: (key, rep, m)
+    # only members of buckets with company: (key, rep, n, m)
     met = stage(members.join(buckets.select("key", "m"), "key"))
     star = met.filter("rep != m").select(F.col("rep").alias("a"), F.col("m").alias("b")).distinct()
     ids = met.select(F.col("rep").alias("doc_id")).distinct()
@@ -148,17 +231,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     texts = stage(narrow(docs).join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
     links = stage(confirmed(star, texts, k, percent))
     roots = components(links)
-    # buckets that still hold several components: the pairs without their smallest id
-    lab = met.join(roots, met["rep"] == roots["node"], "left").select("key", "m", "rep", F.coalesce("root", "rep").alias("comp"))
-    mixed = lab.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("key")
-    left = stage(lab.join(mixed, "key", "left_semi").filter("rep != m").select("key", "rep", "comp"))
-    x, y = left.toDF("key", "a", "ca"), left.toDF("ykey", "b", "cb")
-    more = x.join(y, (F.col("key") == F.col("ykey")) & (F.col("ca") != F.col("cb")) & (F.col("a") > F.col("b")))
-    more = stage(more.select("a", "b").distinct().join(star, ["a", "b"], "left_anti"))
-    if staged_rows(more):
-        late = stage(confirmed(more, texts, k, percent))
-        if staged_rows(late):
-            roots = components(roots.toDF("a", "b").union(late))
+    # buckets that still hold several components; their smallest ids have been tested
+    lab = met.join(roots, met["rep"] == roots["node"], "left").select("key", "m", "rep", "n", F.coalesce("root", "rep").alias("comp"))
+    mixed = lab.groupBy("key").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+        F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_MEMBERS, F.sum("n") / BLOCK_SHINGLES)).alias("blocks"),
+    ).filter("lo != hi").select("key", "blocks")
+    left = lab.filter("rep != m").join(mixed, "key").select("key", "rep", "comp", "blocks")
+    late = stage(links_in_cells(left, texts, k, percent))
+    if staged_rows(late):
+        roots = components(roots.toDF("a", "b").union(late))
     by_class = classes.join(roots, classes["rep"] == roots["node"], "left").select(
         "d1", "d2", "n_shingles", F.coalesce("root", "rep").alias("comp")
     )
