@@ -20,6 +20,9 @@ from tillpoint.llm.common import single_threaded_tokenizers
 CACHE_PIECES = 500_000
 #: Letters, then full stops and commas: two pre-tokens at most (a space goes with the letters).
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ſ]+)([.,]*)")
+#: White space other than a space and a line break.
+_OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+_OTHER_ASCII_SPACE = [c for c in _OTHER_SPACE if c.isascii()]
 
 
 def _piecewise(text: str) -> bool:
@@ -29,7 +32,7 @@ def _piecewise(text: str) -> bool:
         return False
     if text[0].isspace() or text[-1].isspace():
         return False
-    return len(text.split()) == text.count(" ") + text.count("\n") + 1
+    return not any(map(text.__contains__, _OTHER_ASCII_SPACE if text.isascii() else _OTHER_SPACE))
 
 
 class _Pieces(dict):
@@ -39,15 +42,19 @@ class _Pieces(dict):
     def __init__(self, tokenizer, dtype):
         super().__init__()
         self.t, self.old = tokenizer, {}
+        self.model = tokenizer.model
         self.code = "H" if dtype.itemsize == 2 else "I"
+        self.pack = [struct.Struct(f"<{n}{self.code}").pack for n in range(64)]
         self.chars: dict[str, str] = {}
         self.marks: dict[str, bytes] = {}
+        self.space = self.char(" ")
 
     def ids(self, text: str) -> bytes:
         return self.packed(self.t.encode(text, add_special_tokens=False).ids)
 
     def packed(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+        n = len(ids)
+        return self.pack[n](*ids) if n < len(self.pack) else struct.pack(f"<{n}{self.code}", *ids)
 
     def char(self, c: str) -> str:
         """A character in the model's byte alphabet (ASCII letters are themselves)."""
@@ -59,10 +66,12 @@ class _Pieces(dict):
         """One pre-token of letters, in the model's byte alphabet."""
         if not letters.isascii():
             letters = "".join(map(self.char, letters))
-        got = self.t.model.tokenize(self.char(" ") + letters if space else letters)
+        got = self.model.tokenize(self.space + letters if space else letters)
         return self.packed([x.id for x in got])
 
     def encode(self, piece: str, space: bool) -> bytes:
+        if piece.isascii() and piece.isalpha():
+            return self.word(piece, space)
         m = _PLAIN.fullmatch(piece)
         if not m:
             return self.ids(" " + piece if space else piece)
