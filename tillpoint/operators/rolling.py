@@ -228,12 +228,13 @@ def _daily_features(
     """Every day-level feature in one aggregate over (day, anchor) rows of ``daily``.
 
     * sums / maxima: plain conditional aggregates;
-    * active days (distinct day-of-month in a 30-day window): ``collect_set``
-      of at most 31 values per merchant - bounded, partially aggregated;
+    * active days (distinct day-of-month in a 30-day window): one bit per day of
+      the month, so the whole aggregate stays a hash aggregate over fixed-width rows;
     * active vintage (distinct dates before the anchor): a conditional count
       when the frame has one row per day (scoring), else a distinct count.
     """
     d, od = F.col("payment_date"), F.col("order_date")
+    day_bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.dayofmonth(d))
     aggs = []
     if txn_from_daily:
         aggs += [
@@ -252,7 +253,7 @@ def _daily_features(
         for n, w in _names("tpv", TPV_WINDOWS).items()
     ]
     aggs += [
-        F.size(F.collect_set(F.when(in_window(d, od, w), F.dayofmonth(d)))).cast("bigint").alias(n)
+        F.coalesce(F.bit_count(F.bit_or(F.when(in_window(d, od, w), day_bit))), F.lit(0)).cast("bigint").alias(n)
         for n, w in _names("active_days", MONTH_WINDOWS).items()
     ]
     maxes = [("max_daily_tpv", "daily_tpv", "double")]
@@ -465,6 +466,7 @@ def naive_txn_features_train(tables: Tables, spec: ProductSpec, anchor_mode: str
     daily = daily_rollup(tx)
     j = tx.join(anchors, "merchant_id").join(daily, ["merchant_id", "payment_date"])
     d, od = F.col("payment_date"), F.col("order_date")
+    day_bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.dayofmonth(d))
     aggs = []
     aggs += [F.count_distinct(F.when(in_window(d, od, w), F.col("user"))).alias(n) for n, w in _names("unique_payers", PAYER_WINDOWS).items()]
     aggs += [F.count_distinct(F.when(in_window(d, od, w), F.col("id"))).alias(n) for n, w in _names("txn_count", TXN_WINDOWS).items()]
