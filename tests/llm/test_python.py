@@ -195,6 +195,20 @@ def test_suffix_array_and_prefixes():
         assert lcp[r] == min(n, 50)
 
 
+def test_repeats_of_contexts_that_share_more_than_the_length():
+    rng = np.random.default_rng(5)
+    texts = []
+    for _ in range(60):  # the first of two has the larger next byte
+        n = int(rng.integers(512, 736))
+        head = rng.integers(97, 99, n).astype("u1").tobytes()
+        texts += [head + c + rng.integers(97, 99, 735 - n).astype("u1").tobytes() for c in (b"z", b"a")]
+    text, place, group, again = repeats.shard_repeats(texts, np.ones(len(texts), int))
+    strings = [texts[k][a : a + 400] for k, a in zip(text.tolist(), place.tolist())]
+    seen = Counter(strings)
+    assert again.tolist() == [seen[x] > 1 for x in strings]
+    assert len(set(group.tolist())) == len(set(zip(group.tolist(), strings))) == len(seen)
+
+
 def test_scores(docs, data, none):
     got = sorted(lm.score(docs).collect(), key=lambda r: (str(r["doc_id"]), r["n_tokens"]))
     rows = [(i, WORD.findall((t or "").translate(LOWER)) + [None], zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1) for i, t in data]

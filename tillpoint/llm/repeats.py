@@ -8,7 +8,7 @@ corpus can't hold a repeat and stop here; the others go to shards of about
 ``SHARD_BYTES``.  Copies of a context collapse (an anchor whose contexts are all one text is
 done: all its strings repeat); in a shard a suffix array is built by
 Larsson-Sadakane refinement (only groups that are still tied are sorted again, by the
-rank ``h`` further on), common prefixes of neighbours come from Kasai's pass, run for all
+rank ``h`` further on, until none is tied), common prefixes of neighbours come from Kasai's pass, run for all
 contexts in step, and neighbours that share 400 bytes are repeats.
 
 An anchor with more than ``HOT`` contexts is split over shards by document.  Each of
@@ -159,7 +159,7 @@ def shard_repeats(texts: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, n
     lengths = np.array([len(x) for x in texts])
     t = np.frombuffer(b"".join(texts), np.uint8)
     starts = np.cumsum(lengths) - lengths
-    sa = suffix_array(t, LENGTH)
+    sa = suffix_array(t, len(t))  # the carry in Kasai's pass holds on the full order only
     lcp = common_prefixes(t, sa, starts, lengths, LENGTH)
     text = np.repeat(np.arange(len(texts)), lengths)
     place = np.arange(len(t)) - starts[text]
