@@ -139,6 +139,30 @@ def test_decontamination(spark, docs, data, none):
     assert decontaminate.leaked_pairs(none, b).count() == 0 and decontaminate.leaked_pairs(docs, b.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("length", [(50, 80), (80, 120), (200, 400)])
+@pytest.mark.parametrize("rate", [0.1, 0.15, 0.195])
+def test_edited_items_are_found(rate, length):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    syllables = ["an", "be", "ti", "or", "the", "sh", "en", "ng", "ou", "re", "la", "mos", "ki", "du", "pra", "fe"]
+    prose = lambda n: " ".join("".join(rng.choice(syllables, rng.integers(1, 5))) for _ in range(n))
+
+    def edited(text):
+        x = bytearray(text.encode())
+        for _ in range(int(rate * len(text))):
+            p, c = int(rng.integers(len(x))), int(rng.integers(97, 123))
+            x[p : p + int(rng.integers(2))] = [c] if rng.integers(3) else []
+        return x.decode()
+
+    texts = [prose(90)[: rng.integers(*length)].strip() for _ in range(200)]
+    items = decontaminate.Items(list(enumerate(texts)))
+    docs = [prose(20) + " " + edited(t) + " " + prose(20) for t in texts]
+    near = [k for k in range(200) if items.distance(k, docs[k].encode()) <= 0.2 * len(texts[k])]
+    got = {(r, k) for r, k, _ in items.matches(pa.array(docs))}
+    assert len(near) > 190 and sum((k, k) in got for k in near) >= decontaminate.RECALL * len(near)
+
+
 def test_edit_distance_is_the_best_substring():
     def slow(a, b):
         row = list(range(len(a) + 1))

@@ -1,15 +1,16 @@
 """Documents that hold benchmark items, under edits.
 
-Texts are compared in lower case with white space runs as one space.  Windows start at
-content-chosen word starts (the smallest hash of ``span`` successive words), in documents and in
-items alike.  A window is embedded by the CGK random walk: at step j the byte under the
-pointer is written, and the pointer moves on by a random bit of (j, byte), so that texts at
-a small edit distance agree at most steps.  ``REPETITIONS`` independent walks, each with
-``TABLES`` samples of ``SAMPLED`` of its steps, give the bit-sampling LSH keys; the number
-of tables follows from ``RECALL`` and the step agreement ``AGREE`` that a window should be
-found at.  A candidate is then verified exactly: the smallest edit distance between the
-item and any substring of the aligned, item-sized region (bit-parallel, Myers) may be at most
-``1 - SIMILARITY`` of the item's length.
+Texts are compared in lower case with white space runs as one space.  Windows start at every
+word, in documents and in items alike.  A window is embedded by the CGK random walk: at step j
+the byte under the pointer is written, and the pointer moves on by a random bit of (j, byte),
+so that texts at a small edit distance agree at most steps.  ``REPETITIONS`` independent
+walks, each with ``TABLES`` samples of ``SAMPLED`` of its steps, give the bit-sampling LSH
+keys.  Walks are short (about ``STEPS / 2`` bytes): at ``1 - SIMILARITY`` edits some of an
+item's windows are still nearly clean, whatever its length, and a candidate is where one in
+``VOTE_WINDOWS`` of an item's windows (one at least) meet the document at nearly one place.  The parameters are set for
+``RECALL`` at the threshold itself (tests measure it).  A candidate is then verified exactly:
+the smallest edit distance between the item and any substring of the aligned, item-sized
+region (bit-parallel, Myers) may be at most ``1 - SIMILARITY`` of the item's length.
 
 Items come in blocks of at most ``BLOCK_BYTES``; each block goes once against all documents.
 
@@ -28,17 +29,17 @@ from pyspark.sql import functions as F
 from tillpoint.llm.common import column_bytes, lower, mix, python_tasks, text_key
 
 SIMILARITY = 0.8
-STEPS = 64
-SAMPLED = 16
+STEPS = 20
+SAMPLED = 10
 REPETITIONS = 2
+TABLES = 2
 RECALL = 0.95
-AGREE = 0.96
-TABLES = math.ceil(math.log(1 - RECALL) / math.log(1 - AGREE**SAMPLED) / REPETITIONS)
-MAX_SPAN = 6
+VOTE_WINDOWS = 7  # an item needs a vote for so many of its windows
 BLOCK_BYTES = 4 << 20
 _RNG = np.random.default_rng(733)
 _WALK = _RNG.integers(0, 2, (REPETITIONS, STEPS, 256), dtype=np.int32)
-_SAMPLES = np.stack([np.sort(_RNG.choice(STEPS, SAMPLED, replace=False)) for _ in range(REPETITIONS * TABLES)])
+# every TABLES-th step: a pointer often stays, so neighbouring steps say the same
+_SAMPLES = np.stack([np.arange(SAMPLED) * TABLES + t for _ in range(REPETITIONS) for t in range(TABLES)])
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -58,8 +59,8 @@ def normalised(array) -> tuple[np.ndarray, np.ndarray]:
     return data[keep], kept[offsets]
 
 
-def windows(data: np.ndarray, offsets: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
-    """(start, row) of the chosen windows."""
+def windows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, row) of every word."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     inside = data != 32
@@ -68,24 +69,7 @@ def windows(data: np.ndarray, offsets: np.ndarray, span: int) -> tuple[np.ndarra
     edge[offsets] = True
     starts[1:] &= ~inside[:-1] | edge[1:-1]
     at = np.flatnonzero(starts)
-    row = np.searchsorted(offsets, at, side="right") - 1
-    if span > 1 and len(at) >= span:
-        padded = np.concatenate([data, np.zeros(8, np.uint8)])
-        got = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, 8)[at]).view(np.uint64).ravel()
-        left = np.minimum(offsets[row + 1] - at, 8).astype(np.uint64)
-        got &= np.where(left >= 8, ~np.uint64(0), (np.uint64(1) << (left * np.uint64(8)) % np.uint64(64)) - np.uint64(1))
-        low = np.uint64((1 << 28) - 1)
-        h = (mix(got * _STEP) & ~low) | np.arange(len(at), dtype=np.uint64)
-        least = h[: len(h) - span + 1]
-        for j in range(1, span):
-            least = np.minimum(least, h[j : len(h) - span + 1 + j])
-        chosen = np.zeros(len(at), bool)
-        chosen[(least & low).astype(np.int64)] = True
-        # a row shorter than a span is covered by windows of its neighbours only: take it whole
-        count = np.bincount(row, minlength=len(offsets) - 1)
-        chosen |= (count < span)[row]
-        at, row = at[chosen], row[chosen]
-    return at, row
+    return at, np.searchsorted(offsets, at, side="right") - 1
 
 
 def walk_keys(data: np.ndarray, ends: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -142,19 +126,13 @@ class Items:
         data, offsets = normalised(texts)
         self.ids = [i for i, _ in rows]
         self.texts = [data[offsets[k] : offsets[k + 1]].tobytes() for k in range(len(rows))]
-        words = [t.count(b" ") + 1 for t in self.texts]
-        # at least two chosen windows in the shortest item
-        self.span = max(1, min(MAX_SPAN, min(words, default=1) // 2))
-        at, row = [], []
-        for k in range(len(rows)):  # each item alone: its windows don't depend on its neighbours
-            own = np.array([0, offsets[k + 1] - offsets[k]])
-            a, _ = windows(data[offsets[k] : offsets[k + 1]], own, self.span)
-            # a window that the item's end cuts short says little; an item too short keeps its first
-            whole = a[own[1] - a >= STEPS // 2 + 8]
-            a = whole if len(whole) else a[:1]
-            at.append(a + offsets[k])
-            row.append(np.full(len(a), k))
-        at, row = np.concatenate(at), np.concatenate(row)
+        self.length = np.array([len(t) for t in self.texts], np.int64)
+        self.most = ((1 - SIMILARITY) * self.length).astype(np.int64)
+        at, row = windows(data, offsets)
+        # a window that the item's end cuts short says little
+        whole = offsets[row + 1] - at >= STEPS // 2 + 4
+        at, row = at[whole], row[whole]
+        self.votes = np.maximum(1, np.bincount(row, minlength=len(rows)) // VOTE_WINDOWS)
         keys = walk_keys(data, offsets[row + 1], at)
         self.off = at - offsets[row]
         self.row = row
@@ -179,30 +157,52 @@ class Items:
     def matches(self, array) -> list[tuple[int, int, int]]:
         """(row, item index, edits) of every row that holds an item."""
         data, offsets = normalised(array)
-        at, row = windows(data, offsets, self.span)
+        at, row = windows(data, offsets)
         if not len(at):
             return []
         keys = walk_keys(data, offsets[row + 1], at)
-        found = set()
+        met = []  # document window * item windows + item window
         for t in range(len(keys)):
             hit = np.flatnonzero(self.bitmap[(keys[t] >> np.uint64(44)).astype(np.int64)])
             first, past = np.searchsorted(self.keys, keys[t][hit], "left"), np.searchsorted(self.keys, keys[t][hit], "right")
-            some = past > first
-            for w, lo, hi in zip(hit[some].tolist(), first[some].tolist(), past[some].tolist()):
-                for x in self.window[lo:hi].tolist():
-                    found.add((int(row[w]), int(self.row[x]), int(at[w] - self.off[x])))
+            n = past - first
+            x = np.repeat(first - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+            met.append(np.repeat(hit, n) * len(self.row) + self.window[x])
+        met = np.unique(np.concatenate(met))
         best: dict[tuple[int, int], int] = {}
-        for r, k, start in sorted(found):
+        for r, k, lo, hi in zip(*[x.tolist() for x in self.regions(met, at, row)]):
             if best.get((r, k)) == 0:
                 continue
-            n = len(self.texts[k])
-            most = int((1 - SIMILARITY) * n)
-            a, b = max(int(offsets[r]), start - most), min(int(offsets[r + 1]), start + n + most)
+            n, most = len(self.texts[k]), int(self.most[k])
+            a, b = max(int(offsets[r]), lo - most), min(int(offsets[r + 1]), hi + n + most)
             d = self.distance(k, data[a:b].tobytes())
             if d <= most and d < best.get((r, k), n + 1):
                 best[r, k] = d
         return [(r, k, d) for (r, k), d in best.items()]
 
+    def regions(self, met: np.ndarray, at: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(row, item, least start, greatest start) of the places where windows of an item meet."""
+        w, x = met // max(1, len(self.row)), met % max(1, len(self.row))
+        pair, start = row[w] * len(self.texts) + self.row[x], at[w] - self.off[x]
+        order = np.lexsort((start, pair))
+        pair, start = pair[order], start[order]
+        most = self.most[pair % len(self.texts)]
+        # enough windows of a pair at nearly one place (insertions and deletions move it by and by)
+        near = 4 + 2 * np.sqrt(most)
+        i = np.arange(len(pair))
+        j = i + self.votes[pair % len(self.texts)] - 1
+        end = np.minimum(j, len(pair) - 1)
+        lead = (j < len(pair)) & (pair[end] == pair) & (start[end] - start <= near)
+        cover = np.bincount(i[lead], minlength=len(pair) + 1) - np.bincount(j[lead] + 1, minlength=len(pair) + 1)
+        voted = np.cumsum(cover[:-1]) > 0
+        pair, start, most = pair[voted], start[voted], most[voted]
+        if not len(pair):
+            return pair, pair, start, start
+        new = np.concatenate([[True], (pair[1:] != pair[:-1]) | (start[1:] - start[:-1] > most[1:])])
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(pair)) - 1
+        return pair[first] // len(self.texts), pair[first] % len(self.texts), start[first], start[last]
+
 
 def item_blocks(benchmark: DataFrame):
     """Lists of (item_id, text), each of at most about ``BLOCK_BYTES``."""
