@@ -163,6 +163,21 @@ def test_edited_items_are_found(rate, length):
     assert len(near) > 190 and sum((k, k) in got for k in near) >= decontaminate.RECALL * len(near)
 
 
+def test_short_items_are_found_in_mid_document():
+    import pyarrow as pa
+
+    texts = ["ab c", "zorvinka quel", "blent marvos tiqu", "hystor quane pildu wexo", "gravio sentul moppa krindel vosta"]
+    first = "Of all that stood there before, "
+    docs = [first + t.title() + ", and then much more follows after it in a long line of text." for t in texts]
+    docs += [first + t[:4] + "x" + t[5:] + " and then much more follows after it" for t in texts[1:]]
+    docs += ["drab cot", "zorv", "inka quel is what this one starts with", None, "", "one", "ab c", "two"]
+    items = decontaminate.Items(list(enumerate(texts)))
+    want = {(k, k): 0 for k in range(5)} | {(4 + k, k): 1 for k in range(1, 5)} | {(15, 0): 0}
+    assert {(r, k): d for r, k, d in items.matches(pa.array(docs))} == want
+    mixed = decontaminate.Items([*enumerate(texts), (9, "a longer item of many words that goes by its windows and not by its pieces")])
+    assert {(r, k): d for r, k, d in mixed.matches(pa.array(docs))} == want
+
+
 def test_edit_distance_is_the_best_substring():
     def slow(a, b):
         row = list(range(len(a) + 1))

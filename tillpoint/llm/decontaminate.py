@@ -12,10 +12,14 @@ item's windows are still nearly clean, whatever its length, and a candidate is w
 the smallest edit distance between the item and any substring of the aligned, item-sized
 region (bit-parallel, Myers) may be at most ``1 - SIMILARITY`` of the item's length.
 
+Items under ``SHORT`` bytes have too few windows for that: they are found without loss, since a
+match within k edits holds one of the item's k + 1 pieces unchanged.
+
 Items come in blocks of at most ``BLOCK_BYTES``; each block goes once against all documents.
 
 Edge rules: null and empty texts and items match nothing; repeated items and rows give
-repeated pairs once per (doc_id, item_id); an item of one word needs that word or one within its edits.
+repeated pairs once per (doc_id, item_id); an item of one word needs that word or one within its edits
+(an item under five bytes, which no edit is allowed, that word).
 """
 
 from __future__ import annotations
@@ -34,12 +38,14 @@ SAMPLED = 10
 REPETITIONS = 2
 TABLES = 2
 RECALL = 0.95
+SHORT = 50  # bytes; shorter items have too few windows and are searched piece by piece
 VOTE_WINDOWS = 7  # an item needs a vote for so many of its windows
 BLOCK_BYTES = 4 << 20
 _RNG = np.random.default_rng(733)
 _WALK = _RNG.integers(0, 2, (REPETITIONS, STEPS, 256), dtype=np.int32)
 # every TABLES-th step: a pointer often stays, so neighbouring steps say the same
 _SAMPLES = np.stack([np.arange(SAMPLED) * TABLES + t for _ in range(REPETITIONS) for t in range(TABLES)])
+_WORD_BYTE = np.array([c >= 128 or chr(c).isalnum() for c in range(256)])
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -130,7 +136,7 @@ class Items:
         self.most = ((1 - SIMILARITY) * self.length).astype(np.int64)
         at, row = windows(data, offsets)
         # a window that the item's end cuts short says little
-        whole = offsets[row + 1] - at >= STEPS // 2 + 4
+        whole = (offsets[row + 1] - at >= STEPS // 2 + 4) & (self.length[row] >= SHORT)
         at, row = at[whole], row[whole]
         self.votes = np.maximum(1, np.bincount(row, minlength=len(rows)) // VOTE_WINDOWS)
         keys = walk_keys(data, offsets[row + 1], at)
@@ -170,7 +176,8 @@ class Items:
             met.append(np.repeat(hit, n) * len(self.row) + self.window[x])
         met = np.unique(np.concatenate(met))
         best: dict[tuple[int, int], int] = {}
-        for r, k, lo, hi in zip(*[x.tolist() for x in self.regions(met, at, row)]):
+        places = [self.regions(met, at, row), *(self.short_regions(k, data, offsets) for k in np.flatnonzero(self.length < SHORT).tolist())]
+        for r, k, lo, hi in zip(*[np.concatenate(x).tolist() for x in zip(*places)]):
             if best.get((r, k)) == 0:
                 continue
             n, most = len(self.texts[k]), int(self.most[k])
@@ -204,6 +211,33 @@ class Items:
         return pair[first] // len(self.texts), pair[first] % len(self.texts), start[first], start[last]
 
 
+    def short_regions(self, k: int, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+        """As ``regions``, of one short item, without loss: of one piece more than the edits allowed,
+        some piece is whole in every match."""
+        text, most, raw = self.texts[k], int(self.most[k]), data.tobytes()
+        cuts = [len(text) * j // (most + 1) for j in range(most + 2)]
+        got = []
+        for a, b in zip(cuts, cuts[1:]):
+            p = raw.find(text[a:b])
+            while p >= 0:
+                got.append((p, p + b - a, p - a))
+                p = raw.find(text[a:b], p + 1)
+        hit, past, start = np.array(got, np.int64).reshape(-1, 3).T
+        row = np.searchsorted(offsets, hit, side="right") - 1
+        inside = past <= offsets[row + 1]
+        if not most and len(hit):  # whole words only
+            before = (hit > offsets[row]) & _WORD_BYTE[data[hit - 1]]
+            after = (past < offsets[row + 1]) & _WORD_BYTE[data[np.minimum(past, len(data) - 1)]]
+            inside &= ~(before | after)
+        row, start = row[inside], start[inside]
+        order = np.lexsort((start, row))
+        row, start = row[order], start[order]
+        new = np.ones(len(row), bool)
+        new[1:] = (row[1:] != row[:-1]) | (start[1:] - start[:-1] > 2 * most)
+        first = np.flatnonzero(new)
+        return row[first], np.full(len(first), k), start[first], start[np.append(first[1:], len(row))[: len(first)] - 1]
+
+
 def item_blocks(benchmark: DataFrame):
     """Lists of (item_id, text), each of at most about ``BLOCK_BYTES``."""
     b = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter(F.length(F.trim("text")) > 0)
