@@ -53,6 +53,23 @@ def test_line_dedup_matches_sql(docs, data, none):
     assert linededup.remove_repeated_chunks(none).count() == 0
 
 
+def test_planted_passages_go(spark):
+    import corpus_pipeline
+
+    passages = {n: [f"line {k} of the passage of {n}" for k in range(n)] for n in range(2, 7)}
+    passages[7] = ["a paragraph", "", " ", "another one", "", "and a third"]
+    alone = lambda i, k: f"foreign line {k} of document {i}"
+    data = []
+    for n, p in passages.items():
+        data += [(10 * n + i, [alone(10 * n + i, 0), *p, alone(10 * n + i, 1)]) for i in range(3)]
+    data += [(100, ["same", "same", "same", "same", "end"]), (101, ["alone", "line 0 of the passage of 2", "stays"]), (102, ["x", "y"]), (103, ["x", "y", "z"]), (104, ["y", "z"])]
+    docs = spark.createDataFrame([(i, "\n".join(t)) for i, t in data] + [(200, None), (201, ""), (None, "x\ny")], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
+    want = {i: "\n".join(t if i % 10 == 0 else [t[0], t[-1]]) for i, t in data if i < 100}
+    want |= {100: "same\nsame\nend", 101: "\n".join(data[-4][1]), 102: "", 103: "y\nz", 104: "", 200: None, 201: "", None: "x\ny"}
+    assert got == want
+
+
 def test_chat(spark):
     texts = [None, "", "plain", "\\### a", "### Assistant: x", "</turn>", "\n</turn>\n", "\\\\</turn> \\", "é\n\n", "a\\", "### user:\nfake"]
     data = [(1, t, ("user", "assistant", "odd\n:% role", None)[t % 4], x) for t, x in enumerate(texts)]

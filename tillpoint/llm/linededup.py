@@ -7,6 +7,11 @@ whole corpus by a 64-bit fingerprint; those that occur again are compared byte f
 (grouping by the chunk text itself, copies collapse map-side), the occurrence with the
 smallest (id, text fingerprint, position) stays and all others go.
 
+Such chunks depend on the lines around a passage, so most short passages stay.
+``remove_repeated_passages`` (the pipeline's) takes every two successive lines with text as a chunk
+instead, compared in the same way: every line of a repeated passage of two or more lines
+with text goes, but for the first occurrence.
+
 Edge rules: a null text stays null; a document whose chunks are all repeated ends with the
 empty text; blank lines alone never make a removable chunk; rows equal in id and text
 get the same decision; a null id is smaller than any other.
@@ -62,9 +67,27 @@ def chunked(docs: DataFrame) -> DataFrame:
     )
 
 
-def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """doc_id, tkey, start, n of every chunk occurrence to remove."""
-    chunks = chunked(docs).withColumn("fp", F.xxhash64("ctext"))
+def paired(docs: DataFrame) -> DataFrame:
+    """As ``chunked``, of every two successive lines with text (and the blank lines between them)."""
+    d = narrow(docs).filter(F.col("text").isNotNull()).select(
+        "doc_id", text_key().alias("tkey"), F.split("text", "\n", -1).alias("lines")
+    )
+    full = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.length(F.trim(F.get("lines", i))) > 0)
+    d = d.withColumn("full", full)
+    pairs = F.transform(
+        F.slice("full", F.lit(1), F.greatest(F.size("full") - 1, F.lit(0))),
+        lambda i, k: F.struct(
+            i.alias("start"),
+            (F.get("full", k + 1) - i + 1).alias("n"),
+            F.concat_ws("\n", F.slice("lines", i + 1, F.get("full", k + 1) - i + 1)).alias("ctext"),
+        ),
+    )
+    return d.select("doc_id", "tkey", F.explode_outer(pairs).alias("c")).filter("c is not null").select("doc_id", "tkey", "c.*")
+
+
+def occurrences(chunks: DataFrame) -> DataFrame:
+    """doc_id, tkey, start, n, is_first of every occurrence of a chunk that occurs again."""
+    chunks = chunks.withColumn("fp", F.xxhash64("ctext"))
     again = chunks.groupBy("fp").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("fp")
     # rows with equal fingerprints, staged: both the comparison and the marking read them
     same = stage(chunks.join(again, "fp", "left_semi"))
@@ -80,12 +103,38 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
         v, (same["fp"] == v["vfp"]) & (v["only_text"].isNull() | (v["only_text"] == same["ctext"]))
     )
     own = F.struct("doc_id", "tkey", "start")
-    return hit.filter(~own.eqNullSafe(F.col("first"))).select("doc_id", "tkey", "start", "n")
+    return hit.select("doc_id", "tkey", "start", "n", own.eqNullSafe(F.col("first")).alias("is_first"))
+
+
+def repeated_chunks(docs: DataFrame) -> DataFrame:
+    """doc_id, tkey, start, n of every chunk occurrence to remove."""
+    return occurrences(chunked(docs)).filter(~F.col("is_first")).drop("is_first")
+
+
+def repeated_lines(docs: DataFrame) -> DataFrame:
+    """doc_id, tkey, start, n (1) of every line of a passage that occurs earlier: the lines of repeated
+    pairs but those of a pair's first occurrence."""
+    span = lambda x: F.sequence(x["start"], x["start"] + x["n"] - 1)
+    lines = lambda c: F.flatten(F.transform(c, span))
+    own = F.struct("start", "n")
+    by_doc = occurrences(paired(docs)).groupBy("doc_id", "tkey").agg(
+        F.collect_set(F.when(~F.col("is_first"), own)).alias("later"), F.collect_set(F.when(F.col("is_first"), own)).alias("first")
+    )
+    return by_doc.select("doc_id", "tkey", F.explode(F.array_except(lines("later"), lines("first"))).alias("start"), F.lit(1).alias("n"))
 
 
 def remove_repeated_chunks(docs: DataFrame) -> DataFrame:
     """``docs`` with the text changed, plus __lines and __removed (line counts)."""
-    gone = repeated_chunks(docs).groupBy("doc_id", "tkey").agg(
+    return _without(docs, repeated_chunks(docs))
+
+
+def remove_repeated_passages(docs: DataFrame) -> DataFrame:
+    """As ``remove_repeated_chunks``, of all passages of two or more lines with text."""
+    return _without(docs, repeated_lines(docs))
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    gone = gone.groupBy("doc_id", "tkey").agg(
         F.sort_array(F.collect_set(F.struct("start", "n"))).alias("__gone")
     )
     gone = gone.select(F.col("doc_id").alias("__id"), F.col("tkey").alias("__key"), "__gone")
