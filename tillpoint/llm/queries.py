@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillpoint.llm import chat, decontaminate, linededup, lm, neardup, output, packing, quality, repeats, sharding
+from tillpoint.llm import alignment, chat, decontaminate, linededup, lm, neardup, output, packing, quality, repeats, sharding
 from tillpoint.llm.common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,7 @@ QUERIES: dict[str, Query] = {
     "op8_lexical_packing": lambda s, d: packing.packed(documents(s, d)),
     "op9_decision_list": lambda s, d: quality.quality_verdicts(documents(s, d), table(s, d, "labels")),
     "op10_context_mixing": lambda s, d: lm.score(documents(s, d)),
+    "op11_diagonal_alignment": lambda s, d: alignment.aligned(documents(s, d)),
     "pipeline": pipeline,
 }
 
