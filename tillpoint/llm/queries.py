@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillpoint.llm import alignment, chat, decontaminate, linededup, lm, neardup, output, packing, quality, repeats, sharding
+from tillpoint.llm import alignment, chat, decontaminate, linededup, lm, mixing, neardup, output, packing, quality, repeats, search, sharding
 from tillpoint.llm.common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,10 +30,13 @@ QUERIES: dict[str, Query] = {
     "op9_decision_list": lambda s, d: quality.quality_verdicts(documents(s, d), table(s, d, "labels")),
     "op10_context_mixing": lambda s, d: lm.score(documents(s, d)),
     "op11_diagonal_alignment": lambda s, d: alignment.aligned(documents(s, d)),
+    "op12_pivotal_mix": lambda s, d: mixing.mixed(documents(s, d)),
+    "op13_geometric_search": lambda s, d: search.ranked(documents(s, d), table(s, d, "benchmark")),
     "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {
     "op2_line_chunk_dedup": linededup.ORACLE_SQL,
     "op4_chat_round_trip": chat.ORACLE_SQL,
+    "op13_geometric_search": search.ORACLE_SQL,
 }
