@@ -18,7 +18,7 @@ def tables(spark, **frames):
     for name, rows in frames.items():
         key = "task_history" if name.startswith("task_history") else name
         schema = SCHEMAS.get(key)
-        df = spark.createDataFrame(rows, schema=schema) if schema is not None else rows
+        df = spark.createDataFrame(rows, schema=schema) if isinstance(rows, list) else rows
         loaders[name] = (lambda d=df: d)
     for name in ("task_history_v1", "task_history_v2", "application"):
         if name not in loaders:

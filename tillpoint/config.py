@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 
 @dataclass(frozen=True)
@@ -16,6 +16,8 @@ class ProductSpec:
     ``events``           app event names that make up the product's sessions
     ``session_years``    calendar years the training session extract covers
     ``has_vintage``      whether the training extract computes vintage
+    ``application_table``  logical table of the product's applications
+    ``profile_date_col``   the mart's date of the product that the training matrix carries, if any
     """
 
     name: str
@@ -26,6 +28,7 @@ class ProductSpec:
     session_years: tuple = (2020, 2021, 2022)
     has_vintage: bool = True
     application_table: str = "application"
+    profile_date_col: str | None = None
     event_pattern: str | None = None  # e.g. "speaker": names discovered by LIKE
     date_floor: dt.date = dt.date(2018, 1, 1)  # history floor of every cohort query
 
@@ -204,6 +207,8 @@ SWEEP_THRESHOLDS = tuple(round(t / 100, 2) for t in range(20, 90, 5))
 PRODUCTS = {
     "swipe": ProductSpec(
         name="swipe",
+        application_table="application_swipe",
+        profile_date_col="swipe_order_date",
         task_ids=(16,),
         order_date_col="order_date",
         statuses=("ORDERED", "ACTIVE"),
@@ -213,6 +218,8 @@ PRODUCTS = {
     ),
     "speaker": ProductSpec(
         name="speaker",
+        application_table="application_speaker",
+        profile_date_col="speaker_order_date",
         task_ids=(27,),
         order_date_col="order_date",
         statuses=("ORDERED", "ACTIVE"),
@@ -223,6 +230,7 @@ PRODUCTS = {
     ),
     "loan": ProductSpec(
         name="loan",
+        application_table="application_loan",
         task_ids=(18, 21, 22),
         order_date_col="agreement_at",
         statuses=("APPROVED", "approved", "Approved", "rejected", "pending_verification"),
@@ -232,6 +240,8 @@ PRODUCTS = {
     ),
     "club": ProductSpec(
         name="club",
+        application_table="application_club",
+        profile_date_col="club_start_date",
         task_ids=(30,),
         order_date_col="created_at",
         statuses=("ACTIVE", "INIT", "INIT "),
@@ -240,6 +250,7 @@ PRODUCTS = {
     ),
     "fp": ProductSpec(
         name="fp",
+        application_table="application_fp",
         task_ids=(3,),
         order_date_col="created_at",
         statuses=("APPROVED", "INPROCESS", "SUBMITTED", "INIT"),
@@ -248,6 +259,7 @@ PRODUCTS = {
     ),
     "card": ProductSpec(
         name="card",
+        application_table="application_card",
         task_ids=(4,),
         order_date_col="created_at",
         statuses=("APPROVED", "NA"),
@@ -270,12 +282,25 @@ FIXTURE_ACTIVE_MIN_TXNS = 25
 # production floor of 2018 would leave every cohort empty).
 FIXTURE_DATE_FLOOR = dt.date(2000, 1, 1)
 FIXTURE_PRODUCTS = {
-    "swipe": ProductSpec(name="swipe", task_ids=(16,), events=("signup", "view"), date_floor=FIXTURE_DATE_FLOOR),
+    "swipe": ProductSpec(
+        name="swipe", task_ids=(16,), events=("signup", "view"), date_floor=FIXTURE_DATE_FLOOR, profile_date_col="swipe_order_date"
+    ),
     "loan": ProductSpec(name="loan", task_ids=(16,), events=("purchase",), date_floor=FIXTURE_DATE_FLOOR),
     "speaker": ProductSpec(name="speaker", task_ids=(16,), events=("click", "error"), date_floor=FIXTURE_DATE_FLOOR),
 }
 FIXTURE_SPEC = FIXTURE_PRODUCTS["swipe"]
 
+# All six products as in production, on application views of their own: the least quantity of
+# the view's line items, the view's date column besides created_at, and its statuses in turn
+# (the last one does not count).
+FIXTURE_CATALOGUE = {k: replace(v, date_floor=FIXTURE_DATE_FLOOR) for k, v in PRODUCTS.items()}
+FIXTURE_APPLICATIONS = {
+    k: (10 + 4 * n, v.order_date_col if v.order_date_col != "created_at" else None, (*v.statuses, "REFUSED"))
+    for n, (k, v) in enumerate(PRODUCTS.items())
+}
+# Task ids of the field-task views besides 16.
+FIXTURE_TASK_IDS = (18, 27, 30, 3, 4, 21, 22)
+
 
 @dataclass(frozen=True)
 class Window:

@@ -4,8 +4,10 @@ Spark has no geohash built-in, so the encoding is written out: ``5 * precision``
 bits, longitude takes the even bit positions (counted from the most
 significant end) and latitude the odd ones; each group of 5 bits indexes the
 base-32 alphabet.  The integer cell of each axis is ``floor(fraction * 2^bits)``
-clamped at the upper edge, which is the same bisection the textbook encoder
-performs.  NULL in -> NULL out.  Everything stays inside whole-stage codegen.
+clamped at both edges, which is the same bisection the textbook encoder
+performs: a coordinate beyond the map (longitude outside [-180, 180], latitude outside
+[-90, 90]) gets the cell at the edge it lies beyond.  NULL in -> NULL out.  Everything
+stays inside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -43,28 +45,3 @@ def geohash(lng: Column, lat: Column, precision: int) -> Column:
         chars.append(F.substring(F.lit(GEOHASH_ALPHABET), (value + 1).cast("int"), 1))
     out = F.concat(*chars)
     return F.when(lng.isNotNull() & lat.isNotNull(), out)
-
-
-def geohash_sql(lng: str, lat: str, precision: int) -> str:
-    """The same encoding as ANSI SQL text (used by the DuckDB oracle)."""
-    total = 5 * precision
-    lon_bits = (total + 1) // 2
-    lat_bits = total // 2
-
-    def cell(v: str, lo: float, span: float, bits: int) -> str:
-        top = (1 << bits) - 1
-        return (
-            f"LEAST(GREATEST(CAST(FLOOR(({v} - ({lo})) / {span} * {float(1 << bits)}) AS BIGINT), 0), {top})"
-        )
-
-    lon_c = cell(lng, -180.0, 360.0, lon_bits)
-    lat_c = cell(lat, -90.0, 180.0, lat_bits)
-    chars = []
-    for c in range(precision):
-        terms = []
-        for b in range(5):
-            j = 5 * c + b
-            src, nbits, i = (lon_c, lon_bits, j // 2) if j % 2 == 0 else (lat_c, lat_bits, j // 2)
-            terms.append(f"((({src}) >> {nbits - 1 - i}) & 1) * {1 << (4 - b)}")
-        chars.append(f"substr('{GEOHASH_ALPHABET}', CAST({' + '.join(terms)} AS INTEGER) + 1, 1)")
-    return f"CASE WHEN {lng} IS NOT NULL AND {lat} IS NOT NULL THEN " + " || ".join(chars) + " END"

@@ -12,9 +12,10 @@ from tillpoint.config import (
     CHANNEL_MIN_W1_SESSIONS,
     RELEVANT_APPS,
 )
-from tillpoint.functions.stats import quantiles
+from tillpoint.functions.stats import exact_quantiles
 from tillpoint.operators import cohort, sessions
 from tillpoint.operators.rolling import bounded_broadcast
+from tillpoint.sources.sinks import stage
 from tillpoint.sources.tables import Tables
 
 APP_SCHEMA = "array<struct<appName:string,packageName:string>>"
@@ -88,33 +89,24 @@ def top_apps(freq: DataFrame, k: int = 5) -> DataFrame:
     return freq.orderBy(F.col("n").desc(), F.col("app").asc()).limit(k)
 
 
-def quartile_edges(df: DataFrame, col: str, exact: bool = True) -> Column:
-    """Scalar subquery: [min, q25, q50, q75, max] (exact: linear interpolation)."""
-    return df.select(quantiles(F.col(col), exact=exact)).scalar()
-
-
-def quartile_bin(value: Column, edges: Column) -> Column:
+def quartile_bin(value: Column, edges: list[float | None]) -> Column:
     """Right-closed bin index over the distinct sorted edges; values equal to
     the first edge (the minimum) or outside the range get NULL."""
-    e = F.sort_array(F.array_distinct(edges))
-    # at most 5 edges: count the ones below the value (no lambda, because the
-    # edges come from a scalar subquery)
-    k = sum(F.when(F.get(e, i) < value, 1).otherwise(0) for i in range(5))
-    return F.when(value.isNotNull() & (k >= 1) & (value <= F.element_at(e, -1)), k)
-
-
-def quartile_edges_many(df: DataFrame, cols: tuple[str, ...], exact: bool = True) -> Column:
-    """One scalar subquery (one pass over ``df``) with the edges of every column."""
-    return df.select(F.struct(*[quantiles(F.col(c).cast("double"), exact=exact).alias(c) for c in cols])).scalar()
+    e = sorted({x for x in edges if x is not None})
+    out = F.lit(None).cast("bigint")
+    for k, (lo, hi) in reversed(list(enumerate(zip(e, e[1:])))):
+        out = F.when((value > lo) & (value <= hi), F.lit(k + 1).cast("bigint")).otherwise(out)
+    return out
 
 
 def quartile_bins(
-    features: DataFrame, cols: tuple[str, ...] = ("w1_sessions", "total_apps", "relevant_apps"), exact: bool = True
+    features: DataFrame, cols: tuple[str, ...] = ("w1_sessions", "total_apps", "relevant_apps")
 ) -> DataFrame:
-    edges = quartile_edges_many(features, cols, exact)
-    return features.select(
-        "*", *[quartile_bin(F.col(c).cast("double"), edges[c]).cast("bigint").alias(f"{c}_bin") for c in cols]
-    )
+    """``features`` with the quartile bin of every column; the rows are staged, as the edges
+    are found in them first."""
+    features = stage(features)
+    edges = exact_quantiles(features, cols)
+    return features.select("*", *[quartile_bin(F.col(c).cast("double"), edges[c]).alias(f"{c}_bin") for c in cols])
 
 
 def app_session_pivot(binned: DataFrame) -> DataFrame:

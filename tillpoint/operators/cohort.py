@@ -18,7 +18,7 @@ from tillpoint.config import (
     ACTIVE_MIN_TXNS,
     ProductSpec,
 )
-from tillpoint.sources.tables import Tables
+from tillpoint.sources.tables import Tables, unique_by
 
 
 def ts_floor(d: dt.date) -> Column:
@@ -144,11 +144,10 @@ def anchor_dates(
 
 
 def _anchor_dates(tables, spec, mode, merchants, status_filter):
-    pm = push_dates(tables, spec).alias("pm")
-    so1 = first_application_dates(tables, spec, merchants, status_filter).alias("so1")
-    joined = pm.join(so1, F.col("so1.merchant_id") == F.col("pm.merchant_id"), "full_outer").select(
-        F.coalesce(F.col("so1.merchant_id"), F.col("pm.merchant_id")).alias("merchant_id"),
-        F.coalesce(F.col("so1.order_date"), F.col("pm.order_date")).alias("order_date"),
+    pushed = push_dates(tables, spec).withColumnRenamed("order_date", "_pushed")
+    ordered = first_application_dates(tables, spec, merchants, status_filter).withColumnRenamed("order_date", "_ordered")
+    joined = pushed.join(ordered, "merchant_id", "full_outer").select(
+        "merchant_id", F.coalesce("_ordered", "_pushed").alias("order_date")
     )
     if mode == "reference":
         return joined
@@ -196,23 +195,21 @@ def active_merchants(
 
 
 def _active(tables, as_of, min_txns, min_tpv, days, with_mart, date_floor):
-    tx = tables.transactions.filter(
-        (F.col("status") == "SUCCESS") & (F.col("payment_timestamp") >= ts_floor(as_of - dt.timedelta(days=days)))
-    )
-    keys = ["merchant_id"]
-    if with_mart:
-        mart = tables.merchant_mart.filter(F.col("merchant_created_at") >= ts_floor(date_floor or tables.date_floor)).select(
-            "merchant_id", "mid"
-        )
-        tx = tx.join(mart, "merchant_id")
-        keys = ["merchant_id", "mid"]
-    agg = tx.groupBy(*keys).agg(
+    recent = tables.since("transactions", "payment_timestamp", as_of - dt.timedelta(days=days))
+    tx = recent.filter(F.col("status") == "SUCCESS")
+    agg = tx.groupBy("merchant_id").agg(
         F.count_distinct("id").alias("txns"),
         F.sum("amount").alias("tpv"),
     )
-    return agg.filter((F.col("txns") >= min_txns) & (F.col("tpv") >= min_tpv)).select(
-        *keys, "txns", F.col("tpv").cast("double").alias("tpv")
+    active = agg.filter((F.col("txns") >= min_txns) & (F.col("tpv") >= min_tpv)).select(
+        "merchant_id", "txns", F.col("tpv").cast("double").alias("tpv")
     )
+    if not with_mart:
+        return active
+    # the facts are reduced to one row per merchant before they meet the mart
+    mart = tables.merchant_mart.filter(F.col("merchant_created_at") >= ts_floor(date_floor or tables.date_floor))
+    own = active.join(mart.select("merchant_id", "mid"), "merchant_id").select("merchant_id", "mid", "txns", "tpv")
+    return unique_by(own, "merchant_id", "merchant mart")
 
 
 def chunked_ids(df: DataFrame, partitions: int, key: str = "merchant_id") -> DataFrame:

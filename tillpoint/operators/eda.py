@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillpoint.functions.stats import quantiles
+from tillpoint.functions.stats import exact_quantiles
+from tillpoint.sources.sinks import stage
 
 NUMERIC_EDA_COLS = (
     "total_txn_count",
@@ -22,88 +23,87 @@ NUMERIC_EDA_COLS = (
     "vintage",
 )
 CATEGORY_EDA_COLS = ("business_category", "zone_name", "manufacturer")
+#: The scoring side, by product flag.
+SCORING_EDA_COLS = (
+    "total_txn_count",
+    "m1_tpv",
+    "total_atv",
+    "total_unique_payers",
+    "m1_atv",
+    "m1_max_daily_tpv",
+    "m1_active_days",
+    "total_active_vintage",
+    "w1_loan_sessions",
+    "w1_swipe_sessions",
+    "w1_speaker_sessions",
+    "m1_loan_sessions",
+    "m1_swipe_sessions",
+    "m1_speaker_sessions",
+)
+SCORING_CATEGORY_COLS = ("zone_name", "business_category", "geohash4")
 
 
-def rate_by_category(df: DataFrame, cols=CATEGORY_EDA_COLS, label: str = "target") -> DataFrame:
-    """(feature, category, propensity = 100 x mean label, n_merchants) per non-NULL category."""
-    parts = [
-        df.filter(F.col(c).isNotNull())
-        .groupBy(F.col(c).cast("string").alias("category"))
-        .agg((F.lit(100.0) * F.avg(F.col(label))).alias("propensity"), F.count("merchant_id").alias("n_merchants"))
-        .select(F.lit(c).alias("feature"), "category", "propensity", "n_merchants")
-        for c in cols
-    ]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def column_quartiles(df: DataFrame, cols=NUMERIC_EDA_COLS, exact: bool = True) -> DataFrame:
-    """(feature, min, q25, q50, q75, max), one pass for all columns."""
-    row = df.agg(*[quantiles(F.col(c).cast("double"), exact=exact).alias(c) for c in cols])
-    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("q")) for c in cols])
-    e = row.select(F.explode(cells).alias("x"))
-    return e.select(
-        F.col("x.feature").alias("feature"),
-        *[F.col("x.q")[i].alias(n) for i, n in enumerate(("min", "q25", "q50", "q75", "max"))],
-    )
-
-
-def int_quartile_edges(df: DataFrame, cols, exact: bool = True) -> DataFrame:
-    """One pass: per column the edges [-0.01, int(min), int(q25), int(q50),
-    int(q75), int(max)] (truncated toward zero, duplicates dropped, sorted)."""
-    row = df.agg(*[quantiles(F.col(c).cast("double"), exact=exact).alias(c) for c in cols])
-    return row.select(
-        *[
-            F.sort_array(
-                F.array_distinct(F.array(F.lit(-0.01), *[F.col(c)[i].cast("bigint").cast("double") for i in range(5)]))
-            ).alias(c)
-            for c in cols
-        ]
+def _rates(stacked: DataFrame, by: list, labels: dict[str, str] | None, label: str) -> DataFrame:
+    """Mean label in percent and merchants per group; with ``labels`` (product -> label column)
+    one row per product, from the same aggregate."""
+    own = labels or {"": label}
+    g = stacked.groupBy(*by).agg(
+        F.count("merchant_id").alias("n_merchants"),
+        *[(F.lit(100.0) * F.avg(c)).alias(f"_rate{i}") for i, c in enumerate(own.values())],
     )
-
-
-def _bin_of(v, edges):
-    """Right-closed bin over sorted edges (at most 6); NULL outside."""
-    k = sum(F.when(F.get(edges, i) < v, 1).otherwise(0) for i in range(6))
-    return F.when(v.isNotNull() & (k >= 1) & (v <= F.element_at(edges, -1)), k)
-
-
-def rate_by_quartile_bin(df: DataFrame, cols=NUMERIC_EDA_COLS, label: str = "target", exact: bool = True) -> DataFrame:
-    """(feature, bin, lo, hi, propensity, n_merchants) for each numeric column.
-
-    The edges of all columns come from one aggregate (a scalar subquery, run
-    once); every column is then binned in one projection and the per-bin
-    rates come from one grouped aggregate over the stacked rows.
+    keep = [c for c in g.columns if not c.startswith("_rate")]
+    cells = F.array(*[F.struct(F.lit(p).alias("product"), F.col(f"_rate{i}").alias("propensity")) for i, p in enumerate(own)])
+    out = g.select(*keep, F.explode(cells).alias("r")).select(*([] if not labels else ["r.product"]), *keep, "r.propensity")
+    return out.select(*[c for c in out.columns if c != "n_merchants"], "n_merchants")
+
+
+def rate_by_category(df: DataFrame, cols=CATEGORY_EDA_COLS, label: str = "target", labels: dict[str, str] | None = None) -> DataFrame:
+    """(feature, category, propensity = 100 x mean label, n_merchants) per non-NULL category; with
+    ``labels`` also by product.  One pass for all columns and labels."""
+    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("category")) for c in cols])
+    own = list((labels or {"": label}).values())
+    stacked = df.select("merchant_id", *own, F.explode(cells).alias("s")).filter(F.col("s.category").isNotNull())
+    return _rates(stacked, ["s.feature", "s.category"], labels, label)
+
+
+def column_quartiles(df: DataFrame, cols=NUMERIC_EDA_COLS) -> DataFrame:
+    """(feature, min, q25, q50, q75, max) of every column, exact, found together."""
+    rows = [(c, *q) for c, q in exact_quantiles(df, cols).items()]
+    return df.sparkSession.createDataFrame(rows, "feature string, min double, q25 double, q50 double, q75 double, max double")
+
+
+def int_quartile_edges(df: DataFrame, cols) -> dict[str, list[float]]:
+    """Per column the edges [-0.01, int(min), int(q25), int(q50), int(q75), int(max)]
+    (truncated toward zero, duplicates dropped, sorted); none for a column without values."""
+    return {
+        c: sorted({-0.01, *(float(int(x)) for x in q)}) if q[0] is not None else []
+        for c, q in exact_quantiles(df, cols).items()
+    }
+
+
+def rate_by_quartile_bin(
+    df: DataFrame, cols=NUMERIC_EDA_COLS, label: str = "target", labels: dict[str, str] | None = None
+) -> DataFrame:
+    """(feature, bin, lo, hi, propensity, n_merchants) for each numeric column; bins are
+    right-closed between neighbouring edges, values outside have none.  With ``labels`` also by
+    product.
+
+    The edges of all columns are found together over the staged rows; every column is
+    then binned in one projection and the per-bin rates come from one grouped aggregate
+    over the stacked rows.
     """
-    edges = int_quartile_edges(df, cols, exact)
-    scalar = edges.select(F.struct(*[F.col(c) for c in cols])).scalar()
-    e = df.select(
-        "merchant_id",
-        F.col(label).alias("_y"),
-        *[F.col(c).cast("double").alias(c) for c in cols],
-        *[scalar[c].alias(f"_e_{c}") for c in cols],
-    )
-    stacked = e.select(
-        "merchant_id",
-        "_y",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("feature"),
-                        _bin_of(F.col(c), F.col(f"_e_{c}")).alias("bin"),
-                        F.col(f"_e_{c}").alias("edges"),
-                    )
-                    for c in cols
-                ]
-            )
-        ).alias("s"),
-    ).filter(F.col("s.bin").isNotNull())
-    return stacked.groupBy(
-        F.col("s.feature").alias("feature"),
-        F.col("s.bin").cast("bigint").alias("bin"),
-        F.get(F.col("s.edges"), F.col("s.bin") - 1).alias("lo"),
-        F.get(F.col("s.edges"), F.col("s.bin")).alias("hi"),
-    ).agg((F.lit(100.0) * F.avg("_y")).alias("propensity"), F.count("merchant_id").alias("n_merchants"))
+    own = list((labels or {"": label}).values())
+    df = stage(df.select("merchant_id", *own, *[F.col(c).cast("double").alias(c) for c in cols]))
+    edges = int_quartile_edges(df, cols)
+    cells = []
+    for c in cols:
+        for k, (lo, hi) in enumerate(zip(edges[c], edges[c][1:])):
+            cell = F.struct(F.lit(c).alias("feature"), F.lit(k + 1).cast("bigint").alias("bin"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi"))
+            cells.append(F.when((F.col(c) > lo) & (F.col(c) <= hi), cell))
+    if not cells:
+        cells = [F.lit(None).cast("struct<feature:string,bin:bigint,lo:double,hi:double>")]
+    stacked = df.select("merchant_id", *own, F.explode(F.array_compact(F.array(*cells))).alias("s"))
+    return _rates(stacked, ["s.feature", "s.bin", "s.lo", "s.hi"], labels, label)
 
 
 def rate_by_top_category(df: DataFrame, col: str = "geohash4", k: int = 50, label: str = "target") -> DataFrame:

@@ -103,7 +103,7 @@ def training_matrix(
     dev = profile.device_manufacturer(tables, labels)
     m = labels.join(dev, "merchant_id", "left")
 
-    order_col = [] if spec.name in ("loan", "fp") else [f"{spec.name}_order_date"]
+    order_col = [spec.profile_date_col] if spec.profile_date_col else []
     prof_cols = list(TRAIN_PROFILE_COLS) + order_col + ["merchant_created_at", "geohash6", "geohash3", "geohash4"]
     prof = profile.merchant_profile(tables, spec).select("merchant_id", *prof_cols)
     m = m.join(prof, "merchant_id", "left")

@@ -1,5 +1,5 @@
 """Propensity models with Spark ML: split, down-sampling, GBT training,
-scoring, per-round loss and feature importance.
+scoring, per-round loss, error and AUC, and feature importance.
 
 Training and scoring share one ordered feature list (``MODEL_NUMERIC`` +
 ``CATEGORICAL_FEATURES``) and one fitted pipeline, so category codes are fixed
@@ -8,15 +8,19 @@ at training time and reused when scoring.
 
 from __future__ import annotations
 
+import dataclasses
+import json
 import math
-import re
+import uuid
+from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, StringType, TimestampNTZType, TimestampType
 
 from tillpoint.config import (
     CATEGORICAL_FEATURES,
@@ -25,6 +29,8 @@ from tillpoint.config import (
     RATIO_FEATURES,
     ROLLING_FEATURES,
 )
+from tillpoint.session import checkpoint_dir
+from tillpoint.sources.sinks import is_committed, stage
 
 MODEL_NUMERIC = (
     list(ROLLING_FEATURES)
@@ -167,42 +173,186 @@ def train_gbt(
 
 
 def score(model: PipelineModel, df: DataFrame, prob_col: str = "prob") -> DataFrame:
-    """Positive-class probability per row (keeps the input columns)."""
+    """Positive-class probability per row (keeps the input columns).  A loaded model first checks
+    that ``df`` meets its contract."""
+    contract = getattr(model, "contract", None)
+    if contract is not None:
+        contract.check(df)
     out = model.transform(df)
     return out.select(*df.columns, vector_to_array(F.col("probability"))[1].alias(prob_col))
 
 
-def round_losses(model: PipelineModel, test: DataFrame, label: str = "target") -> DataFrame:
-    """Hold-out log-loss after each boosting round (one row per round).  Spark's boosted-tree
-    loss is twice the binomial log-loss."""
-    gbt = model.stages[-1]
-    prepared = PipelineModel(stages=model.stages[:-1]).transform(test.withColumn(label, F.col(label).cast("double")))
-    losses = gbt.evaluateEachIteration(prepared.select(F.col(label), "features"))
-    spark = test.sparkSession
-    return spark.createDataFrame([(i + 1, float(v) / 2.0) for i, v in enumerate(losses)], "round int, logloss double")
+# --------------------------------------------------------------------------
+# the trees of a model as rows
+# --------------------------------------------------------------------------
+
+
+def node_table(model: PipelineModel) -> DataFrame:
+    """(tree, node, prediction, left_child, right_child, feature) of the boosted trees, read from
+    the node rows of the saved model (written below the shared checkpoint folder); nodes are
+    numbered in pre-order, a leaf has no children and no feature."""
+    spark = SparkSession.getActiveSession()
+    path = f"{checkpoint_dir(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
+    model.stages[-1].write().save(path)
+    n = F.col("nodeData")
+    inner = n["leftChild"] >= 0
+    return spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"),
+        n["id"].alias("node"),
+        n["prediction"].alias("prediction"),
+        F.when(inner, n["leftChild"]).alias("left_child"),
+        F.when(inner, n["rightChild"]).alias("right_child"),
+        F.when(inner, n["split"]["featureIndex"]).alias("feature"),
+    )
+
+
+def split_counts(model: PipelineModel) -> DataFrame:
+    """(feature index, split_count): how many nodes split on each feature."""
+    return node_table(model).filter(F.col("feature").isNotNull()).groupBy("feature").agg(F.count(F.lit(1)).cast("int").alias("split_count"))
 
 
 def feature_importance(model: PipelineModel, top: int = 20) -> DataFrame:
     """(feature, gain_importance, split_count): normalised gain from the model
-    and the number of splits on each feature (read off the tree dump)."""
-    assembler = model.stages[-2]
+    and the number of splits on each feature."""
+    names = model.stages[-2].getInputCols()
+    gain = model.stages[-1].featureImportances.toArray()
+    spark = SparkSession.getActiveSession()
+    rows = spark.createDataFrame([(i, n, float(gain[i])) for i, n in enumerate(names)], "i int, feature string, gain_importance double")
+    splits = split_counts(model).withColumnRenamed("feature", "i")
+    return (
+        rows.join(splits, "i", "left")
+        .select("feature", "gain_importance", F.coalesce("split_count", F.lit(0)).alias("split_count"))
+        .orderBy(F.desc("gain_importance"), F.asc("feature"))
+        .limit(top)
+    )
+
+
+def round_margins(model: PipelineModel, test: DataFrame, label: str = "target") -> DataFrame:
+    """(label, margins): the cumulative margin of every row after each round, as one array.
+
+    The model gives the leaf each row reaches in every tree (numbered in pre-order); the
+    leaves' weighted values are model metadata (rounds x 2^depth numbers)."""
     gbt = model.stages[-1]
-    names = assembler.getInputCols()
-    gain = gbt.featureImportances.toArray()
-    splits = [0] * len(names)
-    for m in re.finditer(r"If \(feature (\d+) ", gbt.toDebugString):
-        splits[int(m.group(1))] += 1
-    rows = [(names[i], float(gain[i]), int(splits[i])) for i in range(len(names))]
-    rows.sort(key=lambda r: (-r[1], r[0]))
-    from pyspark.sql import SparkSession
+    leaves: dict[int, list[float]] = {}
+    rows = node_table(model).filter(F.col("left_child").isNull()).select("tree", "node", "prediction")
+    for r in sorted(rows.collect()):
+        leaves.setdefault(r["tree"], []).append(r["prediction"] * gbt.treeWeights[r["tree"]])
+    values = F.lit([leaves[t] for t in sorted(leaves)])
+    reached = PipelineModel(stages=model.stages[:-1] + [gbt.copy({gbt.leafCol: "__leaf"})]).transform(test)
+    gains = F.transform(vector_to_array(F.col("__leaf")), lambda leaf, i: F.get(F.get(values, i), leaf.cast("int")))
+    sums = F.aggregate(
+        gains,
+        F.array().cast("array<double>"),
+        lambda acc, x: F.array_append(acc, F.coalesce(F.get(acc, F.size(acc) - 1), F.lit(0.0)) + x),
+    )
+    return reached.select(F.col(label).cast("int").alias(label), sums.alias("margins"))
+
+
+def round_metrics(model: PipelineModel, test: DataFrame, label: str = "target", buckets: int = 1024) -> DataFrame:
+    """(round, logloss, error, auc) on the hold-out rows after each boosting round.
+
+    The probability is ``1 / (1 + exp(-2 * margin))``, a row is positive above one half, and AUC is
+    the rank sum of the positives with ties shared.  Rows are counted per (round, score), the
+    scores are dealt to equal-width buckets of the round's range (any dealing that keeps the
+    order is exact), and a score's rank is the rows of the buckets below plus those below
+    it in its own, so no window holds a whole round.  AUC is NULL with one class."""
+    rows = stage(
+        round_margins(model, test, label).select(label, F.posexplode("margins").alias("k", "m"))
+        .groupBy((F.col("k") + 1).alias("round"), F.col("m"))
+        .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
+    )
+    m, pos, neg = F.col("m"), F.col("pos"), F.col("neg")
+    totals = rows.groupBy("round").agg(  # one row a round
+        F.min("m").alias("lo"), F.max("m").alias("hi"), F.sum("pos").alias("P"), F.sum("neg").alias("N"),
+        F.sum(pos * F.log1p(F.exp(-2 * m)) + neg * F.log1p(F.exp(2 * m))).alias("loss"),
+        F.sum(F.when(m > 0, neg).otherwise(pos)).alias("wrong"),
+    )
+    place = F.coalesce(F.floor(F.try_divide(m - F.col("lo"), F.col("hi") - F.col("lo")) * buckets), F.lit(0)).alias("bucket")
+    dealt = rows.join(F.broadcast(totals.select("round", "lo", "hi")), "round").select("round", "m", "pos", "neg", place)
+    below = Window.partitionBy("round").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = dealt.groupBy("round", "bucket").agg(F.sum("neg").alias("n")).select(
+        "round", "bucket", F.coalesce(F.sum("n").over(below), F.lit(0)).alias("before")
+    )
+    inside = Window.partitionBy("round", "bucket").orderBy("m").rowsBetween(Window.unboundedPreceding, -1)
+    lower = F.col("before") + F.coalesce(F.sum("neg").over(inside), F.lit(0))
+    won = dealt.join(offsets, ["round", "bucket"]).withColumn("won", pos * (2 * lower + neg))
+    area = won.groupBy("round").agg(F.sum("won").alias("won"))
+    n = F.col("P") + F.col("N")
+    return totals.join(area, "round").select(
+        F.col("round").cast("int").alias("round"),
+        (F.col("loss") / n).alias("logloss"),
+        (F.col("wrong") / n).alias("error"),
+        F.try_divide(F.col("won"), F.lit(2.0) * F.col("P") * F.col("N")).alias("auc"),
+    )
 
-    active = SparkSession.getActiveSession()
-    return active.createDataFrame(rows[:top], "feature string, gain_importance double, split_count int")
 
+# --------------------------------------------------------------------------
+# saved models and what they expect of their input
+# --------------------------------------------------------------------------
 
-def save(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
 
+class ContractError(ValueError):
+    """The input or the saved model is not what the model was trained on."""
+
+
+@dataclasses.dataclass(frozen=True)
+class Contract:
+    """What a model was trained on: the product, the features in order, how each one enters
+    (``numeric``, ``nominal`` or ``ranked``) and the labels of every categorical, by code."""
+
+    product: str
+    features: tuple[str, ...]
+    encodings: tuple[str, ...]
+    labels: dict[str, tuple[str, ...]]
+
+    @classmethod
+    def of(cls, model: PipelineModel, product: str) -> "Contract":
+        inputs = set(model.stages[-2].getInputCols())
+        indexers = {x.getInputCol(): x for x in model.stages if isinstance(x, StringIndexerModel)}
+        numeric = [c[:-3] for c in model.stages[-2].getInputCols() if c.endswith("__v")]
+        encodings = ["numeric"] * len(numeric) + ["nominal" if f"{c}__idx" in inputs else "ranked" for c in indexers]
+        return cls(product, (*numeric, *indexers), tuple(encodings), {c: tuple(x.labelsArray[0]) for c, x in indexers.items()})
 
-def load(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    def check(self, df: DataFrame) -> None:
+        """Raise unless ``df`` has every feature once, in the order of training, text for a
+        categorical and a number for a numeric one (other columns may stand between them)."""
+        given = [c for c in df.columns if c in set(self.features)]
+        missing = [c for c in self.features if c not in given]
+        if missing:
+            raise ContractError(f"{self.product} model: missing features {missing}")
+        if given != list(self.features):
+            at = next(k for k, (a, b) in enumerate(zip(given, self.features)) if a != b)
+            raise ContractError(f"{self.product} model: feature {at} is {given[at]!r}, trained with {self.features[at]!r}")
+        for c, e in zip(self.features, self.encodings):
+            text = isinstance(df.schema[c].dataType, (StringType, BooleanType, DateType, TimestampType, TimestampNTZType))
+            if text != (e != "numeric"):
+                raise ContractError(f"{self.product} model: {c} is {df.schema[c].dataType.simpleString()}, trained as {e}")
+
+
+def in_order(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``df`` with the features last, in the given order."""
+    return df.select(*[c for c in df.columns if c not in set(features)], *features)
+
+
+def save(model: PipelineModel, path: str, product: str = "") -> None:
+    """Save the model and, beside its stages, its contract; the contract is written last."""
+    model.write().overwrite().save(path)
+    text = json.dumps(dataclasses.asdict(Contract.of(model, product)))
+    SparkSession.getActiveSession().createDataFrame([(text,)], "contract string").coalesce(1).write.mode("overwrite").parquet(f"{path}/contract")
+
+
+def load(path: str, product: str | None = None) -> PipelineModel:
+    """The saved model with its contract.  Raises if there is none, if it is another product's,
+    or if the saved stages do not have its features, encodings and labels."""
+    spark = SparkSession.getActiveSession()
+    if not is_committed(spark, f"{path}/contract"):
+        raise ContractError(f"no contract beside the model at {path}")
+    raw = json.loads(spark.read.parquet(f"{path}/contract").first()["contract"])
+    own = Contract(raw["product"], tuple(raw["features"]), tuple(raw["encodings"]), {c: tuple(x) for c, x in raw["labels"].items()})
+    if product is not None and own.product != product:
+        raise ContractError(f"the model at {path} is for {own.product!r}, not {product!r}")
+    model = PipelineModel.load(path)
+    if Contract.of(model, own.product) != own:
+        raise ContractError(f"the stages of the model at {path} are not those of its contract")
+    model.contract = own
+    return model

@@ -11,7 +11,7 @@ from tillpoint.config import MAJOR_BRANDS, MANUFACTURER_ALIASES, ProductSpec
 from tillpoint.functions.geohash import geohash
 from tillpoint.operators import cohort
 from tillpoint.operators.rolling import bounded_broadcast
-from tillpoint.sources.tables import Tables
+from tillpoint.sources.tables import Tables, unique_by
 
 FLAG_COLS = ("swipe_flag", "speaker_flag", "loan_flag", "fp_flag", "club_flag", "qr_flag", "credit_flag", "debit_flag")
 ELIGIBILITY_COLS = (
@@ -60,9 +60,8 @@ def merchant_profile(tables: Tables, spec: ProductSpec, ordered: bool = False) -
     """Mart rows of the applied ∪ pushed cohort created since the floor, with
     geohash 6 / 3 / 4.  ``ordered`` adds the presentation sort."""
     mart = tables.merchant_mart.filter(F.col("merchant_created_at") >= cohort.ts_floor(spec.date_floor))
-    out = mart.join(cohort.cohort_union(tables, spec), "merchant_id", "left_semi").select(
-        *_profile_columns((6, 3, 4), None)
-    )
+    own = mart.join(cohort.cohort_union(tables, spec), "merchant_id", "left_semi")
+    out = unique_by(own, "merchant_id", "merchant mart").select(*_profile_columns((6, 3, 4), None))
     return out.orderBy("merchant_id") if ordered else out
 
 
@@ -70,9 +69,8 @@ def merchant_profile_asof(tables: Tables, as_of: dt.date, min_txns: int = 5) ->
     """Mart rows of the active base with vintage as of ``as_of`` and geohash 3 / 4."""
     active = cohort.active_merchants(tables, as_of, min_txns=min_txns)
     mart = tables.merchant_mart.filter(F.col("merchant_created_at") >= cohort.ts_floor(tables.date_floor))
-    return mart.join(bounded_broadcast(active, ["merchant_id"]), "merchant_id", "left_semi").select(
-        *_profile_columns((3, 4), as_of)
-    )
+    own = mart.join(bounded_broadcast(active, ["merchant_id"]), "merchant_id", "left_semi")
+    return unique_by(own, "merchant_id", "merchant mart").select(*_profile_columns((3, 4), as_of))
 
 
 def vintage(tables: Tables, spec: ProductSpec) -> DataFrame:
@@ -82,6 +80,7 @@ def vintage(tables: Tables, spec: ProductSpec) -> DataFrame:
     """
     anchors = cohort.anchor_dates(tables, spec, mode="reference", status_filter=True)
     mart = tables.merchant_mart.filter(F.col("merchant_created_at") >= cohort.ts_floor(spec.date_floor))
+    mart = unique_by(mart.select("merchant_id", "merchant_created_at"), "merchant_id", "merchant mart")
     return mart.join(anchors, "merchant_id").select(
         "merchant_id", F.date_diff(F.col("order_date"), F.to_date("merchant_created_at")).cast("bigint").alias("vintage")
     )

@@ -13,11 +13,14 @@ Plan shape (no ``Expand`` with one projection per distinct aggregate):
   distinct ids of the day - Spark's distinct-aggregate rewrite with two
   distinct columns, partially aggregated before the shuffle.
 * window sums / maxima are taken over ``daily`` (joined to the anchors).
-* every *window-distinct* count (payers, ids, active dates, day-of-month) is a
-  two-level aggregate: flags ``max(in_window)`` per (merchant, entity), then
-  ``sum(flag)`` per merchant.  Both levels are hash aggregates with map-side
-  partial aggregation keyed by (merchant, entity), so one merchant holding a
-  third of all rows is spread across tasks rather than landing in one.
+* every *window-distinct* count (payers, ids, sessions) is a two-level aggregate:
+  one integer per (merchant, entity) holds a bit for each window the entity was
+  seen in (``window_mask``, merged by ``bit_or``), and a merchant counts the bits.
+  Both levels are hash aggregates with map-side partial aggregation, the first
+  keyed by (merchant, entity), so one merchant holding a third of all rows is
+  spread across tasks rather than landing in one.
+* rows outside every window carry no entity, day or value past the scan: they fold
+  into one row per merchant map-side, which keeps the merchant in the result.
 * the anchors are joined with a size-checked broadcast (see
   :func:`bounded_broadcast`); beyond the bound the join is a sort-merge join
   that AQE's skew-join handling splits.
@@ -26,7 +29,8 @@ Plan shape (no ``Expand`` with one projection per distinct aggregate):
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -120,104 +124,112 @@ def daily_rollup(tx: DataFrame, payees: bool = True) -> DataFrame:
     )
 
 
+def window_mask(day: Column, anchor: Column, windows: Iterable[str]) -> Column:
+    """An integer with bit k set if ``day`` is in the k-th window; 0 for a NULL day or anchor."""
+    bits = [F.when(in_window(day, anchor, w), F.lit(1 << k)).otherwise(F.lit(0)) for k, w in enumerate(windows)]
+    return reduce(Column.bitwiseOR, bits)
+
+
+def _has(mask: Column, windows: Iterable[str], window: str) -> Column:
+    return mask.bitwiseAND(F.lit(1 << list(windows).index(window))) != 0
+
+
 def window_distinct_counts(
-    rows: DataFrame, key: Column, day: Column, anchor: Column, windows: dict[str, str]
+    rows: DataFrame,
+    key: Column,
+    day: Column,
+    anchor: Column,
+    windows: dict[str, str],
+    by: Sequence[str] = ("merchant_id",),
+    keep_groups: bool = False,
 ) -> DataFrame:
-    """Exact ``COUNT(DISTINCT CASE WHEN in_window THEN key END)`` per merchant
-    for several windows at once, as flags-then-sum.
+    """Exact ``COUNT(DISTINCT CASE WHEN in_window THEN key END)`` per group for several
+    windows at once: one window mask per (group, key), then the bits are counted.
 
-    ``rows`` has one row per (merchant, key, day, anchor) occurrence; NULL keys
-    never count.  ``windows`` maps output name -> window name.
+    ``rows`` has one row per (group, key, day, anchor) occurrence; NULL keys never count.
+    ``windows`` maps output name -> window name.  Rows in no window are cut before the
+    shuffle; with ``keep_groups`` they leave one row per group, so every group of ``rows``
+    is in the result.
     """
-    flags = (
-        rows.filter(key.isNotNull())
-        .groupBy("merchant_id", key.alias("_key"))
-        .agg(*[F.max(F.when(in_window(day, anchor, w), 1).otherwise(0)).alias(n) for n, w in windows.items()])
-    )
-    return flags.groupBy("merchant_id").agg(*[F.sum(n).cast("bigint").alias(n) for n in windows])
-
+    order = list(dict.fromkeys(windows.values()))
+    marked = rows.select(*by, key.alias("_key"), window_mask(day, anchor, order).alias("_mask"))
+    live = F.col("_key").isNotNull() & (F.col("_mask") != 0)
+    if keep_groups:
+        marked = marked.select(*by, F.when(live, F.col("_key")).alias("_key"), F.when(live, F.col("_mask")).otherwise(0).alias("_mask"))
+    else:
+        marked = marked.filter(live)
+    seen = marked.groupBy(*by, "_key").agg(F.bit_or("_mask").alias("_mask"))
+    return seen.groupBy(*by).agg(*[F.count_if(_has(F.col("_mask"), order, w)).alias(n) for n, w in windows.items()])
 
-def payer_and_id_window_counts(rows: DataFrame, day: Column, anchor: Column) -> DataFrame:
-    """Distinct payers and distinct ids per window from ONE scan and ONE shuffle.
 
-    ``GROUPING SETS ((merchant, user), (merchant, id))`` expands each row
-    twice, computes the window flags of both entity kinds in one partially
-    aggregated hash aggregate, and a second small aggregate per merchant sums
-    the flags of the matching set (told apart by ``grouping_id``).
-    """
-    payer_w = _names("unique_payers", PAYER_WINDOWS)
-    id_w = _names("txn_count", TXN_WINDOWS)
-    flags = (
-        rows.select("merchant_id", "user", "id", day.alias("_d"), anchor.alias("_od"))
-        .groupingSets([["merchant_id", "user"], ["merchant_id", "id"]], "merchant_id", "user", "id")
-        .agg(
-            F.grouping_id("merchant_id", "user", "id").alias("_g"),
-            *[F.max(F.when(in_window(F.col("_d"), F.col("_od"), w), 1).otherwise(0)).alias(n) for n, w in {**payer_w, **id_w}.items()],
-        )
-    )
-    # grouping_id bits (merchant, user, id): user set -> id aggregated (001 = 1),
-    # id set -> user aggregated (010 = 2).  NULL entities never count.
-    is_user = (F.col("_g") == 1) & F.col("user").isNotNull()
-    is_id = (F.col("_g") == 2) & F.col("id").isNotNull()
-    return flags.groupBy("merchant_id").agg(
-        *[F.sum(F.when(is_user, F.col(n)).otherwise(0)).cast("bigint").alias(n) for n in payer_w],
-        *[F.sum(F.when(is_id, F.col(n)).otherwise(0)).cast("bigint").alias(n) for n in id_w],
+def _cut_rows(tx: DataFrame, live: Column, mask: Column, amount: Column) -> DataFrame:
+    """``tx`` for the grouping sets: a row that is not ``live`` keeps its merchant only, so all of
+    them fold into one row per merchant and set map-side."""
+    keep = F.coalesce(live, F.lit(False))
+    return tx.select(
+        "merchant_id",
+        *[F.when(keep, F.col(c)).alias(c) for c in ("payment_date", "id", "user")],
+        F.when(keep, amount).alias("_amount"),
+        F.when(keep, mask).otherwise(0).alias("_mask"),
     )
 
 
-def anchored_single_pass(tx_a: DataFrame) -> DataFrame:
-    """Training mode: daily rollup AND payer / id window flags from ONE scan of
-    the anchored transactions, as a linear chain of aggregates (no branch, so
-    nothing is recomputed).
+def _days_and_masks(cut: DataFrame, id_windows: bool) -> DataFrame:
+    """Daily rollup AND window masks of payers (and ids) from ONE scan, as a linear chain of two
+    aggregates (no branch, so nothing is recomputed).
 
-    ``tx_a`` is transactions x anchors (one copy per anchor row, with
-    ``_anchor_rank``).  Level 1 is ``GROUPING SETS``:
+    Level 1 is ``GROUPING SETS``:
 
-    * (merchant, day, id):   value of the id that day (rank-1 copy only)
+    * (merchant, day, id):   value of the id that day
     * (merchant, day, user): one row per payer and day
-    * (merchant, user), (merchant, id): max window flags over every anchor copy
+    * (merchant, user)[, (merchant, id)]: the windows the entity was seen in, as one mask
 
-    Level 2 groups by (merchant, day): day rows get daily value / distinct
-    txns / distinct payers; the two merchant-level sets have no day, so they
-    all land in the (merchant, NULL) row, which carries the summed flags.
-    Returns that level-2 frame (``daily_*`` columns plus one column per
-    window-distinct feature).
+    Level 2 has a row per (merchant, day) with daily value / distinct ids / distinct payers,
+    and a row per merchant, kind of entity and mask with the number of entities (``_kind``,
+    ``_mask``, ``_n``; these have no day).
     """
-    d, od = F.col("payment_date"), F.col("order_date")
-    payer_w = _names("unique_payers", PAYER_WINDOWS)
-    flag_w = {**payer_w, **_names("txn_count", TXN_WINDOWS)}
-    g = tx_a.groupingSets(
-        [
-            ["merchant_id", "payment_date", "id"],
-            ["merchant_id", "payment_date", "user"],
-            ["merchant_id", "user"],
-            ["merchant_id", "id"],
-        ],
-        "merchant_id",
-        "payment_date",
-        "id",
-        "user",
-    ).agg(
+    sets = [["merchant_id", "payment_date", "id"], ["merchant_id", "payment_date", "user"], ["merchant_id", "user"]]
+    if id_windows:
+        sets.append(["merchant_id", "id"])
+    g = cut.groupingSets(sets, "merchant_id", "payment_date", "id", "user").agg(
         F.grouping_id("merchant_id", "payment_date", "id", "user").alias("_g"),
-        F.sum(F.when(F.col("_anchor_rank") == 1, F.col("amount"))).alias("_amt"),
-        *[F.max(F.when(in_window(d, od, w), 1).otherwise(0)).alias(n) for n, w in flag_w.items()],
+        F.sum("_amount").alias("_amt"),
+        F.bit_or("_mask").alias("_seen"),
     )
     # grouping_id bits (merchant, day, id, user): 1 = (m, day, id), 2 = (m, day, user),
     # 6 = (m, user), 5 = (m, id).  NULL ids / payers never count.
     g1, g2, g6, g5 = (F.col("_g") == v for v in (1, 2, 6, 5))
-    is_payer = g6 & F.col("user").isNotNull()
-    is_id = g5 & F.col("id").isNotNull()
-    return g.groupBy("merchant_id", "payment_date").agg(
+    of_merchant = F.col("_g") >= 5
+    counted = (g6 & F.col("user").isNotNull()) | (g5 & F.col("id").isNotNull())
+    return g.groupBy(
+        "merchant_id",
+        "payment_date",
+        F.when(of_merchant, F.col("_g")).alias("_kind"),
+        F.when(of_merchant, F.col("_seen")).alias("_mask"),
+    ).agg(
         F.sum(F.when(g1, F.col("_amt"))).alias("daily_tpv"),
         F.count(F.when(g1 & F.col("id").isNotNull(), 1)).alias("daily_txns"),
         F.count(F.when(g2 & F.col("user").isNotNull(), 1)).alias("daily_payees"),
-        *[
-            F.sum(F.when(is_payer if n in payer_w else is_id, F.col(n)).otherwise(0)).cast("bigint").alias(n)
-            for n in flag_w
-        ],
+        F.count(F.when(counted, 1)).alias("_n"),
     )
 
 
+def _unpacked(order: Sequence[str], id_windows: bool, once: Column | None = None) -> list[Column]:
+    """Per merchant: entities whose mask has the window's bit, for payers (and ids).  ``once``:
+    which of several copies of a row counts."""
+    out = []
+    for kind, measure, names in ((6, "unique_payers", PAYER_WINDOWS), (5, "txn_count", TXN_WINDOWS if id_windows else ())):
+        for n, w in _names(measure, names).items():
+            hit = (F.col("_kind") == kind) & _has(F.col("_mask"), order, w)
+            hit = hit if once is None else hit & once
+            out.append(F.coalesce(F.sum(F.when(hit, F.col("_n"))), F.lit(0)).cast("bigint").alias(n))
+    return out
+
+
+#: The windows of an entity's mask, one bit each.
+MASK_WINDOWS = tuple(dict.fromkeys((*PAYER_WINDOWS, *TXN_WINDOWS)))
+
+
 def _names(measure: str, windows: Iterable[str]) -> dict[str, str]:
     return {feature_name(measure, w): w for w in windows}
 
@@ -294,12 +306,13 @@ def rolling_features(
             a = bounded_broadcast(a)
         tx_a = tx.join(a, "merchant_id")  # inner: also cuts the facts to the cohort
         if txn_count == "distinct":
-            daily_a = anchored_single_pass(tx_a).join(a, "merchant_id")
-            flag_names = list(_names("unique_payers", PAYER_WINDOWS)) + list(_names("txn_count", TXN_WINDOWS))
-            # the NULL-day row carries the flag sums; max picks it (others are 0)
+            # days count once (rank-1 copy); a row before any anchor is before the latest one
+            d, od = F.col("payment_date"), F.col("order_date")
+            first = F.col("_anchor_rank") == 1
+            cut = _cut_rows(tx_a, d < F.col("_max_od"), window_mask(d, od, MASK_WINDOWS), F.when(first, F.col("amount")))
             base = _daily_features(
-                daily_a, txn_from_daily=False, one_row_per_day=False,
-                extra=[F.coalesce(F.max(n), F.lit(0)).cast("bigint").alias(n) for n in flag_names],
+                _days_and_masks(cut, id_windows=True).join(a, "merchant_id"), txn_from_daily=False, one_row_per_day=False,
+                extra=_unpacked(MASK_WINDOWS, True, once=first),
             )
             return _assemble(base, [])
         daily_a = daily_rollup(tx.join(a, "merchant_id", "left_semi")).join(a, "merchant_id")
@@ -307,19 +320,13 @@ def rolling_features(
         lit = F.lit(as_of).cast("date").alias("order_date")
         daily_a = daily_rollup(tx).select("*", lit)
         tx_a = tx.select("*", lit)
-    # Rows on/after the anchor are outside every window: drop them before the
-    # flag aggregations (not before the merchant-level frame, which must keep
-    # every merchant with activity).
-    tx_before = tx_a.filter(F.col("payment_date") < F.col("order_date"))
-
     d, od = F.col("payment_date"), F.col("order_date")
     base = _daily_features(
         daily_a, txn_from_daily=(txn_count == "daily_sum"), one_row_per_day=(anchors is None)
     )
+    parts = [window_distinct_counts(tx_a, F.col("user"), d, od, _names("unique_payers", PAYER_WINDOWS))]
     if txn_count == "distinct":
-        parts = [payer_and_id_window_counts(tx_before, d, od)]
-    else:
-        parts = [window_distinct_counts(tx_before, F.col("user"), d, od, _names("unique_payers", PAYER_WINDOWS))]
+        parts.append(window_distinct_counts(tx_a, F.col("id"), d, od, _names("txn_count", TXN_WINDOWS)))
     return _assemble(base, parts)
 
 
@@ -377,59 +384,29 @@ def txn_features_asof(tables: Tables, as_of: dt.date, min_txns: int = 5) -> Data
 
 def activity_features_asof(tables: Tables, as_of: dt.date, min_txns: int = 5) -> DataFrame:
     """All 35 as-of features (transaction, payer and daily-peak families) from
-    ONE scan of the active base's transactions.
-
-    ``GROUPING SETS ((merchant, day, id), (merchant, day, payer), (merchant,
-    payer))``: the day-level sets give the daily rollup (value, distinct ids,
-    distinct payers per day) and the merchant-level set carries the payer
-    window flags; a (merchant, day) aggregate and a per-merchant aggregate
-    finish it.  Same values as txn_ + payer_ + max_daily_payers_features_asof.
+    ONE scan of the active base's transactions (``_days_and_masks``, then one aggregate per
+    merchant).  Same values as txn_ + payer_ + max_daily_payers_features_asof.
     """
     tx = _active_tx(tables, as_of, min_txns)
     od = F.lit(as_of).cast("date")
     d = F.col("payment_date")
-    payer_w = _names("unique_payers", PAYER_WINDOWS)
-    g = tx.groupingSets(
-        [["merchant_id", "payment_date", "id"], ["merchant_id", "payment_date", "user"], ["merchant_id", "user"]],
-        "merchant_id",
-        "payment_date",
-        "id",
-        "user",
-    ).agg(
-        F.grouping_id("merchant_id", "payment_date", "id", "user").alias("_g"),
-        F.sum("amount").alias("_amt"),
-        *[F.max(F.when(in_window(d, od, w), 1).otherwise(0)).alias(n) for n, w in payer_w.items()],
-    )
-    # grouping_id bits (merchant, day, id, user): 1 = (m, day, id), 2 = (m, day, user), 6 = (m, user)
-    g1, g2, g6 = (F.col("_g") == v for v in (1, 2, 6))
-    per_day = g.groupBy("merchant_id", "payment_date").agg(
-        F.sum(F.when(g1, F.col("_amt"))).alias("daily_tpv"),
-        F.count(F.when(g1 & F.col("id").isNotNull(), 1)).alias("daily_txns"),
-        F.count(F.when(g2 & F.col("user").isNotNull(), 1)).alias("daily_payees"),
-        *[F.sum(F.when(g6 & F.col("user").isNotNull(), F.col(n)).otherwise(0)).cast("bigint").alias(n) for n in payer_w],
-    )
+    cut = _cut_rows(tx, d < od, window_mask(d, od, MASK_WINDOWS), F.col("amount"))
     base = _daily_features(
-        per_day.select("*", od.alias("order_date")),
+        _days_and_masks(cut, id_windows=False).select("*", od.alias("order_date")),
         txn_from_daily=True,
-        one_row_per_day=True,  # the payer row has no day and never counts as a day
-        extra=[F.coalesce(F.max(n), F.lit(0)).cast("bigint").alias(n) for n in payer_w],
+        one_row_per_day=True,  # the rows of masks have no day and never count as days
+        extra=_unpacked(MASK_WINDOWS, False),
     )
     return _assemble(base, [])
 
 
 def payer_features_asof(tables: Tables, as_of: dt.date, min_txns: int = 5) -> DataFrame:
-    """Scoring: distinct payers per window (true window distinct)."""
+    """Scoring: distinct payers per window (true window distinct), from one scan; a merchant whose
+    rows are all outside the windows has zeros."""
     tx = _active_tx(tables, as_of, min_txns)
     od = F.lit(as_of).cast("date")
-    before = tx.filter(F.col("payment_date") < od)
-    counts = window_distinct_counts(
-        before, F.col("user"), F.col("payment_date"), od, _names("unique_payers", PAYER_WINDOWS)
-    )
-    merchants = tx.select("merchant_id").distinct()
-    names = list(_names("unique_payers", PAYER_WINDOWS))
-    return merchants.join(counts, "merchant_id", "left").select(
-        "merchant_id", *[F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c) for c in names]
-    )
+    names = _names("unique_payers", PAYER_WINDOWS)
+    return window_distinct_counts(tx, F.col("user"), F.col("payment_date"), od, names, keep_groups=True)
 
 
 def max_daily_payers_asof(tables: Tables, as_of: dt.date, min_txns: int = 5) -> DataFrame:

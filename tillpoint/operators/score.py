@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillpoint.config import RANK_ORDER, THRESHOLDS
-from tillpoint.functions.stats import quantiles
+from tillpoint.functions.stats import exact_quantiles
+from tillpoint.sources.sinks import stage
 
 
 def _avg_tpv() -> Column:
@@ -40,11 +41,11 @@ def with_recommendation(df: DataFrame, thresholds: dict = THRESHOLDS, order: tup
     return df.select("*", *[ranked[i]["name"].alias(f"p{i + 1}_recommendation") for i in range(len(order))])
 
 
-def iqr_fence(df: DataFrame, col: str, k: float = 3.0, exact: bool = True) -> DataFrame:
-    """Rows with ``q1 - k*iqr <= col <= q3 + k*iqr`` (quartiles from one
-    scalar subquery; exact linear interpolation by default)."""
-    q = df.select(quantiles(F.col(col), (0.25, 0.75), exact=exact)).scalar()
-    q1, q3 = q[0], q[1]
+def iqr_fence(df: DataFrame, col: str, k: float = 3.0) -> DataFrame:
+    """Rows with ``q1 - k*iqr <= col <= q3 + k*iqr`` (exact quartiles of the staged rows, linear
+    interpolation); no rows if the column has no values."""
+    df = stage(df)
+    q1, q3 = (F.lit(q).cast("double") for q in exact_quantiles(df, [col], (0.25, 0.75))[col])
     iqr = q3 - q1
     return df.filter((F.col(col) >= q1 - F.lit(k) * iqr) & (F.col(col) <= q3 + F.lit(k) * iqr))
 

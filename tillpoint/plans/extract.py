@@ -1,19 +1,23 @@
-"""Per-product extract: every training input written once (materialise-if-absent).
+"""Per-product extract: every training input written once, in restartable chunks.
 
-The source re-runs each query per key chunk and skips files that exist; here
-each extract is one Spark job over the whole key space, written with mode
-``stage_if_absent``: a re-run builds only what has no committed output.
+The source re-runs each query per key chunk and skips files that exist; here each extract is
+a few Spark jobs over key chunks with a manifest (``sources.extracts``): a re-run builds
+only the chunks that are missing, and all of them if the inputs or parameters changed.
 """
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import DataFrame
 
 from tillpoint.config import ProductSpec
 from tillpoint.operators import cohort, profile, rolling, sessions
-from tillpoint.sources.sinks import stage_if_absent
+from tillpoint.sources import extracts
 from tillpoint.sources.tables import Tables
 
+TASKS = ("task_history_v1", "task_history_v2")
+
 
 def run(
     tables: Tables,
@@ -22,16 +26,27 @@ def run(
     session_spec: ProductSpec | None = None,
     anchor_mode: str = "earliest",
     conversion_days: int = 7,
+    chunks: int = 1,
 ) -> dict[str, DataFrame]:
     base = f"{out_dir.rstrip('/')}/{spec.name}"
-    extracts = {
-        "push_merchants_in_application": lambda: cohort.push_converted(tables, spec, conversion_days),
-        "total_push_merchants": lambda: cohort.pushed_merchants(tables, spec),
-        "total_application_merchants": lambda: cohort.applied_merchants(tables, spec),
-        "merchant_data_mart": lambda: profile.merchant_profile(tables, spec),
-        "trxn": lambda: rolling.txn_features_train(tables, spec, anchor_mode),
-        "app": lambda: sessions.session_features_years(tables, session_spec or spec, spec.session_years, anchor_mode),
+    sspec = session_spec or spec
+    cohort_inputs = (*TASKS, spec.application_table)
+    # name -> (what it reads, how it is built from the tables or a chunk of them)
+    plans = {
+        "push_merchants_in_application": (cohort_inputs, lambda t: cohort.push_converted(t, spec, conversion_days)),
+        "total_push_merchants": (TASKS, lambda t: cohort.pushed_merchants(t, spec)),
+        "total_application_merchants": ((spec.application_table,), lambda t: cohort.applied_merchants(t, spec)),
+        "merchant_data_mart": ((*cohort_inputs, "merchant_mart"), lambda t: profile.merchant_profile(t, spec)),
+        "trxn": ((*cohort_inputs, "transactions"), lambda t: rolling.txn_features_train(t, spec, anchor_mode)),
+        "app": (
+            (*TASKS, sspec.application_table, "merchant_mart", "app_event"),
+            lambda t: sessions.session_features_years(t, sspec, sspec.session_years, anchor_mode),
+        ),
     }
     if spec.has_vintage:
-        extracts["vin"] = lambda: profile.vintage(tables, spec)
-    return {name: stage_if_absent(tables.spark, build, f"{base}/{name}") for name, build in extracts.items()}
+        plans["vin"] = ((*cohort_inputs, "merchant_mart"), lambda t: profile.vintage(t, spec))
+    parameters = [dataclasses.asdict(spec), dataclasses.asdict(sspec), anchor_mode, conversion_days, tables.date_floor]
+    return {
+        name: extracts.extract(tables, name, build, f"{base}/{name}", inputs, chunks, parameters)
+        for name, (inputs, build) in plans.items()
+    }

@@ -415,13 +415,11 @@ def session_rollup_asof(as_of: dt.date, min_txns: int, lookback: int = 31) -> st
 
 # --- profile ------------------------------------------------------------------
 def _profile_cols(precisions, vintage_as_of: dt.date | None) -> str:
-    from tillpoint.functions.geohash import geohash_sql
-
     cols = ["merchant_id", "mid", "actual_merchant_type"]
     if vintage_as_of is not None:
         cols.append(f"date_diff('day', CAST(merchant_created_at AS DATE), {lit_date(vintage_as_of)}) AS vintage")
     cols += ["area_name", "zone_name", "region_name", "territory_name", "merchant_created_at", "std_category AS business_category"]
-    cols += [f"{geohash_sql('integ_longitude', 'integ_latitude', p)} AS geohash{p}" for p in precisions]
+    cols += [f"{_geohash('integ_longitude', 'integ_latitude', p)} AS geohash{p}" for p in precisions]
     cols += ["swipe_flag", "speaker_flag", "loan_flag", "fp_flag", "club_flag", "qr_flag", "credit_flag", "debit_flag"]
     cols += ["actual_merchant_type AS merchant_acquisition_channel", "onboarding_date"]
     cols += [
@@ -632,6 +630,20 @@ def channel_label(as_of: dt.date, min_txns: int, min_rel: int, min_w1: int) -> s
 
 
 # --- feature matrices ------------------------------------------------------------
+def _geohash(lng: str, lat: str, precision: int) -> str:
+    """By text: both cells as binary digits, dealt in turn, and each five digits read as a number."""
+    def digits(v: str, least: int, width: int, n: int) -> str:
+        cell = f"greatest(0, least({2**n - 1}, CAST(floor(({v} + {-least}) * {float(2**n)} / {width}.0) AS BIGINT)))"
+        return f"lpad(bin({cell}), {n}, '0')"
+
+    n = 5 * precision
+    east, north = digits(lng, -180, 360, n - n // 2), digits(lat, -90, 180, n // 2)
+    dealt = f"array_to_string(list_transform(range({n}), lambda i: substr(CASE WHEN i % 2 = 0 THEN {east} ELSE {north} END, i // 2 + 1, 1)), '')"
+    five = " + ".join(f"{2 ** (4 - b)} * CAST(substr({dealt}, 5 * c + {b + 1}, 1) AS INTEGER)" for b in range(5))
+    letters = f"list_transform(range({precision}), lambda c: substr('0123456789bcdefghjkmnpqrstuvwxyz', {five} + 1, 1))"
+    return f"CASE WHEN {lng} IS NOT NULL AND {lat} IS NOT NULL THEN array_to_string({letters}, '') END"
+
+
 def compose(ctes: list[tuple[str, str]], body: str) -> str:
     """WITH over self-contained statements (each may carry its own WITH)."""
     return "WITH " + ",\n".join(f"{n} AS (\n{sql}\n)" for n, sql in ctes) + "\n" + body
@@ -675,7 +687,7 @@ def _rolling_cols() -> list[str]:
 def training_matrix(spec: ProductSpec, session_spec: ProductSpec, years, mode: str = "reference", drop_nulls: bool = True) -> str:
     from tillpoint.config import CATEGORICAL_FEATURES, RATIO_FEATURES
 
-    order_col = [] if spec.name in ("loan", "fp") else [f"{spec.name}_order_date"]
+    order_col = [spec.profile_date_col] if spec.profile_date_col else []
     prof_cols = [
         "actual_merchant_type", "area_name", "zone_name", "region_name", "territory_name",
         "business_category", "merchant_acquisition_channel",
@@ -909,9 +921,9 @@ SELECT merchant_id, loan_ltv FROM l WHERE loan_ltv = (SELECT MAX(loan_ltv) FROM
 
 
 # --- EDA over the training matrix --------------------------------------------------
-def rate_by_category(tm_sql: str, cols) -> str:
+def rate_by_category(tm_sql: str, cols, label: str = "target") -> str:
     parts = [
-        f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS category, 100.0 * AVG(target) AS propensity, "
+        f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS category, 100.0 * AVG({label}) AS propensity, "
         f"COUNT(merchant_id) AS n_merchants FROM tm WHERE {c} IS NOT NULL GROUP BY 2"
         for c in cols
     ]
@@ -927,7 +939,7 @@ def column_quartiles(tm_sql: str, cols) -> str:
     return compose([("tm", tm_sql)], "\nUNION ALL\n".join(parts))
 
 
-def rate_by_quartile_bin(tm_sql: str, cols) -> str:
+def rate_by_quartile_bin(tm_sql: str, cols, label: str = "target") -> str:
     parts = []
     for c in cols:
         v = f"CAST({c} AS DOUBLE)"
@@ -937,8 +949,8 @@ def rate_by_quartile_bin(tm_sql: str, cols) -> str:
         idx = f"CASE WHEN {v} IS NOT NULL AND {k} >= 1 AND {v} <= list_extract({e}, len({e})) THEN {k} END"
         parts.append(
             f"""SELECT '{c}' AS feature, CAST(bin AS BIGINT) AS bin, list_extract(e, bin) AS lo, list_extract(e, bin + 1) AS hi,
-  100.0 * AVG(target) AS propensity, COUNT(merchant_id) AS n_merchants
-FROM (SELECT merchant_id, target, {idx} AS bin, {e} AS e FROM tm) b WHERE bin IS NOT NULL GROUP BY bin, e"""
+  100.0 * AVG({label}) AS propensity, COUNT(merchant_id) AS n_merchants
+FROM (SELECT merchant_id, {label}, {idx} AS bin, {e} AS e FROM tm) b WHERE bin IS NOT NULL GROUP BY bin, e"""
         )
     return compose([("tm", tm_sql)], "\nUNION ALL\n".join(parts))
 
@@ -976,3 +988,62 @@ def activity_features_asof(as_of: dt.date, min_txns: int) -> str:
         "SELECT t.*, " + ", ".join("p." + c for c in payers) + ", " + ", ".join("p2." + c for c in maxpay)
         + " FROM t JOIN p ON t.merchant_id = p.merchant_id JOIN p2 ON t.merchant_id = p2.merchant_id",
     )
+
+
+# --- the scoring side by product -----------------------------------------------------
+def with_flags(sm_sql: str) -> str:
+    from tillpoint.sources.fixture_sql import CTES
+
+    return compose(
+        [("sm", sm_sql), ("mart", CTES["merchant_mart"])],
+        "SELECT sm.*, swipe_flag, speaker_flag, loan_flag FROM sm LEFT JOIN mart ON mart.merchant_id = sm.merchant_id",
+    )
+
+
+def by_product(statement, products) -> str:
+    """``statement(flag column)`` for every product, one below the other."""
+    return "\nUNION ALL\n".join(f"SELECT '{p}' AS product, x.* FROM (\n{statement(f'{p}_flag')}\n) x" for p in products)
+
+
+# --- all six products -----------------------------------------------------------------
+def product_cohorts(catalogue: dict[str, ProductSpec], days: int) -> str:
+    def count(sql: str) -> str:
+        return f"(SELECT count(*) FROM ({sql}) q)"
+
+    return "\nUNION ALL\n".join(
+        f"SELECT '{p}' AS product, {count(applied_merchants(s))} AS applied, {count(pushed_merchants(s))} AS pushed, "
+        f"{count(cohort_union(s))} AS cohort, {count(push_converted(s, days))} AS converted"
+        for p, s in catalogue.items()
+    )
+
+
+def product_anchors(catalogue: dict[str, ProductSpec]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{p}' AS product, merchant_id, order_date FROM ({anchor_dates(s, 'reference')}) q" for p, s in catalogue.items()
+    )
+
+
+# --- rows that a CSV copy rejects -------------------------------------------------------
+def csv_applications() -> str:
+    stamp = "strftime(created_at, '%Y-%m-%dT%H:%M:%S')"
+    return with_tables(f"""
+SELECT 'row' AS kind, merchant_id, created_at, agreement_at, status, CAST(NULL AS VARCHAR) AS record FROM application_loan
+UNION ALL
+SELECT 'rejected', NULL, NULL, NULL, NULL, CAST(merchant_id AS VARCHAR) || ',on ' || {stamp} || ',,' || status
+FROM application_loan WHERE merchant_id % 5 = 0
+UNION ALL
+SELECT 'rejected', NULL, NULL, NULL, NULL, 'M' || CAST(merchant_id AS VARCHAR) || ',' || {stamp} || ',,' || status
+FROM application_loan WHERE merchant_id % 7 = 0""")
+
+
+# --- matrices with holes ------------------------------------------------------------------
+def holed(sql: str) -> str:
+    return f"""
+SELECT * REPLACE (CASE WHEN merchant_id % 7 <> 0 THEN business_category END AS business_category,
+  CASE WHEN merchant_id % 11 <> 0 THEN geohash4 END AS geohash4,
+  CASE WHEN merchant_id % 4 <> 1 THEN manufacturer END AS manufacturer) FROM ({sql}) h"""
+
+
+def imputed(sm_sql: str, cols) -> str:
+    modes = {c: f"(SELECT {c} FROM sm WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)" for c in cols}
+    return compose([("sm", sm_sql)], "SELECT merchant_id, " + ", ".join(f"coalesce({c}, {m}) AS {c}" for c, m in modes.items()) + " FROM sm")

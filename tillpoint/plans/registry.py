@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from tillpoint.config import FIXTURE_AS_OF as AS_OF
 from tillpoint.config import FIXTURE_SPEC as SPEC
 import dataclasses
 
+from tillpoint.config import FIXTURE_CATALOGUE as CATALOGUE
 from tillpoint.config import FIXTURE_DATE_FLOOR, FIXTURE_PRODUCTS, FIXTURE_SESSION_RANGE
 from tillpoint.config import FIXTURE_CHANNEL_MIN_RELEVANT_APPS as MIN_REL
 from tillpoint.config import FIXTURE_CHANNEL_MIN_W1_SESSIONS as MIN_W1
@@ -26,7 +28,7 @@ from tillpoint.config import CATEGORICAL_FEATURES, SWEEP_THRESHOLDS
 from tillpoint.operators import apps, cohort, eda, evaluate, features, ml, profile, rolling, score, sessions
 from tillpoint.session import checkpoint_dir
 from tillpoint.sources.sinks import stage
-from tillpoint.plans import oracle
+from tillpoint.plans import oracle, scoring
 from tillpoint.sources.tables import Tables
 
 
@@ -344,21 +346,32 @@ def q_location_features(spark, sf):
     return _score_matrix(spark, sf).select("merchant_id", "geohash4", "loc_hash_density", "loc_hash_atv", "loc_hash_tpv")
 
 
+def _holed(df: DataFrame) -> DataFrame:
+    """A view of a matrix that lacks some categoricals (the fixture's merchants all have theirs)."""
+    k = F.col("merchant_id")
+    return df.withColumns({
+        "business_category": F.when(k % 7 != 0, F.col("business_category")),
+        "geohash4": F.when(k % 11 != 0, F.col("geohash4")),
+        "manufacturer": F.when(k % 4 != 1, F.col("manufacturer")),
+    })
+
+
 @register("drop_null_categoricals", lambda: oracle.over(
-    oracle.training_matrix(SPEC, SESSION_SPEC, TRAIN_YEARS, drop_nulls=False),
-    "merchant_id",
-) + " WHERE " + " OR ".join(f"{c} IS NULL" for c in CATEGORICAL_FEATURES))
+    oracle.holed(oracle.training_matrix(SPEC, SESSION_SPEC, TRAIN_YEARS, drop_nulls=False)), "merchant_id, target"
+) + " WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in CATEGORICAL_FEATURES))
 def q_drop_null_categoricals(spark, sf):
     m = features.training_matrix(_t(spark, sf), SPEC, SESSION_SPEC, TRAIN_YEARS, anchor_mode="reference", drop_nulls=False)
-    cond = None
-    for c in CATEGORICAL_FEATURES:
-        cond = F.col(c).isNull() if cond is None else cond | F.col(c).isNull()
-    return m.filter(cond).select("merchant_id")
+    return features.drop_null_categoricals(_holed(m)).select("merchant_id", "target")
 
 
-@register("mode_impute", lambda: oracle.column_modes(_score_sql(), CATEGORICAL_FEATURES))
+@register("mode_impute", lambda: oracle.imputed(oracle.holed(_score_sql()), CATEGORICAL_FEATURES))
 def q_mode_impute(spark, sf):
-    return features.column_modes(features.mode_impute(_score_matrix(spark, sf)))
+    return features.mode_impute(stage(_holed(_score_matrix(spark, sf)))).select("merchant_id", *CATEGORICAL_FEATURES)
+
+
+@register("column_modes", lambda: oracle.column_modes(oracle.holed(_score_sql()), CATEGORICAL_FEATURES))
+def q_column_modes(spark, sf):
+    return features.column_modes(_holed(_score_matrix(spark, sf)))
 
 
 # --- evaluation (on the scored fixture: target + probability per merchant) ------
@@ -448,9 +461,92 @@ def q_rate_by_top_geohash(spark, sf):
     return eda.rate_by_top_category(_tm(spark, sf), "geohash4", 50)
 
 
-@register("target_balance", lambda: oracle.over(_train_sql(), "target, COUNT(*) AS n") + " GROUP BY target")
+@register("target_balance", lambda: oracle.over(oracle.target_label(SPEC), "target, COUNT(*) AS n") + " GROUP BY target")
 def q_target_balance(spark, sf):
-    return eda.value_counts(_train_matrix(spark, sf), "target")
+    return eda.value_counts(cohort.target_label(_t(spark, sf), SPEC), "target")
+
+
+# --- the scoring side by product flag ---------------------------------------------------
+FLAG_LABELS = {p: f"{p}_flag" for p in ("swipe", "speaker", "loan")}
+
+
+def _flagged(spark, sf):
+    return scoring.with_flags(_t(spark, sf), _score_matrix(spark, sf))
+
+
+@register("scoring_rate_by_category", lambda: oracle.by_product(
+    lambda flag: oracle.rate_by_category(oracle.with_flags(_score_sql()), eda.SCORING_CATEGORY_COLS, flag), FLAG_LABELS))
+def q_scoring_rate_by_category(spark, sf):
+    return eda.rate_by_category(_flagged(spark, sf), eda.SCORING_CATEGORY_COLS, labels=FLAG_LABELS)
+
+
+@register("scoring_rate_by_quartile_bin", lambda: oracle.by_product(
+    lambda flag: oracle.rate_by_quartile_bin(oracle.with_flags(_score_sql()), eda.SCORING_EDA_COLS, flag), FLAG_LABELS))
+def q_scoring_rate_by_quartile_bin(spark, sf):
+    return eda.rate_by_quartile_bin(_flagged(spark, sf), eda.SCORING_EDA_COLS, labels=FLAG_LABELS)
+
+
+@register("product_flags", lambda: oracle.over(oracle.with_flags(_score_sql()), "merchant_id, swipe_flag, speaker_flag, loan_flag"))
+def q_product_flags(spark, sf):
+    return _flagged(spark, sf).select("merchant_id", *scoring.FLAG_COLS)
+
+
+# --- all six products, each on its own application table -----------------------------------
+@register("product_cohorts", lambda: oracle.product_cohorts(CATALOGUE, 60))
+def q_product_cohorts(spark, sf):
+    t = _t(spark, sf)
+    rows = []
+    for p, s in CATALOGUE.items():
+        plans = {
+            "applied": cohort.applied_merchants(t, s),
+            "pushed": cohort.pushed_merchants(t, s),
+            "cohort": cohort.cohort_union(t, s),
+            "converted": cohort.push_converted(t, s, 60),
+        }
+        rows += [df.select(F.lit(p).alias("product"), F.lit(k).alias("k")) for k, df in plans.items()]
+    counted = reduce(DataFrame.union, rows).groupBy("product").agg(
+        *[F.count_if(F.col("k") == k).alias(k) for k in ("applied", "pushed", "cohort", "converted")]
+    )
+    return counted
+
+
+@register("product_anchor_dates", lambda: oracle.product_anchors(CATALOGUE))
+def q_product_anchor_dates(spark, sf):
+    t = _t(spark, sf)
+    parts = [cohort.anchor_dates(t, s, mode="reference").select(F.lit(p).alias("product"), "*") for p, s in CATALOGUE.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+CLUB = dataclasses.replace(CATALOGUE["club"], events=SPEC.events)
+
+
+@register("training_matrix_club", lambda: oracle.training_matrix(CLUB, CLUB, TRAIN_YEARS))
+def q_training_matrix_club(spark, sf):
+    """A product with a date column, a table and task ids of its own."""
+    return features.training_matrix(_t(spark, sf), CLUB, CLUB, TRAIN_YEARS, anchor_mode="reference")
+
+
+# --- typed CSV source -----------------------------------------------------------------------
+@register("csv_applications", oracle.csv_applications)
+def q_csv_applications(spark, sf):
+    """The loan applications through a CSV copy that holds bad rows as well: the rows read back
+    with the declared schema, and the text of the rejected ones."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    app = _t(spark, sf).application_loan
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+    line = lambda *cells: F.concat_ws(",", *[F.coalesce(c.cast("string"), F.lit("")) for c in cells]).alias("value")
+    m, created, status, none = F.col("merchant_id"), stamp("created_at"), F.col("status"), F.lit("")
+    good = app.select(line(m, created, stamp("agreement_at"), status))
+    no_date = app.filter(m % 5 == 0).select(line(m, F.concat(F.lit("on "), created), none, status))
+    no_number = app.filter(m % 7 == 0).select(line(F.concat(F.lit("M"), m.cast("string")), created, none, status))
+    good.union(no_date).union(no_number).write.text(path)
+    t = Tables.from_csv(spark, {"application_loan": path}, header=False)
+    rows = t.application_loan.select(F.lit("row").alias("kind"), "*", F.lit(None).cast("string").alias("record"))
+    fields = [f for f in t.application_loan.schema]
+    bad = t.rejected("application_loan").select(
+        F.lit("rejected").alias("kind"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields], "record"
+    )
+    return rows.unionByName(bad)
 
 
 def _audit_sql():
@@ -481,46 +577,59 @@ def _split(spark, sf):
     return ml.stratified_split(_tm(spark, sf), "target", 0.25, seed=0)
 
 
-def _ranked_sql(rule: str) -> str:
-    """Matrix rows whose seeded-hash rank in their class meets ``rule``."""
+def _ranked_sql(rule: str, sql: str) -> str:
+    """Rows whose seeded-hash rank in their class meets ``rule``."""
     return f"""
-WITH tm AS (SELECT merchant_id, target FROM ({_train_sql()}) t0),
+WITH tm AS (SELECT merchant_id, target FROM ({sql}) t0),
 r AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY CAST('0x' || substr(md5(CAST(merchant_id AS VARCHAR) || ':0'), 1, 15) AS BIGINT)) AS k,
       count(*) OVER (PARTITION BY target) AS n FROM tm),
 s AS (SELECT *, min(n) OVER () AS least, max(target) OVER () <> min(target) OVER () AS two_classes FROM r)
 SELECT merchant_id, target FROM s WHERE {rule}"""
 
 
-@register("stratified_split", lambda: _ranked_sql("k <= CAST(floor(0.25 * n + 0.5) AS BIGINT)"))
+@register("stratified_split", lambda: _ranked_sql("k <= CAST(floor(0.25 * n + 0.5) AS BIGINT)", _train_sql()))
 def q_stratified_split(spark, sf):
     train, test = _split(spark, sf)
     return test.select("merchant_id", "target")
 
 
-@register("downsample_negatives", lambda: _ranked_sql("target <> 0 OR NOT two_classes OR k <= least"))
+@register("downsample_negatives", lambda: _ranked_sql(
+    "target <> 0 OR NOT two_classes OR k <= least", oracle.target_label(CATALOGUE["swipe"])))
 def q_downsample_negatives(spark, sf):
-    return ml.downsample_negatives(_tm(spark, sf), "target", seed=0).select("merchant_id", "target")
+    """On the labels of a product with fewer applicants than pushed merchants."""
+    labels = stage(cohort.target_label(_t(spark, sf), CATALOGUE["swipe"]))
+    return ml.downsample_negatives(labels, "target", seed=0).select("merchant_id", "target")
 
 
 def _model(spark, sf):
     """Train from the tables, save, and load again: (model, hold-out rows)."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/models/{SPEC.name}-{uuid.uuid4().hex}"
     train, test = _split(spark, sf)
-    ml.save(ml.train_gbt(train), path)
-    return ml.load(path), test
+    ml.save(ml.train_gbt(train), path, SPEC.name)
+    return ml.load(path, SPEC.name), test
 
 
 @register("train_gbt", None)
 def q_train_gbt(spark, sf):
-    return ml.round_losses(*_model(spark, sf))
+    return ml.round_metrics(*_model(spark, sf))
 
 
 @register("score_merchants", None)
 def q_score_merchants(spark, sf):
-    model, _ = _model(spark, sf)
-    sm = _score_matrix(spark, sf)
-    x = sm.withColumnRenamed("w1_swipe_sessions", "w1_sessions").withColumnRenamed("m1_swipe_sessions", "m1_sessions")
-    return ml.score(model, x.select("merchant_id", *ml.MODEL_FEATURES), "prob_swipe").select("merchant_id", "prob_swipe")
+    """Three products' models, each trained on its own labels and sessions, on the active base:
+    probabilities, flags, LTV and the ranked recommendation."""
+    t = _t(spark, sf)
+    paths = {}
+    for p, events in PRODUCT_EVENTS.items():
+        spec = dataclasses.replace(CATALOGUE[p], events=events, event_pattern=None)
+        session_spec = dataclasses.replace(spec, application_table="application_recent", order_date_col="order_date", statuses=SPEC.statuses)
+        m = stage(features.training_matrix(t, spec, session_spec, TRAIN_YEARS, anchor_mode="reference"))
+        paths[p] = f"{checkpoint_dir(spark).rstrip('/')}/models/{p}-{uuid.uuid4().hex}"
+        ml.save(ml.train_gbt(ml.stratified_split(m, "target", 0.25, seed=0)[0]), paths[p], p)
+    scored = scoring.with_flags(t, scoring.score_products(stage(_score_matrix(spark, sf)), paths))
+    final = score.with_recommendation(score.with_ltv(scored))
+    cols = [f"prob_{p}" for p in PRODUCT_EVENTS] + list(scoring.FLAG_COLS) + ["loan_ltv", "speaker_ltv", "swipe_ltv", "mltv"]
+    return final.select("merchant_id", *cols, "p1_recommendation", "p2_recommendation", "p3_recommendation")
 
 
 @register("feature_importance", None)

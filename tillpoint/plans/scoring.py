@@ -22,13 +22,20 @@ FLAG_COLS = ("swipe_flag", "speaker_flag", "loan_flag")
 
 
 def score_products(matrix: DataFrame, model_paths: dict[str, str]) -> DataFrame:
+    """``matrix`` with ``prob_<product>`` of every product's saved model; each model gets its own
+    product's session columns under the shared names, and checks its contract."""
     out = matrix
     for product, path in model_paths.items():
-        model = ml.load(path)
+        model = ml.load(path, product)
         # one frame, model after model: only the session columns change names
         x = out.withColumns({"w1_sessions": F.col(f"w1_{product}_sessions"), "m1_sessions": F.col(f"m1_{product}_sessions")})
-        out = ml.score(model, x, f"prob_{product}").drop("w1_sessions", "m1_sessions")
-    return out
+        out = ml.score(model, ml.in_order(x, model.contract.features), f"prob_{product}").drop("w1_sessions", "m1_sessions")
+    return ml.in_order(out, [*matrix.columns, *[f"prob_{p}" for p in model_paths]])
+
+
+def with_flags(tables: Tables, df: DataFrame) -> DataFrame:
+    """``df`` with the mart's product flags (NULL for a merchant the mart lacks)."""
+    return df.join(tables.merchant_mart.select("merchant_id", *FLAG_COLS), "merchant_id", "left")
 
 
 def run(
@@ -44,9 +51,7 @@ def run(
     products = {p: PRODUCTS[p].events for p in ("swipe", "loan", "speaker")}
     matrix = stage(features.scoring_matrix(tables, as_of, products, min_txns))
     scored = score_products(matrix, model_paths)
-    flags = tables.merchant_mart.select("merchant_id", *FLAG_COLS)
-    scored = scored.join(flags, "merchant_id", "left")
-    scored = score.with_recommendation(score.with_ltv(scored))
+    scored = score.with_recommendation(score.with_ltv(with_flags(tables, scored)))
     digital = apps.digital_merchants(
         apps.app_features(tables, as_of, min_txns), min_relevant=min_relevant_apps, min_w1=min_w1_sessions
     )

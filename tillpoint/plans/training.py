@@ -34,7 +34,7 @@ def run(
     data = ml.downsample_negatives(matrix, "target", seed) if downsample else matrix
     train, test = ml.stratified_split(data, "target", 0.25, seed)
     model = ml.train_gbt(train, seed=seed, **(gbt_kwargs or {}))
-    ml.save(model, f"{out_dir}/model")
+    ml.save(model, f"{out_dir}/model", spec.name)
     scored = stage(ml.score(model, test.select("merchant_id", "target", *ml.MODEL_FEATURES), "prob"))
     outputs = {
         "training_matrix": matrix,
@@ -43,7 +43,7 @@ def run(
         "roc_curve": evaluate.roc_curve(scored),
         "roc_auc": evaluate.roc_auc(scored),
         "accuracy": evaluate.accuracy(scored, 0.85),
-        "round_losses": ml.round_losses(model, test),
+        "round_metrics": ml.round_metrics(model, test),
         "feature_importance": ml.feature_importance(model, 20),
         "rate_by_category": eda.rate_by_category(matrix),
         "rate_by_quartile_bin": eda.rate_by_quartile_bin(matrix),

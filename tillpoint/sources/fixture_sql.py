@@ -10,7 +10,20 @@ from __future__ import annotations
 
 import re
 
-from tillpoint.config import FIXTURE_EVENT_SHIFT_DAYS
+from tillpoint.config import FIXTURE_APPLICATIONS, FIXTURE_EVENT_SHIFT_DAYS, FIXTURE_TASK_IDS
+
+_TASK_ID = f"CASE WHEN l_linenumber <= 4 THEN 16 ELSE [{', '.join(map(str, FIXTURE_TASK_IDS))}][l_partkey % {len(FIXTURE_TASK_IDS)} + 1] END"
+
+
+def _application_of(quantity: int, date_col: str | None, statuses: tuple[str, ...]) -> str:
+    names = ", ".join(f"'{x}'" for x in statuses)
+    date = f"CASE WHEN l_tax <= 0.06 THEN l_shipdate END AS {date_col}, " if date_col else ""
+    return f"""
+SELECT l_suppkey AS merchant_id, l_shipdate AS created_at, {date}[{names}][l_linenumber % {len(statuses)} + 1] AS status
+FROM lineitem
+WHERE l_shipdate >= TIMESTAMP '2000-01-01' AND l_quantity BETWEEN {quantity} AND {quantity + 1}
+  AND l_discount >= 0.07 AND l_suppkey % 3 <> 0"""
+
 
 CTES: dict[str, str] = {
     "transactions": """
@@ -33,15 +46,15 @@ SELECT l_suppkey AS merchant_id, l_shipdate AS created_at, l_shipdate AS order_d
        CASE WHEN l_linestatus = 'F' THEN 'ORDERED' ELSE 'CANCELLED' END AS status
 FROM lineitem
 WHERE l_shipdate >= TIMESTAMP '2001-07-10' AND l_quantity >= 25""",
-    "task_history_v1": """
+    "task_history_v1": f"""
 SELECT l_suppkey AS merchant_id, l_shipdate AS created_at,
-       CAST(CASE WHEN l_linenumber <= 4 THEN 16 ELSE 18 END AS BIGINT) AS task_id
+       CAST({_TASK_ID} AS BIGINT) AS task_id
 FROM lineitem
 WHERE l_shipdate >= TIMESTAMP '2000-01-01' AND l_quantity BETWEEN 40 AND 43
   AND l_discount >= 0.07 AND l_suppkey % 3 <> 0""",
-    "task_history_v2": """
+    "task_history_v2": f"""
 SELECT l_suppkey AS merchant_id, l_shipdate AS created_at,
-       CAST(CASE WHEN l_linenumber <= 4 THEN 16 ELSE 18 END AS BIGINT) AS task_id
+       CAST({_TASK_ID} AS BIGINT) AS task_id
 FROM lineitem
 WHERE l_shipdate >= TIMESTAMP '2000-06-01' AND l_quantity BETWEEN 36 AND 39
   AND l_discount >= 0.07 AND l_suppkey % 4 <> 0""",
@@ -55,8 +68,8 @@ SELECT s.s_suppkey AS merchant_id,
        'TERR_' || CAST(s.s_suppkey % 6 AS VARCHAR) AS territory_name,
        CAST(DATE '2000-01-01' + CAST(s.s_suppkey * 97 % 540 AS INTEGER) AS TIMESTAMP) AS merchant_created_at,
        'CAT_' || CAST(s.s_suppkey % 8 AS VARCHAR) AS std_category,
-       CAST(s.s_suppkey * 7919 % 36000 AS DOUBLE) / 100.0 - 180.0 AS integ_longitude,
-       CAST(s.s_suppkey * 104729 % 18000 AS DOUBLE) / 100.0 - 90.0 AS integ_latitude,
+       CAST(s.s_suppkey % 25 * 7919 % 36000 AS DOUBLE) / 100.0 - 180.0 AS integ_longitude,
+       CAST(s.s_suppkey % 25 * 104729 % 18000 AS DOUBLE) / 100.0 - 90.0 AS integ_latitude,
        CAST(s.s_suppkey % 2 = 0 AS INTEGER) AS swipe_flag,
        CAST(s.s_suppkey % 3 = 0 AS INTEGER) AS speaker_flag,
        CAST(s.s_suppkey % 5 = 0 AS INTEGER) AS loan_flag,
@@ -103,19 +116,22 @@ FROM (
   FROM (
     SELECT event_id, user_id, ts,
            CASE event_type WHEN 'view' THEN 'Paytm' WHEN 'click' THEN 'PhonePe'
-                WHEN 'purchase' THEN 'Khatabook' WHEN 'signup' THEN 'CRED' ELSE 'OtherApp' END AS app
+                WHEN 'purchase' THEN 'Khatabook' WHEN 'signup' THEN 'CRED'
+                ELSE 'OtherApp' || CAST(event_id % 4 AS VARCHAR) END AS app
     FROM events) e
   GROUP BY 1, 2) g""",
     "device_info": """
 SELECT s_suppkey AS merchant_id,
-       CASE s_suppkey % 7 WHEN 0 THEN 'Samsung' WHEN 1 THEN 'VIVO' WHEN 2 THEN 'TECNO MOBILE LIMITED'
-            WHEN 3 THEN 'HMD Global' WHEN 4 THEN 'unknownbrand' WHEN 5 THEN 'xiaomi' END AS manufacturer
+       CASE WHEN s_suppkey % 2 = 1 THEN 'Brand ' || CAST(s_suppkey % 31 AS VARCHAR) ELSE
+         CASE s_suppkey % 7 WHEN 0 THEN 'Samsung' WHEN 1 THEN 'VIVO' WHEN 2 THEN 'TECNO MOBILE LIMITED'
+            WHEN 3 THEN 'HMD Global' WHEN 4 THEN 'unknownbrand' WHEN 5 THEN 'xiaomi' END END AS manufacturer
 FROM supplier WHERE s_suppkey % 11 <> 0""",
     "scored": """
 SELECT c_custkey AS merchant_id,
        CAST(c_custkey % 3 = 0 AS INTEGER) AS target,
-       CAST(c_custkey * 7919 % 1000 AS DOUBLE) / 1000.0 AS prob
+       CAST(c_custkey * 7919 % 1300 AS DOUBLE) / 1300.0 AS prob
 FROM customer""",
+    **{f"application_{name}": _application_of(*view) for name, view in FIXTURE_APPLICATIONS.items()},
 }
 
 

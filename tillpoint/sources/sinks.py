@@ -3,15 +3,17 @@
 * ``stage``: cut lineage of an intermediate that several later plans read
   (reliable checkpoint in the shared folder named by ``spark.checkpoint.dir``;
   never a machine-local folder, never a local checkpoint).
-* ``stage_if_absent``: materialise-if-absent, the extract step of the source
-  pipeline (build only if no committed output is there, then read back).
-* ``write_table`` / ``export_csv``: replace a table / write a headed CSV export.
+* ``write_table`` / ``overwrite_partitions``: replace a catalogue table (partitioned,
+  bucketed) or some of its partitions; ``publish_facts`` lays the facts out.
+* ``export_csv``: write a headed CSV export.
+
+Materialise-if-absent, the extract step of the source pipeline, is in ``sources.extracts``.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -54,21 +56,54 @@ def is_committed(spark: SparkSession, path: str) -> bool:
     return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
 
 
-def stage_if_absent(spark: SparkSession, build: Callable[[], DataFrame], path: str) -> DataFrame:
-    """The committed rows at ``path``; only if there are none, ``build`` them first.  An output
-    without its commit marker is unfinished and is written anew."""
-    if not is_committed(spark, path):
-        build().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
-def write_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
+def write_table(
+    df: DataFrame,
+    name: str,
+    partition_by: Sequence[str] = (),
+    bucket_by: str | None = None,
+    buckets: int = 0,
+) -> None:
+    """Replace a catalogue table.  With ``bucket_by`` its rows are dealt to ``buckets`` files of
+    each partition by that key and sorted by it, so joins and groupings by the key need no
+    exchange.  Each bucket of a partition is one task's (and file's), so a key that holds a
+    third of all rows is written by as many tasks as there are partitions."""
+    if bucket_by:
+        df = df.repartition(F.pmod(F.hash(bucket_by), F.lit(buckets)), *partition_by)  # the bucket's number
     w = df.write.mode("overwrite").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if bucket_by:
+        w = w.bucketBy(buckets, bucket_by).sortBy(bucket_by)
     w.saveAsTable(name)
 
 
+def overwrite_partitions(df: DataFrame, name: str) -> None:
+    """Replace only those partitions of a table that ``df`` has rows of; columns go by name."""
+    spark = df.sparkSession
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(mode, before)
+
+
+def publish_facts(tables, database: str, buckets: int) -> dict[str, str]:
+    """Lay the fact and mart tables out for the plans of this package, as catalogue tables
+    (logical name -> table): transactions by month and merchant, the mart by merchant.
+    Read back with ``Tables.from_catalog(..., months=MONTHS)``."""
+    names = {n: f"{database}.{n}" for n in ("transactions", "merchant_mart")}
+    tx = tables.get("transactions").withColumn("payment_month", F.trunc("payment_timestamp", "month"))
+    write_table(tx, names["transactions"], ["payment_month"], "merchant_id", buckets)
+    write_table(tables.get("merchant_mart"), names["merchant_mart"], (), "merchant_id", buckets)
+    return names
+
+
+#: The month column that goes with a timestamp of a published table.
+MONTHS = {("transactions", "payment_timestamp"): "payment_month"}
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

@@ -11,6 +11,7 @@ column pruning still reach the parquet scans.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass, field
 from typing import Callable
 
@@ -18,12 +19,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillpoint.config import FIXTURE_EVENT_SHIFT_DAYS
+from tillpoint.config import FIXTURE_APPLICATIONS, FIXTURE_DATE_FLOOR, FIXTURE_EVENT_SHIFT_DAYS, FIXTURE_TASK_IDS
 
+#: The application table of each product; their date columns differ (``SCHEMAS``).
+APPLICATION_TABLES = (
+    "application_swipe",
+    "application_speaker",
+    "application_loan",
+    "application_club",
+    "application_fp",
+    "application_card",
+)
 LOGICAL_TABLES = (
     "transactions",
     "application",
     "application_recent",
+    *APPLICATION_TABLES,
     "task_history_v1",
     "task_history_v2",
     "merchant_mart",
@@ -33,9 +44,49 @@ LOGICAL_TABLES = (
     "scored",
 )
 
+
+
+def _application(*dates: str) -> T.StructType:
+    fields = [T.StructField("merchant_id", T.LongType()), T.StructField("created_at", T.TimestampNTZType())]
+    fields += [T.StructField(c, T.TimestampNTZType()) for c in dates]
+    return T.StructType([*fields, T.StructField("status", T.StringType())])
+
+
+_TYPES = {
+    "bigint": T.LongType(),
+    "string": T.StringType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "double": T.DoubleType(),
+    "int": T.IntegerType(),
+    "date": T.DateType(),
+}
+
+
+def _typed(columns: str) -> T.StructType:
+    """``name type, name type, ...`` (needs no session, unlike a DDL string)."""
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in (c.split() for c in columns.split(","))])
+
+
 # Declared schemas of the logical tables (production sources are read with
 # these, never inferred).
 SCHEMAS = {
+    "application_swipe": _application("order_date"),
+    "application_speaker": _application("order_date"),
+    "application_loan": _application("agreement_at"),
+    "application_club": _application(),
+    "application_fp": _application(),
+    "application_card": _application(),
+    "application_recent": _application("order_date"),
+    "merchant_mart": _typed(
+        """merchant_id bigint, mid string, actual_merchant_type string, area_name string, zone_name string,
+        region_name string, territory_name string, merchant_created_at timestamp_ntz, std_category string,
+        integ_longitude double, integ_latitude double, swipe_flag int, speaker_flag int, loan_flag int, fp_flag int,
+        club_flag int, qr_flag int, credit_flag int, debit_flag int, onboarding_date date, lending_eligibility int,
+        lending_eligibility_type string, swipe_eligibility int, fp_eligibility int, insurance_eligibility int,
+        club_eligibility int, gl_eligibility int, speaker_eligibility int, merchant_score double,
+        engagement_score double, loan_disbursal_date date, loan_closure_date date, swipe_order_date date,
+        speaker_order_date date, club_start_date date, club_end_date date"""
+    ),
     "transactions": T.StructType(
         [
             T.StructField("id", T.LongType()),
@@ -93,6 +144,41 @@ SCHEMAS = {
 }
 
 
+#: The text of a row that does not meet its table's schema.
+CORRUPT = "_corrupt_record"
+
+
+def declared_schema(logical: str) -> T.StructType:
+    return SCHEMAS["task_history" if logical.startswith("task_history") else logical]
+
+
+def _read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool) -> DataFrame:
+    df = (
+        spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
+        .option("header", header)
+        .option("enforceSchema", False)  # a header with other names is an error, not a shift
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("columnPruning", False)
+        .csv(path)
+    )
+    # counts of all columns go to the session's listeners; they also keep every column in the scan
+    counts = [F.count(c).alias(c) for c in schema.fieldNames()]
+    return df.observe(f"csv_{uuid.uuid4().hex[:12]}", F.count(CORRUPT).alias("rejected"), *counts)
+
+
+def unique_by(df: DataFrame, key: str, what: str) -> DataFrame:
+    """``df`` with one row per ``key``; a second row fails the job that reads the result.
+
+    The check is part of the key's expression, so no plan prunes it; the aggregate is keyed as
+    the joins that follow it, which then need no exchange of their own."""
+    rest = [c for c in df.columns if c != key]
+    counted = df.groupBy(key).agg(*[F.first(c).alias(c) for c in rest], F.count(F.lit(1)).alias("_rows"))
+    message = F.concat(F.lit(f"{what}: more than one row with {key} = "), F.coalesce(F.col(key).cast("string"), F.lit("NULL")))
+    checked = F.when(F.col("_rows") == 1, F.col(key)).otherwise(F.raise_error(message).cast(df.schema[key].dataType))
+    return counted.select(*[checked.alias(key) if c == key else F.col(c) for c in df.columns])
+
+
 @dataclass
 class Tables:
     """Resolver from logical table name to DataFrame."""
@@ -113,6 +199,13 @@ class Tables:
     def get(self, name: str) -> DataFrame:
         return self.loaders[name]()
 
+    def since(self, name: str, column: str, day: dt.date) -> DataFrame:
+        """Rows of a table from ``day`` on; months before it are pruned if the table has them as
+        partitions, and the comparison reaches the scan."""
+        df = self.get(name).filter(F.col(column) >= _ts(day))
+        month = self.__dict__.get("months", {}).get((name, column))
+        return df.filter(F.col(month) >= F.lit(day.replace(day=1))) if month else df
+
     def memo(self, key, build: Callable[[], DataFrame], staged: bool = True) -> DataFrame:
         """Build a derived frame once per Tables object (optionally staged).
 
@@ -132,26 +225,63 @@ class Tables:
 
     # -- constructors -----------------------------------------------------
     @classmethod
-    def from_catalog(cls, spark: SparkSession, names: dict[str, str]) -> "Tables":
-        """Production: ``names`` maps logical name -> metastore table name."""
+    def from_catalog(
+        cls, spark: SparkSession, names: dict[str, str], months: dict[tuple[str, str], str] | None = None
+    ) -> "Tables":
+        """Production: ``names`` maps logical name -> metastore table name.  ``months`` names the
+        partition column (first day of the month) of a table's timestamp, see :meth:`since`."""
         loaders: dict[str, Callable[[], DataFrame]] = {}
         for logical, physical in names.items():
             loaders[logical] = (lambda p=physical: spark.table(p))
-        return cls(spark, loaders)
+        out = cls(spark, loaders)
+        out.months = months or {}
+        return out
 
     @classmethod
     def from_paths(cls, spark: SparkSession, paths: dict[str, str]) -> "Tables":
         """Production from parquet folders with declared schemas."""
         loaders = {}
         for logical, path in paths.items():
-            key = "task_history" if logical.startswith("task_history") else logical
-            schema = SCHEMAS.get(key)
-            if schema is not None:
-                loaders[logical] = (lambda p=path, s=schema: spark.read.schema(s).parquet(p))
-            else:
-                loaders[logical] = (lambda p=path: spark.read.parquet(p))
+            schema = declared_schema(logical)
+            loaders[logical] = (lambda p=path, s=schema: spark.read.schema(s).parquet(p))
         return cls(spark, loaders)
 
+    @classmethod
+    def from_csv(cls, spark: SparkSession, paths: dict[str, str], header: bool = True) -> "Tables":
+        """Production from CSV files with declared schemas.
+
+        A row with too few or too many fields, or a field that is not of its type, is no row of
+        the table; :meth:`rejected` has its text.  Every field of a row is parsed, whichever
+        columns a plan reads, so a plan's columns never decide what counts as a bad row."""
+        parsed = {
+            logical: (lambda p=path, n=logical: _read_csv(spark, p, declared_schema(n), header)) for logical, path in paths.items()
+        }
+        loaders = {
+            logical: (lambda f=frame: (lambda df: df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT))(f())) for logical, frame in parsed.items()
+        }
+        out = cls(spark, loaders)
+        out.parsed = parsed
+        return out
+
+    def rejected(self, name: str) -> DataFrame:
+        """The rejected rows of a CSV table: its columns as far as they could be read, and the
+        row's text as ``record``."""
+        df = self.__dict__["parsed"][name]()
+        return df.filter(F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "record")
+
+    def chunk(self, partitions: int, index: int) -> "Tables":
+        """The same tables, those with merchants cut to ``MOD(merchant_id, partitions) = index``.
+        Every extract is keyed by merchant, so its chunks are disjoint and their union is the
+        whole but for NULL and negative keys off the modulus, as in SQL."""
+
+        def cut(load):
+            df = load()
+            return df.filter(F.col("merchant_id") % partitions == index) if "merchant_id" in df.columns else df
+
+        out = Tables(self.spark, {n: (lambda f=f: cut(f)) for n, f in self.loaders.items()}, self.date_floor)
+        out.months = self.__dict__.get("months", {})
+        return out
+
     @classmethod
     def from_fixture(cls, spark: SparkSession, sf_dir: str) -> "Tables":
         """Driver's synthetic tables -> logical tables (FIXTURES.md §2)."""
@@ -160,6 +290,7 @@ class Tables:
             "transactions": raw.transactions,
             "application": raw.application,
             "application_recent": raw.application_recent,
+            **{f"application_{p}": (lambda p=p: raw.application_of(p)) for p in FIXTURE_APPLICATIONS},
             "task_history_v1": raw.task_history_v1,
             "task_history_v2": raw.task_history_v2,
             "merchant_mart": raw.merchant_mart,
@@ -168,8 +299,6 @@ class Tables:
             "device_info": raw.device_info,
             "scored": raw.scored,
         }
-        from tillpoint.config import FIXTURE_DATE_FLOOR
-
         return cls(spark, loaders, FIXTURE_DATE_FLOOR)
 
 
@@ -227,6 +356,23 @@ class _RawFixture:
             _app_status(),
         )
 
+    def application_of(self, product: str) -> DataFrame:
+        """One product's applications: a quantity of its own, its date column and its statuses."""
+        quantity, date_col, statuses = FIXTURE_APPLICATIONS[product]
+        li = self._lineitem_filtered(
+            (F.col("l_shipdate") >= _ts(dt.date(2000, 1, 1)))
+            & F.col("l_quantity").between(quantity, quantity + 1)
+            & (F.col("l_discount") >= 0.07)
+            & (F.col("l_suppkey") % 3 != 0)
+        )
+        status = F.lit(statuses[-1])
+        for k, x in enumerate(statuses[:-1]):
+            status = F.when(F.col("l_linenumber") % len(statuses) == k, F.lit(x)).otherwise(status)
+        cols = [F.col("l_suppkey").alias("merchant_id"), F.col("l_shipdate").alias("created_at")]
+        if date_col:
+            cols.append(F.when(F.col("l_tax") <= 0.06, F.col("l_shipdate")).alias(date_col))
+        return li.select(*cols, status.alias("status"))
+
     def _tasks(self, since: dt.date, qlo: int, qhi: int, mod: int) -> DataFrame:
         li = self._lineitem_filtered(
             (F.col("l_shipdate") >= _ts(since))
@@ -237,7 +383,10 @@ class _RawFixture:
         return li.select(
             F.col("l_suppkey").alias("merchant_id"),
             F.col("l_shipdate").alias("created_at"),
-            F.when(F.col("l_linenumber") <= 4, F.lit(16)).otherwise(F.lit(18)).cast("bigint").alias("task_id"),
+            F.when(F.col("l_linenumber") <= 4, F.lit(16))
+            .otherwise(F.element_at(F.array(*map(F.lit, FIXTURE_TASK_IDS)), (F.col("l_partkey") % len(FIXTURE_TASK_IDS) + 1).cast("int")))
+            .cast("bigint")
+            .alias("task_id"),
         )
 
     def task_history_v1(self) -> DataFrame:
@@ -263,8 +412,8 @@ class _RawFixture:
             F.concat(F.lit("TERR_"), (k % 6).cast("string")).alias("territory_name"),
             created.cast("timestamp_ntz").alias("merchant_created_at"),
             F.concat(F.lit("CAT_"), (k % 8).cast("string")).alias("std_category"),
-            ((k * 7919 % 36000) / 100.0 - 180.0).alias("integ_longitude"),
-            ((k * 104729 % 18000) / 100.0 - 90.0).alias("integ_latitude"),
+            (((k % 25) * 7919 % 36000) / 100.0 - 180.0).alias("integ_longitude"),  # 25 places, shared
+            (((k % 25) * 104729 % 18000) / 100.0 - 90.0).alias("integ_latitude"),
             (k % 2 == 0).cast("int").alias("swipe_flag"),
             (k % 3 == 0).cast("int").alias("speaker_flag"),
             (k % 5 == 0).cast("int").alias("loan_flag"),
@@ -321,7 +470,7 @@ class _RawFixture:
             .when(F.col("event_type") == "click", "PhonePe")
             .when(F.col("event_type") == "purchase", "Khatabook")
             .when(F.col("event_type") == "signup", "CRED")
-            .otherwise("OtherApp")
+            .otherwise(F.concat(F.lit("OtherApp"), (F.col("event_id") % 4).cast("string")))
         )
         item = F.concat(
             F.lit("{'appName': '"), app, F.lit("', 'packageName': 'com."), F.lower(app), F.lit("'}")
@@ -340,8 +489,9 @@ class _RawFixture:
     def device_info(self) -> DataFrame:
         s = self.read("supplier").filter(F.col("s_suppkey") % 11 != 0)
         k = F.col("s_suppkey") % 7
-        man = (
-            F.when(k == 0, "Samsung")
+        man = (  # odd suppliers spread over more brands than a top 20 holds
+            F.when(F.col("s_suppkey") % 2 == 1, F.concat(F.lit("Brand "), (F.col("s_suppkey") % 31).cast("string")))
+            .when(k == 0, "Samsung")
             .when(k == 1, "VIVO")
             .when(k == 2, "TECNO MOBILE LIMITED")
             .when(k == 3, "HMD Global")
@@ -356,7 +506,7 @@ class _RawFixture:
         return c.select(
             k.alias("merchant_id"),
             (k % 3 == 0).cast("int").alias("target"),
-            ((k * 7919 % 1000) / 1000.0).alias("prob"),
+            ((k * 7919 % 1300) / 1300.0).alias("prob"),
         )
 
 
