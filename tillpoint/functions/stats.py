@@ -23,26 +23,24 @@ from tillpoint.sources.sinks import stage
 
 QUARTILES = (0.0, 0.25, 0.5, 0.75, 1.0)
 ROUND_BITS = 16
+COLUMNS_A_SCAN = 6
 
 _LEAST_NORMAL = 2.0**-1022
 _INF_BITS = 0x7FF0000000000000
 _NAN_BITS = 0x7FF8000000000000
 
 
-def ordered_bits(x: Column) -> Column:
-    """A bigint with the order of the double ``x``: its IEEE 754 bits, negated for a negative one.
+def _guess(size: Column) -> Column:
+    return F.floor(F.log2(size)).cast("double")
 
-    The exponent is the logarithm's floor, put right by comparing with exact powers of two; the
-    quotient by that power and the scaled fraction are exact.  Both zeros give 0; NaN comes last,
-    as in Spark's order; NULL stays NULL."""
-    x = x.cast("double")
-    size = F.abs(x)
-    guess = F.floor(F.log2(size)).cast("double")
+
+def _exponent(size: Column, guess: Column) -> Column:
     two = F.lit(2.0)
-    exponent = (
-        F.when(size < F.pow(two, guess), guess - 1).when(size >= F.pow(two, guess + 1), guess + 1).otherwise(guess)
-    )
-    fraction = (size / F.pow(two, exponent) - 1) * F.lit(2.0**52)
+    return F.when(size < F.pow(two, guess), guess - 1).when(size >= F.pow(two, guess + 1), guess + 1).otherwise(guess)
+
+
+def _bits(x: Column, size: Column, exponent: Column) -> Column:
+    fraction = (size / F.pow(F.lit(2.0), exponent) - 1) * F.lit(2.0**52)
     normal = (exponent + 1023).try_cast("bigint") * F.lit(2**52) + fraction.try_cast("bigint")
     tiny = (size * F.lit(2.0**537) * F.lit(2.0**537)).try_cast("bigint")  # multiples of 2**-1074
     bits = (
@@ -51,7 +49,30 @@ def ordered_bits(x: Column) -> Column:
         .when(size < F.lit(_LEAST_NORMAL), tiny)
         .otherwise(normal)
     )
-    return F.when(F.isnan(x), F.lit(_NAN_BITS)).when(x < 0, -bits).when(x.isNotNull(), bits)
+    signed = bits * F.when(x < 0, F.lit(-1)).otherwise(F.lit(1))
+    return F.when(F.isnan(x), F.lit(_NAN_BITS)).when(x.isNotNull(), signed)
+
+
+def ordered_bits(x: Column) -> Column:
+    """A bigint with the order of the double ``x``: its IEEE 754 bits, negated for a negative one.
+
+    The exponent is the logarithm's floor, put right by comparing with exact powers of two; the
+    quotient by that power and the scaled fraction are exact.  Both zeros give 0; NaN comes last,
+    as in Spark's order; NULL stays NULL."""
+    x = x.cast("double")
+    size = F.abs(x)
+    return _bits(x, size, _exponent(size, _guess(size)))
+
+
+def _images(df: DataFrame, exprs: Sequence[Column]) -> DataFrame:
+    """``ordered_bits`` of every expression as c0, c1, ..., step by step, so that no step's
+    expression is repeated within the next one's."""
+    n = range(len(exprs))
+    df = df.select(*[c.cast("double").alias(f"x{i}") for i, c in enumerate(exprs)])
+    df = df.select("*", *[F.abs(f"x{i}").alias(f"s{i}") for i in n])
+    df = df.select("*", *[_guess(F.col(f"s{i}")).alias(f"g{i}") for i in n])
+    df = df.select("*", *[_exponent(F.col(f"s{i}"), F.col(f"g{i}")).alias(f"e{i}") for i in n])
+    return df.select(*[_bits(F.col(f"x{i}"), F.col(f"s{i}"), F.col(f"e{i}")).alias(f"c{i}") for i in n])
 
 
 def from_ordered_bits(bits: int) -> float:
@@ -67,17 +88,20 @@ def _order_statistics(images: DataFrame, wanted: dict[int, set[int]]) -> dict[tu
     for left in range(64 - ROUND_BITS, -1, -ROUND_BITS):
         if not open_:
             break
-        cells = []
-        for i in sorted({i for i, _ in open_}):
-            c = F.col(f"c{i}")
-            parent = F.lit(0).cast("bigint") if left + ROUND_BITS == 64 else F.shiftright(c, left + ROUND_BITS)
-            cell = F.struct(F.lit(i).alias("i"), parent.alias("parent"), F.shiftright(c, left).alias("prefix"), c.alias("image"))
-            cells.append(F.when(c.isNotNull() & parent.isin([p for k, p in open_ if k == i]), cell))
+        parts, live = [], sorted({i for i, _ in open_})
+        for k in range(0, len(live), COLUMNS_A_SCAN):  # few columns a scan keep the generated code small
+            cells = []
+            for i in live[k : k + COLUMNS_A_SCAN]:
+                c = F.col(f"c{i}")
+                parent = F.lit(0).cast("bigint") if left + ROUND_BITS == 64 else F.shiftright(c, left + ROUND_BITS)
+                cell = F.struct(F.lit(i).alias("i"), parent.alias("parent"), F.shiftright(c, left).alias("prefix"), c.alias("image"))
+                cells.append(F.when(c.isNotNull() & parent.isin([p for j, p in open_ if j == i]), cell))
+            parts.append(images.select(F.explode(F.array(*cells)).alias("x")).filter("x IS NOT NULL").select("x.*"))
         counted = (
-            images.select(F.explode(F.array_compact(F.array(*cells))).alias("x")).select("x.*")
+            reduce(DataFrame.union, parts)
             .groupBy("i", "parent", "prefix")
             .agg(F.count(F.lit(1)).alias("n"), F.min("image").alias("lo"), F.max("image").alias("hi"))
-        )
+        )
         before = F.sum("n").over(Window.partitionBy("i", "parent").orderBy("prefix")) - F.col("n")
         holds = [
             (F.col("i") == i) & (F.col("parent") == p) & (F.col("before") <= r) & (F.lit(r) < F.col("before") + F.col("n"))
@@ -103,7 +127,7 @@ def exact_quantiles(
     """The ``qs`` quantiles of each column, with linear interpolation between order statistics
     (position ``(n - 1) * q``); NULLs are left out, and a column without values gives None."""
     exprs = dict(cols) if isinstance(cols, Mapping) else {c: F.col(c) for c in cols}
-    images = stage(df.select(*[ordered_bits(c).alias(f"c{i}") for i, c in enumerate(exprs.values())]))
+    images = stage(_images(df, list(exprs.values())))
     counts = images.agg(*[F.count(c).alias(c) for c in images.columns]).first()
     places = {i: [(n - 1) * float(q) for q in qs] for i, n in enumerate(counts) if n}
     wanted = {i: {f(at) for at in own for f in (math.floor, math.ceil)} for i, own in places.items()}

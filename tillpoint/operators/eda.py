@@ -40,6 +40,8 @@ SCORING_EDA_COLS = (
     "m1_swipe_sessions",
     "m1_speaker_sessions",
 )
+#: How many columns are binned in one projection.
+COLUMNS_A_SCAN = 6
 SCORING_CATEGORY_COLS = ("zone_name", "business_category", "geohash4")
 
 
@@ -88,22 +90,31 @@ def rate_by_quartile_bin(
     right-closed between neighbouring edges, values outside have none.  With ``labels`` also by
     product.
 
-    The edges of all columns are found together over the staged rows; every column is
-    then binned in one projection and the per-bin rates come from one grouped aggregate
+    The edges of all columns are found together over the staged rows; the columns are
+    then binned a few at a time and the per-bin rates come from one grouped aggregate
     over the stacked rows.
     """
     own = list((labels or {"": label}).values())
     df = stage(df.select("merchant_id", *own, *[F.col(c).cast("double").alias(c) for c in cols]))
     edges = int_quartile_edges(df, cols)
-    cells = []
-    for c in cols:
-        for k, (lo, hi) in enumerate(zip(edges[c], edges[c][1:])):
-            cell = F.struct(F.lit(c).alias("feature"), F.lit(k + 1).cast("bigint").alias("bin"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi"))
-            cells.append(F.when((F.col(c) > lo) & (F.col(c) <= hi), cell))
-    if not cells:
-        cells = [F.lit(None).cast("struct<feature:string,bin:bigint,lo:double,hi:double>")]
-    stacked = df.select("merchant_id", *own, F.explode(F.array_compact(F.array(*cells))).alias("s"))
-    return _rates(stacked, ["s.feature", "s.bin", "s.lo", "s.hi"], labels, label)
+    parts = []
+    for k in range(0, len(cols), COLUMNS_A_SCAN):  # few columns a scan keep the generated code small
+        some = cols[k : k + COLUMNS_A_SCAN]
+        cells = F.array(*[F.struct(F.lit(c).alias("feature"), _bin_of(F.col(c), edges[c]).alias("bin")) for c in some])
+        parts.append(df.select("merchant_id", *own, F.explode(cells).alias("s")).filter(F.col("s.bin").isNotNull()))
+    rates = _rates(reduce(DataFrame.unionByName, parts), ["s.feature", "s.bin"], labels, label)
+    of = F.get(F.lit([edges[c] or [None] for c in cols]).cast("array<array<double>>"), F.array_position(F.lit(list(cols)), F.col("feature")).cast("int") - 1)
+    bin_ = F.col("bin").cast("int")
+    out = rates.withColumns({"lo": F.get(of, bin_ - 1), "hi": F.get(of, bin_)})
+    return out.select(*[c for c in rates.columns if c not in ("propensity", "n_merchants")], "lo", "hi", "propensity", "n_merchants")
+
+
+def _bin_of(v, edges: list[float]):
+    """Right-closed bin over sorted edges, from 1; NULL outside."""
+    below = [F.when(v > x, F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint")) for x in edges]
+    if not below:
+        return F.lit(None).cast("bigint")
+    return F.when((v > edges[0]) & (v <= edges[-1]), sum(below[1:], below[0]))
 
 
 def rate_by_top_category(df: DataFrame, col: str = "geohash4", k: int = 50, label: str = "target") -> DataFrame:
