@@ -92,3 +92,9 @@ def test_histogram_closes_last_bin(spark):
     df = spark.createDataFrame([(float(v),) for v in [0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10]], "p double")
     h = {r.bin: r.n for r in score.histogram(df, "p", 10).collect()}
     assert sum(h.values()) == 11 and h[10] == 2 and len(h) == 10
+
+
+def test_geohash_beyond_the_map_is_the_cell_at_its_edge(spark):
+    df = spark.createDataFrame([(200.0, 95.0), (180.0, 90.0), (-200.0, -95.0), (-180.0, -90.0)], "lng double, lat double")
+    r = [x.g for x in df.select(geohash(F.col("lng"), F.col("lat"), 6).alias("g")).collect()]
+    assert r[0] == r[1] == "zzzzzz" and r[2] == r[3] == "000000"

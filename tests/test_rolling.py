@@ -90,3 +90,63 @@ def test_push_conversion_window(spark):
     )
     got = sorted(r.merchant_id for r in cohort.push_converted(t, SPEC, 7).collect())
     assert got == [1]  # anchor day converts, anchor - 7 does not
+
+
+def test_masks_equal_brute_force(spark):
+    """All 35 features on random rows: several anchors, rows on and after them, null payers, ids and
+    days, and merchants with rows outside every window only."""
+    import random
+
+    from tillpoint.config import MONTH_WINDOWS, PAYER_WINDOWS, TPV_WINDOWS, TXN_WINDOWS, WINDOWS, feature_name
+
+    rng = random.Random(12)
+    base = dt.date(2001, 6, 1)
+    anchors = {m: sorted({base + dt.timedelta(days=rng.randint(-40, 40)) for _ in range(rng.randint(1, 2))}) for m in range(1, 7)}
+    tasks = [[(m, dt.datetime.combine(a[k % len(a)], dt.time(9)), 16) for m, a in anchors.items()] for k in range(2)]
+    rows = []
+    for _ in range(900):
+        m = rng.choice([1, 1, 1, 2, 3, 4, 5, 9])  # 6 has no rows, 9 no anchor
+        after = m == 5
+        day = base + dt.timedelta(days=rng.randint(45, 90) if after else rng.randint(-200, 60))
+        rows.append((
+            rng.choice([None, *range(1, 120)]), m, rng.randint(1, 90),
+            None if rng.random() < 0.02 else dt.datetime.combine(day, dt.time(rng.randint(0, 23))), rng.choice([None, *"abcdefgh"]),
+        ))
+    t = tables(spark, task_history_v1=tasks[0], task_history_v2=tasks[1], transactions=_tx(rows))
+
+    def hit(day, od, w):
+        w = WINDOWS[w]
+        low = w.start is None or day >= od - dt.timedelta(days=w.start)
+        return low and day < od - dt.timedelta(days=w.end)
+
+    want = {}
+    for m, ods in anchors.items():
+        own = [(i, a, t.date() if t else None, u) for i, k, a, t, u in rows if k == m]
+        if not own:
+            continue
+        own_days = [r for r in own if r[2] is not None]
+        f = {}
+        seen = lambda col, w: len({r[col] for r in own_days for od in ods if r[col] is not None and hit(r[2], od, w)})
+        for w in PAYER_WINDOWS:
+            f[feature_name("unique_payers", w)] = seen(3, w)
+        for w in TXN_WINDOWS:
+            f[feature_name("txn_count", w)] = seen(0, w)
+        f["total_active_vintage"] = len({r[2] for r in own_days if r[2] < max(ods)})
+        daily = {}
+        for i, a, day, u in own_days:
+            x = daily.setdefault(day, [0, set(), set()])
+            x[0] += a
+            x[1] |= {i} - {None}
+            x[2] |= {u} - {None}
+        for w in TPV_WINDOWS:
+            f[feature_name("tpv", w)] = float(sum(x[0] for day, x in daily.items() for od in ods if hit(day, od, w)))
+        for w in MONTH_WINDOWS:
+            days = [day for day in daily for od in ods if hit(day, od, w)]
+            f[feature_name("active_days", w)] = len({day.day for day in days})
+            f[feature_name("max_daily_tpv", w)] = float(max([daily[day][0] for day in days], default=0))
+            f[feature_name("max_daily_txns", w)] = max([len(daily[day][1]) for day in days], default=0)
+            f[feature_name("max_daily_payees", w)] = max([len(daily[day][2]) for day in days], default=0)
+        want[m] = f
+    got = {r.merchant_id: {k: r[k] for k in want[1]} for r in rolling.txn_features_train(t, SPEC, "reference").collect()}
+    assert got == want
+    assert set(want[5].values()) == {0, 0.0}  # kept, though all its rows are after the anchors

@@ -51,3 +51,32 @@ def test_latest_snapshot_keeps_ties(spark):
     f = apps.app_names(apps.latest_app_snapshot(t, AS_OF, min_txns=5))
     names = sorted(tuple(r.app_names) for r in f.collect())
     assert names == [("BHIM", "BHIM"), ("GPay", "CRED")]
+
+
+def test_year_slices_in_one_pass(spark):
+    """Merchants and events meet only inside a slice; w1 = 0 in a slice drops its m1 too."""
+    import pytest
+
+    day = lambda y, m, d: dt.datetime(y, m, d, 10)
+    mart = spark.createDataFrame(
+        [(1, "1", day(2000, 5, 1)), (2, "2", day(2001, 2, 1)), (3, "3", day(2002, 1, 1))],
+        "merchant_id long, mid string, merchant_created_at timestamp_ntz",
+    )
+    app = [(m, ts(2001, 3, 10), ts(2001, 3, 10), "ORDERED") for m in (2, 3)] + [(1, ts(2000, 12, 30), ts(2000, 12, 30), "ORDERED")]
+    ev = [
+        ("1", day(2000, 12, 28), "a", "MerchantApp", "view"),
+        ("1", day(2000, 12, 29), "a", "MerchantApp", "view"),  # the same session
+        ("1", day(2000, 12, 10), "b", "MerchantApp", "view"),  # m1 only
+        ("1", day(2001, 1, 2), "c", "MerchantApp", "view"),  # after the anchor, other slice
+        ("2", day(2001, 2, 20), "d", "MerchantApp", "view"),  # m1, no w1
+        ("3", day(2001, 3, 8), "e", "MerchantApp", "view"),  # created outside the slices
+        ("1", day(2000, 12, 29), None, "MerchantApp", "view"),
+        ("1", day(2000, 12, 29), "f", "Web", "view"),
+    ]
+    t = tables(spark, application=app, app_event=ev, merchant_mart=mart)
+    got = sessions.session_features_years(t, SPEC, (2000, 2001)).collect()
+    assert [tuple(r) for r in got] == [(1, 1, 2)]
+    rows = sessions.session_features_slices(t, SPEC, [(D(2001, 1, 1), D(2002, 1, 1)), (D(2000, 1, 1), D(2001, 1, 1))]).collect()
+    assert [(r.merchant_id, r.slice, r.w1_sessions) for r in rows] == [(1, 1, 1)]
+    with pytest.raises(ValueError, match="overlap"):
+        sessions.session_features_slices(t, SPEC, [(D(2000, 1, 1), D(2001, 1, 2)), (D(2001, 1, 1), D(2002, 1, 1))])

@@ -126,12 +126,14 @@ def train_gbt(
     subsampling_rate: float = GBT_PARAMS["subsampling_rate"],
     seed: int = 0,
     ranked: tuple[str, ...] = RANKED_CATEGORICALS,
+    min_info_gain: float = 0.0,
 ) -> PipelineModel:
     """Fit missing-value handling, category indexers (unseen -> extra code),
     the assembler and a boosted-tree classifier as one PipelineModel.
 
     ``maxBins`` is set from the fitted indexers so every category keeps its
-    own split value."""
+    own split value.  ``min_info_gain`` prunes like the source's ``gamma`` but is the gain of a
+    row on average, not of a node's sum, so the source's value has no equal; 0 prunes nothing."""
     numeric = list(numeric or MODEL_NUMERIC)
     categorical = list(categorical or CATEGORICAL_FEATURES)
     prep = Pipeline(
@@ -164,6 +166,7 @@ def train_gbt(
         stepSize=step_size,
         featureSubsetStrategy=feature_subset,
         subsamplingRate=subsampling_rate,
+        minInfoGain=min_info_gain,
         maxBins=max(32, n_labels + 1),
         seed=seed,
     )

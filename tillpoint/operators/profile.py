@@ -11,6 +11,7 @@ from tillpoint.config import MAJOR_BRANDS, MANUFACTURER_ALIASES, ProductSpec
 from tillpoint.functions.geohash import geohash
 from tillpoint.operators import cohort
 from tillpoint.operators.rolling import bounded_broadcast
+from tillpoint.sources.sinks import stage
 from tillpoint.sources.tables import Tables, unique_by
 
 FLAG_COLS = ("swipe_flag", "speaker_flag", "loan_flag", "fp_flag", "club_flag", "qr_flag", "credit_flag", "debit_flag")
@@ -119,9 +120,10 @@ def manufacturer_topk(df: DataFrame, col: str = "manufacturer", k: int = 20) ->
     names (ties by name) and map the rest to 'other'.
 
     The top-k is a ``TakeOrderedAndProject`` over the per-name counts, which
-    holds one row per distinct name; the k-row result is broadcast.
+    holds one row per distinct name; the k-row result is broadcast.  The rows are read twice, so
+    they are staged first (a staged frame is taken as it is).
     """
-    filled = df.withColumn(col, normalise_manufacturer(F.coalesce(F.col(col), F.lit("Other"))))
+    filled = stage(df).withColumn(col, normalise_manufacturer(F.coalesce(F.col(col), F.lit("Other"))))
     top = (
         filled.groupBy(col)
         .count()

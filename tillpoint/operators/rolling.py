@@ -432,24 +432,3 @@ def daily_rollup_active(tables: Tables, as_of: dt.date, min_txns: int = 5) -> Da
         "daily_payees",
         "daily_txns",
     )
-
-
-def naive_txn_features_train(tables: Tables, spec: ProductSpec, anchor_mode: str = "reference") -> DataFrame:
-    """The literal one-query form (19 conditional COUNT DISTINCTs over the
-    transaction x anchor x daily join).  Kept only as the benchmark baseline
-    that the two-level plan is measured against; do not use it at scale."""
-    anchors = cohort.anchor_dates(tables, spec, mode=anchor_mode)
-    tx = successful_transactions(tables)
-    daily = daily_rollup(tx)
-    j = tx.join(anchors, "merchant_id").join(daily, ["merchant_id", "payment_date"])
-    d, od = F.col("payment_date"), F.col("order_date")
-    day_bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.dayofmonth(d))
-    aggs = []
-    aggs += [F.count_distinct(F.when(in_window(d, od, w), F.col("user"))).alias(n) for n, w in _names("unique_payers", PAYER_WINDOWS).items()]
-    aggs += [F.count_distinct(F.when(in_window(d, od, w), F.col("id"))).alias(n) for n, w in _names("txn_count", TXN_WINDOWS).items()]
-    aggs.append(F.count_distinct(F.when(in_window(d, od, "total"), d)).alias("total_active_vintage"))
-    aggs += [F.sum(F.when(in_window(d, od, w), F.col("amount")).otherwise(0)).cast("double").alias(n) for n, w in _names("tpv", TPV_WINDOWS).items()]
-    aggs += [F.count_distinct(F.when(in_window(d, od, w), F.dayofmonth(d))).alias(n) for n, w in _names("active_days", MONTH_WINDOWS).items()]
-    for measure, col, typ in (("max_daily_tpv", "daily_tpv", "double"), ("max_daily_payees", "daily_payees", "bigint"), ("max_daily_txns", "daily_txns", "bigint")):
-        aggs += [F.max(F.when(in_window(d, od, w), F.col(col)).otherwise(0)).cast(typ).alias(n) for n, w in _names(measure, MONTH_WINDOWS).items()]
-    return j.groupBy("merchant_id").agg(*aggs)
