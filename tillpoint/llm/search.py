@@ -39,6 +39,8 @@ from tillpoint.llm.common import narrow, python_tasks, stage
 
 TOP = 10
 SHARD_DOCS = 4096
+#: A task searches about this many shards, whatever the corpus.
+TASK_SHARDS = 2
 LEADERS = 64
 BLOCK = 64
 BATCH_TERMS = 4096
@@ -288,7 +290,9 @@ def _search_block(docs: DataFrame, items: list[tuple[int | None, bytes]], top: i
                 cols = [pa.array([k] * n, pa.int64()), pa.array([item_ids[k]] * n, pa.int64()), pa.array(x.doc, pa.int64(), mask=x.gone > 0), pa.array(x.score, pa.int64())]
                 yield pa.RecordBatch.from_arrays(cols, ["item", "item_id", "doc_id", "score"])
 
-    found = rows.filter(F.size("terms") > 0).mapInArrow(run, "item long, item_id long, doc_id long, score long")
+    tasks = max(1, -(-n_docs // (TASK_SHARDS * SHARD_DOCS)))
+    dealt = rows.filter(F.size("terms") > 0).repartition(tasks, F.xxhash64("doc_id", "n", "terms"))
+    found = dealt.mapInArrow(run, "item long, item_id long, doc_id long, score long")
     order = W.Window.partitionBy("item").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last())
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
     return stage(ranked.select("item_id", "rank", "doc_id", "score"))
