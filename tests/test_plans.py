@@ -27,7 +27,7 @@ def test_train_then_score(spark, tmp_path):
     assert sorted(rounds) == [1, 2, 3, 4, 5]
     assert (auc is None and rounds[5] is None) or abs(auc - rounds[5]) < 1e-9
     assert out["threshold_sweep"].count() == 14
-    models = {p: str(tmp_path / p) for p in ("swipe", "loan", "speaker")}
+    models = {p: str(tmp_path / f"model-{p}") for p in ("swipe", "loan", "speaker")}
     for p, path in models.items():
         ml.save(PipelineModel.load(str(tmp_path / "swipe" / "model")), path, p)
     final = scoring.run(Tables.from_fixture(spark, SF), FIXTURE_AS_OF, models, csv_path=str(tmp_path / "final_csv"), min_txns=25)
