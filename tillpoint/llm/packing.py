@@ -3,9 +3,9 @@
 Documents are encoded once and staged as ids with a lexical sketch (the smallest hash over
 adjacent id pairs), then range-partitioned by (sketch, id), so that texts with
 common pairs meet and a large group of copies still splits by id.  Each partition works
-through bounded shards of ``SHARD_TOKENS`` tokens: a BM25 inverted index over the shard's
-token ids ranks, for each seed document, the documents that are not used yet, and they
-greedily fill the seed's window.  The last one is cut where the window ends and its rest
+through bounded shards of ``SHARD_TOKENS`` tokens or ``SHARD_DOCS`` documents: a BM25 inverted
+index over the shard's token ids ranks, for each seed document and all its distinct terms, the
+documents that are not used yet, and they greedily fill the seed's window.  The last one is cut where the window ends and its rest
 stays in the shard; a shard's unfinished window goes over to the next shard, so only the
 last window of a partition is padded.
 
@@ -25,8 +25,9 @@ from tillpoint.llm.common import mix, narrow, python_tasks, stage, tasks_for, te
 
 WINDOW = 2048
 SHARD_TOKENS = 1 << 20
+#: Bounds the index of a shard (terms x documents); at least a window's worth of one-token documents.
+SHARD_DOCS = 2048
 MIN_PARTITION_TOKENS = 1 << 20
-QUERY_TERMS = 24
 K1, B = 1.2, 0.75
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -67,29 +68,25 @@ class Shard:
         n = len(docs)
         doc = np.repeat(np.arange(n), [len(x) for x in docs])
         key, tf = np.unique(np.concatenate(docs).astype(np.int64) * n + doc, return_counts=True)
-        term, self.doc = key // n, key % n
-        self.terms, first, df = np.unique(term, return_index=True, return_counts=True)
-        self.first = np.append(first, len(term))
+        term, doc = key // n, key % n
+        _, place, df = np.unique(term, return_inverse=True, return_counts=True)
         length = np.array([len(x) for x in docs], float)
         norm = K1 * (1 - B + B * length / length.mean())
-        self.idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        self.idf[df < 2] = 0.0
-        self.weight = np.repeat(self.idf, df) * tf * (K1 + 1) / (tf + norm[self.doc])
+        shared = df[place] > 1  # a term of one document finds no other
+        doc, tf, df_of = doc[shared], tf[shared], df[place][shared]
         self.n = n
-        by_doc = np.argsort(self.doc, kind="stable")
-        self.doc_terms = np.repeat(np.arange(len(self.terms)), df)[by_doc]
-        self.doc_first = np.searchsorted(self.doc[by_doc], np.arange(n + 1))
+        self.term = np.unique(place[shared], return_inverse=True)[1]
+        weight = np.log1p((n - df_of + 0.5) / (df_of + 0.5)) * tf * (K1 + 1) / (tf + norm[doc])
+        width = int(self.term.max(initial=-1)) + 1
+        self.weight = np.zeros((width, n), np.float32)
+        self.weight[self.term, doc] = weight
+        by_doc = np.argsort(doc, kind="stable")
+        self.term, self.first = self.term[by_doc], np.searchsorted(doc[by_doc], np.arange(n + 1))
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents by falling score; the seed's rarest shared terms are its query."""
-        t = self.doc_terms[self.doc_first[seed] : self.doc_first[seed + 1]]
-        if len(t) > QUERY_TERMS:
-            t = t[np.argpartition(-self.idf[t], QUERY_TERMS)[:QUERY_TERMS]]
-        t = t[self.idf[t] > 0]
-        if not len(t):
-            return np.zeros(0, np.int64)
-        at = np.concatenate([np.arange(self.first[k], self.first[k + 1]) for k in t])
-        score = np.bincount(self.doc[at], self.weight[at], minlength=self.n) * unused
+        """Unused documents by falling score; all distinct terms of the seed are its query."""
+        query = self.term[self.first[seed] : self.first[seed + 1]]
+        score = self.weight[query].sum(axis=0) * unused
         hit = np.flatnonzero(score)
         return hit[np.lexsort((hit, -score[hit]))]
 
@@ -181,7 +178,7 @@ def packed(docs: DataFrame, tokenizer: str | None = None, end_id: int = 1, windo
             for i, raw in zip(b.column(0).to_pylist(), b.column(1)):
                 held.append([i, np.frombuffer(raw.as_py(), dtype), 0])
                 size += len(held[-1][1])
-                if size >= SHARD_TOKENS:
+                if size >= SHARD_TOKENS or len(held) >= max(SHARD_DOCS, window):
                     yield shard(False)
                     size = sum(len(x[1]) - x[2] for x in held)
         if held:
