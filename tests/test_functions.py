@@ -98,3 +98,11 @@ def test_geohash_beyond_the_map_is_the_cell_at_its_edge(spark):
     df = spark.createDataFrame([(200.0, 95.0), (180.0, 90.0), (-200.0, -95.0), (-180.0, -90.0)], "lng double, lat double")
     r = [x.g for x in df.select(geohash(F.col("lng"), F.col("lat"), 6).alias("g")).collect()]
     assert r[0] == r[1] == "zzzzzz" and r[2] == r[3] == "000000"
+
+
+def test_location_statistics_before_or_after_the_activity_filter(spark):
+    rows = [(1, "a", 10.0, 3), (2, "a", 30.0, None), (3, "b", 5.0, 1), (4, None, 9.0, 2)]
+    df = spark.createDataFrame(rows, "merchant_id long, geohash4 string, total_tpv double, txn_count_90_days long")
+    for first, want in ((True, {1: (2, 40.0, 20.0), 3: (1, 5.0, 5.0), 4: (None, None, None)}), (False, {1: (1, 10.0, 10.0), 3: (1, 5.0, 5.0), 4: (None, None, None)})):
+        got = features._located_and_active(df, first).collect()
+        assert {r.merchant_id: (r.loc_hash_density, r.loc_hash_tpv, r.loc_hash_atv) for r in got} == want

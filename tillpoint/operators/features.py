@@ -77,6 +77,15 @@ def with_location(df: DataFrame, geo: str = "geohash4", tpv: str = "total_tpv")
     return df.join(stats, geo, "left")
 
 
+def _active_only(df: DataFrame) -> DataFrame:
+    return df.filter(F.col("txn_count_90_days").isNotNull())
+
+
+def _located_and_active(df: DataFrame, location_first: bool) -> DataFrame:
+    """Location statistics and the activity filter, in either order."""
+    return _active_only(with_location(df)) if location_first else with_location(_active_only(df))
+
+
 def drop_null_categoricals(df: DataFrame, cols=CATEGORICAL_FEATURES) -> DataFrame:
     return df.na.drop("any", subset=list(cols))
 
@@ -94,11 +103,14 @@ def training_matrix(
     anchor_mode: str = "earliest",
     with_sessions: bool = True,
     drop_nulls: bool = True,
+    location_first: bool = True,
 ) -> DataFrame:
     """Label + device + profile + rolling features + sessions + vintage, then
-    trend, manufacturer top-20, location statistics (before the activity
-    filter), the ``txn_count_90_days`` filter, ratios, the categorical NULL
-    drop and the vintage clamp."""
+    trend, manufacturer top-20, location statistics and the ``txn_count_90_days``
+    filter, ratios, the categorical NULL drop and the vintage clamp.
+
+    ``location_first``: whether location statistics count merchants that the activity filter
+    drops; the source does so in training and not in scoring, and so do the defaults."""
     labels = cohort.target_label(tables, spec)
     dev = profile.device_manufacturer(tables, labels)
     m = labels.join(dev, "merchant_id", "left")
@@ -117,9 +129,7 @@ def training_matrix(
     m = m.join(_one_vintage(tables, spec), "merchant_id", "left")
     m = stage(m)  # the next two steps read their input twice
     m = profile.manufacturer_topk(m)
-    m = with_location(m)
-    m = m.filter(F.col("txn_count_90_days").isNotNull())
-    m = with_ratios(m)
+    m = with_ratios(_located_and_active(m, location_first))
     if drop_nulls:
         m = drop_null_categoricals(m)
     m = m.withColumn("vintage", profile.clamp_negative("vintage").cast("bigint"))
@@ -151,8 +161,10 @@ def scoring_matrix(
     products: dict[str, tuple],
     min_txns: int = 5,
     impute_mode: bool = False,
+    location_first: bool = False,
 ) -> DataFrame:
-    """Active base as of ``as_of`` with every scoring feature.
+    """Active base as of ``as_of`` with every scoring feature (``location_first`` as in
+    :func:`training_matrix`).
 
     ``impute_mode`` fills NULL categoricals with the column mode; the source
     pipeline's fill is a no-op (it aligns on index), so the default is off.
@@ -165,11 +177,11 @@ def scoring_matrix(
     ):
         m = m.join(part, "merchant_id", "left")
     m = with_trend(m)
-    m = m.filter(F.col("txn_count_90_days").isNotNull())
+    if not location_first:
+        m = _active_only(m)
     m = m.join(tables.device_info.select("merchant_id", "manufacturer"), "merchant_id", "left")
     m = stage(profile.manufacturer_fixed(m))  # the next step reads its input twice
-    m = with_location(m)
-    m = with_ratios(m)
+    m = with_ratios(_located_and_active(m, location_first))
     if impute_mode:
         m = mode_impute(m)
     m = m.withColumn("vintage", profile.clamp_negative("vintage").cast("bigint"))
