@@ -114,11 +114,12 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
-    t = texts.select(F.col("doc_id").alias("id"), "text")
+    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union; ``ak`` and
+    ``bk`` tell which of the texts that share an id is meant."""
+    t = texts.select(F.col("doc_id").alias("id"), F.col("tkey").alias("k"), "text")
     both = (
-        pairs.join(t.withColumnRenamed("text", "ta"), F.col("a") == F.col("id")).drop("id")
-        .join(t.withColumnRenamed("text", "tb"), F.col("b") == F.col("id")).drop("id")
+        pairs.join(t.withColumnRenamed("text", "ta"), (F.col("a") == F.col("id")) & (F.col("ak") == F.col("k"))).drop("id", "k")
+        .join(t.withColumnRenamed("text", "tb"), (F.col("b") == F.col("id")) & (F.col("bk") == F.col("k"))).drop("id", "k")
     )
 
     def run(batches):
@@ -176,13 +177,13 @@ def joining_links(sets: list[np.ndarray], comps: np.ndarray, percent: int) -> li
 
 
 def links_in_cells(left: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """``left`` (key, rep, comp, blocks) -> links (a, b) between components of a bucket.
+    """``left`` (key, rep, rk, comp, blocks) -> links (a, b) between components of a bucket.
 
     A bucket of g blocks has a cell for each two of them, so each member goes to g cells."""
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks"))
-    t = texts.select(F.col("doc_id").alias("id"), "text")
+    block = F.pmod(F.xxhash64("rep", "rk"), F.col("blocks"))
+    t = texts.select(F.col("doc_id").alias("id"), F.col("tkey").alias("k"), "text")
     cells = (
-        left.join(t, F.col("rep") == F.col("id"))
+        left.join(t, (F.col("rep") == F.col("id")) & (F.col("rk") == F.col("k")))
         .withColumn("block", block)
         .select("key", "comp", "text", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("with"))
         .select("key", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "comp", "text")
@@ -219,25 +220,33 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     """doc_id, tkey, n_shingles, component_id, kept of every row."""
     sig = stage(signatures(docs, k))
     real = sig.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    classes = stage(real.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep")))
-    reps = real.join(classes, ["d1", "d2", "n_shingles"]).filter(F.col("doc_id") == F.col("rep"))
-    members = reps.select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("key")).distinct()
-    buckets = members.groupBy("key").agg(F.min("rep").alias("m"), F.count(F.lit(1)).alias("c")).filter("c > 1")
-    # only members of buckets with company: (key, rep, n, m)
-    met = stage(members.join(buckets.select("key", "m"), "key"))
-    star = met.filter("rep != m").select(F.col("rep").alias("a"), F.col("m").alias("b")).distinct()
-    ids = met.select(F.col("rep").alias("doc_id")).distinct()
-    # of rows that share an id, the one whose set made the class
-    texts = stage(narrow(docs).join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    links = stage(confirmed(star, texts, k, percent))
+    # a class goes on as one of its rows: (id, text), as rows that share an id may be in several classes
+    least = F.min(F.struct("doc_id", "tkey")).alias("r")
+    classes = stage(real.groupBy("d1", "d2", "n_shingles").agg(least).select("d1", "d2", "n_shingles", F.col("r.doc_id").alias("rep"), F.col("r.tkey").alias("rk")))
+    classed = real.join(classes, ["d1", "d2", "n_shingles"])
+    own = classed.filter((F.col("doc_id") == F.col("rep")) & (F.col("tkey") == F.col("rk")))
+    members = own.select("rep", "rk", F.col("n_shingles").alias("n"), F.explode("bands").alias("key")).distinct()
+    buckets = members.groupBy("key").agg(F.min(F.struct("rep", "rk")).alias("s"), F.count(F.lit(1)).alias("c")).filter("c > 1")
+    # only members of buckets with company: (key, rep, rk, n, m, mk)
+    met = stage(members.join(buckets.select("key", F.col("s.rep").alias("m"), F.col("s.rk").alias("mk")), "key"))
+    star = met.filter("rep != m").select(F.col("rep").alias("a"), F.col("rk").alias("ak"), F.col("m").alias("b"), F.col("mk").alias("bk")).distinct()
+    ids = met.select(F.col("rep").alias("doc_id"), F.col("rk").alias("tkey")).distinct()
+    rows = narrow(docs).withColumn("tkey", text_key())
+    texts = stage(rows.join(ids, ["doc_id", "tkey"], "left_semi").dropDuplicates(["doc_id", "tkey"]))
+    # rows that share an id are one document, so their classes are linked through it
+    several = stage(classed.groupBy("doc_id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo != hi").select("doc_id", "lo"))
+    links = confirmed(star, texts, k, percent)
+    if staged_rows(several):
+        links = links.union(classed.join(several, "doc_id").filter("rep != lo").select(F.col("rep").alias("a"), F.col("lo").alias("b")).distinct())
+    links = stage(links)
     roots = components(links)
     # buckets that still hold several components; their smallest ids have been tested
-    lab = met.join(roots, met["rep"] == roots["node"], "left").select("key", "m", "rep", "n", F.coalesce("root", "rep").alias("comp"))
+    lab = met.join(roots, met["rep"] == roots["node"], "left").select("key", "m", "mk", "rep", "rk", "n", F.coalesce("root", "rep").alias("comp"))
     mixed = lab.groupBy("key").agg(
         F.min("comp").alias("lo"), F.max("comp").alias("hi"),
         F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_MEMBERS, F.sum("n") / BLOCK_SHINGLES)).alias("blocks"),
     ).filter("lo != hi").select("key", "blocks")
-    left = lab.filter("rep != m").join(mixed, "key").select("key", "rep", "comp", "blocks")
+    left = lab.filter("rep != m OR rk != mk").join(mixed, "key").select("key", "rep", "rk", "comp", "blocks")
     late = stage(links_in_cells(left, texts, k, percent))
     if staged_rows(late):
         roots = components(roots.toDF("a", "b").union(late))
