@@ -8,7 +8,9 @@ walks, each with ``TABLES`` samples of ``SAMPLED`` of its steps, give the bit-sa
 keys.  Walks are short (about ``STEPS / 2`` bytes): at ``1 - SIMILARITY`` edits some of an
 item's windows are still nearly clean, whatever its length, and a candidate is where one in
 ``VOTE_WINDOWS`` of an item's windows (one at least) meet the document at nearly one place.  The parameters are set for
-``RECALL`` at the threshold itself (tests measure it).  A candidate is then verified exactly:
+``RECALL`` at the threshold itself for mixed edits (tests measure it; at 19.5 percent deletions
+alone, 0.80 of the items of 50 to 80 bytes are found, 0.88 of 80 to 120, 0.97 of 200 to 400).  A
+candidate is then verified exactly:
 the smallest edit distance between the item and any substring of the aligned, item-sized
 region (bit-parallel, Myers) may be at most ``1 - SIMILARITY`` of the item's length.
 
@@ -194,8 +196,8 @@ class Items:
         order = np.lexsort((start, pair))
         pair, start = pair[order], start[order]
         most = self.most[pair % len(self.texts)]
-        # enough windows of a pair at nearly one place (insertions and deletions move it by and by)
-        near = 4 + 2 * np.sqrt(most)
+        # enough windows of a pair at nearly one place: edits of one kind move it by all they are
+        near = np.maximum(most, 4 + 2 * np.sqrt(most))
         i = np.arange(len(pair))
         j = i + self.votes[pair % len(self.texts)] - 1
         end = np.minimum(j, len(pair) - 1)
