@@ -85,11 +85,58 @@ def test_bm25_neighbours_share_terms():
     assert all(k % 3 == 0 for k in got[:9])
 
 
+def test_neighbours_are_bm25_over_all_terms():
+    """The whole ranking of every seed, against the formula written out."""
+    rng = np.random.default_rng(4)
+    docs = [rng.zipf(1.3, rng.integers(1, 90)).clip(max=400).astype("<u2") for _ in range(60)] + [np.array([9], "<u2")] * 3
+    index, n = packing.Shard(docs), len(docs)
+    df = Counter(t for d in docs for t in set(d.tolist()))
+    mean = sum(map(len, docs)) / n
+    unused = np.ones(n, bool)
+    unused[[3, 8]] = False
+    for seed in range(n):
+        scores = {}
+        for k, d in enumerate(docs):
+            tf = Counter(d.tolist())
+            norm = packing.K1 * (1 - packing.B + packing.B * len(d) / mean)
+            scores[k] = sum(
+                math.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) * tf[t] * (packing.K1 + 1) / (tf[t] + norm)
+                for t in set(docs[seed].tolist()) if t in tf and df[t] > 1
+            )
+        got = index.neighbours(seed, unused).tolist()
+        assert set(got) == {k for k, x in scores.items() if x > 0 and unused[k]}
+        assert all(scores[a] >= scores[b] - 1e-4 for a, b in zip(got, got[1:]))
+
+
+def test_packing_of_many_tiny_documents(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_DOCS", 8)
+    docs = spark.createDataFrame([(k, "" if k % 3 else "a b") for k in range(700)], "doc_id long, text string")
+    rows = packing.packed(docs, window=16).collect()
+    assert sorted(r.doc_id for r in rows for _ in range(1) if r.start == 0) == list(range(700))
+    used = Counter()
+    for r in rows:
+        used[r.sequence_id] += r.length
+    assert sum(used.values()) == sum(1 if k % 3 else 3 for k in range(700)) and max(used.values()) <= 16
+    assert sum(x < 16 for x in used.values()) <= 4
+
+
 def shingles(text, k):
     w = WORD.findall((text or "").translate(LOWER))
     return {tuple(w[j : j + k]) for j in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
 
 
+@pytest.mark.parametrize("order", [1, -1])
+def test_rows_that_share_an_id_lose_no_link(spark, order):
+    """Each of an id's texts links, whichever row comes first and whichever text a bucket meets."""
+    rng = np.random.default_rng(7)
+    a, b, c = (" ".join(f"w{x}" for x in rng.integers(0, 5000, 80)) for _ in range(3))
+    near = lambda t, k: t + f" more{k}"
+    rows = [(1, a), (1, b), (1, c), (2, near(b, 1)), (3, near(a, 2)), (4, near(c, 3)), (5, a.upper()), (9, b[: len(b) // 2]), (7, c), (7, "alone in this")]
+    docs = spark.createDataFrame(rows[::order], "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.component_id, r.kept) for r in neardup.components_of_documents(docs).collect()}
+    assert got == {(k, 9 if k == 9 else 1, k in (1, 9)) for k in (1, 2, 3, 4, 5, 9, 7)}
+
+
 @pytest.mark.parametrize("k", [2, 5])
 def test_near_duplicates(docs, data, none, k):
     real = [(i, shingles(t, k)) for i, t in data if i is not None]
@@ -141,7 +188,8 @@ def test_decontamination(spark, docs, data, none):
 
 @pytest.mark.parametrize("length", [(50, 80), (80, 120), (200, 400)])
 @pytest.mark.parametrize("rate", [0.1, 0.15, 0.195])
-def test_edited_items_are_found(rate, length):
+@pytest.mark.parametrize("kind", ["mixed", "substitutions", "insertions", "deletions"])
+def test_edited_items_are_found(rate, length, kind):
     import pyarrow as pa
 
     rng = np.random.default_rng(4)
@@ -152,7 +200,10 @@ def test_edited_items_are_found(rate, length):
         x = bytearray(text.encode())
         for _ in range(int(rate * len(text))):
             p, c = int(rng.integers(len(x))), int(rng.integers(97, 123))
-            x[p : p + int(rng.integers(2))] = [c] if rng.integers(3) else []
+            if kind == "mixed":
+                x[p : p + int(rng.integers(2))] = [c] if rng.integers(3) else []
+            else:
+                x[p : p + (kind != "insertions")] = [] if kind == "deletions" else [c]
         return x.decode()
 
     texts = [prose(90)[: rng.integers(*length)].strip() for _ in range(200)]
@@ -160,7 +211,13 @@ def test_edited_items_are_found(rate, length):
     docs = [prose(20) + " " + edited(t) + " " + prose(20) for t in texts]
     near = [k for k in range(200) if items.distance(k, docs[k].encode()) <= 0.2 * len(texts[k])]
     got = {(r, k) for r, k, _ in items.matches(pa.array(docs))}
-    assert len(near) > 190 and sum((k, k) in got for k in near) >= decontaminate.RECALL * len(near)
+    # edits of one kind alone, at the threshold, cost recall on short items (stated in the docstring)
+    floor = decontaminate.RECALL
+    if rate > 0.19 and kind in ("substitutions", "insertions"):
+        floor = {50: 0.93}.get(length[0], floor)
+    if rate > 0.19 and kind == "deletions":
+        floor = {50: 0.79, 80: 0.87}.get(length[0], floor)
+    assert len(near) > 190 and sum((k, k) in got for k in near) >= floor * len(near)
 
 
 def test_short_items_are_found_in_mid_document():
@@ -178,6 +235,25 @@ def test_short_items_are_found_in_mid_document():
     assert {(r, k): d for r, k, d in mixed.matches(pa.array(docs))} == want
 
 
+def test_many_short_items_equal_a_search_of_every_one():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    word = lambda: "".join(rng.choice(list("abcde"), rng.integers(1, 7)))
+    texts = [" ".join(word() for _ in range(rng.integers(1, 8)))[:49].strip() for _ in range(60)]
+    docs = [" ".join(word() for _ in range(40)) + " " + rng.choice(texts) + " " + " ".join(word() for _ in range(5)) for _ in range(40)]
+    items = decontaminate.Items(list(enumerate(texts)))
+    want = {}
+    for r, d in enumerate(docs):
+        for k, t in enumerate(texts):
+            n = items.distance(k, d.encode())
+            if int(items.most[k]) and n <= int(items.most[k]):
+                want[r, k] = n
+            elif not int(items.most[k]) and f" {t} " in f" {d} ":
+                want[r, k] = 0
+    assert {(r, k): n for r, k, n in items.matches(pa.array(docs))} == want
+
+
 def test_edit_distance_is_the_best_substring():
     def slow(a, b):
         row = list(range(len(a) + 1))

@@ -15,7 +15,8 @@ the smallest edit distance between the item and any substring of the aligned, it
 region (bit-parallel, Myers) may be at most ``1 - SIMILARITY`` of the item's length.
 
 Items under ``SHORT`` bytes have too few windows for that: they are found without loss, since a
-match within k edits holds one of the item's k + 1 pieces unchanged.
+match within k edits holds one of the item's k + 1 pieces unchanged.  One automaton looks
+for the pieces of all of them in one pass.
 
 Items come in blocks of at most ``BLOCK_BYTES``; each block goes once against all documents.
 
@@ -151,6 +152,7 @@ class Items:
         self.bitmap = np.zeros(1 << 20, bool)
         self.bitmap[(self.keys >> np.uint64(44)).astype(np.int64)] = True
         self.masks: list[dict[int, int] | None] = [None] * len(rows)
+        self.short = None  # built where it is used
 
     def distance(self, k: int, region: bytes) -> int:
         if self.texts[k] in region:
@@ -178,7 +180,7 @@ class Items:
             met.append(np.repeat(hit, n) * len(self.row) + self.window[x])
         met = np.unique(np.concatenate(met))
         best: dict[tuple[int, int], int] = {}
-        places = [self.regions(met, at, row), *(self.short_regions(k, data, offsets) for k in np.flatnonzero(self.length < SHORT).tolist())]
+        places = [self.regions(met, at, row), self.short_regions(data, offsets)]
         for r, k, lo, hi in zip(*[np.concatenate(x).tolist() for x in zip(*places)]):
             if best.get((r, k)) == 0:
                 continue
@@ -212,32 +214,47 @@ class Items:
         last = np.append(first[1:], len(pair)) - 1
         return pair[first] // len(self.texts), pair[first] % len(self.texts), start[first], start[last]
 
-
-    def short_regions(self, k: int, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-        """As ``regions``, of one short item, without loss: of one piece more than the edits allowed,
-        some piece is whole in every match."""
-        text, most, raw = self.texts[k], int(self.most[k]), data.tobytes()
-        cuts = [len(text) * j // (most + 1) for j in range(most + 2)]
+    def pieces(self):
+        """An automaton over the pieces of all short items: piece -> [(item, place in it)]."""
+        import ahocorasick
+
+        held: dict[str, list[tuple[int, int]]] = {}
+        for k in np.flatnonzero(self.length < SHORT).tolist():
+            text, n = self.texts[k].decode("latin-1"), int(self.most[k]) + 1
+            cuts = [len(text) * j // n for j in range(n + 1)]
+            for a, b in zip(cuts, cuts[1:]):
+                if b > a:
+                    held.setdefault(text[a:b], []).append((k, a))
+        found = ahocorasick.Automaton()
+        for piece, at in held.items():
+            found.add_word(piece, (len(piece), at))
+        if held:
+            found.make_automaton()
+        return found
+
+    def short_regions(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+        """As ``regions``, of the short items, without loss: of one piece more than the edits allowed,
+        some piece is whole in every match.  One pass over the texts for all pieces."""
+        if self.short is None:
+            self.short = self.pieces()
         got = []
-        for a, b in zip(cuts, cuts[1:]):
-            p = raw.find(text[a:b])
-            while p >= 0:
-                got.append((p, p + b - a, p - a))
-                p = raw.find(text[a:b], p + 1)
-        hit, past, start = np.array(got, np.int64).reshape(-1, 3).T
+        if len(self.short):
+            for last, (n, at) in self.short.iter(data.tobytes().decode("latin-1")):
+                got += [(last - n + 1, last + 1, last - n + 1 - a, k) for k, a in at]
+        hit, past, start, item = np.array(got, np.int64).reshape(-1, 4).T
         row = np.searchsorted(offsets, hit, side="right") - 1
         inside = past <= offsets[row + 1]
-        if not most and len(hit):  # whole words only
-            before = (hit > offsets[row]) & _WORD_BYTE[data[hit - 1]]
-            after = (past < offsets[row + 1]) & _WORD_BYTE[data[np.minimum(past, len(data) - 1)]]
-            inside &= ~(before | after)
-        row, start = row[inside], start[inside]
-        order = np.lexsort((start, row))
-        row, start = row[order], start[order]
+        whole = self.most[item] == 0  # as whole words only
+        before = (hit > offsets[row]) & _WORD_BYTE[data[hit - 1]]
+        after = (past < offsets[row + 1]) & _WORD_BYTE[data[np.minimum(past, len(data) - 1)]]
+        inside &= ~(whole & (before | after))
+        row, start, item = row[inside], start[inside], item[inside]
+        order = np.lexsort((start, item, row))
+        row, start, item = row[order], start[order], item[order]
         new = np.ones(len(row), bool)
-        new[1:] = (row[1:] != row[:-1]) | (start[1:] - start[:-1] > 2 * most)
+        new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (start[1:] - start[:-1] > 2 * self.most[item[1:]])
         first = np.flatnonzero(new)
-        return row[first], np.full(len(first), k), start[first], start[np.append(first[1:], len(row))[: len(first)] - 1]
+        return row[first], item[first], start[first], start[np.append(first[1:], len(row))[: len(first)] - 1]
 
 
 def item_blocks(benchmark: DataFrame):
