@@ -5,6 +5,7 @@ import os
 
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
 
 from tillpoint.config import FIXTURE_AS_OF, FIXTURE_SPEC
 from tillpoint.operators import ml
@@ -30,7 +31,14 @@ def test_train_then_score(spark, tmp_path):
     models = {p: str(tmp_path / f"model-{p}") for p in ("swipe", "loan", "speaker")}
     for p, path in models.items():
         ml.save(PipelineModel.load(str(tmp_path / "swipe" / "model")), path, p)
-    final = scoring.run(Tables.from_fixture(spark, SF), FIXTURE_AS_OF, models, csv_path=str(tmp_path / "final_csv"), min_txns=25)
+    final = scoring.run(
+        Tables.from_fixture(spark, SF), FIXTURE_AS_OF, models, csv_path=str(tmp_path / "final_csv"), min_txns=25, reports_dir=str(tmp_path / "reports")
+    )
+    rates = spark.read.parquet(str(tmp_path / "reports" / "rate_by_category")).filter("feature = 'zone_name'")
+    per_product = {r.product: (r.n, r.rate) for r in rates.groupBy("product").agg(F.sum("n_merchants").alias("n"), F.sum(F.expr("propensity * n_merchants / 100")).alias("rate")).collect()}
+    flagged = final.agg(*[F.sum(c) for c in scoring.FLAG_COLS]).first()
+    assert {p: round(x[1]) for p, x in per_product.items()} == {c.removesuffix("_flag"): v for c, v in zip(scoring.FLAG_COLS, flagged)}
+    assert spark.read.parquet(str(tmp_path / "reports" / "histogram_prob_loan")).agg(F.sum("n")).first()[0] == 80
     cols = set(final.columns)
     assert {"prob_swipe", "loan_ltv", "mltv", "p1_recommendation", "Channel"} <= cols
     assert final.count() == 80

@@ -2,7 +2,7 @@
 
 scoring matrix -> per-product probabilities from the saved models -> product
 flags -> LTV -> ranked recommendations -> Digital / Offline channel -> table
-(replace) and CSV export.  Each product model is scored with its own session
+(replace), CSV export and report tables.  Each product model is scored with its own session
 columns renamed to the shared feature names.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillpoint.config import CHANNEL_MIN_RELEVANT_APPS, CHANNEL_MIN_W1_SESSIONS, PRODUCTS
-from tillpoint.operators import apps, features, ml, score
+from tillpoint.operators import apps, eda, features, ml, score
 from tillpoint.sources.sinks import export_csv, stage, write_table
 from tillpoint.sources.tables import Tables
 
@@ -44,6 +44,7 @@ def run(
     model_paths: dict[str, str],
     out_table: str | None = None,
     csv_path: str | None = None,
+    reports_dir: str | None = None,
     min_txns: int = 5,
     min_relevant_apps: int = CHANNEL_MIN_RELEVANT_APPS,
     min_w1_sessions: int = CHANNEL_MIN_W1_SESSIONS,
@@ -61,18 +62,22 @@ def run(
         write_table(final, out_table)
     if csv_path:
         export_csv(final, csv_path)
+    if reports_dir:
+        for name, df in reports(final).items():
+            df.write.mode("overwrite").parquet(f"{reports_dir}/{name}")
     return final
 
 
-def loan_outlier_trim(final: DataFrame) -> DataFrame:
-    """Rows kept by the 3 x IQR fence on the mean of the last two months' value."""
-    return score.iqr_trim(final)
-
-
-def top_loan_ltv(final: DataFrame) -> DataFrame:
-    return score.max_rows(final, "loan_ltv")
-
-
-def product_histograms(final: DataFrame) -> dict[str, DataFrame]:
-    cols = [c for c in final.columns if c.startswith("prob_")] + [c for c in FLAG_COLS if c in final.columns]
-    return {c: score.histogram(final.filter(F.col(c).isNotNull()), c, 10) for c in cols}
+def reports(final: DataFrame) -> dict[str, DataFrame]:
+    """The tables behind the charts of a scoring run: flag rates by product, score and flag
+    histograms, the rows kept by the 3 x IQR fence on the mean of the last two months' value, and the
+    rows with the highest loan value."""
+    labels = {c.removesuffix("_flag"): c for c in FLAG_COLS}
+    shown = [c for c in final.columns if c.startswith("prob_") or c in FLAG_COLS]
+    return {
+        "rate_by_category": eda.rate_by_category(final, eda.SCORING_CATEGORY_COLS, labels=labels),
+        "rate_by_quartile_bin": eda.rate_by_quartile_bin(final, eda.SCORING_EDA_COLS, labels=labels),
+        "loan_outlier_trim": score.iqr_trim(final),
+        "top_loan_ltv": score.max_rows(final, "loan_ltv"),
+        **{f"histogram_{c}": score.histogram(final.filter(F.col(c).isNotNull()), c, 10) for c in shown},
+    }
