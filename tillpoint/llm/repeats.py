@@ -384,7 +384,7 @@ def removal(docs: DataFrame, hot: int = HOT) -> DataFrame:
 
 
 def repeats_of_documents(docs: DataFrame, hot: int = HOT) -> DataFrame:
-    """The digest of every document."""
+    """The digest of every document: its bytes, what was removed of them and what is left."""
     cut = removal(docs, hot).select(
         F.col("doc_id").alias("cid"), F.col("tkey").alias("ckey"), "n_removed", "n_spans", F.sha2("kept", 256).alias("cut_sha256")
     )
@@ -395,4 +395,5 @@ def repeats_of_documents(docs: DataFrame, hot: int = HOT) -> DataFrame:
         F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
         F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"),
         F.coalesce("cut_sha256", "whole_sha256").alias("kept_sha256"),
+        (F.col("n_bytes") - F.coalesce("n_removed", F.lit(0))).alias("n_kept"),
     )
