@@ -356,6 +356,33 @@ def test_scores_beat_the_base_on_held_out_documents(spark):
     assert r["s"] > r["b"]
 
 
+def test_mixer_learns_from_long_documents(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    text = lambda n: " ".join(rng.choice(["ab", "cd", "ef", "gh"], n, p=[0.7, 0.2, 0.05, 0.05]))
+    docs = spark.createDataFrame([(k, text(3000)) for k in range(40)], "doc_id long, text string")
+    total = lambda: lm.score(docs).filter("held_out").selectExpr("sum(score) s").first()["s"]
+    learned = total()
+    monkeypatch.setattr(lm.Mixer, "set", lambda *_: None, raising=False)  # the model stays at its priors
+    assert learned > total() + 1
+
+
+def test_mixer_learns_the_same_from_batches_of_any_size():
+    rng = np.random.default_rng(6)
+    cls = lm.Classes([(5 << 6, 30), (9 << 6, 20), (1, 10)], [(k, k) for k in range(64)])
+    t = rng.choice(np.array([5 << 6, 9 << 6, 1, 77 << 6], np.uint64), 900)
+    ends = np.array([0, 1, 300, 302, 700, 900])
+    root, tables = np.zeros((cls.n_nodes, 2), np.int64), np.zeros((lm.ORDERS, 1 << lm.SLOT_BITS, 2), np.uint32)
+    lm.add_counts(tables, root, cls, t, ends)
+    given = lm.without_own(root), np.stack([lm.without_own(x).astype(np.float16) for x in tables]), tables.sum(-1)
+    one, many = lm.Learner(cls), lm.Learner(cls)
+    one.add(*given, t, ends)
+    for a, b in zip(ends[:-1], ends[1:]):
+        many.add(*given, t[a:b], np.array([0, b - a]))
+    for x, y in zip(one.sums(), many.sums()):
+        assert np.array_equal(x, y)
+    assert one.by_gate.sum() == one.by_cell.sum() == len(cls.decisions(t, ends)[0])  # every decision of every text
+
+
 def test_links_join_components_like_all_pairs():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2**63, 120).astype(np.uint64)

@@ -8,10 +8,11 @@ Every decision is predicted from hashed contexts (none; the class before; the la
 with a class of their own; the two tokens before), whose tables hold the bit counts of all training documents in a
 fixed number of slots.  The predictions are mixed in the logistic domain by a weight
 set that a gate (how much evidence the longer contexts have) chooses; an adaptive
-probability map then refines the mix.  Weights and map are trained online, each bit
-predicted before it is learned from with its own count taken out, on at most
-``SAMPLE_DOCS`` training documents of at most ``SAMPLE_BYTES`` bytes.  All counts and
-statistics are over all training documents.
+probability map then refines the mix.  Weights and map are trained online on every token of
+every training document, ``STEP`` decisions at a time, which are predicted before they are learned
+from with their own counts taken out.  Each block (see below) trains its own in its task; the
+model has their means, weighed by how many decisions met each weight set and map cell.  All
+counts and statistics are over all training documents.
 
 A word within its class has (c + 0.5) / (C + 0.5 (V + 1)), c its training count and C, V the class's
 tokens and distinct words; an unseen word has c = 0.  Word counts are looked up block by
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from tillpoint.llm.common import column_bytes, lower, mix, narrow, python_tasks, span_hashes, stage, text_key, text_of, word_spans
+from tillpoint.llm.common import column_bytes, lower, mix, narrow, python_tasks, span_hashes, stage, text_of, word_spans
 
 FOLDS, HELD_OUT = 5, 1
 TOP_WORDS = 255
@@ -40,9 +41,11 @@ SLOT_BITS = 20
 ORDERS = 3  # hashed contexts beside the empty one
 CHUNK = 1 << 16
 MAX_TRAIN_TASKS = 2048
-SAMPLE_DOCS = 400
-SAMPLE_BYTES = 6000
-RATE = 0.02
+STEP = 2048  # decisions learned at once
+PART_TOKENS = 1 << 16  # tokens whose decisions a task holds at once, or one text's
+RATE = 0.00025
+MAP_RATE = 0.02
+FIXED_POINT = 1 << 20  # blocks are summed as integers, so the sum has no order
 MAP_STEPS = 33
 GATES = 16
 END = np.uint64(1)  # the end token's hash
@@ -151,9 +154,10 @@ def stretch(n: np.ndarray) -> np.ndarray:
     return np.log((n[..., 1] + 0.4) / (n[..., 0] + 0.4))
 
 
-def evidence(total: np.ndarray) -> np.ndarray:
-    """0..3: none, little, some, much."""
-    return (total > 0).astype(np.int8) + (total > 3) + (total > 30)
+#: By a slot's count: how far its estimate is trusted against the empty context's (few counts are
+#: drawn to it), and 0..3: none, little, some, much.
+TRUST = (np.arange(1 << 16) / (np.arange(1 << 16) + 1.5)).astype(np.float32)
+EVIDENCE = np.searchsorted([1, 4, 31], np.arange(1 << 16), side="right").astype(np.int64)
 
 
 class Mixer:
@@ -162,73 +166,120 @@ class Mixer:
         grid = (np.arange(MAP_STEPS) - MAP_STEPS // 2) / 2.0
         self.map = np.tile(1 / (1 + np.exp(-grid)), (n_nodes, 1))
 
-    def inputs(self, zero: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(inputs [1 + ORDERS, decisions], gate) from the counts of every context."""
-        x = np.empty((1 + ORDERS, len(zero)))
-        x[0] = stretch(zero)
-        total = n.sum(-1)
-        for k in range(ORDERS):
-            # an estimate from few counts is drawn to the empty context's
-            trust = total[k] / (total[k] + 1.5)
-            x[1 + k] = np.where(total[k] > 0, trust * stretch(n[k]) + (1 - trust) * x[0], x[0])
-        return x, evidence(total[2]) * 4 + evidence(total[1])
-
-    def mixed(self, x: np.ndarray, gate: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(probability of a one; before the map; map cell; log odds)."""
-        s = np.clip(np.einsum("kd,dk->d", x, self.weights[gate]), -8, 8)
-        p = 1 / (1 + np.exp(-s))
-        cell = np.clip(np.rint(s * 2).astype(np.int64) + MAP_STEPS // 2, 0, MAP_STEPS - 1)
-        q = 0.5 * p + 0.5 * self.map[node, cell]
-        return np.clip(q, 1e-5, 1 - 1e-5), p, cell, s
-
-    def learn(self, x: np.ndarray, gate: np.ndarray, node: np.ndarray, bit: np.ndarray) -> None:
-        """One online step over the lanes' next decisions."""
-        _, p, cell, _ = self.mixed(x, gate, node)
-        np.add.at(self.weights, gate, (RATE / max(1, len(bit)) ** 0.5) * ((bit - p) * x).T)
-        np.add.at(self.map, (node, cell), 0.02 * (bit - self.map[node, cell]))
-        np.clip(self.map, 1e-4, 1 - 1e-4, out=self.map)
-
-
-def train_mixer(cls: Classes, root: np.ndarray, tables: np.ndarray, texts: list[str]) -> Mixer:
-    """Lanes are the sample's documents; at each step every lane's next decision is predicted, with
-    its own count taken out of the tables, and then learned from."""
-    import pyarrow as pa
-
-    m = Mixer(cls.n_nodes)
-    if not texts or not len(cls.nodes):
-        return m
-    t, ends = tokens(pa.array(texts, pa.string()))
-    token, node, bit, slots = cls.decisions(t, ends)
-    lane = np.searchsorted(ends, token, side="right") - 1
-    first = np.searchsorted(lane, np.arange(len(texts) + 1))
-    length = np.diff(first)
-    own = np.eye(2)[bit]
-    zero = np.maximum(root[node] - own, 0)
-    n = np.stack([np.maximum(tables[k][slots[k]] - own, 0) for k in range(ORDERS)])
-    x, gate = m.inputs(zero, n)
-    order = np.argsort(-length, kind="stable")
-    begin, length = first[:-1][order], length[order]
-    for step in range(int(length[0])):
-        at = begin[: np.searchsorted(-length, -step, side="left")] + step
-        m.learn(x[:, at], gate[at], node[at], bit[at].astype(float))
-    return m
+    def log_odds(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
+        weights = np.ascontiguousarray(self.weights.T, x.dtype)
+        s = x[0] * weights[0].take(gate)
+        for k in range(1, 1 + ORDERS):
+            s += x[k] * weights[k].take(gate)
+        return np.clip(s, -8, 8, out=s)
+
+    def mixed(self, x: np.ndarray, gate: np.ndarray, node: np.ndarray) -> np.ndarray:
+        """Probability of a one."""
+        s = self.log_odds(x, gate)
+        q = self.map.astype(x.dtype).ravel().take(map_cell(s, node))
+        q += 1 / (1 + np.exp(-s))
+        q *= x.dtype.type(0.5)
+        return np.clip(q, 1e-5, 1 - 1e-5, out=q)
+
+    def learn(self, x: np.ndarray, gate: np.ndarray, node: np.ndarray, bit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """One online step over some decisions: (decisions by gate, map cells met, decisions by these)."""
+        s = self.log_odds(x, gate)
+        miss = bit - 1 / (1 + np.exp(-s))
+        for k in range(1 + ORDERS):
+            self.weights[:, k] += RATE * np.bincount(gate, miss * x[k], minlength=GATES)
+        at = map_cell(s, node)
+        n, ones = np.bincount(at), np.bincount(at, bit)
+        met = np.flatnonzero(n)
+        n, cells = n[met], self.map.reshape(-1)
+        # as n steps one by one, of the mean bit
+        cells[met] = np.clip(cells[met] + (1 - (1 - MAP_RATE) ** n) * (ones[met] / n - cells[met]), 1e-4, 1 - 1e-4)
+        return np.bincount(gate, minlength=GATES), met, n
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([self.weights.ravel(), self.map.ravel()])
+
+    def set(self, cell: np.ndarray, value: np.ndarray) -> None:
+        """Some of ``flat``'s numbers."""
+        flat = self.flat()
+        flat[cell] = value
+        self.weights = flat[: self.weights.size].reshape(self.weights.shape)
+        self.map = np.ascontiguousarray(flat[self.weights.size :].reshape(self.map.shape))
+
+
+def map_cell(s: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """The map's cell, by node and log odds (within -8 and 8)."""
+    return node * MAP_STEPS + np.rint(s * 2).astype(np.int64) + MAP_STEPS // 2
+
+
+def inputs(zero: np.ndarray, logits: list[np.ndarray], seen: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(inputs [1 + ORDERS, decisions], gate) from every context's log odds and counts."""
+    x = np.empty((1 + ORDERS, len(zero)), np.float32)
+    x[0] = zero
+    for k in range(ORDERS):
+        x[1 + k] = x[0] + TRUST.take(seen[k]) * (logits[k] - x[0])
+    return x, EVIDENCE.take(seen[2]) * 4 + EVIDENCE.take(seen[1])
+
+
+def without_own(n: np.ndarray) -> np.ndarray:
+    """[..., bit]: the log odds of counts from which one such bit is taken."""
+    return np.stack([stretch(np.maximum(n.astype(np.int64) - own, 0)) for own in np.eye(2, dtype=np.int64)], axis=-1)
+
+
+class Learner:
+    """Trains one block's mixer: its texts come in order, in batches of any size."""
+
+    def __init__(self, cls: Classes):
+        self.cls, self.mixer = cls, Mixer(cls.n_nodes)
+        self.by_gate = np.zeros(GATES)
+        self.by_cell = np.zeros(self.mixer.map.size, np.int64)
+        self.rest: list[np.ndarray] | None = None
+
+    def add(self, zero: np.ndarray, logits: np.ndarray, seen: np.ndarray, t: np.ndarray, ends: np.ndarray) -> None:
+        """``zero`` and ``logits``: ``without_own`` of the nodes' and the tables' counts; ``seen``:
+        the tables' totals."""
+        first = 0
+        while first < len(ends) - 1:
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] + PART_TOKENS, side="right")) - 1)
+            self._add(zero, logits, seen, t[ends[first] : ends[last]], ends[first : last + 1] - ends[first])
+            first = last
+
+    def _add(self, zero, logits, seen, t, ends) -> None:
+        _, node, bit, slots = self.cls.decisions(t, ends)
+        own = lambda k: np.maximum(seen[k].take(slots[k]), 1) - 1
+        x, gate = inputs(zero.ravel().take(2 * node + bit), [logits[k].ravel().take(2 * slots[k] + bit) for k in range(ORDERS)], [own(k) for k in range(ORDERS)])
+        new = [x, gate, node, bit]
+        if self.rest is not None:
+            new = [np.concatenate([a, b], axis=-1) for a, b in zip(self.rest, new)]
+        whole = len(new[2]) // STEP * STEP
+        self._learn(new, whole)
+        self.rest = [a[..., whole:].copy() for a in new]
+
+    def _learn(self, rows: list[np.ndarray], end: int) -> None:
+        x, gate, node, bit = rows
+        for a in range(0, end, STEP):
+            b = min(a + STEP, end)
+            by_gate, met, n = self.mixer.learn(x[:, a:b], gate[a:b], node[a:b], bit[a:b])
+            self.by_gate += by_gate
+            self.by_cell[met] += n
+
+    def sums(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(cell of ``Mixer.flat``, decisions that met it, their sum of its value in fixed point)."""
+        if self.rest is not None:
+            self._learn(self.rest, len(self.rest[2]))
+            self.rest = None
+        n = np.concatenate([np.repeat(self.by_gate, 1 + ORDERS).astype(np.int64), self.by_cell])
+        cell = np.flatnonzero(n)
+        return cell, n[cell], np.rint(self.mixer.flat()[cell] * FIXED_POINT).astype(np.int64) * n[cell]
 
 
 def score_batch(cls: Classes, m: Mixer, zero_in: np.ndarray, stretched: np.ndarray, seen: np.ndarray, t: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """log10 probability of the classes of each row's tokens.  ``stretched`` and ``seen`` are
     the tables' log odds and evidence; ``zero_in`` the empty context's log odds by node."""
     token, node, bit, slots = cls.decisions(t, ends)
-    x = np.empty((1 + ORDERS, len(token)), np.float32)
-    x[0] = zero_in[node]
-    ev = []
-    for k in range(ORDERS):
-        total = seen[k][slots[k]].astype(np.float32)
-        trust = total / (total + np.float32(1.5))
-        x[1 + k] = x[0] + trust * (stretched[k][slots[k]] - x[0])
-        ev.append(evidence(total))
-    p, _, _, _ = m.mixed(x, ev[2] * 4 + ev[1], node)
+    x, gate = inputs(zero_in.take(node), [stretched[k].take(slots[k]) for k in range(ORDERS)], [seen[k].take(slots[k]) for k in range(ORDERS)])
+    p = m.mixed(x, gate, node)
     lp = np.log10(np.where(bit == 1, p, 1 - p))
-    row = np.searchsorted(ends, token, side="right") - 1
+    row = np.repeat(np.arange(len(ends) - 1), np.diff(ends)).take(token)
     return np.bincount(row, lp, minlength=len(ends) - 1)
 
 
@@ -345,17 +396,34 @@ def score(docs: DataFrame) -> DataFrame:
         else:
             tables.ravel()[r["chunk"] * CHUNK :][: len(raw) // 4] = np.frombuffer(raw, np.uint32)
 
-    # 3. weights and map, online over the bounded sample
-    sample = (
-        d.filter(~F.col("held_out") & (F.octet_length("text") <= SAMPLE_BYTES)).orderBy(F.xxhash64("doc_id"), text_key()).limit(SAMPLE_DOCS).select("text")
+    # 3. weights and map, online over all training documents of each block; then their means
+    seen = np.minimum(tables.sum(-1), 60_000).astype(np.uint16)
+    unseen = spark.sparkContext.broadcast(
+        (without_own(root).astype(np.float32), np.stack([without_own(tables[k]).astype(np.float16) for k in range(ORDERS)]), seen)
     )
-    mixer = train_mixer(cls, root, tables, [r["text"] for r in sample.collect()])
+
+    def learn(batches):
+        import pyarrow as pa
+
+        held: dict[int, Learner] = {}
+        for b in batches:
+            blocks = np.array(b.column(0).to_pylist())
+            for block in np.unique(blocks).tolist():
+                t, ends = tokens(b.column(1).filter(pa.array(blocks == block)))
+                held.setdefault(block, Learner(cls)).add(*unseen.value, t, ends)
+        for learner in held.values():
+            cell, n, total = learner.sums()
+            yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(n), pa.array(total)], ["cell", "n", "total"])
+
+    mixer = Mixer(cls.n_nodes)
+    if len(cls.nodes):
+        blocks = d.filter(~F.col("held_out")).select("block", "text").coalesce(MAX_TRAIN_TASKS)
+        sums = blocks.mapInArrow(learn, "cell int, n long, total long").groupBy("cell")
+        # a decimal sum: n times a value in fixed point may pass 64 bits on a huge corpus
+        means = sums.agg((F.sum(F.col("total").cast("decimal(38,0)")).cast("double") / F.sum("n") / FIXED_POINT).alias("mean")).collect()
+        mixer.set(np.array([r["cell"] for r in means], np.int64), np.array([r["mean"] for r in means]))
     stretched = spark.sparkContext.broadcast(
-        (
-            stretch(root).astype(np.float32),
-            np.stack([stretch(tables[k]) for k in range(ORDERS)]).astype(np.float16),
-            np.minimum(tables.sum(-1), 60_000).astype(np.uint16),
-        )
+        (stretch(root).astype(np.float32), np.stack([stretch(tables[k]) for k in range(ORDERS)]).astype(np.float16), seen)
     )
     del tables
 
@@ -366,7 +434,7 @@ def score(docs: DataFrame) -> DataFrame:
         h = right.column("h").to_numpy().view(np.uint64)
         order = np.argsort(h)
         h, c = h[order], right.column("total").to_numpy()[order]
-        zero_in, logits, seen = stretched.value
+        zero_in, logits, totals = stretched.value
         out = []
         for b in left.to_batches(max_chunksize=256):
             t, ends = tokens(b.column("text"))
@@ -380,7 +448,7 @@ def score(docs: DataFrame) -> DataFrame:
             r = cls.rare[np.maximum(k, 0)]
             share = np.where(k >= 0, np.log10((n + 0.5) / (r[:, 0] + 0.5 * (r[:, 1] + 1))), 0.0)
             rows = len(ends) - 1
-            total = score_batch(cls, mixer, zero_in, logits, seen, t, ends) + np.bincount(row, share, minlength=rows)
+            total = score_batch(cls, mixer, zero_in, logits, totals, t, ends) + np.bincount(row, share, minlength=rows)
             size = np.diff(column_bytes(b.column("text"))[1])
             out.append(
                 pa.RecordBatch.from_arrays(
