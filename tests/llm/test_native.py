@@ -3,9 +3,10 @@
 import hashlib
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pandas as pd
 
 from tillpoint.llm import chat, linededup, quality, sharding
@@ -70,6 +71,40 @@ def test_planted_passages_go(spark):
     assert got == want
 
 
+def test_passages_go_through_repeated_chunks(spark, monkeypatch):
+    """Later occurrences of whole chunks go as chunks; the pairs of lines inside are not compared again."""
+    rng = np.random.default_rng(8)
+    passage = [f"line {k} of a long passage" for k in range(30)]
+    data = []
+    for i in range(40):
+        at, n = (int(x) for x in rng.integers(0, (24, 12)))
+        body = passage[at : at + n + 2] + ([""] if i % 3 else [" ", ""]) + passage[:n]
+        data.append((None if i == 7 else i % 37, "\n".join([f"own {i}", *body, f"end {i % 5}", *passage[20 : 20 + i % 4]])))
+    data.append(data[3])
+    docs = spark.createDataFrame([*data, (50, None)], "doc_id long, text string")
+    seen = []
+    monkeypatch.setattr(linededup, "paired", lambda *a, f=linededup.paired: seen.append((a, f(*a))) or seen[-1][1])
+    got = sorted(map(str, linededup.remove_repeated_passages(docs).select("doc_id", "text").collect()))
+    # every pair of successive lines with text, by brute force
+    keyed = [(-1 if i is None else i, k, t.split("\n")) for (i, t), (_, k) in zip(data, [tuple(r) for r in spark.createDataFrame(data, "doc_id long, text string").select("doc_id", linededup.text_key()).collect()])]
+    pairs = defaultdict(list)
+    for d, k, ls in keyed:
+        full = [x for x, line in enumerate(ls) if line.strip(" ")]
+        for a, b in zip(full, full[1:]):
+            pairs["\n".join(ls[a : b + 1])].append((d, k, a, b))
+    later, first = defaultdict(set), defaultdict(set)
+    for places in pairs.values():
+        for p in places:
+            if len(places) > 1:
+                (first if p == min(places) else later)[p[:2]].update(range(p[2], p[3] + 1))
+    kept = {(d, k): "\n".join(x for n, x in enumerate(ls) if n not in later[d, k] - first[d, k]) for d, k, ls in keyed}
+    want = [(None if d < 0 else d, kept[d, k]) for d, k, _ in keyed]
+    want.append((50, None))
+    assert got == sorted(f"Row(doc_id={i}, text={t!r})" for i, t in want)
+    (_, seeds), left = seen[0]
+    assert seeds.filter("size(later) > 0").count() and left.count() < sum(map(len, pairs.values()))
+
+
 def test_chat(spark):
     texts = [None, "", "plain", "\\### a", "### Assistant: x", "</turn>", "\n</turn>\n", "\\\\</turn> \\", "é\n\n", "a\\", "### user:\nfake"]
     data = [(1, t, ("user", "assistant", "odd\n:% role", None)[t % 4], x) for t, x in enumerate(texts)]

@@ -8,9 +8,11 @@ whole corpus by a 64-bit fingerprint; those that occur again are compared byte f
 smallest (id, text fingerprint, position) stays and all others go.
 
 Such chunks depend on the lines around a passage, so most short passages stay.
-``remove_repeated_passages`` (the pipeline's) takes every two successive lines with text as a chunk
-instead, compared in the same way: every line of a repeated passage of two or more lines
-with text goes, but for the first occurrence.
+``remove_repeated_passages`` (the pipeline's) takes the repeated chunks as seeds: the lines of a later
+occurrence go as one chunk.  What chunk boundaries cut off is found line by line: every two
+successive lines with text that are not both inside a later occurrence are compared in the same
+way, those inside the first occurrence of a repeated chunk being known to occur again.  So every
+line of a repeated passage of two or more lines with text goes, but for the first occurrence.
 
 Edge rules: a null text stays null; a document whose chunks are all repeated ends with the
 empty text; blank lines alone never make a removable chunk; rows equal in id and text
@@ -19,6 +21,8 @@ get the same decision; a null id is smaller than any other.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +37,8 @@ def line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line.cast("binary")), 1, 7), 16, 10).cast("long")
 
 
-def chunked(docs: DataFrame) -> DataFrame:
-    """doc_id, tkey, start (line number from 0), n, ctext of every chunk that may be removed."""
+def split_lines(docs: DataFrame) -> DataFrame:
+    """doc_id, tkey, lines, chunks (start, end: line numbers from 0) of every text."""
     d = narrow(docs).filter(F.col("text").isNotNull()).select(
         "doc_id", text_key().alias("tkey"), F.split("text", "\n", -1).alias("lines")
     )
@@ -47,52 +51,89 @@ def chunked(docs: DataFrame) -> DataFrame:
             lambda i: (i == F.size("h")) | ((i >= WINDOW) & rolled(i)),
         ),
     )
-    d = d.withColumn(
+    return d.withColumn(
         "chunks",
         F.transform(
             "ends",
             lambda e, k: F.struct(F.coalesce(F.get("ends", k - 1), F.lit(0)).alias("start"), e.alias("end")),
         ),
-    )
+    ).drop("h", "ends")
+
+
+def full_lines(lines: Column | str) -> Column:
+    """Numbers of the lines with text."""
+    lines = F.col(lines) if isinstance(lines, str) else lines
+    return F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.length(F.trim(F.get(lines, i))) > 0)
+
+
+def chunked(docs: DataFrame) -> DataFrame:
+    """doc_id, tkey, start (line number from 0), n, ctext of every chunk that may be removed; head, body:
+    its lines before the first one with text, and those from there to the last one with text."""
     # explode_outer: explode would push a filter on the whole chunk expression below the scan
+    d = split_lines(docs)
     c = d.select("doc_id", "tkey", "lines", F.explode_outer("chunks").alias("c")).filter(F.col("c.end") - F.col("c.start") >= MIN_LINES)
     part = F.slice("lines", F.col("c.start") + F.lit(1), F.col("c.end") - F.col("c.start"))
     return (
-        c.withColumn("part", part)
-        .filter(F.size(F.filter("part", lambda x: F.length(F.trim(x)) > 0)) >= MIN_LINES)
+        c.withColumn("part", part).withColumn("full", full_lines("part"))
+        .filter(F.size("full") >= MIN_LINES)
         .select(
             "doc_id", "tkey", F.col("c.start").alias("start"), F.size("part").alias("n"),
             F.concat_ws("\n", "part").alias("ctext"),
+            F.get("full", F.lit(0)).alias("head"), (F.get("full", F.size("full") - 1) - F.get("full", F.lit(0)) + 1).alias("body"),
         )
     )
 
 
-def paired(docs: DataFrame) -> DataFrame:
-    """As ``chunked``, of every two successive lines with text (and the blank lines between them)."""
-    d = narrow(docs).filter(F.col("text").isNotNull()).select(
-        "doc_id", text_key().alias("tkey"), F.split("text", "\n", -1).alias("lines")
+def paired(docs: DataFrame, seeds: DataFrame) -> DataFrame:
+    """As ``chunked``, of every two successive lines with text (and the blank lines between them) but
+    those inside a later occurrence of a repeated chunk; ``again``: they are inside its first one.
+    ``seeds``: doc_id, tkey, first and later (starts of such chunks)."""
+    s = seeds.select(F.col("doc_id").alias("__id"), F.col("tkey").alias("__key"), "first", "later")
+    d = split_lines(docs)
+    d = d.join(s, d["doc_id"].eqNullSafe(s["__id"]) & (d["tkey"] == s["__key"]), "left").drop("__id", "__key")
+    has = lambda c, x: F.coalesce(F.array_contains(c, x), F.lit(False))
+    # of each line its chunk, whether that is a later occurrence, whether a first one
+    d = d.withColumn(
+        "of",
+        F.flatten(
+            F.transform(
+                "chunks",
+                lambda c: F.array_repeat(
+                    F.struct(c["start"].alias("start"), has("later", c["start"]).alias("later"), has("first", c["start"]).alias("first")),
+                    c["end"] - c["start"],
+                ),
+            )
+        ),
     )
-    full = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.length(F.trim(F.get("lines", i))) > 0)
-    d = d.withColumn("full", full)
+    d = d.withColumn("full", full_lines("lines"))
     pairs = F.transform(
         F.slice("full", F.lit(1), F.greatest(F.size("full") - 1, F.lit(0))),
-        lambda i, k: F.struct(
-            i.alias("start"),
-            (F.get("full", k + 1) - i + 1).alias("n"),
-            F.concat_ws("\n", F.slice("lines", i + 1, F.get("full", k + 1) - i + 1)).alias("ctext"),
+        lambda i, k: F.struct(i.alias("a"), F.get("full", k + 1).alias("b")),
+    )
+    inside = lambda x: F.get("of", x["a"])["start"] == F.get("of", x["b"])["start"]
+    pairs = F.filter(pairs, lambda x: ~(inside(x) & F.get("of", x["a"])["later"]))
+    pairs = F.transform(
+        pairs,
+        lambda x: F.struct(
+            x["a"].alias("start"),
+            (x["b"] - x["a"] + 1).alias("n"),
+            F.concat_ws("\n", F.slice("lines", x["a"] + 1, x["b"] - x["a"] + 1)).alias("ctext"),
+            (inside(x) & F.get("of", x["a"])["first"]).alias("again"),
         ),
     )
     return d.select("doc_id", "tkey", F.explode_outer(pairs).alias("c")).filter("c is not null").select("doc_id", "tkey", "c.*")
 
 
-def occurrences(chunks: DataFrame) -> DataFrame:
-    """doc_id, tkey, start, n, is_first of every occurrence of a chunk that occurs again."""
+def occurrences(chunks: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+    """doc_id, tkey, start, n, is_first and the columns ``more`` of every occurrence of a chunk that
+    occurs again, in ``chunks`` or by its column ``again``."""
     chunks = chunks.withColumn("fp", F.xxhash64("ctext"))
-    again = chunks.groupBy("fp").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("fp")
+    count = F.sum(F.lit(1) + F.col("again").cast("int")) if "again" in chunks.columns else F.count(F.lit(1))
+    again = chunks.groupBy("fp").agg(count.alias("c")).filter("c > 1").select("fp")
     # rows with equal fingerprints, staged: both the comparison and the marking read them
     same = stage(chunks.join(again, "fp", "left_semi"))
     first = F.min(F.struct("doc_id", "tkey", "start"))
-    verified = same.groupBy("fp", "ctext").agg(first.alias("first"), F.count(F.lit(1)).alias("c"))
+    verified = same.groupBy("fp", "ctext").agg(first.alias("first"), count.alias("c"))
     # nearly always one text per fingerprint; only fingerprints with several keep their texts
     texts = verified.groupBy("fp").agg(F.count(F.lit(1)).alias("texts"))
     verified = verified.join(texts, "fp").filter("c > 1").select(
@@ -103,7 +144,7 @@ def occurrences(chunks: DataFrame) -> DataFrame:
         v, (same["fp"] == v["vfp"]) & (v["only_text"].isNull() | (v["only_text"] == same["ctext"]))
     )
     own = F.struct("doc_id", "tkey", "start")
-    return hit.select("doc_id", "tkey", "start", "n", own.eqNullSafe(F.col("first")).alias("is_first"))
+    return hit.select("doc_id", "tkey", "start", "n", own.eqNullSafe(F.col("first")).alias("is_first"), *more)
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
@@ -112,12 +153,17 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, tkey, start, n (1) of every line of a passage that occurs earlier: the lines of repeated
-    pairs but those of a pair's first occurrence."""
+    """doc_id, tkey, start, n (1) of every line of a passage that occurs earlier: the lines of later
+    occurrences of chunks and of pairs of lines, but those of a pair's first occurrence."""
+    chunks = stage(occurrences(chunked(docs), ("head", "body")))
+    seeds = chunks.groupBy("doc_id", "tkey").agg(
+        F.collect_set(F.when(F.col("is_first"), F.col("start"))).alias("first"), F.collect_set(F.when(~F.col("is_first"), F.col("start"))).alias("later")
+    )
+    copies = chunks.filter(~F.col("is_first")).select("doc_id", "tkey", (F.col("start") + F.col("head")).alias("start"), F.col("body").alias("n"), "is_first")
     span = lambda x: F.sequence(x["start"], x["start"] + x["n"] - 1)
     lines = lambda c: F.flatten(F.transform(c, span))
     own = F.struct("start", "n")
-    by_doc = occurrences(paired(docs)).groupBy("doc_id", "tkey").agg(
+    by_doc = occurrences(paired(docs, seeds)).unionByName(copies).groupBy("doc_id", "tkey").agg(
         F.collect_set(F.when(~F.col("is_first"), own)).alias("later"), F.collect_set(F.when(F.col("is_first"), own)).alias("first")
     )
     return by_doc.select("doc_id", "tkey", F.explode(F.array_except(lines("later"), lines("first"))).alias("start"), F.lit(1).alias("n"))
