@@ -2,6 +2,7 @@
 
 import math
 import random
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -37,6 +38,17 @@ def walk(node, out):
     return out
 
 
+def test_products_are_fitted_side_by_side(data, model, monkeypatch):
+    meet = threading.Barrier(3, timeout=60)  # passed only if three fits are begun together
+    monkeypatch.setattr(ml, "train_gbt", lambda df, f=ml.train_gbt, **kw: (meet.wait(), f(df, **kw))[1])
+    args = dict(numeric=NUMERIC, categorical=CATEGORICAL, max_iter=12, max_depth=3, feature_subset="all")
+    other = data.withColumn("target", 1 - F.col("target"))
+    got = ml.train_all({"x": data, "y": other, "z": data}, **args)
+    trees = lambda m: sorted(map(str, ml.node_table(m).collect()))
+    assert list(got) == ["x", "y", "z"] and trees(got["x"]) == trees(got["z"]) == trees(model) != trees(got["y"])
+    assert ml.train_all({}) == {}
+
+
 def test_split_counts_of_a_known_tree(spark):
     rows = [(float(x), float(z), int(x > 4) if z < 5 else int(x > 7)) for x in range(10) for z in range(10)]
     df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "merchant_id long, a double, b double, target int")

@@ -13,7 +13,9 @@ import json
 import math
 import uuid
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
@@ -114,6 +116,16 @@ def _missing_handler(numeric: list[str]) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {cols} FROM __THIS__")
 
 
+def train_all(data: dict[str, DataFrame], parallelism: int = 3, **kwargs) -> dict[str, PipelineModel]:
+    """One model of every product's training rows, fitted side by side (as a cross-validator fits
+    its folds): the jobs of one model are too short to keep a cluster busy."""
+    if not data:
+        return {}
+    fit = inheritable_thread_target(next(iter(data.values())).sparkSession)(lambda df: train_gbt(df, **kwargs))
+    with ThreadPool(min(parallelism, len(data))) as pool:
+        return dict(zip(data, pool.map(fit, data.values())))
+
+
 def train_gbt(
     train: DataFrame,
     label: str = "target",
