@@ -44,18 +44,21 @@ def encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
         enc = encoder(path)
         end = np.array([end_id], enc.dtype)
         for b in batches:
-            ids, n, sketch = [], [], []
-            for t in b.column(1):
-                x = np.concatenate([enc.encode(t.as_py()), end])
-                wide = x.astype(np.uint64)
-                pairs = mix((wide[:-1] << np.uint64(32)) | wide[1:])
-                ids.append(x.tobytes())
-                n.append(len(x))
-                sketch.append(int(pairs.min() >> np.uint64(1)) if len(pairs) else 0)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(ids, pa.binary()), pa.array(n, pa.int64()), pa.array(sketch, pa.int64())],
-                ["doc_id", "ids", "n", "sketch"],
-            )
+            if not b.num_rows:
+                continue
+            parts = [x for t in b.column(1).to_pylist() for x in (enc.encode(t), end)]
+            n = np.array([len(x) for x in parts[::2]]) + 1
+            ids = np.concatenate(parts).astype(enc.dtype, copy=False)
+            ends = np.concatenate([[0], np.cumsum(n)])
+            # adjacent pairs of the batch; those across documents never are the smallest
+            wide = ids.astype(np.uint64)
+            pairs = np.full(len(ids), np.iinfo(np.uint64).max)
+            pairs[:-1] = mix((wide[:-1] << np.uint64(32)) | wide[1:])
+            pairs[ends[1:] - 1] = np.iinfo(np.uint64).max
+            sketch = np.where(n > 1, np.minimum.reduceat(pairs, ends[:-1]) >> np.uint64(1), 0).astype(np.int64)
+            offsets = pa.py_buffer((ends * ids.itemsize).astype(np.int64))
+            raw = pa.Array.from_buffers(pa.large_binary(), len(n), [None, offsets, pa.py_buffer(ids)]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), raw, pa.array(n, pa.int64()), pa.array(sketch)], ["doc_id", "ids", "n", "sketch"])
 
     rows = narrow(docs).select("doc_id", text_of().alias("text"))
     return stage(rows.mapInArrow(run, "doc_id long, ids binary, n long, sketch long"))
