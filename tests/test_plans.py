@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from tillpoint.config import FIXTURE_AS_OF, FIXTURE_SPEC
-from tillpoint.operators import ml
+from tillpoint.operators import cohort, ml
 from tillpoint.plans import scoring, training
 from tillpoint.sources.tables import Tables
 
@@ -68,3 +68,11 @@ def test_matrix_scans_each_fact_once(spark):
     files = registry.REGISTRY["training_matrix"].fn(spark, "/root/testdata/sf0.001").inputFiles()
     # both sides of the later self-joins read the staged merchant frame, no fact table
     assert files and not any(t in f for f in files for t in ("lineitem", "orders", "events"))
+
+
+def test_active_base_counts_the_transactions_once(spark, monkeypatch):
+    """With the mart or without, the base is the same staged frame."""
+    scans, t = [], Tables.from_fixture(spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr(type(t), "since", lambda self, *a, f=type(t).since: scans.append(a) or f(self, *a))
+    ids = lambda with_mart: {r[0] for r in cohort.active_merchants(t, FIXTURE_AS_OF, with_mart=with_mart).select("merchant_id").collect()}
+    assert ids(True) <= ids(False) and len(scans) == 1
