@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -116,3 +117,19 @@ def test_blocks_skip_documents_but_lose_none(monkeypatch, block):
         want = np.lexsort((doc, -full))[:10]
         assert best.doc.tolist() == doc[want].tolist() and best.score.tolist() == full[want].tolist()
     assert scored < 0.5 * every
+
+
+def test_block_summaries_take_little_more_than_lining_up():
+    """Their time follows the postings: one pass over each block's rows, none over all blocks' at once."""
+    rng = np.random.default_rng(3)
+    n, n_terms = 2048, 3000
+    key = np.unique(np.repeat(np.arange(n), 100) * n_terms + (n_terms * rng.random(100 * n) ** 3).astype(np.int64))
+    weight = np.ones(n_terms, np.int64)
+    shard = search.Shard(n, n_terms, key // n_terms, key % n_terms, rng.integers(1, 1_000_000, len(key)), weight)
+
+    def seconds(f, *args):
+        begun = time.process_time()
+        f(*args)
+        return time.process_time() - begun
+
+    assert min(seconds(shard._summaries) for _ in range(2)) < 6 * max(seconds(shard._line_up, weight) for _ in range(2))

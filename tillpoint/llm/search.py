@@ -47,7 +47,8 @@ BATCH_TERMS = 4096
 ITEM_BYTES = 32 << 20
 #: One step of a block summary: parts are below 1,000,000, so 8 bits hold them rounded up.
 STEP = 4096
-GATHER_BYTES = 48 << 20
+#: A summary takes its block's rows in parts of this size, which stay in the processor's cache.
+GATHER_BYTES = 256 << 10
 _TERM_BYTES = bytes(k + 32 if 65 <= k <= 90 else k if 48 <= k <= 57 or 97 <= k <= 122 or k >= 128 else 32 for k in range(256))
 
 ORACLE_SQL = r"""
@@ -144,15 +145,12 @@ class Shard:
     def _summaries(self) -> np.ndarray:
         """The coordinatewise maximum of each block, in steps rounded up."""
         small = (-(-self.parts // STEP)).astype(np.uint8)
-        n_blocks, width = len(self.starts) - 1, max(1, small.shape[1])
-        out = np.zeros((n_blocks, small.shape[1]), np.uint8)
-        most = max(1, GATHER_BYTES // width)
-        at = 0
-        while at < n_blocks:  # a block holds no more rows than the shard
-            to = max(at + 1, int(np.searchsorted(self.starts, self.starts[at] + most, side="right")) - 1)
-            rows = self.row[self.starts[at] : self.starts[to]]
-            out[at:to] = np.maximum.reduceat(small[rows], self.starts[at:to] - self.starts[at], axis=0)
-            at = to
+        out = np.zeros((len(self.starts) - 1, small.shape[1]), np.uint8)
+        some = max(1, GATHER_BYTES // max(1, small.shape[1]))
+        starts = self.starts.tolist()
+        for summary, a, b in zip(out, starts, starts[1:]):  # a block holds no more rows than the shard
+            for at in range(a, b, some):
+                np.maximum(summary, small[self.row[at : min(at + some, b)]].max(axis=0), out=summary)
         return out
 
     def search(self, cols: np.ndarray, coef: np.ndarray, best: Best, gone: np.ndarray, doc: np.ndarray) -> int:
