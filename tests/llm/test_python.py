@@ -435,3 +435,26 @@ def test_near_duplicates_over_small_blocks(spark, monkeypatch):
                 a, b = comp[x], comp[y]
                 comp = {k: min(a, b) if v in (a, b) else v for k, v in comp.items()}
     assert whole == parts == comp
+
+
+def test_decisions_are_worked_out_in_parts(monkeypatch):
+    """Counting and scoring hold the decisions of ``PART_TOKENS`` tokens (or one text) at once, not a batch's."""
+    monkeypatch.setattr(lm, "PART_TOKENS", 60)
+    rng = np.random.default_rng(7)
+    cls = lm.Classes([(5 << 6, 30), (9 << 6, 20), (1, 10)], [(k, k) for k in range(64)])
+    t = rng.choice(np.array([5 << 6, 9 << 6, 1, 77 << 6], np.uint64), 400)
+    ends = np.array([0, 50, 51, 52, 200, 230, 260, 261, 400])
+    whole, seen = cls.decisions(t, ends), []
+    of = cls.decisions
+    cls.decisions = lambda t, ends: (seen.append((len(t), len(ends) - 1)), of(t, ends))[1]
+    tables, root = np.zeros((lm.ORDERS, 1 << lm.SLOT_BITS, 2), np.uint32), np.zeros((cls.n_nodes, 2), np.int64)
+    lm.add_counts(tables, root, cls, t, ends)
+    zero, logits = lm.stretch(root).astype(np.float32), np.stack([lm.stretch(x) for x in tables]).astype(np.float16)
+    scores = lm.score_batch(cls, lm.Mixer(cls.n_nodes), zero, logits, tables.sum(-1), t, ends)
+    assert all(n <= 60 or rows == 1 for n, rows in seen) and sum(rows for _, rows in seen) == 2 * 8
+    _, node, bit, slots = whole
+    assert np.array_equal(root, np.bincount(2 * node + bit, minlength=2 * cls.n_nodes).reshape(-1, 2))
+    for k in range(lm.ORDERS):
+        assert np.array_equal(tables[k].ravel(), np.bincount(2 * slots[k] + bit, minlength=2 << lm.SLOT_BITS))
+    alone = [lm.score_batch(cls, lm.Mixer(cls.n_nodes), zero, logits, tables.sum(-1), t[a:b], np.array([0, b - a]))[0] for a, b in zip(ends, ends[1:])]
+    assert np.allclose(scores, alone, rtol=1e-12)

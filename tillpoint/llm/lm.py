@@ -42,7 +42,8 @@ ORDERS = 3  # hashed contexts beside the empty one
 CHUNK = 1 << 16
 MAX_TRAIN_TASKS = 2048
 STEP = 2048  # decisions learned at once
-PART_TOKENS = 1 << 16  # tokens whose decisions a task holds at once, or one text's
+PART_TOKENS = 1 << 14  # tokens whose decisions are worked out at once, or one text's: few enough for the processor's cache
+COUNT_TOKENS = 1 << 18  # tokens that are added to the tables at once
 RATE = 0.00025
 MAP_RATE = 0.02
 FIXED_POINT = 1 << 20  # blocks are summed as integers, so the sum has no order
@@ -141,12 +142,25 @@ class Classes:
         return token, node, bit, slots
 
 
+def parts_of(ends: np.ndarray):
+    """(first, end) of runs of rows with about ``PART_TOKENS`` tokens each."""
+    first = 0
+    while first < len(ends) - 1:
+        last = max(first + 1, int(np.searchsorted(ends, ends[first] + PART_TOKENS, side="right")) - 1)
+        yield first, last
+        first = last
+
+
 def add_counts(tables: np.ndarray, root: np.ndarray, cls: Classes, t: np.ndarray, ends: np.ndarray) -> None:
-    _, node, bit, slots = cls.decisions(t, ends)
-    root += np.bincount(node * 2 + bit, minlength=2 * cls.n_nodes).reshape(-1, 2)
-    for k in range(ORDERS):
-        got = np.bincount(slots[k].astype(np.int64) * 2 + bit, minlength=2 << SLOT_BITS).reshape(-1, 2)
-        tables[k] += got.astype(np.uint32)
+    places: list[list[np.ndarray]] = [[] for _ in range(ORDERS)]
+    for a, b in parts_of(ends):
+        _, node, bit, slots = cls.decisions(t[ends[a] : ends[b]], ends[a : b + 1] - ends[a])
+        root += np.bincount(node * 2 + bit, minlength=2 * cls.n_nodes).reshape(-1, 2)
+        for k in range(ORDERS):
+            places[k].append(slots[k] * 2 + bit)
+    for k in range(ORDERS):  # each pass goes over a whole table
+        if places[k]:
+            tables[k] += np.bincount(np.concatenate(places[k]), minlength=2 << SLOT_BITS).reshape(-1, 2).astype(np.uint32)
 
 
 def stretch(n: np.ndarray) -> np.ndarray:
@@ -237,11 +251,8 @@ class Learner:
     def add(self, zero: np.ndarray, logits: np.ndarray, seen: np.ndarray, t: np.ndarray, ends: np.ndarray) -> None:
         """``zero`` and ``logits``: ``without_own`` of the nodes' and the tables' counts; ``seen``:
         the tables' totals."""
-        first = 0
-        while first < len(ends) - 1:
-            last = max(first + 1, int(np.searchsorted(ends, ends[first] + PART_TOKENS, side="right")) - 1)
-            self._add(zero, logits, seen, t[ends[first] : ends[last]], ends[first : last + 1] - ends[first])
-            first = last
+        for a, b in parts_of(ends):
+            self._add(zero, logits, seen, t[ends[a] : ends[b]], ends[a : b + 1] - ends[a])
 
     def _add(self, zero, logits, seen, t, ends) -> None:
         _, node, bit, slots = self.cls.decisions(t, ends)
@@ -275,12 +286,16 @@ class Learner:
 def score_batch(cls: Classes, m: Mixer, zero_in: np.ndarray, stretched: np.ndarray, seen: np.ndarray, t: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """log10 probability of the classes of each row's tokens.  ``stretched`` and ``seen`` are
     the tables' log odds and evidence; ``zero_in`` the empty context's log odds by node."""
-    token, node, bit, slots = cls.decisions(t, ends)
-    x, gate = inputs(zero_in.take(node), [stretched[k].take(slots[k]) for k in range(ORDERS)], [seen[k].take(slots[k]) for k in range(ORDERS)])
-    p = m.mixed(x, gate, node)
-    lp = np.log10(np.where(bit == 1, p, 1 - p))
-    row = np.repeat(np.arange(len(ends) - 1), np.diff(ends)).take(token)
-    return np.bincount(row, lp, minlength=len(ends) - 1)
+    out = np.zeros(len(ends) - 1)
+    for a, b in parts_of(ends):
+        own = ends[a : b + 1] - ends[a]
+        token, node, bit, slots = cls.decisions(t[ends[a] : ends[b]], own)
+        x, gate = inputs(zero_in.take(node), [stretched[k].take(slots[k]) for k in range(ORDERS)], [seen[k].take(slots[k]) for k in range(ORDERS)])
+        p = m.mixed(x, gate, node)
+        lp = np.log10(np.where(bit == 1, p, 1 - p))
+        row = np.repeat(np.arange(b - a), np.diff(own)).take(token)
+        out[a:b] = np.bincount(row, lp, minlength=b - a)
+    return out
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -359,13 +374,22 @@ def score(docs: DataFrame) -> DataFrame:
 
         tables = np.zeros((ORDERS, 1 << SLOT_BITS, 2), np.uint32)
         root = np.zeros((cls.n_nodes, 2), np.int64)
-        some = False
+        some, held = False, []
+
+        def flush():
+            ends = np.cumsum(np.concatenate([[0], *[np.diff(e) for _, e in held]]))
+            add_counts(tables, root, cls, np.concatenate([t for t, _ in held]), ends)
+            held.clear()
+
         for b in batches:
-            t, ends = tokens(b.column(0))
-            add_counts(tables, root, cls, t, ends)
+            held.append(tokens(b.column(0)))
             some = True
+            if sum(len(t) for t, _ in held) >= COUNT_TOKENS:
+                flush()
         if not some:
             return
+        if held:
+            flush()
         z = zstandard.ZstdCompressor(level=1)
         flat = tables.ravel()
         parts = [z.compress(flat[a : a + CHUNK].tobytes()) for a in range(0, len(flat), CHUNK)] + [z.compress(root.tobytes())]
@@ -438,10 +462,11 @@ def score(docs: DataFrame) -> DataFrame:
         out = []
         for b in left.to_batches(max_chunksize=256):
             t, ends = tokens(b.column("text"))
-            at = np.searchsorted(h, t)
-            if len(h) == 0 or (h[np.minimum(at, len(h) - 1)] != t).any():
+            own, inverse = np.unique(t, return_inverse=True)  # looked up in order, each once
+            at = np.searchsorted(h, own)
+            if len(h) == 0 or (h[np.minimum(at, len(h) - 1)] != own).any():
                 raise ValueError("a block lacks counts of its own words")
-            n = c[at].astype(float)
+            n = c[at].astype(float)[inverse]
             row = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
             base = np.log10((n + 0.5) / (n_all + 0.5 * (v_all + 1)))
             k = cls.of(t) - len(cls.hashes)
