@@ -76,6 +76,17 @@ def tokens(array) -> tuple[np.ndarray, np.ndarray]:
     return out, ends
 
 
+def slots_of(x: np.ndarray) -> np.ndarray:
+    """The first ``SLOT_BITS`` bits of ``mix(x)``, whose last step does not reach them; ``x`` is
+    overwritten."""
+    some = x >> np.uint64(30)
+    x ^= some
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= np.right_shift(x, np.uint64(27), out=some)
+    x *= np.uint64(0x94D049BB133111EB)
+    return np.right_shift(x, np.uint64(64 - SLOT_BITS), out=x)
+
+
 class Classes:
     """Classes of tokens and the paths of their Huffman codes."""
 
@@ -138,7 +149,7 @@ class Classes:
         step = node.astype(np.uint64) * _STEP
         slots = np.empty((ORDERS, len(token)), np.int32)
         for k, ctx in enumerate((before, near * np.uint64(1024) + far, mix(one * _STEP + two))):
-            slots[k] = (mix((ctx ^ _SALT[k])[token] + step) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
+            slots[k] = slots_of((ctx ^ _SALT[k]).take(token) + step)
         return token, node, bit, slots
 
 
