@@ -150,3 +150,28 @@ def test_masks_equal_brute_force(spark):
     got = {r.merchant_id: {k: r[k] for k in want[1]} for r in rolling.txn_features_train(t, SPEC, "reference").collect()}
     assert got == want
     assert set(want[5].values()) == {0, 0.0}  # kept, though all its rows are after the anchors
+
+
+def test_old_days_fold_into_spans(spark, monkeypatch):
+    """Days before every month window leave a row a span for the second aggregate, not a row a day,
+    whichever of the merchant's anchors a copy is joined to; values stay those of the days."""
+    first, last = dt.date(2001, 3, 10), dt.date(2001, 9, 1)  # a day near one anchor only is not folded
+    days = [dt.date(1969, 11, 1), dt.date(1970, 2, 1)] + [dt.date(2000, 1, 1) + dt.timedelta(days=k) for k in range(0, 300)]
+    near = [first - dt.timedelta(days=90), last - dt.timedelta(days=90), last - dt.timedelta(days=1)]
+    tx = _tx([(k, 1, 2, dt.datetime.combine(d, dt.time(5)), f"p{k % 7}") for k, d in enumerate(days + days + near)])
+    made = []
+    inner = rolling._days_and_masks
+    monkeypatch.setattr(rolling, "_days_and_masks", lambda *a, **k: made.append(inner(*a, **k)) or made[-1])
+    t = tables(
+        spark,
+        task_history_v1=[(1, dt.datetime.combine(first, dt.time()), 16)],
+        task_history_v2=[(1, dt.datetime.combine(last, dt.time()), 16)],
+        transactions=tx,
+    )
+    r = rolling.txn_features_train(t, SPEC, "reference").first()
+    assert made[0].count() < 30  # 3 near days, 9 spans, one row of cut ones, masks; 302 days before
+    assert r.total_active_vintage == len(days) + 3
+    assert r.total_tpv == 2.0 * (2 * 2 * len(days) + 2 + 1 + 1)  # the first near day is before both anchors
+    assert r.total_txn_count == 2 * len(days) + 3 and r.total_unique_payers == 7
+    assert r.tpv_90_days == 6.0 and r.txn_count_90_days == 3
+    assert (r.m1_active_days, r.m3_active_days) == (1, 2)

@@ -19,6 +19,8 @@ Plan shape (no ``Expand`` with one projection per distinct aggregate):
   Both levels are hash aggregates with map-side partial aggregation, the first
   keyed by (merchant, entity), so one merchant holding a third of all rows is
   spread across tasks rather than landing in one.
+* the ids and payers of a single day are only grouped for days that a month window can
+  hold; earlier days fold into spans of 48 days, one bit a day and one value a span.
 * rows outside every window carry no entity, day or value past the scan: they fold
   into one row per merchant map-side, which keeps the merchant in the result.
 * the anchors are joined with a size-checked broadcast (see
@@ -41,6 +43,7 @@ from tillpoint.config import (
     PAYER_WINDOWS,
     TPV_WINDOWS,
     TXN_WINDOWS,
+    WINDOWS,
     ProductSpec,
     feature_name,
 )
@@ -162,13 +165,33 @@ def window_distinct_counts(
     return seen.groupBy(*by).agg(*[F.count_if(_has(F.col("_mask"), order, w)).alias(n) for n, w in windows.items()])
 
 
-def _cut_rows(tx: DataFrame, live: Column, mask: Column, amount: Column) -> DataFrame:
+#: Days of one folded span: its days are the bits above the windows' in a 64-bit mask.
+SPAN_DAYS = 48
+
+
+def _cut_rows(tx: DataFrame, live: Column, near: Column, mask: Column, amount: Column, fold: bool) -> DataFrame:
     """``tx`` for the grouping sets: a row that is not ``live`` keeps its merchant only, so all of
-    them fold into one row per merchant and set map-side."""
+    them fold into one row per merchant and set map-side.
+
+    ``near``: whether a month window of any anchor can hold the day; only there are the day's
+    own ids and payers asked for (``_day``, ``_user``).  With ``fold``, days that are not near
+    keep no id of the day (``_id``) and fold into spans: ``payment_date`` is the span's first
+    day and the mask has a bit for the day above those of the windows."""
     keep = F.coalesce(live, F.lit(False))
+    near = keep & F.coalesce(near, F.lit(False))
+    day, mask = F.col("payment_date"), mask.cast("bigint")
+    if fold:
+        place = F.pmod(F.unix_date(day), F.lit(SPAN_DAYS))
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place + len(MASK_WINDOWS))
+        mask = F.when(near, mask).otherwise(mask.bitwiseOR(bit))
+        day = F.when(near, day).otherwise(F.date_sub(day, place))
     return tx.select(
         "merchant_id",
-        *[F.when(keep, F.col(c)).alias(c) for c in ("payment_date", "id", "user")],
+        F.when(keep, day).alias("payment_date"),
+        F.when(near if fold else keep, F.col("id")).alias("_id"),
+        F.when(near, F.col("payment_date")).alias("_day"),
+        F.when(near, F.col("user")).alias("_user"),
+        *[F.when(keep, F.col(c)).alias(c) for c in ("id", "user")],
         F.when(keep, amount).alias("_amount"),
         F.when(keep, mask).otherwise(0).alias("_mask"),
     )
@@ -178,39 +201,53 @@ def _days_and_masks(cut: DataFrame, id_windows: bool) -> DataFrame:
     """Daily rollup AND window masks of payers (and ids) from ONE scan, as a linear chain of two
     aggregates (no branch, so nothing is recomputed).
 
-    Level 1 is ``GROUPING SETS``:
+    Level 1 is ``GROUPING SETS`` (columns as in :func:`_cut_rows`):
 
-    * (merchant, day, id):   value of the id that day
-    * (merchant, day, user): one row per payer and day
+    * (merchant, day or span, id of the day): value of the id that day, or of the span
+    * (merchant, near day, its payer): one row per payer and day
     * (merchant, user)[, (merchant, id)]: the windows the entity was seen in, as one mask
 
     Level 2 has a row per (merchant, day) with daily value / distinct ids / distinct payers,
+    a row per (merchant, span) with its value and its days as bits (``_kind`` 1, ``_mask``),
     and a row per merchant, kind of entity and mask with the number of entities (``_kind``,
     ``_mask``, ``_n``; these have no day).
     """
-    sets = [["merchant_id", "payment_date", "id"], ["merchant_id", "payment_date", "user"], ["merchant_id", "user"]]
+    order = ("merchant_id", "payment_date", "_id", "_day", "_user", "user", "id")
+    sets = [["merchant_id", "payment_date", "_id"], ["merchant_id", "_day", "_user"], ["merchant_id", "user"]]
     if id_windows:
         sets.append(["merchant_id", "id"])
-    g = cut.groupingSets(sets, "merchant_id", "payment_date", "id", "user").agg(
-        F.grouping_id("merchant_id", "payment_date", "id", "user").alias("_g"),
+    else:  # no set has it
+        order, cut = order[:-1], cut.drop("id")
+    ids = [sum(1 << k for k, c in enumerate(reversed(order)) if c not in x) for x in sets]
+    g = cut.groupingSets(sets, *order).agg(
+        F.grouping_id(*order).alias("_g"),
         F.sum("_amount").alias("_amt"),
         F.bit_or("_mask").alias("_seen"),
     )
-    # grouping_id bits (merchant, day, id, user): 1 = (m, day, id), 2 = (m, day, user),
-    # 6 = (m, user), 5 = (m, id).  NULL ids / payers never count.
-    g1, g2, g6, g5 = (F.col("_g") == v for v in (1, 2, 6, 5))
-    of_merchant = F.col("_g") >= 5
-    counted = (g6 & F.col("user").isNotNull()) | (g5 & F.col("id").isNotNull())
-    return g.groupBy(
+    g1, g2, g6 = (F.col("_g") == x for x in ids[:3])
+    windows = len(MASK_WINDOWS)
+    days = F.call_function("shiftright", F.col("_seen"), F.lit(windows))
+    seen = F.col("_seen").bitwiseAND(F.lit((1 << windows) - 1))
+    counted = g6 & F.col("user").isNotNull()  # NULL ids / payers never count
+    kind = F.when(g6, 6)
+    if id_windows:
+        g5 = F.col("_g") == ids[3]
+        counted, kind = counted | (g5 & F.col("id").isNotNull()), kind.when(g5, 5)
+    rows = g.select(
         "merchant_id",
-        "payment_date",
-        F.when(of_merchant, F.col("_g")).alias("_kind"),
-        F.when(of_merchant, F.col("_seen")).alias("_mask"),
-    ).agg(
-        F.sum(F.when(g1, F.col("_amt"))).alias("daily_tpv"),
-        F.count(F.when(g1 & F.col("id").isNotNull(), 1)).alias("daily_txns"),
-        F.count(F.when(g2 & F.col("user").isNotNull(), 1)).alias("daily_payees"),
-        F.count(F.when(counted, 1)).alias("_n"),
+        F.coalesce("payment_date", "_day").alias("payment_date"),
+        kind.when(g1 & (days != 0), 1).alias("_kind"),
+        F.when(g1 & (days != 0), days).when(~g1 & ~g2, seen).alias("_mask"),
+        F.when(g1, F.col("_amt")).alias("_amt"),
+        (g1 & F.col("_id").isNotNull()).alias("_is_id"),
+        (g2 & F.col("_user").isNotNull()).alias("_is_user"),
+        counted.alias("_counted"),
+    )
+    return rows.groupBy("merchant_id", "payment_date", "_kind", "_mask").agg(
+        F.sum("_amt").alias("daily_tpv"),
+        F.count(F.when(F.col("_is_id"), 1)).alias("daily_txns"),
+        F.count(F.when(F.col("_is_user"), 1)).alias("daily_payees"),
+        F.count(F.when(F.col("_counted"), 1)).alias("_n"),
     )
 
 
@@ -228,6 +265,8 @@ def _unpacked(order: Sequence[str], id_windows: bool, once: Column | None = None
 
 #: The windows of an entity's mask, one bit each.
 MASK_WINDOWS = tuple(dict.fromkeys((*PAYER_WINDOWS, *TXN_WINDOWS)))
+#: How far back any window but ``total`` reaches.
+NEAR_DAYS = max(w.start for w in WINDOWS.values() if w.start is not None)
 
 
 def _names(measure: str, windows: Iterable[str]) -> dict[str, str]:
@@ -235,9 +274,10 @@ def _names(measure: str, windows: Iterable[str]) -> dict[str, str]:
 
 
 def _daily_features(
-    daily_anchored: DataFrame, txn_from_daily: bool, one_row_per_day: bool, payees: bool = True, extra=()
+    daily_anchored: DataFrame, txn_from_daily: bool, one_row_per_day: bool, payees: bool = True, extra=(), folded: bool = False
 ) -> DataFrame:
-    """Every day-level feature in one aggregate over (day, anchor) rows of ``daily``.
+    """Every day-level feature in one aggregate over (day, anchor) rows of ``daily``.  ``folded``:
+    with the spans of :func:`_days_and_masks`, which are before all windows but ``total``.
 
     * sums / maxima: plain conditional aggregates;
     * active days (distinct day-of-month in a 30-day window): one bit per day of
@@ -259,7 +299,9 @@ def _daily_features(
         # a date counts when it precedes any anchor, i.e. the latest one; the
         # rank-1 anchor row stands for the merchant so each day counts once
         first = F.col("_anchor_rank") == 1
-        aggs.append(F.count(F.when(first & (d < F.col("_max_od")), 1)).cast("bigint").alias("total_active_vintage"))
+        days = F.when(F.col("_kind") == 1, F.bit_count("_mask")).otherwise(1) if folded else F.lit(1)
+        before = F.sum(F.when(first & (d < F.col("_max_od")), days))
+        aggs.append(F.coalesce(before, F.lit(0)).cast("bigint").alias("total_active_vintage"))
     aggs += [
         F.sum(F.when(in_window(d, od, w), F.col("daily_tpv")).otherwise(0)).cast("double").alias(n)
         for n, w in _names("tpv", TPV_WINDOWS).items()
@@ -301,6 +343,7 @@ def rolling_features(
             "order_date",
             F.row_number().over(per_merchant.orderBy("order_date")).alias("_anchor_rank"),
             F.max("order_date").over(per_merchant).alias("_max_od"),
+            F.min("order_date").over(per_merchant).alias("_min_od"),
         )
         if broadcast_anchors:
             a = bounded_broadcast(a)
@@ -309,10 +352,13 @@ def rolling_features(
             # days count once (rank-1 copy); a row before any anchor is before the latest one
             d, od = F.col("payment_date"), F.col("order_date")
             first = F.col("_anchor_rank") == 1
-            cut = _cut_rows(tx_a, d < F.col("_max_od"), window_mask(d, od, MASK_WINDOWS), F.when(first, F.col("amount")))
+            # the same for all copies of a row, so a day is whole or in a span
+            near = d >= F.date_sub(F.col("_min_od"), NEAR_DAYS)
+            mask = window_mask(d, od, MASK_WINDOWS)
+            cut = _cut_rows(tx_a, d < F.col("_max_od"), near, mask, F.when(first, F.col("amount")), fold=True)
             base = _daily_features(
                 _days_and_masks(cut, id_windows=True).join(a, "merchant_id"), txn_from_daily=False, one_row_per_day=False,
-                extra=_unpacked(MASK_WINDOWS, True, once=first),
+                extra=_unpacked(MASK_WINDOWS, True, once=first), folded=True,
             )
             return _assemble(base, [])
         daily_a = daily_rollup(tx.join(a, "merchant_id", "left_semi")).join(a, "merchant_id")
@@ -390,7 +436,9 @@ def activity_features_asof(tables: Tables, as_of: dt.date, min_txns: int = 5) ->
     tx = _active_tx(tables, as_of, min_txns)
     od = F.lit(as_of).cast("date")
     d = F.col("payment_date")
-    cut = _cut_rows(tx, d < od, window_mask(d, od, MASK_WINDOWS), F.col("amount"))
+    near = d >= F.date_sub(od, NEAR_DAYS)
+    # days' ids count in every window here, so no days are folded
+    cut = _cut_rows(tx, d < od, near, window_mask(d, od, MASK_WINDOWS), F.col("amount"), fold=False)
     base = _daily_features(
         _days_and_masks(cut, id_windows=False).select("*", od.alias("order_date")),
         txn_from_daily=True,
