@@ -13,6 +13,8 @@ occurrence go as one chunk.  What chunk boundaries cut off is found line by line
 successive lines with text that are not both inside a later occurrence are compared in the same
 way, those inside the first occurrence of a repeated chunk being known to occur again.  So every
 line of a repeated passage of two or more lines with text goes, but for the first occurrence.
+There only fingerprints are shuffled to be counted; the texts of those that occur again are then
+cut out of their documents and compared.
 
 Edge rules: a null text stays null; a document whose chunks are all repeated ends with the
 empty text; blank lines alone never make a removable chunk; rows equal in id and text
@@ -21,8 +23,6 @@ get the same decision; a null id is smaller than any other.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,56 +84,38 @@ def chunked(docs: DataFrame) -> DataFrame:
     )
 
 
-def paired(docs: DataFrame, seeds: DataFrame) -> DataFrame:
-    """As ``chunked``, of every two successive lines with text (and the blank lines between them) but
-    those inside a later occurrence of a repeated chunk; ``again``: they are inside its first one.
-    ``seeds``: doc_id, tkey, first and later (starts of such chunks)."""
-    s = seeds.select(F.col("doc_id").alias("__id"), F.col("tkey").alias("__key"), "first", "later")
+def line_pairs(docs: DataFrame) -> DataFrame:
+    """doc_id, tkey, start, n, ctext of every two successive lines with text (and the blank lines between
+    them); inside: the start of the chunk that holds both, null if a boundary parts them."""
     d = split_lines(docs)
-    d = d.join(s, d["doc_id"].eqNullSafe(s["__id"]) & (d["tkey"] == s["__key"]), "left").drop("__id", "__key")
-    has = lambda c, x: F.coalesce(F.array_contains(c, x), F.lit(False))
-    # of each line its chunk, whether that is a later occurrence, whether a first one
-    d = d.withColumn(
-        "of",
-        F.flatten(
-            F.transform(
-                "chunks",
-                lambda c: F.array_repeat(
-                    F.struct(c["start"].alias("start"), has("later", c["start"]).alias("later"), has("first", c["start"]).alias("first")),
-                    c["end"] - c["start"],
-                ),
-            )
-        ),
-    )
-    d = d.withColumn("full", full_lines("lines"))
+    # of each line the start of its chunk
+    of = F.flatten(F.transform("chunks", lambda c: F.array_repeat(c["start"], c["end"] - c["start"])))
+    d = d.withColumn("of", of).withColumn("full", full_lines("lines"))
     pairs = F.transform(
         F.slice("full", F.lit(1), F.greatest(F.size("full") - 1, F.lit(0))),
         lambda i, k: F.struct(i.alias("a"), F.get("full", k + 1).alias("b")),
     )
-    inside = lambda x: F.get("of", x["a"])["start"] == F.get("of", x["b"])["start"]
-    pairs = F.filter(pairs, lambda x: ~(inside(x) & F.get("of", x["a"])["later"]))
+    inside = lambda x: F.when(F.get("of", x["a"]) == F.get("of", x["b"]), F.get("of", x["a"]))
     pairs = F.transform(
         pairs,
         lambda x: F.struct(
             x["a"].alias("start"),
             (x["b"] - x["a"] + 1).alias("n"),
             F.concat_ws("\n", F.slice("lines", x["a"] + 1, x["b"] - x["a"] + 1)).alias("ctext"),
-            (inside(x) & F.get("of", x["a"])["first"]).alias("again"),
+            inside(x).alias("inside"),
         ),
     )
     return d.select("doc_id", "tkey", F.explode_outer(pairs).alias("c")).filter("c is not null").select("doc_id", "tkey", "c.*")
 
 
-def occurrences(chunks: DataFrame, more: Sequence[str] = ()) -> DataFrame:
-    """doc_id, tkey, start, n, is_first and the columns ``more`` of every occurrence of a chunk that
-    occurs again, in ``chunks`` or by its column ``again``."""
+def occurrences(chunks: DataFrame) -> DataFrame:
+    """doc_id, tkey, start, n, is_first of every occurrence of a chunk that occurs again."""
     chunks = chunks.withColumn("fp", F.xxhash64("ctext"))
-    count = F.sum(F.lit(1) + F.col("again").cast("int")) if "again" in chunks.columns else F.count(F.lit(1))
-    again = chunks.groupBy("fp").agg(count.alias("c")).filter("c > 1").select("fp")
+    again = chunks.groupBy("fp").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("fp")
     # rows with equal fingerprints, staged: both the comparison and the marking read them
     same = stage(chunks.join(again, "fp", "left_semi"))
     first = F.min(F.struct("doc_id", "tkey", "start"))
-    verified = same.groupBy("fp", "ctext").agg(first.alias("first"), count.alias("c"))
+    verified = same.groupBy("fp", "ctext").agg(first.alias("first"), F.count(F.lit(1)).alias("c"))
     # nearly always one text per fingerprint; only fingerprints with several keep their texts
     texts = verified.groupBy("fp").agg(F.count(F.lit(1)).alias("texts"))
     verified = verified.join(texts, "fp").filter("c > 1").select(
@@ -144,7 +126,59 @@ def occurrences(chunks: DataFrame, more: Sequence[str] = ()) -> DataFrame:
         v, (same["fp"] == v["vfp"]) & (v["only_text"].isNull() | (v["only_text"] == same["ctext"]))
     )
     own = F.struct("doc_id", "tkey", "start")
-    return hit.select("doc_id", "tkey", "start", "n", own.eqNullSafe(F.col("first")).alias("is_first"), *more)
+    return hit.select("doc_id", "tkey", "start", "n", own.eqNullSafe(F.col("first")).alias("is_first"))
+
+
+def _of_row(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """``left`` with the columns that ``right`` has of the same document."""
+    r = right.withColumnsRenamed({"doc_id": "__id", "tkey": "__key"})
+    return left.join(r, left["doc_id"].eqNullSafe(r["__id"]) & (left["tkey"] == r["__key"]), how).drop("__id", "__key")
+
+
+def fingerprints(docs: DataFrame) -> DataFrame:
+    """doc_id, tkey, whole (a chunk, else a pair of lines), start, n, head, body, inside, fp of every
+    chunk (``chunked``) and pair (``line_pairs``), without their texts."""
+    fp, none = F.xxhash64("ctext").alias("fp"), F.lit(None).cast("int")
+    chunks = chunked(docs).select("doc_id", "tkey", F.lit(True).alias("whole"), "start", "n", "head", "body", none.alias("inside"), fp)
+    pairs = line_pairs(docs).select("doc_id", "tkey", F.lit(False).alias("whole"), "start", "n", none.alias("head"), none.alias("body"), "inside", fp)
+    return chunks.unionByName(pairs)
+
+
+def compared(docs: DataFrame) -> DataFrame:
+    """The ``fingerprints`` that occur again, staged; only_text: their text if the fingerprint has
+    several.  So rows are copies if and only if fp and only_text are equal.
+
+    Texts are read only where a fingerprint occurs again: the places go to their documents,
+    which cut them out, and the texts of each fingerprint are compared byte for byte."""
+    rows = fingerprints(docs)
+    again = rows.groupBy("whole", "fp").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("whole", "fp")
+    place = F.struct("whole", "start", "n", "head", "body", "inside", "fp")
+    places = rows.join(again, ["whole", "fp"], "left_semi").groupBy("doc_id", "tkey").agg(F.collect_set(place).alias("places"))
+    d = narrow(docs).filter(F.col("text").isNotNull()).select("doc_id", text_key().alias("tkey"), "text")
+    found = _of_row(d, places, "inner").withColumn("lines", F.split("text", "\n", -1))
+    found = found.select("doc_id", "tkey", "lines", F.explode("places").alias("p"))
+    part = F.slice("lines", F.col("p.start") + F.lit(1), F.col("p.n"))
+    found = stage(found.select("doc_id", "tkey", "p.*", F.concat_ws("\n", part).alias("ctext")))
+    several = found.select("whole", "fp", "ctext").distinct().groupBy("whole", "fp").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
+    # broadcast: n texts have about n * n / 2^65 fingerprints with two of them
+    found = found.join(F.broadcast(several), ["whole", "fp"], "left")
+    return stage(found.withColumn("only_text", F.when(F.col("texts") > 1, F.col("ctext"))).drop("ctext", "texts"))
+
+
+def paired(pairs: DataFrame, seeds: DataFrame) -> DataFrame:
+    """``pairs`` but those inside a later occurrence of a repeated chunk; again: they are inside its first
+    one.  ``seeds``: doc_id, tkey, first and later (starts of such chunks)."""
+    has = lambda c: F.coalesce(F.array_contains(c, F.col("inside")), F.lit(False))
+    return _of_row(pairs, seeds, "left").filter(~has("later")).withColumn("again", has("first")).drop("first", "later")
+
+
+def first_ones(rows: DataFrame) -> DataFrame:
+    """Those ``compared`` rows that have copies among ``rows`` or occur ``again``; is_first: the first of them."""
+    own = F.struct("doc_id", "tkey", "start")
+    groups = rows.groupBy("fp", "only_text").agg(F.min(own).alias("first"), F.sum(F.lit(1) + F.col("again").cast("int")).alias("c"))
+    g = groups.filter("c > 1").select(F.col("fp").alias("__fp"), F.col("only_text").alias("__text"), "first")
+    hit = rows.join(g, (rows["fp"] == g["__fp"]) & rows["only_text"].eqNullSafe(g["__text"]))
+    return hit.withColumn("is_first", own.eqNullSafe(F.col("first"))).drop("__fp", "__text", "first")
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
@@ -155,15 +189,17 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """doc_id, tkey, start, n (1) of every line of a passage that occurs earlier: the lines of later
     occurrences of chunks and of pairs of lines, but those of a pair's first occurrence."""
-    chunks = stage(occurrences(chunked(docs), ("head", "body")))
+    rows = compared(docs)
+    chunks = stage(first_ones(rows.filter("whole").withColumn("again", F.lit(False))))
     seeds = chunks.groupBy("doc_id", "tkey").agg(
         F.collect_set(F.when(F.col("is_first"), F.col("start"))).alias("first"), F.collect_set(F.when(~F.col("is_first"), F.col("start"))).alias("later")
     )
+    pairs = first_ones(paired(rows.filter("not whole"), seeds)).select("doc_id", "tkey", "start", "n", "is_first")
     copies = chunks.filter(~F.col("is_first")).select("doc_id", "tkey", (F.col("start") + F.col("head")).alias("start"), F.col("body").alias("n"), "is_first")
     span = lambda x: F.sequence(x["start"], x["start"] + x["n"] - 1)
     lines = lambda c: F.flatten(F.transform(c, span))
     own = F.struct("start", "n")
-    by_doc = occurrences(paired(docs, seeds)).unionByName(copies).groupBy("doc_id", "tkey").agg(
+    by_doc = pairs.unionByName(copies).groupBy("doc_id", "tkey").agg(
         F.collect_set(F.when(~F.col("is_first"), own)).alias("later"), F.collect_set(F.when(F.col("is_first"), own)).alias("first")
     )
     return by_doc.select("doc_id", "tkey", F.explode(F.array_except(lines("later"), lines("first"))).alias("start"), F.lit(1).alias("n"))
