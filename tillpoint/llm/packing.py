@@ -64,6 +64,13 @@ def encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     return stage(rows.mapInArrow(run, "doc_id long, ids binary, n long, sketch long"))
 
 
+def runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each value's run, their lengths) of ascending values, without sorting them again."""
+    new = np.ones(len(x), bool)
+    new[1:] = x[1:] != x[:-1]
+    return np.cumsum(new) - 1, np.diff(np.append(np.flatnonzero(new), len(x)))
+
+
 class Shard:
     """BM25 over the token ids of the documents of one shard."""
 
@@ -72,18 +79,18 @@ class Shard:
         doc = np.repeat(np.arange(n), [len(x) for x in docs])
         key, tf = np.unique(np.concatenate(docs).astype(np.int64) * n + doc, return_counts=True)
         term, doc = key // n, key % n
-        _, place, df = np.unique(term, return_inverse=True, return_counts=True)
+        place, df = runs(term)
         length = np.array([len(x) for x in docs], float)
         norm = K1 * (1 - B + B * length / length.mean())
         shared = df[place] > 1  # a term of one document finds no other
         doc, tf, df_of = doc[shared], tf[shared], df[place][shared]
         self.n = n
-        self.term = np.unique(place[shared], return_inverse=True)[1]
+        self.term = runs(place[shared])[0]
         weight = np.log1p((n - df_of + 0.5) / (df_of + 0.5)) * tf * (K1 + 1) / (tf + norm[doc])
         width = int(self.term.max(initial=-1)) + 1
         self.weight = np.zeros((width, n), np.float32)
         self.weight[self.term, doc] = weight
-        by_doc = np.argsort(doc, kind="stable")
+        by_doc = np.argsort(doc.astype(np.uint16 if n <= 1 << 16 else np.int64), kind="stable")  # 16 bits: a radix sort
         self.term, self.first = self.term[by_doc], np.searchsorted(doc[by_doc], np.arange(n + 1))
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:

@@ -17,7 +17,7 @@ import numpy as np
 
 from tillpoint.llm.common import single_threaded_tokenizers
 
-CACHE_PIECES = 500_000
+CACHE_PIECES = 1_000_000
 #: Letters, then full stops and commas: two pre-tokens at most (a space goes with the letters).
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ſ]+)([.,]*)")
 #: White space other than a space and a line break.
