@@ -179,10 +179,20 @@ def stretch(n: np.ndarray) -> np.ndarray:
     return np.log((n[..., 1] + 0.4) / (n[..., 0] + 0.4))
 
 
-#: By a slot's count: how far its estimate is trusted against the empty context's (few counts are
-#: drawn to it), and 0..3: none, little, some, much.
-TRUST = (np.arange(1 << 16) / (np.arange(1 << 16) + 1.5)).astype(np.float32)
-EVIDENCE = np.searchsorted([1, 4, 31], np.arange(1 << 16), side="right").astype(np.int64)
+def trust(seen: np.ndarray) -> np.ndarray:
+    """By a slot's count: how far its estimate is trusted against the empty context's (few counts
+    are drawn to it)."""
+    n = seen.astype(np.float32)
+    return n / (n + np.float32(1.5))
+
+
+def evidence(seen: np.ndarray) -> np.ndarray:
+    """By a slot's count, 0..3: none, little, some, much."""
+    return (seen >= 1).view(np.uint8) + (seen >= 4).view(np.uint8) + (seen >= 31).view(np.uint8)
+
+
+#: By the decisions that a map cell meets in a step: how far it goes to their mean.
+MAP_PULL = 1 - (1 - MAP_RATE) ** np.arange(STEP + 1)
 
 
 class Mixer:
@@ -207,17 +217,17 @@ class Mixer:
         return np.clip(q, 1e-5, 1 - 1e-5, out=q)
 
     def learn(self, x: np.ndarray, gate: np.ndarray, node: np.ndarray, bit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """One online step over some decisions: (decisions by gate, map cells met, decisions by these)."""
+        """One online step over at most ``STEP`` decisions: (decisions by gate, map cells met, decisions by these)."""
         s = self.log_odds(x, gate)
         miss = bit - 1 / (1 + np.exp(-s))
         for k in range(1 + ORDERS):
             self.weights[:, k] += RATE * np.bincount(gate, miss * x[k], minlength=GATES)
         at = map_cell(s, node)
         n, ones = np.bincount(at), np.bincount(at, bit)
-        met = np.flatnonzero(n)
+        met = np.flatnonzero(n > 0)
         n, cells = n[met], self.map.reshape(-1)
         # as n steps one by one, of the mean bit
-        cells[met] = np.clip(cells[met] + (1 - (1 - MAP_RATE) ** n) * (ones[met] / n - cells[met]), 1e-4, 1 - 1e-4)
+        cells[met] = np.clip(cells[met] + MAP_PULL.take(n) * (ones[met] / n - cells[met]), 1e-4, 1 - 1e-4)
         return np.bincount(gate, minlength=GATES), met, n
 
     def flat(self) -> np.ndarray:
@@ -236,13 +246,22 @@ def map_cell(s: np.ndarray, node: np.ndarray) -> np.ndarray:
     return node * MAP_STEPS + np.rint(s * 2).astype(np.int64) + MAP_STEPS // 2
 
 
-def inputs(zero: np.ndarray, logits: list[np.ndarray], seen: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(inputs [1 + ORDERS, decisions], gate) from every context's log odds and counts."""
+def packed(logits: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Log odds (half precision) and count (16 bits) of every entry side by side, so that a decision
+    finds both in one place of memory."""
+    both = np.empty((*logits.shape, 2), np.uint16)
+    both[..., 0], both[..., 1] = logits.astype(np.float16).view(np.uint16), seen
+    return both.view(np.uint32)[..., 0]
+
+
+def inputs(zero: np.ndarray, entries: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(inputs [1 + ORDERS, decisions], gate) from every context's ``packed`` log odds and counts."""
     x = np.empty((1 + ORDERS, len(zero)), np.float32)
     x[0] = zero
+    seen = [e.view(np.uint16)[1::2] for e in entries]
     for k in range(ORDERS):
-        x[1 + k] = x[0] + TRUST.take(seen[k]) * (logits[k] - x[0])
-    return x, EVIDENCE.take(seen[2]) * 4 + EVIDENCE.take(seen[1])
+        x[1 + k] = x[0] + trust(seen[k]) * (entries[k].view(np.float16)[::2] - x[0])
+    return x, (evidence(seen[2]) * np.uint8(4) + evidence(seen[1])).astype(np.int64)
 
 
 def without_own(n: np.ndarray) -> np.ndarray:
@@ -262,13 +281,20 @@ class Learner:
     def add(self, zero: np.ndarray, logits: np.ndarray, seen: np.ndarray, t: np.ndarray, ends: np.ndarray) -> None:
         """``zero`` and ``logits``: ``without_own`` of the nodes' and the tables' counts; ``seen``:
         the tables' totals."""
+        self.add_packed(zero, self.packed(logits, seen), t, ends)
+
+    @staticmethod
+    def packed(logits: np.ndarray, seen: np.ndarray) -> np.ndarray:
+        """[order, slot, bit], the totals without the decision's own count."""
+        return packed(logits, (np.maximum(seen, 1) - 1)[..., None])
+
+    def add_packed(self, zero: np.ndarray, entries: np.ndarray, t: np.ndarray, ends: np.ndarray) -> None:
         for a, b in parts_of(ends):
-            self._add(zero, logits, seen, t[ends[a] : ends[b]], ends[a : b + 1] - ends[a])
+            self._add(zero, entries, t[ends[a] : ends[b]], ends[a : b + 1] - ends[a])
 
-    def _add(self, zero, logits, seen, t, ends) -> None:
+    def _add(self, zero, entries, t, ends) -> None:
         _, node, bit, slots = self.cls.decisions(t, ends)
-        own = lambda k: np.maximum(seen[k].take(slots[k]), 1) - 1
-        x, gate = inputs(zero.ravel().take(2 * node + bit), [logits[k].ravel().take(2 * slots[k] + bit) for k in range(ORDERS)], [own(k) for k in range(ORDERS)])
+        x, gate = inputs(zero.ravel().take(2 * node + bit), [entries[k].ravel().take(2 * slots[k] + bit) for k in range(ORDERS)])
         new = [x, gate, node, bit]
         if self.rest is not None:
             new = [np.concatenate([a, b], axis=-1) for a, b in zip(self.rest, new)]
@@ -297,11 +323,16 @@ class Learner:
 def score_batch(cls: Classes, m: Mixer, zero_in: np.ndarray, stretched: np.ndarray, seen: np.ndarray, t: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """log10 probability of the classes of each row's tokens.  ``stretched`` and ``seen`` are
     the tables' log odds and evidence; ``zero_in`` the empty context's log odds by node."""
+    return score_packed(cls, m, zero_in, packed(stretched, seen), t, ends)
+
+
+def score_packed(cls: Classes, m: Mixer, zero_in: np.ndarray, entries: np.ndarray, t: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """As ``score_batch``, of ``packed`` log odds and evidence."""
     out = np.zeros(len(ends) - 1)
     for a, b in parts_of(ends):
         own = ends[a : b + 1] - ends[a]
         token, node, bit, slots = cls.decisions(t[ends[a] : ends[b]], own)
-        x, gate = inputs(zero_in.take(node), [stretched[k].take(slots[k]) for k in range(ORDERS)], [seen[k].take(slots[k]) for k in range(ORDERS)])
+        x, gate = inputs(zero_in.take(node), [entries[k].take(slots[k]) for k in range(ORDERS)])
         p = m.mixed(x, gate, node)
         lp = np.log10(np.where(bit == 1, p, 1 - p))
         row = np.repeat(np.arange(b - a), np.diff(own)).take(token)
@@ -434,7 +465,7 @@ def score(docs: DataFrame) -> DataFrame:
     # 3. weights and map, online over all training documents of each block; then their means
     seen = np.minimum(tables.sum(-1), 60_000).astype(np.uint16)
     unseen = spark.sparkContext.broadcast(
-        (without_own(root).astype(np.float32), np.stack([without_own(tables[k]).astype(np.float16) for k in range(ORDERS)]), seen)
+        (without_own(root).astype(np.float32), np.stack([Learner.packed(without_own(tables[k]), seen[k]) for k in range(ORDERS)]))
     )
 
     def learn(batches):
@@ -445,7 +476,7 @@ def score(docs: DataFrame) -> DataFrame:
             blocks = np.array(b.column(0).to_pylist())
             for block in np.unique(blocks).tolist():
                 t, ends = tokens(b.column(1).filter(pa.array(blocks == block)))
-                held.setdefault(block, Learner(cls)).add(*unseen.value, t, ends)
+                held.setdefault(block, Learner(cls)).add_packed(*unseen.value, t, ends)
         for learner in held.values():
             cell, n, total = learner.sums()
             yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(n), pa.array(total)], ["cell", "n", "total"])
@@ -458,7 +489,7 @@ def score(docs: DataFrame) -> DataFrame:
         means = sums.agg((F.sum(F.col("total").cast("decimal(38,0)")).cast("double") / F.sum("n") / FIXED_POINT).alias("mean")).collect()
         mixer.set(np.array([r["cell"] for r in means], np.int64), np.array([r["mean"] for r in means]))
     stretched = spark.sparkContext.broadcast(
-        (stretch(root).astype(np.float32), np.stack([stretch(tables[k]) for k in range(ORDERS)]).astype(np.float16), seen)
+        (stretch(root).astype(np.float32), np.stack([packed(stretch(tables[k]), seen[k]) for k in range(ORDERS)]))
     )
     del tables
 
@@ -469,7 +500,7 @@ def score(docs: DataFrame) -> DataFrame:
         h = right.column("h").to_numpy().view(np.uint64)
         order = np.argsort(h)
         h, c = h[order], right.column("total").to_numpy()[order]
-        zero_in, logits, totals = stretched.value
+        zero_in, entries = stretched.value
         out = []
         for b in left.to_batches(max_chunksize=256):
             t, ends = tokens(b.column("text"))
@@ -484,7 +515,7 @@ def score(docs: DataFrame) -> DataFrame:
             r = cls.rare[np.maximum(k, 0)]
             share = np.where(k >= 0, np.log10((n + 0.5) / (r[:, 0] + 0.5 * (r[:, 1] + 1))), 0.0)
             rows = len(ends) - 1
-            total = score_batch(cls, mixer, zero_in, logits, totals, t, ends) + np.bincount(row, share, minlength=rows)
+            total = score_packed(cls, mixer, zero_in, entries, t, ends) + np.bincount(row, share, minlength=rows)
             size = np.diff(column_bytes(b.column("text"))[1])
             out.append(
                 pa.RecordBatch.from_arrays(
